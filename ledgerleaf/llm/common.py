@@ -59,4 +59,4 @@ def chunk_of(id_column: str, chunks: int) -> Column:
 
 def java_words(text: Column) -> Column:
     """The words of a text as an array, without Python; null and empty texts have none."""
-    return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(f"({WORD})"))
+    return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD), 0)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import quality_rules as rules
 from .substring_dedup import substring_dedup
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -19,8 +20,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rules.quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_bad_lines", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality_rules": op2_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -33,4 +40,22 @@ word AS (SELECT doc_id, p, w[p] AS x FROM d, unnest(generate_series(1, len(w)))
 kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op2_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 2), ' ') AS s FROM d, unnest(generate_series(1, len(w) - 2)) AS g(i)),
+often AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM often, unnest([0, 1, 2]) AS h(j) WHERE n > 1 GROUP BY doc_id),
+line AS (SELECT doc_id, x, len(x) - len(replace(x, ' ', '')) + 1 AS n, len(x) - len(regexp_replace(x, '[{rules.SYMBOLS}]', '', 'g')) AS sym
+         FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)),
+ok AS (SELECT doc_id, x, regexp_matches(x, '{rules.HAS_WORD}') AS worded,
+         regexp_matches(x, '{rules.SENTENCE.replace("'", "''")}') AND (len(x) - len(replace(x, '|', ''))) * 5 <= n AND sym * 10 <= n
+         AND NOT (NOT regexp_matches(x, '\p{{Ll}}') AND regexp_matches(x, '(\p{{Lu}}[^\p{{Lu}}]*){{8}}')) AND NOT regexp_matches(x, '{rules.BOILERPLATE}') AS good FROM line),
+per AS (SELECT doc_id, count(*) FILTER (worded) - count(DISTINCT x) FILTER (worded) AS dup, count(*) FILTER (worded AND NOT good) AS bad,
+         coalesce(sum(len(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g'))) FILTER (good), 0) AS left_chars FROM ok GROUP BY doc_id),
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(t) - len(regexp_replace(t, '[{rules.SYMBOLS}]', '', 'g')) AS BIGINT) AS n_symbols, CAST(dup AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(bad AS BIGINT) AS n_bad_lines, left_chars FROM d JOIN per USING (doc_id) LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_bad_lines,
+       NOT base_failed AND 1 - left_chars / greatest(word_chars, 1) <= {rules.MAX_LOSS} AS kept FROM b""",
 }
