@@ -11,12 +11,10 @@ word are kept as they are; input columns named like an added column give way to
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import java_words, without
+from .common import java_words, let, without
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -33,11 +31,6 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 ADDED = [*BASE, "n_lines", "n_bad_lines", "loss", "kept", "clean_text"]
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, also where ``body`` uses it in an inner function."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _symbols(text: Column) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]", ""))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import quality_rules as rules
 from .bpe import bpe_decode, bpe_encode
+from .line_dedup import line_dedup
 from .substring_dedup import substring_dedup
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -35,10 +36,16 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -69,4 +76,14 @@ m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(regexp_replac
 b AS (SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_bad_lines,
        NOT base_failed AND 1 - left_chars / greatest(word_chars, 1) <= {rules.MAX_LOSS} AS kept FROM b""",
+    "op10_line_dedup": r"""
+WITH line AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS x FROM documents, unnest(generate_series(1, len(string_split(text, chr(10))))) AS g(i)),
+w AS (SELECT doc_id, i, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+pair AS (SELECT a.doc_id, a.n, a.x || chr(10) || b.x AS s FROM w a JOIN w b ON a.doc_id = b.doc_id AND b.n = a.n + 1),
+least AS (SELECT doc_id, n, min((doc_id, n)) OVER (PARTITION BY s) AS first FROM pair),
+gone AS (SELECT DISTINCT doc_id, n + j AS n FROM least, unnest([0, 1]) AS h(j) WHERE (doc_id, n) > first),
+kept AS (SELECT l.doc_id, string_agg(l.x, chr(10) ORDER BY l.i) AS t FROM line l LEFT JOIN w USING (doc_id, i) LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.n = w.n WHERE g.n IS NULL GROUP BY l.doc_id),
+size AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id), lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_lines, coalesce(lost.n, 0) AS n_removed_lines, CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS clean_sha256
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN size USING (doc_id) LEFT JOIN lost USING (doc_id)""",
 }
