@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import quality_rules as rules
 from .bpe import bpe_decode, bpe_encode
+from .chat_tools import link_tool_calls
 from .line_dedup import line_dedup
 from .substring_dedup import substring_dedup
 
@@ -36,6 +37,29 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+#: What the calls below carry; the system turn may state its length.
+CHAT_SCHEMAS = {
+    "user": {"text": ("string", True), "turn": ("integer", True), "chars": ("integer", True)},
+    "system": {"text": ("string", True), "turn": ("integer", True)},
+}
+
+
+def op9_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn that an assistant may answer is a call; the assistant's turn after it is its result; a call builds on that two turns before."""
+    turns = _table(spark, sf_dir, "conversations")
+    call = lambda turn: F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), turn)
+    calls = turns.where(F.coalesce(F.col("role") != "assistant", F.lit(True))).select(
+        "conv_id",
+        call(F.col("turn")).alias("call_id"),
+        F.when(F.col("turn") >= 2, call(F.col("turn") - 2)).alias("parent_id"),
+        "turn",
+        F.col("role").alias("name"),
+        F.to_json(F.struct("turn", "text", F.length("text").alias("chars"))).alias("arguments"),
+    )
+    results = turns.where(F.col("role") == "assistant").select("conv_id", call(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    return link_tool_calls(calls, results, CHAT_SCHEMAS)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"))
@@ -45,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_chat_tools": op9_chat_tools,
     "op10_line_dedup": op10_line_dedup,
 }
 
@@ -86,4 +111,17 @@ kept AS (SELECT l.doc_id, string_agg(l.x, chr(10) ORDER BY l.i) AS t FROM line l
 size AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id), lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, coalesce(size.n, 0) AS n_lines, coalesce(lost.n, 0) AS n_removed_lines, CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS clean_sha256
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN size USING (doc_id) LEFT JOIN lost USING (doc_id)""",
+    "op9_chat_tools": r"""
+WITH RECURSIVE call AS (SELECT conv_id, turn, role, text FROM conversations WHERE role <> 'assistant'),
+up AS (SELECT c.*, p.turn IS NOT NULL AS has_parent, c.turn >= 2 AND p.turn IS NULL AS parent_missing FROM call c LEFT JOIN (SELECT DISTINCT conv_id, turn FROM call) p ON p.conv_id = c.conv_id AND p.turn = c.turn - 2),
+deep AS (SELECT DISTINCT conv_id, turn, CAST(0 AS BIGINT) AS depth FROM up WHERE NOT has_parent
+         UNION ALL SELECT u.conv_id, u.turn, d.depth + 1 FROM deep d JOIN (SELECT DISTINCT conv_id, turn FROM up) u ON u.conv_id = d.conv_id AND u.turn = d.turn + 2),
+res AS (SELECT conv_id, turn - 1 AS turn, count(*) AS n, min(text) AS result FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+j AS (SELECT u.conv_id, u.turn, u.role AS name, u.text, d.depth, u.parent_missing, coalesce(r.n, 0) AS n_results, r.result,
+        'c' || u.conv_id || '-' || u.turn AS call_id, CASE WHEN r.n > 0 THEN 'linked' ELSE 'no_result' END AS status
+      FROM up u JOIN deep d USING (conv_id, turn) LEFT JOIN res r USING (conv_id, turn))
+SELECT conv_id, call_id, turn, name, depth, status, parent_missing, n_results, name = 'user' AS valid,
+       CASE WHEN name = 'user' THEN CAST([] AS VARCHAR[]) ELSE ['chars: unknown'] END AS errors,
+       CAST(json_object('arguments', json_object('chars', length(text), 'text', text, 'turn', turn), 'call_id', call_id, 'conv_id', conv_id, 'depth', depth,
+            'name', name, 'result', result, 'status', status, 'turn', turn) AS VARCHAR) AS json FROM j""",
 }
