@@ -12,6 +12,7 @@ from . import quality_rules as rules
 from .bpe import bpe_decode, bpe_encode
 from .chat_tools import link_tool_calls
 from .line_dedup import line_dedup
+from .minhash_dedup import minhash_dedup
 from .substring_dedup import substring_dedup
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -30,6 +31,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_bad_lines", "kept")
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = bpe_encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN, keep_text=False)
@@ -68,6 +73,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_tools": op9_chat_tools,
     "op10_line_dedup": op10_line_dedup,
