@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import quality_rules as rules
 from .bpe import bpe_decode, bpe_encode
 from .chat_tools import link_tool_calls
+from .embedding_dedup import embedding_dedup
 from .line_dedup import line_dedup
 from .minhash_dedup import minhash_dedup
 from .substring_dedup import substring_dedup
@@ -31,6 +32,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_bad_lines", "kept")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(_table(spark, sf_dir, "embeddings")).drop("embedding", "label")
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -73,6 +78,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_tools": op9_chat_tools,
