@@ -14,6 +14,7 @@ from .chat_tools import link_tool_calls
 from .embedding_dedup import embedding_dedup
 from .line_dedup import line_dedup
 from .minhash_dedup import minhash_dedup
+from .packing import pack
 from .substring_dedup import substring_dedup
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -40,6 +41,13 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+END_ID = 2  # follows each document's ids
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = bpe_encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN, keep_text=False)
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_packing": op6_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_tools": op9_chat_tools,
     "op10_line_dedup": op10_line_dedup,
