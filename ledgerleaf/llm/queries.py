@@ -16,6 +16,7 @@ from .line_dedup import line_dedup
 from .minhash_dedup import minhash_dedup
 from .packing import pack
 from .substring_dedup import substring_dedup
+from .warc import warc_round_trip
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -48,6 +49,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = bpe_encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN, keep_text=False)
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_packing": op6_packing,
+    "op7_warc": op7_warc,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_tools": op9_chat_tools,
     "op10_line_dedup": op10_line_dedup,
