@@ -43,23 +43,29 @@ def _word_chars(words: Column) -> Column:
     return F.length(F.array_join(words, "")).cast("long")
 
 
-def repeated_words(words: Column, width: int = 3) -> Column:
-    """How many words lie in a window of ``width`` words that occurs twice or more."""
+def with_repeated_words(docs: DataFrame, words: str, name: str) -> DataFrame:
+    """Adds how many of the words lie in a 3-word window that occurs twice or more.
 
-    def windows(w: Column) -> Column:
-        return F.transform(
-            F.slice(w, F.lit(1), F.greatest(F.size(w) - (width - 1), F.lit(0))),
-            lambda x, i: F.struct(F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, width)]).alias("k"), i.alias("p")),
-        )
+    Hashes of the windows are sorted first: most texts repeat none and end there. Windows whose hash recurs are then
+    sorted by their words, so equal hashes of different windows don't count.
+    """
+    size = F.greatest(F.size(words) - 2, F.lit(0))
+    keys = F.transform(F.slice(words, F.lit(1), size), lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)))
 
     def doubled(s: Column) -> Column:
         same = lambda x, i: F.coalesce(F.get(s, i - 1)["k"] == x["k"], F.lit(False)) | F.coalesce(F.get(s, i + 1)["k"] == x["k"], F.lit(False))
         return F.transform(F.filter(s, same), lambda x: x["p"])
 
     def covered(p: Column) -> Column:
-        return F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(width), F.coalesce(F.get(p, i + 1) - x, F.lit(width)))), F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x)
 
-    return let(words, lambda w: let(F.sort_array(windows(w)), lambda s: let(F.sort_array(doubled(s)), covered)))
+    window = lambda i: F.struct(F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("k"), i.alias("p"))
+    few = F.filter(F.transform("_keys", lambda x, i: F.when(F.array_contains("_often", x), i)), lambda i: i.isNotNull())
+    maybe = F.when(F.size("_often") <= 64, few).otherwise(F.sequence(F.lit(0), size - 1))
+    exact = let(F.sort_array(F.transform(maybe, window)), lambda s: let(F.sort_array(doubled(s)), covered))
+    sorted_ = docs.withColumn("_keys", keys).withColumn("_sorted", F.sort_array("_keys"))
+    often = sorted_.withColumn("_often", F.array_distinct(F.filter("_sorted", lambda x, i: F.coalesce(F.get("_sorted", i + 1) == x, F.lit(False)))))
+    return often.withColumn(name, F.when(F.size("_often") == 0, F.lit(0).cast("long")).otherwise(exact)).drop("_keys", "_sorted", "_often")
 
 
 def line_ok(line: Column, hinted: Column) -> Column:
@@ -80,13 +86,12 @@ def quality_rules(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     for hint in HINTS:
         hinted = hinted | F.col("_low").contains(hint)
     split = split.withColumn("_hinted", hinted)
-    judged = split.withColumns({"_good": F.filter("_lines", lambda x: line_ok(x, F.col("_hinted"))), "_worded": worded(F.col("_lines"))})
-    measured = judged.withColumns(
+    judged = split.withColumns({"_good": let(F.col("_hinted"), lambda h: F.filter("_lines", lambda x: line_ok(x, h))), "_worded": worded(F.col("_lines"))})
+    measured = with_repeated_words(judged, "_words", "n_repeat_words").withColumns(
         {
             "n_words": F.size("_words").cast("long"),
             "word_chars": _word_chars(F.col("_words")),
             "n_dup_lines": (F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("long"),
-            "n_repeat_words": repeated_words(F.col("_words")),
             "n_lines": F.size("_worded").cast("long"),
             "n_bad_lines": (F.size("_lines") - F.size("_good")).cast("long"),
             "clean_text": F.array_join("_good", "\n"),
