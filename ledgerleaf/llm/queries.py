@@ -13,6 +13,7 @@ from .bpe import bpe_decode, bpe_encode
 from .chat_tools import link_tool_calls
 from .embedding_dedup import embedding_dedup
 from .line_dedup import line_dedup
+from .lm_scoring import lm_scores
 from .minhash_dedup import minhash_dedup
 from .packing import pack
 from .substring_dedup import substring_dedup
@@ -34,6 +35,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_bad_lines", "kept")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(_table(spark, sf_dir, "embeddings")).drop("embedding", "label")
 
@@ -91,6 +96,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_packing": op6_packing,
