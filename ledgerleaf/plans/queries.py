@@ -1,10 +1,577 @@
-"""The registered queries of the library's own operators and their SQL."""
+"""The registered queries of the library's own operators and their SQL. The driver's star schema stands in for record tables."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions import helpers as H
+from ..functions import scalars as S
+from ..operators import evidence, identity, linking, load, quality, text
+from ..specs import Fk, TableSpec
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+STAR: dict[str, TableSpec] = {
+    s.name: s
+    for s in (
+        TableSpec("region", "r_regionkey"),
+        TableSpec("nation", "n_nationkey", (Fk("n_regionkey", "region"),)),
+        TableSpec("customer", "c_custkey", (Fk("c_nationkey", "nation"),)),
+        TableSpec("supplier", "s_suppkey", (Fk("s_nationkey", "nation"),)),
+        TableSpec("part", "p_partkey"),
+        TableSpec("orders", "o_orderkey", (Fk("o_custkey", "customer"),)),
+        TableSpec("lineitem", "rec_idx", (Fk("l_orderkey", "orders"), Fk("l_partkey", "part"), Fk("l_suppkey", "supplier")), (("l_orderkey", "l_linenumber"),)),
+    )
+}
+CHAIN = {"orders": ("o_custkey", "customer"), "lineitem": ("l_orderkey", "orders")}
+KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey"}
+LI = """li AS (SELECT *, l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS rec_idx FROM lineitem)"""
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A star-schema table with rec_idx; a line item's row number counts inside its order."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name == "lineitem":
+        from pyspark.sql import Window as W
+
+        w = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+        return df.withColumn("rec_idx", F.col("l_orderkey") * 1000 + F.row_number().over(w))
+    return df.withColumn("rec_idx", F.col(KEYS[name]).cast("long")) if name in KEYS else df
+
+
+def star(spark: SparkSession, sf_dir: str, *names: str) -> quality.Tables:
+    return {n: table(spark, sf_dir, n) for n in names}
+
+
+def holed(spark: SparkSession, sf_dir: str) -> quality.Tables:
+    """Line items and their parents, of which a fixed part is missing."""
+    t = star(spark, sf_dir, "orders", "part", "supplier", "lineitem")
+    return {**t, "orders": t["orders"].where("o_orderkey % 7 <> 0"), "part": t["part"].where("p_partkey % 11 <> 0")}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query(f"""WITH {LI}, o AS (SELECT * FROM orders WHERE o_orderkey % 7 <> 0), p AS (SELECT * FROM part WHERE p_partkey % 11 <> 0)
+SELECT 'lineitem' AS "table", rec_idx, field, CAST(v AS VARCHAR) AS value, 'not_found' AS kind, 'value ' || v || ' not found in ' || target AS message FROM (
+SELECT rec_idx, 'l_orderkey' AS field, l_orderkey AS v, 'orders' AS target FROM li WHERE l_orderkey NOT IN (SELECT o_orderkey FROM o)
+UNION ALL SELECT rec_idx, 'l_partkey', l_partkey, 'part' FROM li WHERE l_partkey NOT IN (SELECT p_partkey FROM p)
+UNION ALL SELECT rec_idx, 'l_suppkey', l_suppkey, 'supplier' FROM li WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier))""")
+def fk_issues(spark, sf_dir):
+    return quality.fk_issues({k: v for k, v in holed(spark, sf_dir).items()}, STAR)
+
+
+@query(f"""WITH {LI} SELECT 'lineitem' AS "table", 'l_orderkey,l_linenumber' AS key_fields, l_orderkey || '|' || l_linenumber AS key, min(rec_idx) AS first, list(rec_idx ORDER BY rec_idx) AS rows
+FROM li GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def duplicate_groups(spark, sf_dir):
+    return quality.duplicate_groups(star(spark, sf_dir, "lineitem"), {"lineitem": [("l_orderkey", "l_linenumber")]}, None)
+
+
+@query(f"""WITH {LI}, g AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM li GROUP BY ALL)
+SELECT 'lineitem' AS "table", 'pk' AS "check", (SELECT count(*) FROM li) AS records, 0 AS missing, 0 AS groups, 0 AS rows
+UNION ALL SELECT 'lineitem', 'l_orderkey,l_linenumber', sum(n), 0, count(*) FILTER (n > 1), coalesce(sum(n) FILTER (n > 1), 0) FROM g
+UNION ALL SELECT 'orders', 'pk', count(*), 0, 0, 0 FROM orders""")
+def key_quality(spark, sf_dir):
+    return quality.key_quality(star(spark, sf_dir, "lineitem", "orders"), STAR)
+
+
+@query("""SELECT 'lineitem' AS "table", count(*) AS records, count(*) FILTER (l_orderkey % 5 = 0) + count(*) FILTER (l_partkey % 9 = 0) AS blank FROM lineitem
+UNION ALL SELECT 'orders', count(*), 0 FROM orders""")
+def fk_presence(spark, sf_dir):
+    t = star(spark, sf_dir, "lineitem", "orders")
+    t["lineitem"] = t["lineitem"].withColumns({"l_partkey": F.when(F.col("l_partkey") % 9 != 0, F.col("l_partkey")), "l_orderkey": F.when(F.col("l_orderkey") % 5 != 0, F.col("l_orderkey"))})
+    return quality.fk_presence(t, STAR)
+
+
+@query(f"""WITH {LI} SELECT rec_idx, min(rec_idx) OVER (PARTITION BY l_orderkey, l_linenumber) AS first, rec_idx > min(rec_idx) OVER (PARTITION BY l_orderkey, l_linenumber) AS is_repeat FROM li""")
+def flag_repeats(spark, sf_dir):
+    return quality.flag_repeats(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]).select("rec_idx", "first", "is_repeat")
+
+
+@query("""SELECT r_regionkey AS id, CAST(NULL AS VARCHAR) AS parent, 0 AS level FROM region UNION ALL SELECT 100 + n_nationkey, CAST(n_regionkey AS VARCHAR), 1 FROM nation
+UNION ALL SELECT 1000 + c_custkey, CAST(100 + c_nationkey AS VARCHAR), 2 FROM customer""")
+def topo_sort(spark, sf_dir):
+    t = star(spark, sf_dir, "region", "nation", "customer")
+    row = lambda df, i, p: df.select(F.expr(i).cast("long").alias("id"), F.expr(p).cast("long").alias("parent"))
+    tree = row(t["region"], "r_regionkey", "NULL").unionByName(row(t["nation"], "100 + n_nationkey", "n_regionkey")).unionByName(row(t["customer"], "1000 + c_custkey", "100 + c_nationkey"))
+    return quality.topo_sort(tree.withColumn("rec_idx", F.col("id")), "id", "parent")[0].select("id", F.col("parent").cast("string").alias("parent"), "level")
+
+
+@query("""SELECT * FROM (SELECT o_orderkey AS rec_idx, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50), (SELECT count(*) AS total FROM orders)""")
+def cap_details(spark, sf_dir):
+    rows, total = quality.cap(table(spark, sf_dir, "orders").select("rec_idx", "o_totalprice"), [F.desc("o_totalprice"), "rec_idx"])
+    return rows.crossJoin(F.broadcast(total))  # one row
+
+
+@query("""SELECT 'nation' AS "table", (SELECT count(*) FROM nation) AS total, CAST(n_nationkey AS BIGINT) AS rec_idx, n_name AS name FROM nation ORDER BY n_nationkey LIMIT 3""")
+def sample_rows(spark, sf_dir):
+    return quality.sample_rows(star(spark, sf_dir, "nation"), 3).select("table", "total", "rec_idx", F.get_json_object("row", "$.n_name").alias("name"))
+
+
+@query("""SELECT 'region' AS "table", true AS "exists", count(*) AS records, 0 AS bytes, 'ok' AS status FROM region UNION ALL SELECT 'orders', true, count(*), 0, 'ok' FROM orders
+UNION ALL SELECT unnest(['nation', 'customer', 'supplier', 'part', 'lineitem']), false, 0, 0, 'missing'""")
+def table_profile(spark, sf_dir):
+    return quality.table_profile(star(spark, sf_dir, "region", "orders"), None, STAR)
+
+
+@query("""SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, (SELECT count(o_custkey) FROM orders) AS cleared FROM orders""")
+def clear_fields(spark, sf_dir):
+    rows, n = linking.clear_fields(table(spark, sf_dir, "orders"), ["o_custkey"])
+    return rows.select("o_orderkey", "o_custkey").crossJoin(F.broadcast(n))  # one row
+
+
+@query("""SELECT p_partkey % 10 AS doc_id, CAST(p_partkey AS VARCHAR) AS id, 'p_brand=' || p_brand || ' | p_type=' || p_type AS label, CAST(row_number() OVER (PARTITION BY p_partkey % 10 ORDER BY p_partkey) AS INTEGER) AS index FROM part""")
+def build_options(spark, sf_dir):
+    df = table(spark, sf_dir, "part").withColumn("doc_id", F.col("p_partkey") % 10)
+    return linking.build_options(df, "p_partkey", ["p_brand", "p_type"], True)
+
+
+@query("""SELECT s_suppkey, CAST((row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) // 15 AS INTEGER) AS batch_no, CAST((row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) % 15 AS INTEGER) AS batch_idx FROM supplier""")
+def make_batches(spark, sf_dir):
+    return linking.make_batches(table(spark, sf_dir, "supplier"), 15, "s_nationkey").select("s_suppkey", "batch_no", "batch_idx")
+
+
+@query("""SELECT p_partkey AS rec_idx, '{"p_name":"' || p_name || '","p_size":' || p_size || '}' AS summary FROM part""")
+def summarise(spark, sf_dir):
+    return linking.summarise(table(spark, sf_dir, "part"), ["p_name", "p_size"])
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'unknown' ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 3 = 0 THEN 'default' END AS source FROM orders""")
+def fill_default(spark, sf_dir):
+    df = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).otherwise(" ").alias("status"), F.lit(None).cast("map<string,string>").alias("misc"))
+    rows, _ = linking.fill_default(df, "status", "unknown", "status_source")
+    return rows.select("o_orderkey", "status", F.element_at("misc", "status_source").alias("source"))
+
+
+@query("""WITH c AS (SELECT n_nationkey AS doc_id, min(c_custkey) AS k FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1)
+SELECT doc_id, '10000000-0000-0000-0000-' || lpad(CAST(k AS VARCHAR), 12, '0') AS "cityId" FROM c WHERE k IS NOT NULL""")
+def canonical_city(spark, sf_dir):
+    id_ = F.concat(F.lit("10000000-0000-0000-0000-"), F.lpad(F.col("c_custkey").cast("string"), 12, "0"))
+    cities = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("doc_id"), "rec_idx", id_.alias("cityId"), F.col("c_name").alias("cityName"), F.lit("x").alias("country"), F.lit(None).cast("string").alias("locode"))
+    got = linking.canonical_city(cities, table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("doc_id")))
+    return got.where("cityName IS NOT NULL").select("doc_id", "cityId")
+
+
+def _cities(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("doc_id"), F.when(F.col("c_custkey") % 4 == 0, "other").otherwise(F.concat(F.lit("n"), "c_nationkey")).alias("cityId"))
+    return rows, table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("doc_id"), F.concat(F.lit("n"), "n_nationkey").alias("cityId"))
+
+
+@query("""SELECT c_custkey, 'n' || c_nationkey AS "cityId", c_custkey % 4 = 0 AS changed FROM customer""")
+def apply_city(spark, sf_dir):
+    rows, city = _cities(spark, sf_dir)
+    return linking.apply_city(rows, city).select("c_custkey", "cityId", "changed")
+
+
+@query("""SELECT 'customer' AS "table", count(*) FILTER (c_custkey % 4 = 0) AS mismatches FROM customer""")
+def city_mismatch(spark, sf_dir):
+    rows, city = _cities(spark, sf_dir)
+    return linking.city_mismatch({"customer": rows}, city)
+
+
+_SCOPE = """c AS (SELECT * FROM customer WHERE {}), o AS (SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c)), l AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM o))
+SELECT 'customer' AS "table", count(*) AS n FROM c UNION ALL SELECT 'orders', count(*) FROM o UNION ALL SELECT 'lineitem', count(*) FROM l"""
+
+
+def _counts(tables: quality.Tables) -> DataFrame:
+    return quality.union([df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table"), "n") for n, df in tables.items()])
+
+
+def _by_city(spark, sf_dir):
+    t = star(spark, sf_dir, "customer", "orders", "lineitem")
+    return {**t, "customer": t["customer"].withColumn("cityId", F.col("c_nationkey").cast("string"))}
+
+
+@query("WITH " + _SCOPE.format("c_nationkey IN (1, 2, 3)"))
+def city_scope(spark, sf_dir):
+    ids = table(spark, sf_dir, "nation").where("n_nationkey IN (1, 2, 3)").select(F.col("n_nationkey").cast("string").alias("cityId"))
+    return _counts(load.city_scope(_by_city(spark, sf_dir), ids, STAR, CHAIN))
+
+
+@query("WITH " + _SCOPE.format("c_nationkey = 7"))
+def filter_city(spark, sf_dir):
+    return _counts(load.filter_city(_by_city(spark, sf_dir), "7", specs=STAR, chain=CHAIN))
+
+
+@query("WITH bad AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal < -900), " + _SCOPE.format("c_nationkey NOT IN (SELECT k FROM bad)"))
+def gate_by_city(spark, sf_dir):
+    t = _by_city(spark, sf_dir)
+    return _counts(load.gate_by_city(t, t["customer"].where("c_acctbal < -900").select("cityId"), specs=STAR, chain=CHAIN))
+
+
+@query("""SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS "cityId" FROM customer""")
+def city_ids(spark, sf_dir):
+    return load.city_ids(_by_city(spark, sf_dir))
+
+
+@query(f"""WITH {LI}, c AS (SELECT * FROM customer WHERE c_custkey % 5 <> 0), o AS (SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c)),
+f AS (SELECT *, min(rec_idx) OVER (PARTITION BY l_orderkey, l_linenumber) AS first FROM li),
+l AS (SELECT *, l_orderkey IN (SELECT o_orderkey FROM o) AS ok FROM f WHERE rec_idx = first)
+SELECT 'orders' AS "table", 'o_custkey not in customer' AS reason, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM c)
+UNION ALL SELECT 'lineitem', 'duplicate l_orderkey,l_linenumber', count(*) FROM f WHERE rec_idx > first
+UNION ALL SELECT 'lineitem', 'l_orderkey not in orders', count(*) FROM l WHERE NOT ok
+UNION ALL SELECT 'lineitem', 'accepted', count(*) FROM l WHERE ok""")
+def enforce_constraints(spark, sf_dir):
+    t = star(spark, sf_dir, "customer", "orders", "lineitem")
+    good, bad = load.enforce_constraints({**t, "customer": t["customer"].where("c_custkey % 5 <> 0")}, STAR)
+    kept = good["lineitem"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("lineitem").alias("table"), F.lit("accepted").alias("reason"), "n")
+    return bad.groupBy("table", "reason").agg(F.count(F.lit(1)).alias("n")).unionByName(kept)
+
+
+_EVENT = TableSpec("events", "id", (), (), {"id": ("long", True), "userId": ("long", True), "eventType": ("string", True), "value": ("decimal", False), "day": ("date", True)})
+
+
+def _events(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    m = F.col("event_id") % 10
+    body = F.struct(
+        F.when(m != 1, F.col("event_id")).alias("id"),
+        F.when(m != 2, F.col("user_id")).alias("user_id"),
+        F.when(m == 3, " ").otherwise(F.col("event_type")).alias("eventType"),
+        F.when(m == 4, "much").otherwise("5").alias("value"),
+        F.date_format("ts", "yyyy/MM/dd").alias("day"),
+        F.when(m == 5, "x").alias("other"),
+    )
+    return e.select(F.col("event_id").alias("rec_idx"), F.to_json(body).alias("raw"))
+
+
+_ERRORS = """e AS (SELECT 'events' AS "table", event_id AS rec_idx, CASE event_id % 10 WHEN 1 THEN 'id' WHEN 2 THEN 'userId' WHEN 3 THEN 'eventType' WHEN 4 THEN 'value' ELSE 'other' END AS field,
+CASE event_id % 10 WHEN 1 THEN 'missing' WHEN 2 THEN 'missing' WHEN 3 THEN 'null' WHEN 4 THEN 'type' ELSE 'extra' END AS type FROM events WHERE event_id % 10 BETWEEN 1 AND 5)"""
+
+
+@query("""SELECT event_id AS rec_idx, CASE WHEN event_id % 10 <> 2 THEN CAST(user_id AS VARCHAR) END AS "userId", event_id % 10 = 5 AS has_unknown FROM events""")
+def normalize_columns(spark, sf_dir):
+    got = load.normalize_columns(_events(spark, sf_dir), _EVENT)
+    return got.select("rec_idx", "userId", (F.size("unknown") > 0).alias("has_unknown"))
+
+
+@query(f"WITH {_ERRORS} SELECT * FROM e")
+def validate(spark, sf_dir):
+    return load.validate(load.normalize_columns(_events(spark, sf_dir), _EVENT), _EVENT)[1]
+
+
+@query(f"WITH {_ERRORS} SELECT field, count(*) AS n FROM e WHERE type = 'missing' GROUP BY field")
+def missing_fields(spark, sf_dir):
+    return load.missing_fields(validate(spark, sf_dir))
+
+
+@query(f"""WITH {_ERRORS} SELECT 'events' AS "table", (SELECT count(*) FROM events) AS loaded, count(*) AS failed, count(DISTINCT rec_idx) AS failed_rows, count(*) > 50 AS truncated FROM e""")
+def load_report(spark, sf_dir):
+    counts = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.count(F.lit(1)).alias("loaded")).select(F.lit("events").alias("table"), "loaded")
+    return load.load_report(counts, validate(spark, sf_dir))
+
+
+@query("""SELECT event_id AS rec_idx, strftime(ts, '%Y-%m-%d') AS day, CAST(5 AS DOUBLE) AS value FROM events WHERE event_id % 10 NOT BETWEEN 1 AND 5""")
+def validated_rows(spark, sf_dir):
+    good = load.validate(load.normalize_columns(_events(spark, sf_dir), _EVENT), _EVENT)[0]
+    return good.select("rec_idx", F.col("day").cast("string").alias("day"), F.col("value").cast("double").alias("value"))
+
+
+@query("""SELECT 'orders' AS "table", count(*) AS source_count, count(*) FILTER (o_orderkey % 3 <> 0) AS target_count, count(*) FILTER (o_orderkey % 3 <> 0) AS matched,
+count(*) FILTER (o_orderkey % 3 = 0) AS missing, 0 AS extra, count(*) FILTER (o_orderkey % 3 = 0) = 0 AS ok, false AS shared FROM orders""")
+def reconcile(spark, sf_dir):
+    t = star(spark, sf_dir, "orders")
+    return load.reconcile(t, {"orders": t["orders"].where("o_orderkey % 3 <> 0")}, STAR)
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'missing' WHEN o_orderkey % 5 = 0 THEN 'extra' ELSE 'matched' END AS side FROM orders""")
+def id_sets(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return load.id_sets(o.where("o_orderkey % 3 = 0 OR o_orderkey % 5 <> 0"), o.where("o_orderkey % 3 <> 0"), "o_orderkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0")
+def absent_ids(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return identity.absent_ids(o, o.where("o_orderkey % 3 <> 0"), "o_orderkey")
+
+
+def _uuid_sql(namespace: uuid.UUID, name: str) -> str:
+    h = f"sha1(unhex('{namespace.hex}') || encode({name}))"
+    return f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr({h}, 18, 3) || '-' || substr({h}, 21, 12))"
+
+
+@query(f"""SELECT o_orderkey AS rec_idx, {_uuid_sql(S.class_namespace('orders'), "'order ' || o_orderkey")} AS id FROM orders""")
+def uuid5(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("rec_idx", S.uuid5(S.class_namespace("orders"), F.concat(F.lit("order "), "o_orderkey")).alias("id"))
+
+
+@query(f"""SELECT o_orderkey AS rec_idx, {_uuid_sql(S.class_namespace('orders'), "'order ' || o_orderkey")} AS id FROM orders""")
+def fill_pk(spark, sf_dir):
+    df = table(spark, sf_dir, "orders").select("rec_idx", F.lit(None).cast("string").alias("id"), S.uuid5(S.class_namespace("orders"), F.concat(F.lit("order "), "o_orderkey")).alias("new"))
+    return load.fill_pk(df, "id", "new")
+
+
+_NAMED = f"""{LI}, s AS (SELECT rec_idx, l_orderkey || '/' || l_linenumber AS seed, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY rec_idx) AS k FROM li)"""
+
+
+@query(f"""WITH {_NAMED} SELECT rec_idx, {_uuid_sql(S.class_namespace('lineitem'), "CASE WHEN k = 1 THEN seed ELSE seed || '|' || k END || 'id'")} AS id FROM s""")
+def assign_pk(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem").select("rec_idx", F.lit("none").alias("id"), F.concat_ws("/", "l_orderkey", "l_linenumber").alias("seed"))
+    return identity.assign_pk(df, "lineitem", "id").select("rec_idx", "id")
+
+
+def _rewritten(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("rec_idx", F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("o"), "o_orderkey").alias("seed"))
+    return identity.rewrite_pk(o, "orders", "id")
+
+
+_REWRITE = uuid.uuid5(uuid.UUID(int=0), "rewrite:orders")
+
+
+@query(f"""SELECT CAST(o_orderkey AS VARCHAR) AS old_id, {_uuid_sql(_REWRITE, "'o' || o_orderkey")} AS new_id FROM orders""")
+def rewrite_pk(spark, sf_dir):
+    return _rewritten(spark, sf_dir)[1]
+
+
+@query(f"""WITH {LI} SELECT rec_idx, {_uuid_sql(_REWRITE, "'o' || l_orderkey")} AS l_orderkey FROM li""")
+def cascade_fk(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("rec_idx", F.col("l_orderkey").cast("string").alias("l_orderkey"))
+    return identity.cascade_fk({"lineitem": li}, {"orders": _rewritten(spark, sf_dir)[1]}, STAR)[0]["lineitem"]
+
+
+@query("""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 50 = 0) AND doc_id % 50 <> 0) WHERE n = 1""")
+def dedupe_records(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("doc_id").alias("rec_idx"), S.content_key(F.col("text")).alias("content_key"))
+    return identity.dedupe_records(d.where("doc_id % 50 <> 0"), d.where("doc_id % 50 = 0"))[0].select("doc_id")
+
+
+@query("""SELECT event_type AS signature, list(v ORDER BY a, b) AS items FROM (SELECT event_type, user_id % 20 AS v, min(event_id % 2) AS a, min_by(event_id, (event_id % 2, event_id)) AS b FROM events GROUP BY ALL) GROUP BY 1""")
+def merge_items(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("signature"), F.col("event_id").alias("seq"), (F.col("user_id") % 20).alias("item"))
+    return linking.merge_items(e.where("seq % 2 = 0"), e.where("seq % 2 = 1"))
+
+
+@query("""WITH i AS (SELECT user_id AS doc_id, event_type AS signature, CAST(hour(ts) AS INTEGER) AS chunk, event_id % 7 AS item FROM events),
+f AS (SELECT doc_id, signature, item, min(chunk) AS item_chunk FROM i GROUP BY ALL), c AS (SELECT DISTINCT doc_id, signature, chunk FROM i)
+SELECT c.doc_id, signature, c.chunk AS chunk_index, item, item_chunk FROM c JOIN f USING (doc_id, signature) WHERE item_chunk < c.chunk""")
+def prior_context(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    i = e.select(F.col("user_id").alias("doc_id"), F.lit("e").alias("class"), F.col("event_type").alias("signature"), F.hour("ts").alias("chunk_index"), F.col("event_id").alias("seq"), (F.col("event_id") % 7).alias("item"))
+    return linking.prior_context(i, i).drop("class", "at")
+
+
+@query("""WITH r AS (SELECT s_suppkey AS rec_idx, s_nationkey AS doc_id, (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) AS pos FROM supplier)
+SELECT rec_idx, CASE WHEN pos % 15 % 3 = 0 THEN 'id-' || (pos % 15) WHEN pos % 15 % 3 = 1 THEN 'opt-' || (1 + pos % 15 % 2) END AS chosen FROM r""")
+def apply_selections(spark, sf_dir):
+    rows = linking.make_batches(table(spark, sf_dir, "supplier").select("rec_idx", F.col("s_nationkey").alias("doc_id")))
+    body = F.when(F.col("batch_idx") % 3 == 0, F.struct(F.lit("chosen").alias("field"), F.concat(F.lit("id-"), "batch_idx").alias("id"), F.lit(1).alias("index"))).otherwise(F.struct(F.lit("chosen").alias("field"), F.lit(None).cast("string").alias("id"), (1 + F.col("batch_idx") % 2).cast("int").alias("index")))
+    answered = rows.where("batch_idx % 3 < 2").select("doc_id", "batch_no", F.struct(F.col("batch_idx").alias("record_index"), F.array(body).alias("selections")).alias("r"))
+    responses = answered.groupBy("doc_id", "batch_no").agg(F.to_json(F.collect_list("r")).alias("response"))
+    options = rows.select("doc_id").distinct().select("doc_id", F.lit("chosen").alias("field"), F.explode(F.array(F.lit(1), F.lit(2))).alias("index")).withColumn("id", F.concat(F.lit("opt-"), "index"))
+    return linking.apply_selections(rows, responses, options, ["chosen"]).select("rec_idx", "chosen")
+
+
+_TOKENS = r"list_distinct(list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> ''))"
+
+
+@query(f"""WITH p AS (SELECT p_partkey, p_partkey % 50 AS doc_id, {_TOKENS.format('p_name')} AS t, {_TOKENS.format("p_type || ' ' || p_name")} AS l FROM part),
+s AS (SELECT a.p_partkey AS rec_idx, CAST(b.p_partkey AS VARCHAR) AS id, len(list_intersect(a.t, b.l)) / (len(a.t) + len(b.l) - len(list_intersect(a.t, b.l))) AS score FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.p_partkey <> b.p_partkey WHERE len(list_intersect(a.t, b.l)) > 0),
+r AS (SELECT rec_idx, id, row_number() OVER (PARTITION BY rec_idx ORDER BY score DESC, id) AS n FROM s WHERE score >= 0.2)
+SELECT p_partkey AS rec_idx, id AS linked_id FROM p LEFT JOIN r ON r.rec_idx = p_partkey AND n = 1""")
+def link_parent(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("rec_idx", (F.col("p_partkey") % 50).alias("doc_id"), "p_partkey", "p_name", F.concat_ws(" ", "p_type", "p_name").alias("label"))
+    return linking.link_parent(p, "p_partkey", "p_name", "label").select("rec_idx", "linked_id")
+
+
+@query(f"""WITH p AS (SELECT p_partkey % 50 AS doc_id, p_partkey, {_TOKENS.format("p_type || ' ' || p_brand")} AS l FROM part), r AS (SELECT p_partkey AS rec_idx, p_partkey % 50 AS doc_id, {_TOKENS.format("p_brand || ' ' || p_name")} AS t FROM part),
+s AS (SELECT rec_idx, CAST(p_partkey AS VARCHAR) AS id, len(list_intersect(t, l)) / (len(t) + len(l) - len(list_intersect(t, l))) AS score FROM r JOIN p USING (doc_id) WHERE len(list_intersect(t, l)) > 0)
+SELECT r.rec_idx, x.id AS linked_id FROM r LEFT JOIN (SELECT rec_idx, id, row_number() OVER (PARTITION BY rec_idx ORDER BY score DESC, id) AS n FROM s WHERE score >= 0.2) x ON x.rec_idx = r.rec_idx AND n = 1""")
+def link_candidates(spark, sf_dir):
+    p = table(spark, sf_dir, "part").withColumn("doc_id", F.col("p_partkey") % 50)
+    records = p.select("doc_id", "rec_idx", F.concat_ws(" ", "p_brand", "p_name").alias("text"))
+    options = p.select("doc_id", F.col("p_partkey").cast("string").alias("id"), F.concat_ws(" ", "p_type", "p_brand").alias("label"))
+    return linking.link_fk(records, options).select("rec_idx", "linked_id")
+
+
+_FEED = f"""WITH {LI}, bad AS (SELECT rec_idx FROM li WHERE l_orderkey % 7 = 0), g AS (SELECT rec_idx, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM li)
+SELECT 'lineitem' AS "table", rec_idx, count(*) AS n_messages FROM (SELECT rec_idx FROM bad UNION ALL SELECT rec_idx FROM g WHERE n > 1) GROUP BY rec_idx"""
+
+
+@query(_FEED)
+def retry_feedback(spark, sf_dir):
+    t = star(spark, sf_dir, "orders", "lineitem")
+    issues = quality.fk_issues({"orders": t["orders"].where("o_orderkey % 7 <> 0"), "lineitem": t["lineitem"]}, STAR).where(F.col("table") == "lineitem")
+    got = linking.retry_feedback(issues, duplicate_groups(spark, sf_dir))
+    return got.select("table", "rec_idx", F.size("messages").cast("long").alias("n_messages"))
+
+
+_NORM = r"lower(trim(regexp_replace(regexp_replace({}, '-[ \t]*\r?\n[ \t]*', ' ', 'g'), '\s+', ' ', 'g')))"
+
+
+@query(f"""SELECT doc_id, {_NORM.format('text')} AS norm FROM documents""")
+def normalize_text(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", S.normalize_for_match(F.col("text")).alias("norm"))
+
+
+@query(r"""SELECT doc_id, regexp_replace(replace(replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '\n', chr(10)), '\t', chr(9)), '\n{3,}', chr(10) || chr(10), 'g') AS clean FROM documents""")
+def sanitize(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", S.sanitize_markdown(F.col("text")).alias("clean"))
+
+
+@query(r"""SELECT doc_id, trim(array_to_string(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(rtrim(x), '^[\d.\-\s]+(.+)$', '\1')), chr(10))) AS toc FROM documents""")
+def normalize_toc(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", S.normalize_toc(F.col("text")).alias("toc"))
+
+
+@query(f"""WITH q AS (SELECT d.doc_id, d.text AS whole, b.text AS quote FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40)
+SELECT doc_id, contains({_NORM.format('whole')}, {_NORM.format('quote')}) AS found FROM q""")
+def quotes_found(spark, sf_dir):
+    d, b = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
+    quotes = d.select("doc_id", (F.col("doc_id") % 40).alias("item_id")).join(b.select("item_id", F.col("text").alias("quote")), "item_id").select("doc_id", "quote")
+    return evidence.quotes_found(quotes, d).select("doc_id", "found")
+
+
+def _claims(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    m = F.col("doc_id") % 5
+    quote = F.when(m == 0, F.substring("text", 1, 30)).when(m == 1, "no such words anywhere 123").when(m == 2, " ").otherwise(F.substring("text", 5, 20))
+    return d, d.select("doc_id", F.lit(0).alias("rec_idx"), F.lit("1,250 t").alias("value"), quote.alias("value_quote"), F.when(m == 3, 1.5).otherwise(0.5).alias("value_confidence"))
+
+
+@query(f"""SELECT doc_id, 1250.0 AS value FROM documents WHERE (doc_id % 5 = 0 AND {_NORM.format('substr(text, 1, 30)')} <> '') OR (doc_id % 5 = 4 AND {_NORM.format('substr(text, 5, 20)')} <> '')""")
+def verify_records(spark, sf_dir):
+    d, claims = _claims(spark, sf_dir)
+    return evidence.verify_records(claims, d, {"value": "decimal"})[0].select("doc_id", F.col("value").cast("double").alias("value"))
+
+
+@query(f"""WITH k AS (SELECT doc_id FROM documents WHERE (doc_id % 5 = 0 AND {_NORM.format('substr(text, 1, 30)')} <> '') OR (doc_id % 5 = 4 AND {_NORM.format('substr(text, 5, 20)')} <> ''))
+SELECT 'value' AS field, count(*) AS present, count(*) AS proven, 0 AS missing_required FROM k""")
+def audit_proofs(spark, sf_dir):
+    d, claims = _claims(spark, sf_dir)
+    return evidence.audit_proofs(evidence.verify_records(claims, d, {"value": "decimal"})[0], d, {"value": True})
+
+
+@query("""SELECT lang AS class, count(*) FILTER (n_chars > 500) AS accepted, count(*) FILTER (n_chars <= 500) AS errors, CASE WHEN count(*) FILTER (n_chars <= 500) = 0 THEN 'ok' ELSE 'partial' END AS status, count(*) FILTER (n_chars > 500) AS stored FROM documents GROUP BY lang""")
+def acceptance(spark, sf_dir):
+    return evidence.acceptance(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("lang").alias("class"), (F.col("n_chars") > 500).alias("accepted")))
+
+
+@query(f"""WITH {LI} SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem""")
+def flatten_values(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("values"))
+    return evidence.flatten_values(li, "l_orderkey")[1].drop("value_idx")
+
+
+@query("""SELECT conv_id AS doc_id, trim(string_agg(trim(text), chr(10) ORDER BY turn, trim(text))) AS text FROM conversations GROUP BY conv_id""")
+def assemble_pages(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return text.assemble_pages(c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), F.col("text").alias("markdown")))
+
+
+@query("""SELECT conv_id AS doc_id, turn AS page_no, nxt AS next_no FROM (SELECT *, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations) WHERE nxt IS NOT NULL""")
+def page_pairs(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return text.page_pairs(c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), F.col("text").alias("markdown"))).select("doc_id", "page_no", "next_no")
+
+
+@query()
+def chunk_documents(spark, sf_dir):
+    return text.chunk_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), 200, 20)
+
+
+@query()
+def route_and_chunk(spark, sf_dir):
+    return text.route_and_chunk(spark.read.parquet(f"{sf_dir}/documents.parquet"), 2000, 100000, 500)
+
+
+@query()
+def parse_blocks(spark, sf_dir):
+    return text.parse_blocks(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query()
+def extract_tables(spark, sf_dir):
+    """Each part as a row of a Markdown table of its brand."""
+    p = table(spark, sf_dir, "part").withColumn("row", F.concat_ws(" | ", F.col("p_partkey"), "p_name", "p_size"))
+    doc = p.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_list("row")), "\n").alias("rows"))
+    docs = doc.select(F.abs(F.hash("p_brand")).cast("long").alias("doc_id"), F.concat(F.lit("# "), "p_brand", F.lit("\n\nkey | name | size\n--- | --- | ---\n"), "rows").alias("text"))
+    return text.extract_tables(docs)
+
+
+@query(r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) AS BIGINT) AS token_count, CASE WHEN len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) > 1000 THEN 'chunk' WHEN len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) > 300 THEN 'reject' ELSE 'whole' END AS route FROM documents""")
+def size_gate(spark, sf_dir):
+    return text.size_gate(spark.read.parquet(f"{sf_dir}/documents.parquet"), 1000, 300).select("doc_id", "token_count", "route")
+
+
+@query(r"""SELECT doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x) <> '')) AS sentences FROM documents""")
+def split_sentences(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.size(S.split_sentences(F.col("text"))).cast("long").alias("sentences"))
+
+
+_COERCED = """SELECT o_orderkey, CAST(CAST(year(o_orderdate) AS INTEGER) AS INTEGER) AS y, CAST(o_orderkey AS BIGINT) AS i, CAST(o_orderkey AS DOUBLE) AS d, CAST(o_orderkey AS VARCHAR) AS n,
+CAST(year(o_orderdate) AS VARCHAR) || '-01-01' AS t, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_orderkey % 2 = 0 AS is_uuid, o_orderkey % 4 = 0 AS is_placeholder FROM orders"""
+
+
+@query(_COERCED)
+def coercions(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    year, key = F.year("o_orderdate").cast("string"), F.col("o_orderkey").cast("string")
+    id_ = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("00000000-0000-0000-0000-"), F.lpad(key, 12, "0"))).when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("{1F000000-0000-0000-0000-"), F.lpad(key, 12, "0"), F.lit("}"))).otherwise(key)
+    return o.select(
+        "o_orderkey",
+        S.year_int(F.concat(F.lit("in "), year, F.lit(" or so"))).alias("y"),
+        S.verified_int(F.concat(key, F.lit(" units"))).alias("i"),
+        S.verified_decimal(F.concat(F.lit("about "), key)).cast("double").alias("d"),
+        S.first_number(F.concat(F.lit("no. "), key, F.lit(" t"))).alias("n"),
+        S.year_to_date_text(year).alias("t"),
+        S.coerce(F.date_format("o_orderdate", "yyyy/MM/dd"), "date").cast("string").alias("day"),
+        S.is_uuid(id_).alias("is_uuid"),
+        S.is_placeholder_uuid(id_).alias("is_placeholder"),
+    )
+
+
+@query("""SELECT o_orderkey AS rec_idx, '{"key": ' || o_orderkey || ', "status": "' || o_orderstatus || '"}' AS json, sha256('{"key": ' || o_orderkey || ', "status": "' || o_orderstatus || '"}') AS key FROM orders""")
+def canonical_json(spark, sf_dir):
+    raw = F.to_json(F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("key"), F.lit("x").alias("misc")))
+    got = table(spark, sf_dir, "orders").select("rec_idx", H.canonical_json(raw, ("misc",)).alias("json"))
+    return got.withColumn("key", S.content_key(F.col("json")))
+
+
+@query(f"""SELECT o_orderkey AS rec_idx, {_uuid_sql(S.class_namespace('Order'), """ '{"key": ' || o_orderkey || '}id' """)} AS id FROM orders""")
+def placeholder_ids(spark, sf_dir):
+    spec = TableSpec("Order", "id", columns={"id": ("uuid", True)})
+    df = table(spark, sf_dir, "orders").select("rec_idx", F.lit("bad").alias("id"), F.to_json(F.struct(F.col("o_orderkey").alias("key"))).alias("raw"))
+    return H.fill_placeholder_ids(df, spec).select("rec_idx", "id")
+
+
+@query("""SELECT p_partkey, substr(sha1(p_brand || '|' || lower(trim(p_name))), 1, 12) AS signature FROM part""")
+def table_signature(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", S.table_signature(F.concat(F.lit("  "), "p_name"), F.col("p_brand")).alias("signature"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'aa11' WHEN p_partkey % 3 = 1 THEN 'bb22' END AS signature FROM part""")
+def signature_from_notes(spark, sf_dir):
+    m = F.col("p_partkey") % 3
+    notes = F.when(m == 0, "see table_signature = aa11").when(m == 2, "table_signature = ff99")
+    known = F.when(m == 1, F.array(F.lit("bb22"))).otherwise(F.array(F.lit("aa11"), F.lit("bb22")))
+    return table(spark, sf_dir, "part").select("p_partkey", S.signature_from_notes(notes, known).alias("signature"))
+
+
+@query("""SELECT p_partkey, p_name AS value_proof, 'kept' AS unit_proof FROM part""")
+def merge_proofs(spark, sf_dir):
+    misc = F.create_map(F.lit("unit_proof"), F.lit("kept"))
+    got = S.merge_proofs(misc, F.create_map(F.lit("value"), F.col("p_name"), F.lit("unit"), F.col("p_brand")))
+    return table(spark, sf_dir, "part").select("p_partkey", F.element_at(got, "value_proof").alias("value_proof"), F.element_at(got, "unit_proof").alias("unit_proof"))
+
+
+@query("""SELECT p_brand AS stem, max(p_partkey) AS newest FROM part GROUP BY p_brand""")
+def latest_documents(spark, sf_dir):
+    from ..sources.tables import latest_documents as latest
+
+    p = table(spark, sf_dir, "part")
+    files = p.select(F.concat(F.lit("20240101_120000_"), "p_brand").alias("doc_id"), F.col("p_partkey").alias("modified"))
+    return latest(files).select("stem", F.col("modified").alias("newest"))
