@@ -1,18 +1,59 @@
-"""The corpus pipeline: STAGES in order, each written as Parquet and read again as the next one's documents."""
+"""The corpus pipeline: STAGES in order, each written as Parquet and read again as the next one's documents.
+
+Every stage but the last returns the columns of ``documents``; ``n_chars``, where there is one, follows the text. A
+document that a stage leaves without a word is gone.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerleaf.llm.substring_dedup import ADDED, substring_dedup
+import public_tokenizers
 from ledgerleaf.llm.common import save
+from ledgerleaf.llm.line_dedup import line_dedup
+from ledgerleaf.llm.minhash_dedup import minhash_dedup
+from ledgerleaf.llm.packing import pack
+from ledgerleaf.llm.quality_rules import quality_rules
+from ledgerleaf.llm.substring_dedup import substring_dedup
+
+END_ID = 2
+
+
+def _as_documents(out: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    out = out.withColumn("text", F.col(text))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep, without their failed lines."""
+    return _as_documents(quality_rules(docs).where("kept"), docs, "clean_text")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of repeated line runs."""
+    return _as_documents(line_dedup(docs).where("n_removed_lines = 0 OR n_removed_lines < n_lines"), docs, "clean_text")
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return _as_documents(minhash_dedup(docs).where("kept OR doc_id IS NULL"), docs, "text")
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that a document of smaller doc_id has."""
+    return _as_documents(substring_dedup(docs).where("n_removed = 0 OR n_removed < n_words"), docs, "text")
 
 
-def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return substring_dedup(docs).drop(*ADDED)
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of token ids."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
 
 
-STAGES = [("substring dedup", substring)]
+STAGES = [("quality rules", rules), ("line dedup", lines), ("minhash near-dedup", near), ("substring dedup", passages), ("packing", packed)]
+#: Packing tokenises, which SQL can't express; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
