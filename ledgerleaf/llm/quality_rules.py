@@ -100,5 +100,7 @@ def quality_rules(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     left = F.when(F.col("n_bad_lines") == 0, F.col("word_chars")).otherwise(_word_chars(java_words(F.col("clean_text"))))
     lost = 1 - left / F.greatest(F.col("word_chars"), F.lit(1))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    out = measured.withColumns({"loss": lost, "base_failed": failed}).withColumn("kept", ~F.col("base_failed") & (F.col("loss") <= max_loss))
+    # the last term is always true and not deterministic: it keeps filters on the verdict above this projection, where each measure is computed once
+    verdict = ~F.col("base_failed") & (F.col("loss") <= max_loss) & (F.monotonically_increasing_id() >= 0)
+    out = measured.withColumns({"loss": lost, "base_failed": failed}).withColumn("kept", verdict)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED)
