@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -105,6 +106,14 @@ def flag_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
     return keyed.unionByName(rest).withColumn("is_repeat", F.coalesce(F.col("rec_idx") > F.col("first"), F.lit(False)))
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage in the folder the cluster names; in a session without one, as in tests, in a local one."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/ledgerleaf-checkpoints")
+    return df.checkpoint()
+
+
 def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str = "rec_idx", max_levels: int = 1000, every: int = 8) -> tuple[DataFrame, DataFrame]:
     """Parents before children: (rows with ``level``, parents that are not in the table).
 
@@ -124,7 +133,7 @@ def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str = "rec_
         above = level.select(F.col("id").alias("_up"), F.col("path").alias("_path"))
         level = rest.join(above, F.col(parent_col) == F.col("_up")).select(F.col(id_col).alias("id"), F.lit(n).alias("level"), F.concat("_path", place).alias("path"))
         if n % every == 0:
-            level = level.checkpoint()
+            level = _checkpointed(level)
         if level.isEmpty():
             break
         levels.append(level)
