@@ -17,11 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + os.path.join(tempfile.gettempdir(), "ledgerleaf-shared")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "ledgerleaf-shared")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
