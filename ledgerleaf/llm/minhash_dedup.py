@@ -5,8 +5,9 @@ node. A signature of 128 minima is read in 32 sorted orders, each starting at an
 that share the first 4 values are a region. Small regions give all their pairs as candidates; in a large region every
 member is paired with the region's first member and the region is split by a longer common prefix (8, 16, 32 values),
 where its parts are treated alike: depth adapts to each region. Candidates whose set sizes allow the similarity are
-confirmed on the full sets. What is left of a large region that the confirmed links don't join yet is compared
-completely: every member outside the region's largest component with all members of other components.
+confirmed on the full sets. Large regions that share members form a family. Members of a family that the confirmed links
+don't join to its largest component are compared completely, in blocks: a task holds the sets of one block of them and
+one block of the family and gives one link for each two components it finds linked, never a list of pairs.
 
 So the result is exact for all pairs that share a region in some order, which a pair of similarity 0.8 misses with
 probability (1 - 0.8^4)^32 < 1e-7. No cap drops candidates. Regions are counted with partial aggregates; a group of
@@ -39,6 +40,7 @@ PERCENT = 80
 SIZE = 128  # values of a signature
 TREES = 32
 DEPTHS = (4, 8, 16, 32)
+BLOCK = 1 << 19  # shingles of a block of a family
 SMALL = 24  # members of a region that is paired completely
 ADDED = ["n_shingles", "component_id", "kept"]
 
@@ -162,7 +164,7 @@ def near_links(nodes: DataFrame, texts: DataFrame, width: int = SHINGLE, percent
         big = members.where(F.col("members") > SMALL)
         found.append(_possible(big.select(*_pair("node", "hub", "n", "hub_n")), percent))
         if depth == DEPTHS[0]:
-            large = big.select("key", "node", "n")
+            large = big.select("node", "hub", "n")
         deeper = big.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, tree))").alias("trees"))
         if big.isEmpty() or depth == DEPTHS[-1]:
             break
@@ -175,19 +177,58 @@ def near_links(nodes: DataFrame, texts: DataFrame, width: int = SHINGLE, percent
         links = save(_confirm(pairs, _sets(texts, pairs, width), percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
     if large.isEmpty():
         return links
-    at = large.join(components(links).withColumnRenamed("id", "node"), "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    at = save(at, "large-regions")
-    per = at.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    most = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    apart = at.join(most.select("key", F.col("most.component").alias("main")), "key").where(F.col("component") != F.col("main")).drop("main")
-    others = at.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    rest = apart.join(others, "key").where("component <> component2").select(*_pair("node", "node2", "n", "n2"))
-    rest = save(_possible(rest, percent).join(pairs, ["a", "b"], "left_anti"), "candidates")
-    if rest.isEmpty():
-        return links
-    with small_batches(spark, 500):
-        more = save(_confirm(rest, _sets(texts, rest, width), percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-    return links.unionByName(more)
+    return links.unionByName(_families(large, components(links), texts, width, percent))
+
+
+def _linked(percent: int):
+    """One link for each two components that sets of the left and the right block link."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, part = table.column("node").to_numpy(), table.column("component").to_numpy()
+        left, sets = table.column("left").to_numpy(), [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
+        mine = np.flatnonzero(left)
+        sizes = np.array([len(sets[i]) for i in mine], np.int64)
+        out, seen = [], set()
+        if len(mine):
+            owner = np.repeat(np.arange(len(mine)), sizes)
+            values = np.concatenate([sets[i] for i in mine])
+            order = np.argsort(values, kind="stable")
+            owner, (known, begin, many) = owner[order], np.unique(values[order], return_index=True, return_counts=True)
+            for r in np.flatnonzero(~left):
+                own = sets[r]
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                at = at[known[at] == own]
+                n = many[at]
+                rows = np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.bincount(owner[rows], minlength=len(mine))
+                for k in np.flatnonzero((100 * both >= percent * (sizes + len(own) - both)) & (part[mine] != part[r])):
+                    pair = (part[mine[k]], part[r])
+                    if pair not in seen:
+                        seen.add(pair)
+                        out.append((node[mine[k]], node[r]))
+        return pa.table([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    return run
+
+
+def _families(large: DataFrame, joined: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components of a family that the candidates didn't show."""
+    family = components(large.select(F.col("node").alias("u"), F.col("hub").alias("v"))).select(F.col("id").alias("node"), F.col("component").alias("family"))
+    known = large.groupBy("node").agg(F.max("n").alias("n")).join(family, "node").join(joined.withColumnRenamed("id", "node"), "node", "left")
+    known = save(known.select("node", "n", "family", F.coalesce("component", "node").alias("component")), "families")
+    parts = known.groupBy("family", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("size"))
+    most = parts.groupBy("family").agg(F.max(F.struct("k", "component", "size")).alias("most"), F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size")).where("parts > 1")
+    most = most.select("family", F.col("most.component").alias("main"), F.ceil(F.col("size") / BLOCK).alias("rights"), F.ceil((F.col("size") - F.col("most.size")) / BLOCK).alias("lefts"))
+    most = save(most, "families")
+    if most.isEmpty():
+        return known.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    open_ = known.join(most, "family")
+    sets = _sets(texts, open_.select(F.col("node").alias("a"), F.col("node").alias("b")), width)
+    whole = open_.join(sets, "node").withColumn("at", F.xxhash64("node"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    right = whole.select("family", every(F.col("lefts")).alias("i"), F.pmod("at", "rights").alias("j"), "node", "component", F.lit(False).alias("left"), "set")
+    left = whole.where(F.col("component") != F.col("main")).select("family", F.pmod("at", "lefts").alias("i"), every(F.col("rights")).alias("j"), "node", "component", F.lit(True).alias("left"), "set")
+    return save(right.unionByName(left).groupBy("family", "i", "j").applyInArrow(_linked(percent), "u long, v long"), "links")
 
 
 def minhash_dedup(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
