@@ -41,6 +41,7 @@ SIZE = 128  # values of a signature
 TREES = 32
 DEPTHS = (4, 8, 16, 32)
 BLOCK = 1 << 19  # shingles of a block of a family
+FEW = 500_000  # ids that a broadcast may hold (4 MB)
 SMALL = 24  # members of a region that is paired completely
 ADDED = ["n_shingles", "component_id", "kept"]
 
@@ -142,7 +143,9 @@ def _sets(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
             sets = [shingles(t, width).tobytes() for t in b.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = save(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "set-nodes")
+    if nodes.count() <= FEW:  # ids alone, so the texts need not move; beyond that both sides are dealt
+        nodes = F.broadcast(nodes)
     return texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, set binary")
 
 
