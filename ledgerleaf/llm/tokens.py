@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import struct
 
 import numpy as np
 
-MAX_WORDS = 250_000  # remembered in each of two generations; what is used again outlives the older one
+MAX_WORDS = 600_000  # remembered in each of two generations; what is used again outlives the older one
 
 
 class Words(dict):
@@ -18,31 +19,39 @@ class Words(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.model = self.tokenizer.model
+        self.code = "H" if self.size <= 1 << 16 else "I"
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.end = b"" if end is None else np.array([end], self.kind).tobytes()
         self.older: dict[bytes, bytes] = {}
 
-    def learn(self, words: set[bytes]) -> None:
+    def __missing__(self, w: bytes) -> bytes:
+        ids = self.older.get(w)
+        if ids is None:
+            base, mark = self._parts(w)
+            if mark:
+                ids = self[base] + self[mark]
+            elif base != w:
+                ids = self[base]
+            else:  # plain letters need neither normalising nor splitting
+                found = [t.id for t in self.model.tokenize(w.decode())] if w.isalpha() else self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
+                ids = struct.pack(f"<{len(found)}{self.code}", *found)
         if len(self) >= MAX_WORDS:
             self.older = dict(self)
             self.clear()
-        new = []
-        for w in words:
-            if w not in self:
-                if (ids := self.older.get(w)) is None:
-                    new.append(w)
-                else:
-                    self[w] = ids
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                self[w] = np.array(e.ids, self.kind).tobytes()
+        self[w] = ids
+        return ids
+
+    @staticmethod
+    def _parts(w: bytes) -> tuple[bytes, bytes]:
+        """A word in lower case (the vocabulary is), and a mark after its last letter, which is split off anyway; words that may hold a special token stay whole."""
+        if b"<|" in w:
+            return w, b""
+        return (w[:-1].lower(), w[-1:]) if w[-1:] in b".,;:!?" and w[-2:-1].isalpha() else (w.lower(), b"")
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each text and the end id, as bytes."""
-        split = [(t or b"").split() for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, w)) + self.end for w in split]
+        return [b"".join(map(self.__getitem__, (t or b"").split())) + self.end for t in texts]
 
 
 _made: dict[tuple, Words] = {}
