@@ -16,6 +16,7 @@ Defined cases: null and empty texts have no ids and decode to nothing; bytes tha
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,9 +28,13 @@ from pyspark.sql import types as T
 
 from .common import without
 
-MAX_STATES = 200_000  # states are dropped and made anew beyond these
-MAX_PIECES = 250_000  # pieces remembered in each of two generations; what is used again outlives the older one
+MAX_STATES = 150_000  # states are dropped and made anew beyond these
+MAX_UNITS, MAX_PIECES = 350_000, 250_000  # remembered in each of two generations; what is used again outlives the older one
 MAX_PIECE = 64  # longer pieces are encoded, not remembered
+#: A match of the usual patterns begins with one blank at most and ends before the next white space, so none crosses these units.
+UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s")
+#: Control characters that count as white space for the standard library's matcher only.
+ODD = re.compile(r"[\x1c-\x1f]")
 ROWS = 512  # rows of an Arrow batch made here
 
 
@@ -42,6 +47,8 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {r: t for t, r in ranks.items()}
+        self.size = {r: len(t) for t, r in ranks.items()}
+        self.byte = [bytes((b,)) for b in range(256)]
         self.begins = {t[:k] for t in ranks for k in range(1, len(t))}
         self.fits: dict[tuple[int, int], bool] = {}
         self.split: dict[int, tuple[int, int] | None] = {}
@@ -53,7 +60,7 @@ class Transducer:
         self.states: list[tuple] = []
         self.moves: dict[int, int] = {}  # 256 * state + byte: the next state
         self.outs: dict[int, tuple[int, ...]] = {}  # the tokens settled by that move, if any
-        self.ends: list[tuple[int, ...]] = []
+        self.ends: dict[int, list[int]] = {}  # the tokens still owed where a piece ends
         self._state((b"", -1, (), 0))
 
     def merged(self, text: bytes, below: int = 1 << 60) -> list[bytes]:
@@ -80,7 +87,7 @@ class Transducer:
             return True
         got = self.fits.get((a, b))
         if got is None:
-            if len(self.fits) > 4 * MAX_STATES:
+            if len(self.fits) > 2 * MAX_STATES:
                 self.fits.clear()
             got = self.fits[a, b] = self._undone(a, b)
         return got
@@ -103,45 +110,53 @@ class Transducer:
         if k is None:
             k = self.number[key] = len(self.states)
             self.states.append(key)
-            text, _, last, _ = key
-            self.ends.append(tuple(self._path(last, len(text), 0)))
         return k
 
     def _path(self, last: tuple[int, ...], to: int, since: int) -> list[int]:
         out = []
         while to > since:
             out.append(last[to - 1])
-            to -= len(self.token[last[to - 1]])
+            to -= self.size[last[to - 1]]
         return out[::-1]
 
     def _move(self, state: int, byte: int) -> int:
         text, before, last, open_ = self.states[state]
-        text += bytes((byte,))
-        n = len(text)
+        text += self.byte[byte]
+        n, ranks, fits = len(text), self.ranks, self.fits
         for q in range(n - 1 - open_, n):  # the longest token first
-            t = self.ranks.get(text[q:])
-            if t is not None and (before if q == 0 else last[q - 1]) != -2 and self._fit(before if q == 0 else last[q - 1], t):
-                break
+            t = ranks.get(text[q:])
+            if t is not None:
+                a = last[q - 1] if q else before
+                if a < 0 or (fits[a, t] if (a, t) in fits else self._fit(a, t)):
+                    break
         else:
             raise ValueError(f"no token ends here: {text!r}")
         last = (*last, t)
-        open_ = next((k for k in range(min(n, open_ + 1), 0, -1) if text[n - k :] in self.begins), 0)
-        # the last border that the paths to all open positions share
-        paths, live = set(range(n - open_, n + 1)), set()
-        while len(paths) > 1:
-            p = max(paths)
-            paths.remove(p)
-            live.add(p)
-            paths.add(p - len(self.token[last[p - 1]]))
-        border = paths.pop()
-        out = tuple(self._path(last, border, 0))
-        kept = tuple(last[p - 1] if p in live else -2 for p in range(border + 1, n + 1))
-        if out:
-            self.outs[256 * state + byte] = out
-        to = self.moves[256 * state + byte] = self._state((text[border:], out[-1] if out else before, kept, open_))
+        open_ += 1
+        while open_ and text[n - open_ :] not in self.begins:
+            open_ -= 1
+        # the last border that the paths to all open positions share: step back from the farthest until one is left
+        live, size, p = 0, self.size, n
+        waiting = (1 << n + 1) - (1 << n - open_)
+        while waiting & (waiting - 1):
+            if waiting >> p & 1:
+                waiting ^= 1 << p
+                live |= 1 << p
+                waiting |= 1 << p - size[last[p - 1]]
+            p -= 1
+        border = waiting.bit_length() - 1
+        if border:
+            out = self.outs[256 * state + byte] = tuple(self._path(last, border, 0))
+            before, text = out[-1], text[border:]
+            last = last[border:]
+        if live.bit_count() < len(last):
+            last = tuple([x if live >> border + k & 1 else -2 for k, x in enumerate(last, 1)])
+        to = self.moves[256 * state + byte] = self._state((text, before, last, open_))
         return to
 
     def encode(self, piece: bytes) -> list[int]:
+        if (whole := self.ranks.get(piece)) is not None:  # a token's own text is that token
+            return [whole]
         if len(self.states) > MAX_STATES:
             self.reset()
         state, ids, moves, outs = 0, [], self.moves, self.outs
@@ -150,29 +165,47 @@ class Transducer:
             state = moves.get(at) or self._move(state, byte)  # no move leads back to state 0
             if at in outs:
                 ids.extend(outs[at])
-        ids.extend(self.ends[state])
-        return ids
+        owed = self.ends.get(state)
+        if owed is None:
+            text, _, last, _ = self.states[state]
+            owed = self.ends[state] = self._path(last, len(text), 0)
+        return ids + owed
 
 
-class _Pieces(dict):
-    """Ids of pieces as bytes of int32, made when first asked for."""
+class _Known(dict):
+    """Ids of texts as bytes of int32, made when first asked for and remembered in two generations."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.transducer = Transducer(ranks)
-        self.older: dict[str, bytes] = {}
+    def __init__(self, make, most: int):
+        self.make, self.most, self.older = make, most, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
         if ids is None:
-            ids = np.array(self.transducer.encode(piece.encode("utf-8", "surrogatepass")), np.int32).tobytes()
-        if len(piece) <= MAX_PIECE:
-            if len(self) >= MAX_PIECES:
+            ids = self.make(text)
+        if len(text) <= MAX_PIECE:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
-            self[piece] = ids
+            self[text] = ids
         return ids
 
 
+class Encoder:
+    """Splits a text into units (white space, or a word with the one blank before it), units into matches of the pattern, and encodes those."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        transducer = Transducer(ranks)
+        self.match = regex.compile(pattern).findall
+        pieces = _Known(lambda p: np.array(transducer.encode(p.encode("utf-8", "surrogatepass")), np.int32).tobytes(), MAX_PIECES)
+        self.piece = pieces.__getitem__
+        self.unit = _Known(lambda u: b"".join(map(self.piece, self.match(u))), MAX_UNITS).__getitem__
+
+    def encode(self, text: str) -> bytes:
+        if ODD.search(text):
+            return b"".join(map(self.piece, self.match(text)))
+        return b"".join(map(self.unit, UNIT.findall(text)))
+
+
 class Utf8Machine:
     """Takes bytes as they come; gives characters as soon as they are whole."""
 
@@ -220,25 +253,31 @@ class Decoder:
             except UnicodeDecodeError:
                 self.text[r] = None  # its characters begin or end in another token
         self.whole = np.array([t is not None for t in self.text], bool)
+        self.size = np.array([len(t) for t in self.bytes], np.int64)
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, str]:
         data = b"".join(map(self.bytes.__getitem__, ids.tolist()))
-        if self.whole[ids].all():
+        broken = np.flatnonzero(~self.whole[ids])
+        if not len(broken):
             return data, data.decode()
-        machine, out = Utf8Machine(), []
-        for i in ids.tolist():
-            t = self.text[i]
-            out.append(t if t is not None and not machine.need else machine.feed(self.bytes[i]))
-        return data, "".join(out) + machine.end()
+        edge = np.append(0, np.cumsum(self.size[ids]))
+        machine, out, at = Utf8Machine(), [], 0
+        heads = np.flatnonzero(np.diff(broken, prepend=-2) != 1)
+        for a, z in zip(broken[heads].tolist(), np.append(broken[heads[1:] - 1], broken[-1]).tolist()):
+            out.append(data[at : edge[a]].decode())
+            at = edge[z + 1]
+            out.append(machine.feed(data[edge[a] : at]) + machine.end())  # a whole token follows
+        out.append(data[at:].decode())
+        return data, "".join(out)
 
 
 _made: dict[tuple, object] = {}
 
 
-def _once(kind, path: str):
-    if (kind, path) not in _made:
-        _made[kind, path] = kind(read_ranks(path))
-    return _made[kind, path]
+def _once(kind, path: str, *more):
+    if (kind, path, *more) not in _made:
+        _made[kind, path, *more] = kind(read_ranks(path), *more)
+    return _made[kind, path, *more]
 
 
 def _with(batch: pa.RecordBatch, arrays: dict[str, pa.Array]) -> pa.RecordBatch:
@@ -264,9 +303,9 @@ def bpe_encode(docs: DataFrame, ranks: str, pattern: str, keep_text: bool = True
     schema = T.StructType([f for f in docs.schema if keep_text or f.name != "text"] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, split = _once(_Pieces, ranks), regex.compile(pattern)
+        encoder = _once(Encoder, ranks, pattern)
         for b in _small(batches):
-            ids = [b"".join([pieces[p] for p in split.findall(t)]) if t else b"" for t in b.column("text").to_pylist()]
+            ids = [encoder.encode(t) if t else b"" for t in b.column("text").to_pylist()]
             yield _with(b if keep_text else b.drop_columns(["text"]), {"ids": _lists(ids)})
 
     return docs.mapInArrow(run, schema)
@@ -286,3 +325,19 @@ def bpe_decode(coded: DataFrame, ranks: str) -> DataFrame:
             yield _with(b, {"decoded": pa.array([x for x, _ in got], pa.binary()), "text": pa.array([x for _, x in got], pa.string())})
 
     return coded.mapInArrow(run, schema)
+
+
+def bpe_round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """``docs`` (text, ...) with ``text`` replaced by ids, decoded and text: both operators in one pass, so that the ids stay in the worker that knows them."""
+    docs = without(docs, ["ids", "decoded"])
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*[f for f in docs.schema if f.name != "text"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType()), T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _once(Encoder, ranks, pattern), _once(Decoder, ranks)
+        for b in _small(batches):
+            ids = [encoder.encode(t) if t else b"" for t in b.column("text").to_pylist()]
+            got = [decoder.decode(np.frombuffer(x, np.int32)) for x in ids]
+            yield _with(b.drop_columns(["text"]), {"ids": _lists(ids), "decoded": pa.array([x for x, _ in got], pa.binary()), "text": pa.array([x for _, x in got], pa.string())})
+
+    return docs.mapInArrow(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import quality_rules as rules
-from .bpe import bpe_decode, bpe_encode
+from .bpe import bpe_round_trip
 from .chat_tools import link_tool_calls
 from .embedding_dedup import embedding_dedup
 from .line_dedup import line_dedup
@@ -60,9 +60,9 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe_encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN, keep_text=False)
+    coded = bpe_round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return bpe_decode(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 #: What the calls below carry; the system turn may state its length.
