@@ -7,7 +7,7 @@ import struct
 
 import numpy as np
 
-MAX_WORDS = 600_000  # remembered in each of two generations; what is used again outlives the older one
+MAX_WORDS = 300_000  # remembered in each of two generations; what is used again outlives the older one
 
 
 class Words(dict):
