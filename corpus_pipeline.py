@@ -18,6 +18,7 @@ from ledgerleaf.llm.quality_rules import quality_rules
 from ledgerleaf.llm.substring_dedup import substring_dedup
 
 END_ID = 2
+LINE_WORDS = 13  # as many as a passage of the substring stage
 
 
 def _as_documents(out: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -33,8 +34,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of repeated line runs."""
-    return _as_documents(line_dedup(docs).where("n_removed_lines = 0 OR n_removed_lines < n_lines"), docs, "clean_text")
+    """Documents without later copies of repeated line runs: two lines or more, or one line of ``LINE_WORDS`` words."""
+    return _as_documents(line_dedup(docs, min_words=LINE_WORDS).where("n_removed_lines = 0 OR n_removed_lines < n_lines"), docs, "clean_text")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ place is its rank for the first 2^(j+1) lines. Suffixes of equal rank stand toge
 intervals of a longest common prefix of at least that many lines. Each interval keeps its first place (smallest
 doc_id, then line); every other place is a later copy of that many lines. Only intervals of two places or more go on to
 the next round, which ends when none is left, so the longest repeated run is reached in about log2 of its length rounds.
-The later copies' lines are deleted; runs of fewer than ``min_lines`` lines are left alone.
+The later copies' lines are deleted. Runs of fewer than ``min_lines`` lines are left alone, except that with ``min_words``
+a run of one line is deleted too where the line has that many words: the first round's intervals are those runs.
 
 Any run of lines that occurs earlier, however long, is covered by such power-of-two copies inside it, so the union of
 all copies is the union of the maximal repeated runs.
@@ -45,12 +46,14 @@ def _worded(line: Column) -> Column:
     return line.rlike(r"[^\x20\x09-\x0D]")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(d, h, n, a, b): each worded line with a 128-bit id of its text."""
+def _lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """(d, h, n, a, b, wide): each worded line with a 128-bit id of its text and whether it has ``min_words`` words (0: not asked)."""
     lines = F.filter(F.split(F.col("text").cast("string"), "\n", -1), _worded)
-    ids = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(x, F.lit(7)).alias("b")))
+    wide = rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{min_words - 1}}}[^\x20\x09-\x0D]"
+    is_wide = lambda x: x.rlike(wide) if min_words else F.lit(False)
+    ids = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(x, F.lit(7)).alias("b"), is_wide(x).alias("wide")))
     flat = _row(docs.where(F.col("text").isNotNull())).select("d", "h", F.posexplode(ids).alias("n", "id"))
-    return flat.select("d", "h", F.col("n").cast("long").alias("n"), "id.a", "id.b")
+    return flat.select("d", "h", F.col("n").cast("long").alias("n"), "id.a", "id.b", "id.wide")
 
 
 def _intervals(suffixes: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,25 +63,27 @@ def _intervals(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     return save(ranked.withColumn("rank", F.monotonically_increasing_id()), "line-ranks")
 
 
-def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = 0) -> DataFrame:
     """(d, h, n): the lines to delete, each once."""
-    lines = save(_lines(docs.select("doc_id", "text")), "lines")
+    lines = save(_lines(docs.select("doc_id", "text"), min_words), "lines")
     often = lines.groupBy("a", "b").count().where("count > 1").drop("count")
     level = save(lines.join(often, ["a", "b"]).dropDuplicates(PLACE), "line-suffixes")
     discard(lines)
-    keys, pairs, span, step, copies = ["a", "b"], level, 0, 1, None
+    keys, pairs, span, step, copies, wide = ["a", "b"], level, 0, 1, None, ["wide"]
     while True:
         ranks = _intervals(pairs, keys)
         if ranks.isEmpty():
             break
-        below, level = level, save(pairs.join(ranks, keys).select(*PLACE, "rank", "first"), "line-suffixes")
+        below, level = level, save(pairs.join(ranks, keys).select(*PLACE, "rank", "first", *wide), "line-suffixes")
         discard(ranks)
-        if span < min_lines:
+        if copies is None:
             discard(below)
         span += step
-        if span >= min_lines:
-            later = level.where(F.struct(*PLACE) > F.col("first")).select(*PLACE, F.lit(span).alias("span"))
+        if span >= min_lines or min_words and wide:
+            chosen = level if span >= min_lines else level.where("wide")
+            later = chosen.where(F.struct(*PLACE) > F.col("first")).select(*PLACE, F.lit(span).alias("span"))
             copies = later if copies is None else copies.unionByName(later)
+        wide = []
         step = min(span, min_lines - span) if span < min_lines else span
         ahead = level.select("d", "h", (F.col("n") - step).alias("n"), F.col("rank").alias("next"))
         pairs, keys = level.select(*PLACE, F.col("rank").alias("this")).join(ahead, PLACE), ["this", "next"]
@@ -88,10 +93,13 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return gone.select("d", "h", F.explode(F.sequence("n", F.col("n") + F.col("span") - 1)).alias("n")).distinct()
 
 
-def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with n_lines and n_removed_lines (lines with a word) and clean_text (null stays null)."""
+def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = 0) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with n_lines and n_removed_lines (lines with a word) and clean_text (null stays null).
+
+    ``min_words``: repeated single lines of that many words go too; 0: none do.
+    """
     docs = without(docs, [*ADDED, "d", "h", "gone"])
-    gone = repeated_lines(docs, min_lines).groupBy("d", "h").agg(F.collect_list(F.col("n").cast("int")).alias("gone"))
+    gone = repeated_lines(docs, min_lines, min_words).groupBy("d", "h").agg(F.collect_list(F.col("n").cast("int")).alias("gone"))
     text = F.col("text").cast("string")
     found = _row(docs).join(gone, ["d", "h"], "left").withColumn("n_removed_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
 

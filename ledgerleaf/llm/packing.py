@@ -3,15 +3,17 @@
 Every source is a queue of documents with a target share of the tokens (by default its share of the corpus). Virtual
 time cuts the queues into slices that hold each queue's share of ``SLICE`` tokens; a slice is scheduled by one task from
 lengths alone. In it, round after round, a queue's deficit grows by its share of a window and documents are served while
-the deficit covers them, so windows follow the target proportions and no document waits longer than its length. A slice
-starts with the deficits the slice before it leaves: what a queue was due by then less what it was served, which follows
-from virtual time, so slices need no order of execution. The served stream is cut at every ``length`` tokens: documents
-are cut at window borders only, no window is padded, and the last, incomplete window falls into sequences of powers of
-two.
-
-Shuffles: lengths (a few bytes a document) to prefix sums and slices; compressed ids once, to meet their places. Only
-totals by queue come to the driver: at most ``QUEUES`` of the largest sources have queues of their own, the rest share
-one. Queues are only counted and cut by prefix sums, so a source with a third of all rows is no larger task than others.
+the deficit covers them, so windows follow the target proportions and no document waits longer than its length. A queue
+may be served ahead by a fixed part of a document, drawn from a hash of its name, so that the many sources of a document
+or two don't all fall due in one round. A slice starts with the deficits the slice before it leaves: what a queue was due
+by then less what it was served, which follows from virtual time, so slices need no order of execution. The served stream
+is cut at every ``length`` tokens: documents are cut at window borders only, no window is padded, and the last, incomplete
+window falls into sequences of powers of two.
+
+Shuffles: lengths (a few bytes a document) to prefix sums and slices; compressed ids once, to meet their places. Every
+source has a queue of its own, however many there are: shares are a table that meets the prefix sums, and a slice's task
+gets those of its own queues. Queues are only counted and cut by prefix sums, so a source with a third of all rows is no
+larger task than others.
 
 Defined cases: null and empty texts are their end id alone; a null source is a queue of its own; repeated rows are packed
 each; an empty table gives an empty result; only doc_id, text and source are read, so extra columns don't matter. A table
@@ -37,9 +39,8 @@ from .tokens import words
 
 LENGTH = 4096
 SLICE = 1 << 22  # tokens of a slice
-QUEUES = 256
 ROWS = 256
-REST, NONE = "rest:", "null:"
+NONE = "null:"
 
 
 def _encode(path: str, end: int):
@@ -63,43 +64,65 @@ def _encode(path: str, end: int):
     return run
 
 
-def serve(queues: dict[str, deque], due: dict[str, float], share: dict[str, float], length: int) -> Iterator[int]:
-    """Deficit round-robin: yields the rows of the queues of (row, n) in the order served."""
-    deficit = dict(due)
-    while queues:
-        for q in list(queues):
-            deficit[q] += share[q] * length
-            queue = queues[q]
-            while queue and queue[0][1] <= deficit[q]:
-                row, n = queue.popleft()
-                deficit[q] -= n
-                yield row
-            if not queue:
-                del queues[q]
+def serve(queues: dict[str, deque], due: dict[str, float], share: dict[str, float], length: int, ahead: dict[str, float] | None = None) -> Iterator[int]:
+    """Deficit round-robin: yields the rows of the queues of (row, n) in the order served.
+
+    A row's round is the first whose deficit covers it, so that rounds without a row cost nothing. ``ahead``: the part of
+    a row's n that its queue may owe.
+    """
+    rows, rounds = [], []
+    for q, queue in queues.items():
+        own, n = zip(*queue)
+        n = np.array(n, np.float64)
+        needs = np.cumsum(n) - n * (ahead or {}).get(q, 0.0) - due[q]
+        rows.extend(own)
+        rounds.append(np.maximum(1, np.ceil(needs / (share[q] * length))))
+    for k in np.argsort(np.concatenate(rounds), kind="stable").tolist() if rounds else []:
+        yield rows[k]
+
+
+def _turns(length: int) -> int:
+    """Rounds of a slice."""
+    return max(1, SLICE // length)
 
 
-def _schedule(share: dict[str, float], length: int):
-    """(slice, queue, row, n, start) of a slice -> (row, slice, place): tokens of the slice before the row."""
+def _schedule(length: int):
+    """(slice, queue, row, n, start, share, phase) of a slice -> (row, slice, place): tokens of the slice before the row."""
+    tokens = float(_turns(length) * length)
 
     def run(table: pa.Table) -> pa.Table:
         piece = table.column("slice")[0].as_py()
-        rows = sorted(zip(table.column("queue").to_pylist(), table.column("start").to_pylist(), table.column("row").to_pylist(), table.column("n").to_pylist()))
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("queue", "start", "row", "n", "share", "phase"))))
         queues: dict[str, deque] = {}
         due: dict[str, float] = {}
+        share: dict[str, float] = {}
+        ahead: dict[str, float] = {}
         size = {}
-        for q, start, row, n in rows:
+        for q, start, row, n, part, phase in rows:
             if q not in queues:
                 queues[q] = deque()
-                due[q] = piece * share[q] * SLICE - start
+                due[q], share[q], ahead[q] = piece * part * tokens - start, part, 1 - phase
             queues[q].append((row, n))
             size[row] = n
-        order = list(serve(queues, due, share, length))
+        order = list(serve(queues, due, share, length, ahead))
         n = np.array([size[r] for r in order], np.int64)
         return pa.table([pa.array(order, pa.int64()), pa.array([piece] * len(order), pa.int64()), pa.array(np.cumsum(n) - n)], names=["row", "slice", "place"])
 
     return run
 
 
+def _shares(sizes: DataFrame, total: int, targets: dict[str, float] | None) -> DataFrame:
+    """(queue, n) of every queue -> (queue, share, phase): shares add up to 1, phases are spread over 0 to 1."""
+    own = F.col("n") / F.lit(float(total))
+    if targets:
+        named = sizes.withColumn("name", F.expr("substr(queue, instr(queue, ':') + 1)"))
+        given = sizes.sparkSession.createDataFrame([(q, float(x)) for q, x in targets.items()], "name string, weight double")
+        sizes, own = named.join(given, "name", "left"), F.coalesce(F.col("weight"), own)
+    scale = sizes.agg(F.sum(own)).first()[0]
+    phase = F.pmod(F.xxhash64("queue"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return sizes.select("queue", (own / F.lit(scale)).alias("share"), phase.alias("phase"))
+
+
 def cuts(total: int, length: int) -> list[int]:
     """Where the sequences after the last whole window begin: powers of two, the largest first."""
     at, out = total - total % length, []
@@ -149,25 +172,18 @@ def pack(docs: DataFrame, path: str, end: int, length: int = LENGTH, targets: di
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), source.alias("source"))
     coded = save(given.mapInArrow(_encode(path, end), "row long, part int, doc_id long, source string, n long, ids binary"), "token-ids")
     named = F.coalesce(F.concat(F.lit("source:"), F.col("source")), F.lit(NONE))
-    sizes = coded.select(named.alias("queue"), "n").groupBy("queue").agg(F.sum("n").alias("n"))
+    sizes = save(coded.select(named.alias("queue"), "n").groupBy("queue").agg(F.sum("n").alias("n")), "queue-totals")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    largest = {r.queue: r.n for r in sizes.orderBy(F.desc("n"), "queue").limit(QUEUES).collect()}
-    share = {q: (targets or {}).get(q.partition(":")[2], n / total) for q, n in largest.items()}
-    if total > sum(largest.values()):
-        share[REST] = 1 - sum(largest.values()) / total
-    scale = sum(share.values())
-    share = {q: s / scale for q, s in share.items()}
-    queue = F.when(named.isin(list(largest)), named).otherwise(F.lit(REST)) if REST in share else named
-    lengths = coded.select("row", "part", queue.alias("queue"), "n")
+    if not total:
+        return coded.mapInArrow(_pieces(path, end, length, 0), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string")
+    lengths = coded.select("row", "part", named.alias("queue"), "n")
     parts = lengths.groupBy("queue", "part").agg(F.sum("n").alias("sum"))
-    base = parts.withColumn("base", F.sum("sum").over(W.partitionBy("queue").orderBy("part")) - F.col("sum")).drop("sum")
+    base = parts.withColumn("base", F.sum("sum").over(W.partitionBy("queue").orderBy("part")) - F.col("sum")).drop("sum").join(_shares(sizes, total, targets), "queue")
     inside = F.sum("n").over(W.partitionBy("queue", "part").orderBy("row")) - F.col("n")
     starts = lengths.withColumn("inside", inside).join(base, ["queue", "part"]).withColumn("start", F.col("base") + F.col("inside"))
-    weight = F.create_map(*[x for q, s in share.items() for x in (F.lit(q), F.lit(s))]) if share else None
-    if weight is None:
-        return coded.mapInArrow(_pieces(path, end, length, 0), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string")
-    sliced = starts.withColumn("slice", F.floor(F.col("start") / (F.element_at(weight, F.col("queue")) * F.lit(float(SLICE)))))
-    order = save(sliced.select("slice", "queue", "row", "n", "start").groupBy("slice").applyInArrow(_schedule(share, length), "row long, slice long, place long"), "schedule")
+    turn = F.floor((F.col("start") + F.col("phase") * F.col("n")) / (F.col("share") * F.lit(float(length))))
+    sliced = starts.withColumn("slice", F.floor(turn / F.lit(float(_turns(length)))))
+    order = save(sliced.select("slice", "queue", "row", "n", "start", "share", "phase").groupBy("slice").applyInArrow(_schedule(length), "row long, slice long, place long"), "schedule")
     tokens = sliced.groupBy("slice").agg(F.sum("n").alias("tokens"))
     before = tokens.withColumn("before", F.sum("tokens").over(W.orderBy("slice")) - F.col("tokens")).drop("tokens")
     places = order.join(before, "slice").select("row", (F.col("before") + F.col("place")).alias("place"))

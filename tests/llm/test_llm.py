@@ -329,6 +329,26 @@ def test_line_dedup(spark, docs, empty, least):
     assert line_dedup.line_dedup(empty, least).count() == 0
 
 
+def test_line_dedup_deletes_wide_single_lines(spark, docs, empty):
+    import corpus_pipeline
+
+    wide = " ".join(f"w{k}" for k in range(13))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rows += [(1000, f"p\n{wide}\nq"), (1001, f"r\n{wide}\ns"), (1002, wide), (1003, f"t\n {wide[3:]}\nu"), (1004, f"v\n {wide[3:]}\nw\np\nx"), (1005, f"{wide}\n{wide}")]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    lines, gone = brute_lines(rows, 2)
+    lines, single = brute_lines(rows, 1)
+    want = {d: gone[d] | {i for i in single[d] if len(split(lines[d][i])) >= 13} for d in lines}
+    assert (want[1001], want[1002], want[1003], want[1004], want[1005]) == ({1}, {0}, set(), set(), {0, 1})
+    left = {d: [x for i, x in enumerate(lines[d]) if i not in want[d]] for d in lines}
+    got = {r.doc_id: r for r in line_dedup.line_dedup(given, min_words=13).collect()}
+    assert {d: g.n_removed_lines for d, g in got.items()} == {d: len(x) for d, x in want.items()}
+    assert {d: [x for x in (g.clean_text or "").split("\n") if split(x)] for d, g in got.items()} == left
+    stage = {r.doc_id: [x for x in (r.text or "").split("\n") if split(x)] for r in corpus_pipeline.lines(spark, given, "").collect()}
+    assert stage == {d: x for d, x in left.items() if x or not lines[d]}  # a copy of one line is gone as a whole
+    assert line_dedup.line_dedup(empty, min_words=13).count() == 0
+
+
 def test_pipeline(spark, docs, empty):
     import corpus_pipeline
 
