@@ -18,6 +18,7 @@ from ledgerleaf.llm.quality_rules import quality_rules
 from ledgerleaf.llm.substring_dedup import substring_dedup
 
 END_ID = 2
+SHINGLE = 5  # words; four are the contract of the query op5 alone
 LINE_WORDS = 13  # as many as a passage of the substring stage
 
 
@@ -39,8 +40,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return _as_documents(minhash_dedup(docs).where("kept OR doc_id IS NULL"), docs, "text")
+    """One document of each group of near copies: word shingles of ``SHINGLE`` words, Jaccard similarity of 0.8."""
+    return _as_documents(minhash_dedup(docs, width=SHINGLE).where("kept OR doc_id IS NULL"), docs, "text")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

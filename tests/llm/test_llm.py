@@ -349,6 +349,25 @@ def test_line_dedup_deletes_wide_single_lines(spark, docs, empty):
     assert line_dedup.line_dedup(empty, min_words=13).count() == 0
 
 
+def near_groups(rows, width):
+    sets = {}
+    for d, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[d] = {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} - {()}
+    return groups([(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])], sets)
+
+
+def test_pipeline_near_copies_share_five_words(spark, docs):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(40)]  # one word changed: similarity 33/41 in shingles of four words, 31/41 in those of five
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(1000, " ".join(words)), (1001, " ".join([*words[:20], "changed", *words[21:]]))]
+    got = sorted((r.doc_id, r.text) for r in corpus_pipeline.near(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect() if r.text is not None)
+    part = near_groups(rows, 5)
+    assert near_groups(rows, 4)[1001] == 1000
+    assert got == sorted((d, t) for d, t in rows if part[d] == d and t is not None)
+
+
 def test_pipeline(spark, docs, empty):
     import corpus_pipeline
 
