@@ -238,6 +238,29 @@ def test_packing_follows_targets():
     assert sorted(order) == sorted(size)
 
 
+def test_packing_mixes_more_sources_than_a_few_hundred(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE", 4096)
+    small = [(k, "a b c", f"s{k // 4}") for k in range(1600)]  # 400 sources, the rows of each together
+    large = [(2000 + k, "a b c", "large") for k in range(1600)]
+    once = [(4000 + k, "a b c", f"once{k}") for k in range(400)]
+    rows = spark.createDataFrame(small + large + once, "doc_id long, text string, source string").coalesce(2)
+    n = len(small) + len(large) + len(once)
+    for targets in (None, {"s399": 0.5}):
+        order = [r.doc_id for r in sorted(packing.pack(rows, WORD_BPE, 2, 64, targets).where("start = 0").collect(), key=lambda r: (r.sequence_id, r.offset))]
+        assert len(order) == n
+        places = defaultdict(list)
+        for at, d in enumerate(order):
+            places["small" if d < 2000 else "large" if d < 4000 else "once"].append(at / n)
+            if d < 1600:
+                places[d // 4].append(at / n)
+        for kind in ("small", "large", "once"):  # each kind is spread evenly
+            assert max(abs(x - (k + 0.5) / len(places[kind])) for k, x in enumerate(places[kind])) < 0.1, kind
+        for k in range(400 if targets is None else 399):  # a document of a source in each quarter of the windows
+            assert all(abs(x - (j + 0.5) / 4) < 0.2 for j, x in enumerate(places[k])), k
+        if targets:  # weight 0.5 beside 1: a third of the tokens until its four documents are gone
+            assert places[399][-1] < 0.02
+
+
 def test_warc(spark, monkeypatch):
     long = "<p>" + "x y z " * 60000
     rows = [(1, "http://a/b\r\nc", "<html>é</html>"), (2, None, "same"), (3, "u", "same"), (4, "u", None), (5, "u", ""), (6, "u", long), (7, "u", "a\r\n\r\nb\r\n"), (8, "u", "same")]
