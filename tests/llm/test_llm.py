@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -167,6 +168,33 @@ def test_attention_is_causal_normalised_and_has_the_right_gradient():
         assert abs((up - down) / 2e-4 - grad[name][at]) < 2e-3, name
 
 
+def test_attention_learns_which_word_follows():
+    r = np.random.default_rng(7)
+    size, docs, n_words = 400, 40, 2000
+    after = r.permutation(size)
+    flat = np.empty((docs, n_words), np.uint32)
+    flat[:, 0] = r.integers(0, size, docs)
+    for k in range(1, n_words):  # nine words in ten follow from the word before
+        flat[:, k] = np.where(r.random(docs) < 0.1, r.integers(0, size, docs), after[flat[:, k - 1]])
+    trains = np.arange(docs) % 10 != 0
+    raw = lm_scoring._pack(np.arange(docs), trains, np.full(docs, n_words), flat.ravel(), np.ones(size, np.int64), np.arange(size, dtype=np.uint32))
+    n = np.append(np.bincount(flat[trains].ravel(), minlength=size), trains.sum())
+    classes = lm_scoring.Classes(dict(enumerate(n.tolist())), 2000)
+    model = lm_scoring.Attention(classes.mass)
+    for _ in range(lm_scoring.ROUNDS):
+        (out,) = lm_scoring._trained(model, classes, size)(iter([pa.RecordBatch.from_pydict({"data": [raw]})]))
+        model.load(np.array(out.column("numbers")[0].as_py()))
+    answers = pa.table({"data": pa.array([], pa.binary())})
+    scores = np.array(lm_scoring._scored(model, classes, size)(pa.table({"data": [raw]}), answers).column("score").to_pylist())
+    unigram = (n / n.sum() * np.log10(n / n.sum())).sum()
+    assert scores[~trains].mean() / (n_words + 1) > unigram + 1  # held-out log10 per token
+
+
+def test_small_vocabularies_have_a_class_an_id():
+    classes = lm_scoring.Classes({0: 5, 2: 1}, 6)
+    assert len(classes.mass) == 6 and np.isfinite(classes.inside).all()
+
+
 def test_embedding_dedup(spark, monkeypatch):
     r = np.random.default_rng(1)
     base = r.standard_normal((60, 16))
