@@ -9,7 +9,8 @@ lookahead is bounded by the longest token.
 
 Both operators are maps over rows: no shuffle, memory bounded by one text and by the tables' fixed limits.
 
-Defined cases: null and empty texts have no ids and decode to nothing; bytes that are no UTF-8 decode to U+FFFD in
+Defined cases: null and empty texts have no ids and decode to nothing; repeated rows are encoded each; an empty table
+gives an empty result; bytes that are no UTF-8 decode to U+FFFD in
 ``text`` while ``decoded`` keeps the bytes; input columns named like an added column give way to it.
 """
 
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,10 +31,13 @@ from pyspark.sql import types as T
 
 from .common import without
 
-MAX_STATES = 150_000  # states are dropped and made anew beyond these
+NEITHER = (-1, 0)
+FEW = 16  # tokens that may go on from a state's text, up to which they are tried behind the token before it
+MAX_STATES = 300_000  # states are dropped and made anew beyond these
 MAX_UNITS, MAX_PIECES = 350_000, 250_000  # remembered in each of two generations; what is used again outlives the older one
 MAX_PIECE = 64  # longer pieces are encoded, not remembered
-#: A match of the usual patterns begins with one blank at most and ends before the next white space, so none crosses these units.
+#: The pattern whose matches begin with one blank at most and end before the next white space, so that none crosses a unit. Texts under other patterns aren't cut into units.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s")
 #: Control characters that count as white space for the standard library's matcher only.
 ODD = re.compile(r"[\x1c-\x1f]")
@@ -49,19 +55,25 @@ class Transducer:
         self.token = {r: t for t, r in ranks.items()}
         self.size = {r: len(t) for t, r in ranks.items()}
         self.byte = [bytes((b,)) for b in range(256)]
-        self.begins = {t[:k] for t in ranks for k in range(1, len(t))}
+        #: text -> (its rank, -1 if it is no token; how many tokens are longer and begin with it)
+        longer: dict[bytes, int] = {}
+        for t in ranks:
+            for k in range(1, len(t)):
+                longer[t[:k]] = longer.get(t[:k], 0) + 1
+        self.known = {t: (ranks.get(t, -1), longer.get(t, 0)) for t in (*longer, *ranks)}
+        self.sorted = sorted(ranks)  # tokens that begin with a text stand together
         self.fits: dict[tuple[int, int], bool] = {}
         self.split: dict[int, tuple[int, int] | None] = {}
         self.reset()
 
     def reset(self) -> None:
-        #: state: (text since the border, last token at the border, last tokens after it (-1: on no live path), bytes a longer token may still cover)
+        #: state: (text since the border, the token before it (-1: it doesn't matter to any token that may begin at the border), last tokens after it (-2: on no live path), places where a longer token may begin)
         self.number: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.moves: dict[int, int] = {}  # 256 * state + byte: the next state
-        self.outs: dict[int, tuple[int, ...]] = {}  # the tokens settled by that move, if any
+        self.moves: dict[int, int] = {}  # 256 * state + byte: twice the next state, and 1 if the move settles tokens
+        self.outs: dict[int, tuple[int, ...]] = {}  # the tokens settled by such a move
         self.ends: dict[int, list[int]] = {}  # the tokens still owed where a piece ends
-        self._state((b"", -1, (), 0))
+        self._state((b"", -1, (), ()))
 
     def merged(self, text: bytes, below: int = 1 << 60) -> list[bytes]:
         """The plain definition, for ranks under ``below``: merge the neighbours of least rank, leftmost first."""
@@ -105,6 +117,14 @@ class Transducer:
             else:
                 return True
 
+    def _all_fit(self, before: int, text: bytes) -> bool:
+        """Whether every token that goes on from ``text`` fits behind ``before``; where more than a few do it isn't looked up, and may be said not to."""
+        n = self.known[text][1]
+        if n > FEW:
+            return False
+        at = bisect_right(self.sorted, text)
+        return all(self._fit(before, self.ranks[t]) for t in self.sorted[at : at + n])
+
     def _state(self, key: tuple) -> int:
         k = self.number.get(key)
         if k is None:
@@ -120,24 +140,24 @@ class Transducer:
         return out[::-1]
 
     def _move(self, state: int, byte: int) -> int:
-        text, before, last, open_ = self.states[state]
+        text, before, last, opens = self.states[state]
         text += self.byte[byte]
-        n, ranks, fits = len(text), self.ranks, self.fits
-        for q in range(n - 1 - open_, n):  # the longest token first
-            t = ranks.get(text[q:])
-            if t is not None:
+        n, known, fits, token, still = len(text), self.known, self.fits, -1, []
+        for q in (*opens, n - 1):  # the longest token first
+            rank, longer = known.get(text[q:], NEITHER)
+            if token < 0 and rank >= 0:
                 a = last[q - 1] if q else before
-                if a < 0 or (fits[a, t] if (a, t) in fits else self._fit(a, t)):
-                    break
-        else:
+                if a < 0 or (fits[a, rank] if (a, rank) in fits else self._fit(a, rank)):
+                    token = rank
+            if longer:
+                still.append(q)
+        if token < 0:
             raise ValueError(f"no token ends here: {text!r}")
-        last = (*last, t)
-        open_ += 1
-        while open_ and text[n - open_ :] not in self.begins:
-            open_ -= 1
+        last = (*last, token)
         # the last border that the paths to all open positions share: step back from the farthest until one is left
-        live, size, p = 0, self.size, n
-        waiting = (1 << n + 1) - (1 << n - open_)
+        live, size, p, waiting = 0, self.size, n, 1 << n
+        for q in still:
+            waiting |= 1 << q
         while waiting & (waiting - 1):
             if waiting >> p & 1:
                 waiting ^= 1 << p
@@ -146,12 +166,14 @@ class Transducer:
             p -= 1
         border = waiting.bit_length() - 1
         if border:
-            out = self.outs[256 * state + byte] = tuple(self._path(last, border, 0))
-            before, text = out[-1], text[border:]
-            last = last[border:]
+            out = self.outs[state << 8 | byte] = tuple(self._path(last, border, 0))
+            before, text, last = out[-1], text[border:], last[border:]
+            still = [q - border for q in still]
         if live.bit_count() < len(last):
             last = tuple([x if live >> border + k & 1 else -2 for k, x in enumerate(last, 1)])
-        to = self.moves[256 * state + byte] = self._state((text, before, last, open_))
+        if not still or still[0] or before >= 0 and self._all_fit(before, text):
+            before = -1
+        to = self.moves[state << 8 | byte] = 2 * self._state((text, before, last, tuple(still))) + (border > 0)
         return to
 
     def encode(self, piece: bytes) -> list[int]:
@@ -161,10 +183,11 @@ class Transducer:
             self.reset()
         state, ids, moves, outs = 0, [], self.moves, self.outs
         for byte in piece:
-            at = 256 * state + byte
-            state = moves.get(at) or self._move(state, byte)  # no move leads back to state 0
-            if at in outs:
+            at = state << 8 | byte
+            to = moves.get(at) or self._move(state, byte)  # no move leads back to state 0
+            if to & 1:
                 ids.extend(outs[at])
+            state = to >> 1
         owed = self.ends.get(state)
         if owed is None:
             text, _, last, _ = self.states[state]
@@ -195,13 +218,21 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         transducer = Transducer(ranks)
-        self.match = regex.compile(pattern).findall
-        pieces = _Known(lambda p: np.array(transducer.encode(p.encode("utf-8", "surrogatepass")), np.int32).tobytes(), MAX_PIECES)
+        self.match, self.in_units = regex.compile(pattern).findall, pattern == WORDS
+        pieces = _Known(lambda p: array("i", transducer.encode(p.encode("utf-8", "surrogatepass"))).tobytes(), MAX_PIECES)
         self.piece = pieces.__getitem__
-        self.unit = _Known(lambda u: b"".join(map(self.piece, self.match(u))), MAX_UNITS).__getitem__
+        self.unit = _Known(self._unit, MAX_UNITS).__getitem__
+
+    def _unit(self, unit: str) -> bytes:
+        letters = unit[1:] if unit[0] == " " else unit
+        if letters.isalpha():  # one match
+            return self.piece(unit)
+        if unit[-1] in ".,;:!?" and letters[:-1].isalpha():  # two
+            return self.piece(unit[:-1]) + self.piece(unit[-1])
+        return b"".join(map(self.piece, self.match(unit)))
 
     def encode(self, text: str) -> bytes:
-        if ODD.search(text):
+        if not self.in_units or ODD.search(text):
             return b"".join(map(self.piece, self.match(text)))
         return b"".join(map(self.unit, UNIT.findall(text)))
 

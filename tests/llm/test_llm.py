@@ -335,6 +335,15 @@ def test_units_are_cut_between_matches():
         assert [p for u in bpe.UNIT.findall(text) for p in regex.findall(P.PATTERN, u)] == regex.findall(P.PATTERN, text)
 
 
+def test_other_patterns_are_matched_on_whole_texts():
+    ranks, crossing = bpe.read_ranks(RANKS), r"\S+ \S+|\s+|\S+"
+    texts = ["one two three", "a  b c. d!", "", "été, Straße. don't it's x"]
+    for pattern in (crossing, P.PATTERN):
+        coding, encoder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), bpe.Encoder(ranks, pattern)
+        assert encoder.in_units == (pattern == P.PATTERN)
+        assert [np.frombuffer(encoder.encode(t), np.int32).tolist() for t in texts] == [coding.encode_ordinary(t) for t in texts]
+
+
 def test_chat_tools(spark):
     schemas = {"find": {"q": ("string", True), "n": ("integer", False)}}
     calls = [
