@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 
 import numpy as np
 
 MAX_WORDS = 300_000  # remembered in each of two generations; what is used again outlives the older one
+#: Lower-case letters of Latin-1: neither normalising nor splitting changes a word of them.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: Marks that are split off behind a letter.
+MARKS = b".,;:!?"
+
+
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: visible Latin-1 characters as themselves, the others in order from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 class Words(dict):
@@ -24,18 +36,20 @@ class Words(dict):
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.end = b"" if end is None else np.array([end], self.kind).tobytes()
         self.older: dict[bytes, bytes] = {}
+        self.letters = byte_letters()
+        self.marks = {m: self._encoded(chr(m)) for m in MARKS}
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _encoded(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, w: bytes) -> bytes:
         ids = self.older.get(w)
         if ids is None:
-            base, mark = self._parts(w)
-            if mark:
-                ids = self[base] + self[mark]
-            elif base != w:
-                ids = self[base]
-            else:  # plain letters need neither normalising nor splitting
-                found = [t.id for t in self.model.tokenize(w.decode())] if w.isalpha() else self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
-                ids = struct.pack(f"<{len(found)}{self.code}", *found)
+            mark = self.marks.get(w[-1])
+            ids = self[w[:-1]] + mark if mark is not None and b"<|" not in w and self._letter(w) else self._made(w)
         if len(self) >= MAX_WORDS:
             self.older = dict(self)
             self.clear()
@@ -43,15 +57,21 @@ class Words(dict):
         return ids
 
     @staticmethod
-    def _parts(w: bytes) -> tuple[bytes, bytes]:
-        """A word in lower case (the vocabulary is), and a mark after its last letter, which is split off anyway; words that may hold a special token stay whole."""
-        if b"<|" in w:
-            return w, b""
-        return (w[:-1].lower(), w[-1:]) if w[-1:] in b".,;:!?" and w[-2:-1].isalpha() else (w.lower(), b"")
+    def _letter(w: bytes) -> bool:
+        """Whether a letter of ASCII or Latin-1 (C3 and 80 to BF, without the two signs among them) stands before the last byte."""
+        return w[-2:-1].isalpha() or w[-3:-2] == b"\xc3" and w[-2] not in (0x97, 0xB7)
+
+    def _made(self, w: bytes) -> bytes:
+        if w.isalpha():  # ASCII
+            return self._packed([t.id for t in self.model.tokenize(w.lower().decode())])
+        text = w.decode()
+        if b"<|" not in w and PLAIN.fullmatch(low := text.lower()):
+            return self._packed([t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(self.letters))])
+        return self._encoded(text)
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
-        """Ids of each text and the end id, as bytes."""
-        return [b"".join(map(self.__getitem__, (t or b"").split())) + self.end for t in texts]
+        """Ids of each text and the end id, as bytes. The vocabulary is one of lower case, so texts that can't hold a special token are lowered first."""
+        return [b"".join(map(self.__getitem__, (t if b"<|" in t else t.lower()).split())) + self.end if t else self.end for t in texts]
 
 
 _made: dict[tuple, Words] = {}
