@@ -25,9 +25,9 @@ def is_blank(c: Column) -> Column:
 
 
 def normalize_for_match(c: Column) -> Column:
-    """Hyphenated line breaks become a blank, white space one blank; trimmed, lower case."""
-    joined = F.regexp_replace(_s(c), r"-[ \t]*\r?\n[ \t]*", " ")
-    return F.lower(F.trim(F.regexp_replace(joined, r"(?U)\s+", " ")))
+    """A hyphen right before line ends goes with them, for a blank; white space becomes one blank; trimmed, lower case."""
+    joined = F.regexp_replace(_s(c), r"-[\r\n]+", " ")
+    return F.lower(F.trim(F.regexp_replace(joined, r"(?U)[\s\x1c-\x1f]+", " ")))
 
 
 def sanitize_markdown(c: Column) -> Column:
@@ -38,27 +38,42 @@ def sanitize_markdown(c: Column) -> Column:
 
 
 def normalize_toc(c: Column) -> Column:
-    """Each line loses leading digits, dots and dashes and trailing blanks; runs of blank lines become one."""
-    lines = F.transform(F.split(_s(c), "\n", -1), lambda x: F.regexp_replace(F.rtrim(x), r"(?d)^[\d.\-\s]+(.+)$", "$1"))
-    text = F.regexp_replace(F.array_join(lines, "\n"), r"\n(?:[ \t]*\n){2,}", "\n\n")
-    return F.trim(F.regexp_replace(text, r"^\n+|\n+$", ""))
+    """Each line loses its white space at both ends and one leading marker of digits, dots and dashes, but keeps a character; runs of blank lines become one."""
+    blank = r"[\s\x1c-\x1f]"
+    bare = F.transform(F.split(F.replace(_s(c), F.lit("\r\n"), F.lit("\n")), "\n", -1), lambda x: F.regexp_replace(x, rf"(?U){blank}+\z", ""))
+    lines = F.transform(bare, lambda x: F.regexp_replace(x, rf"(?Uds)^{blank}*[\d.\-]*{blank}*(.+)\z", "$1"))
+    text = F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n")
+    return F.regexp_replace(text, rf"(?U)^{blank}+|{blank}+\z", "")
+
+
+def _thousands(found: Column, comma: str) -> Column:
+    """A number as digits and a point. Of two kinds of separators the last is the decimal one; the same one again and again parts thousands; a lone point is decimal; a lone comma is what ``comma`` puts in its place."""
+    last_point, last_comma = F.length(found) - F.instr(F.reverse(found), "."), F.length(found) - F.instr(F.reverse(found), ",")
+    points, commas = (F.length(found) - F.length(F.replace(found, F.lit(x), F.lit(""))) for x in (".", ","))
+    without = lambda x: F.replace(found, F.lit(x), F.lit(""))
+    return (
+        F.when((points > 0) & (commas > 0), F.when(last_point > last_comma, without(",")).otherwise(F.replace(without("."), F.lit(","), F.lit("."))))
+        .when(points > 1, without("."))
+        .when(commas > 1, without(","))
+        .when(found.rlike(r",\d{3}\z"), without(","))
+        .otherwise(F.replace(found, F.lit(","), F.lit(comma)))
+    )
 
 
 def first_number(c: Column, first_group_only: bool = False) -> Column:
-    """The first number in a text as plain digits, separators dropped before three digits; a text without one stays."""
+    """The first number in a text: a lone point is decimal, a lone comma parts thousands, so do repeated separators; a text without a number stays.
+
+    ``first_group_only``: the number ends after its first separator and the digits behind it.
+    """
     text = _s(c)
     found = F.regexp_substr(text, F.lit(r"-?\d+(?:[.,]\d+)?" if first_group_only else r"-?\d+(?:[.,]\d+)*"))
-    point = found.rlike(r"\.") & ~found.rlike(r"\.\d{3}(?:[.,]|$)")
-    plain = F.when(point, F.replace(found, F.lit(","), F.lit(""))).otherwise(F.regexp_replace(found, "[.,]", ""))
-    return F.coalesce(plain, text)
+    return F.coalesce(F.regexp_replace(_thousands(found, ""), r"^(-?)0+(?=\d)", "$1"), text)
 
 
 def verified_decimal(c: Column) -> Column:
-    """First number as a decimal: commas before three digits part thousands, a lone other comma is the decimal point; null if none."""
-    found = F.regexp_substr(_s(c), F.lit(r"-?\d[\d.,]*"))
-    lone = found.rlike(r"^[^,.]*,[^,.]*$") & ~found.rlike(r",\d{3}$")
-    plain = F.when(lone, F.replace(found, F.lit(","), F.lit("."))).otherwise(F.replace(found, F.lit(","), F.lit("")))
-    return F.rtrim(plain, F.lit(".")).try_cast("decimal(38,12)")
+    """The first number of a text as a decimal; a lone comma parts thousands if three digits follow, else it is the decimal point; null if there is no number."""
+    found = F.regexp_substr(_s(c), F.lit(r"-?\d+(?:[.,]\d+)*"))
+    return _thousands(found, ".").try_cast("decimal(38,12)")
 
 
 def verified_int(c: Column) -> Column:
@@ -78,22 +93,30 @@ def year_to_date_text(c: Column) -> Column:
     return F.when(_s(c).rlike(r"^\d{4}$"), F.concat(_s(c), F.lit("-01-01"))).otherwise(_s(c))
 
 
-def coerce(c: Column, kind: str) -> Column:
-    """A trimmed text as ``kind``; blank or unconvertible gives null (the validator tells them apart)."""
+def coerce(c: Column, kind: str, number: Column | None = None) -> Column:
+    """A trimmed text as ``kind``; blank or unconvertible gives null (the validator tells them apart).
+
+    Digits may be grouped by commas and underscores. A whole number has no decimals other than zeros. Dates are ISO
+    dates, also with slashes, with a time or a Z behind them, or four digits for a year's first day; where the text was a
+    JSON ``number``, one from 1 to 9999 is a year.
+    """
     text = F.nullif(F.trim(_s(c)), F.lit(""))
+    digits = F.regexp_replace(text, "[,_]", "")
+    is_year = text.rlike(r"^\d{4}$")
+    if number is not None:
+        is_year = is_year | (F.coalesce(number, F.lit(False)) & text.rlike(r"^\d{1,4}$"))
+    year = F.when(is_year & (text.try_cast("int") > 0), F.concat(F.lpad(text, 4, "0"), F.lit("-01-01")))
     if kind in ("int", "long"):
-        return F.regexp_replace(text, ",", "").try_cast("decimal(38,12)").try_cast("int" if kind == "int" else "bigint")
+        return F.when(digits.rlike(r"^[+-]?\d+(\.0+)?$"), digits).try_cast("decimal(38,12)").try_cast("int" if kind == "int" else "bigint")
     if kind == "decimal":
-        return F.regexp_replace(text, ",", "").try_cast("decimal(38,12)")
+        return digits.try_cast("decimal(38,12)")
     if kind == "date":
-        day = F.substring_index(F.replace(text, F.lit("/"), F.lit("-")), "T", 1)
-        year = F.when(text.rlike(r"^\d{1,4}$"), F.concat(F.lpad(text, 4, "0"), F.lit("-01-01")))
-        packed = F.when(text.rlike(r"^\d{8}$"), F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"))
+        day = F.regexp_replace(F.substring_index(F.replace(text, F.lit("/"), F.lit("-")), "T", 1), "Z$", "")
+        packed = F.when(day.rlike(r"^\d{8}$"), F.regexp_replace(day, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"))
         return F.coalesce(year, packed, F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day)).try_cast("date")
     if kind == "timestamp":
         stamp = F.replace(text, F.lit("/"), F.lit("-"))
-        year = F.when(text.rlike(r"^\d{1,4}$"), F.concat(F.lpad(text, 4, "0"), F.lit("-01-01")))
-        return F.coalesce(year, stamp).try_cast("timestamp").cast("timestamp_ntz")
+        return F.coalesce(year, F.when(stamp.rlike(r"^\d{4}-\d{2}-\d{2}"), stamp)).try_cast("timestamp").cast("timestamp_ntz")
     if kind == "uuid":
         return F.when(is_uuid(text), canonical_uuid(text))
     return text

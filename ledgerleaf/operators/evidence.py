@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.scalars import is_blank, normalize_for_match, verified_decimal, verified_int, year_int
 
@@ -13,14 +14,15 @@ _COERCE = {"decimal": verified_decimal, "int": verified_int, "year": year_int, "
 def quotes_found(quotes: DataFrame, docs: DataFrame) -> DataFrame:
     """quotes (doc_id, quote, ...) with ``found``: the normalised quote is in the normalised text of its document.
 
-    A document's quotes travel to it together and its text is normalised once; blank quotes and texts give false.
+    A document's text is normalised once; quotes join it by doc_id, where a document with very many quotes can be split.
+    Blank quotes and texts, and quotes without a document, give false. Of several texts with one doc_id the least counts.
+    A column named ``found`` gives way.
     """
-    rows = quotes.withColumn("_row", F.struct(*quotes.columns))
-    per = rows.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("_row"), normalize_for_match(F.col("quote")).alias("q"))).alias("_q"))
-    text = docs.select("doc_id", normalize_for_match(F.col("text")).alias("_text"))
-    got = per.join(text, "doc_id", "left").select(F.explode("_q").alias("q"), "_text")
-    hit = F.coalesce((F.col("q.q") != "") & (F.col("_text") != "") & F.contains(F.col("_text"), F.col("q.q")), F.lit(False))
-    return got.select("q._row.*", hit.alias("found"))
+    quotes = quotes.drop("found")
+    text = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias("_text")).select("doc_id", normalize_for_match(F.col("_text")).alias("_text"))
+    quote = normalize_for_match(F.col("quote"))
+    hit = F.coalesce((quote != "") & (F.col("_text") != "") & F.contains(F.col("_text"), quote), F.lit(False))
+    return quotes.join(text, "doc_id", "left").select(*[F.col(f"`{c}`") for c in quotes.columns], hit.alias("found"))
 
 
 def verify_records(records: DataFrame, docs: DataFrame, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
@@ -28,8 +30,12 @@ def verify_records(records: DataFrame, docs: DataFrame, fields: dict[str, str])
 
     A field whose value is null and whose proof is incomplete is skipped. Otherwise a blank quote, a confidence outside
     0 to 1, a quote that is not in the source or a value that doesn't convert is an error, and any error rejects the
-    whole record. Accepted rows have converted values and ``proofs`` by field.
+    whole record. Accepted rows have converted values and ``proofs`` by field. A field may also be one struct of value,
+    quote and confidence.
     """
+    for f in fields:
+        if isinstance(records.schema[f].dataType, StructType):
+            records = records.withColumns({f"{f}_quote": F.col(f"{f}.quote"), f"{f}_confidence": F.col(f"{f}.confidence"), f: F.col(f"{f}.value")})
     each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), F.col(f"{f}_quote").alias("quote"), F.col(f"{f}_confidence").cast("double").alias("confidence")) for f in fields])
     flat = records.select("doc_id", "rec_idx", F.explode(each).alias("p")).select("doc_id", "rec_idx", "p.*")
     incomplete = is_blank(F.col("quote")) | F.col("confidence").isNull()

@@ -4,78 +4,96 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import class_namespace, is_placeholder_uuid, is_uuid, uuid5
 from ..specs import SPECS, TableSpec
-from .quality import Tables
+from .quality import Tables, union
 
 
 def dedupe_records(new: DataFrame, stored: DataFrame | None, key: str = "content_key") -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected): a record whose content key is stored already or was seen in an earlier row is rejected. Only keys are shuffled for the check of stored ones."""
-    first = F.row_number().over(W.partitionBy(key).orderBy("rec_idx"))
-    ranked = new.withColumn("_n", first)
+    """(kept, rejected): a record whose content key is stored already or was seen in an earlier row is rejected.
+
+    Only keys and row numbers are shuffled before the joins; the least row of a key is combined first, so a key of very
+    many rows is no single group. Rows with a null key are all kept.
+    """
+    first = new.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("rec_idx").alias("_first"))
     if stored is not None:
-        seen = stored.select(key).distinct().withColumn("_seen", F.lit(True))
-        ranked = ranked.join(seen, key, "left")
+        first = first.join(stored.select(key).distinct().withColumn("_seen", F.lit(True)), key, "left")
     else:
-        ranked = ranked.withColumn("_seen", F.lit(None).cast("boolean"))
-    again = F.col("_seen").isNotNull() | (F.col("_n") > 1)
-    return ranked.where(~again).drop("_n", "_seen"), ranked.where(again).drop("_n", "_seen")
+        first = first.withColumn("_seen", F.lit(None).cast("boolean"))
+    marked = new.where(F.col(key).isNotNull()).join(first, key)
+    again = F.col("_seen").isNotNull() | (F.col("rec_idx") > F.col("_first"))
+    return marked.where(~again).select(*new.columns).unionByName(new.where(F.col(key).isNull())), marked.where(again).select(*new.columns)
 
 
 def _salted(seed, n, first_salt: int):
     return F.when(n == 1, seed).otherwise(F.concat(seed, F.lit("|"), (n - 2 + first_salt).cast("string")))
 
 
+def _with_repeats(df: DataFrame, key: str) -> DataFrame:
+    """Adds ``_again``: an earlier row has the same key. Rows without a key, which may be most, meet in no group and have none."""
+    keyed = df.where(F.col(key).isNotNull())
+    first = keyed.groupBy(key).agg(F.min("rec_idx").alias("_first"))
+    marked = keyed.join(first, key).withColumn("_again", F.col("rec_idx") > F.col("_first")).select(*df.columns, "_again")
+    return marked.unionByName(df.where(F.col(key).isNull()).withColumn("_again", F.lit(False)))
+
+
+def _renamed(df: DataFrame, where: str, seed: str, name) -> DataFrame:
+    """Adds ``_new`` to the rows that ``where`` marks: ``name`` of their seed and number among the marked rows of that seed; null for the others, which take part in no window."""
+    todo = df.where(where).withColumn("_k", F.row_number().over(W.partitionBy(seed).orderBy("rec_idx")))
+    return todo.withColumn("_new", name(F.col(seed), F.col("_k"))).drop("_k").unionByName(df.where(f"NOT {where}").withColumn("_new", F.lit(None).cast("string")))
+
+
 def assign_pk(df: DataFrame, table: str, pk: str, seed: str = "seed", existing: DataFrame | None = None) -> DataFrame:
-    """Missing, malformed, placeholder or repeated keys become the UUID of the record's seed; the k-th row of one seed is salted with k."""
-    taken = W.partitionBy(F.col(pk)).orderBy("rec_idx")
-    bad = ~is_uuid(F.col(pk)) | is_placeholder_uuid(F.col(pk)) | (F.row_number().over(taken) > 1)
+    """Missing, malformed, placeholder or repeated keys, and those in ``existing``, become the UUID of the record's seed; the k-th row of one seed is salted with k.
+
+    Seeds are the records' content, so rows of one seed are copies. Rows with a null seed and a bad key get a null key.
+    """
+    marked = _with_repeats(df, pk)
+    bad = ~is_uuid(F.col(pk)) | is_placeholder_uuid(F.col(pk)) | F.col("_again")
     if existing is not None:
-        df = df.join(existing.select(F.col(pk).alias("_old")).distinct(), F.col(pk) == F.col("_old"), "left")
+        marked = marked.join(existing.select(F.col(pk).alias("_old")).distinct(), F.col(pk) == F.col("_old"), "left")
         bad = bad | F.col("_old").isNotNull()
-    marked = df.withColumn("_bad", F.coalesce(bad, F.lit(True)))
-    n = F.row_number().over(W.partitionBy(seed, "_bad").orderBy("rec_idx"))
-    new = uuid5(class_namespace(table), F.concat(_salted(F.col(seed), n, 2), F.lit(pk)))
-    out = marked.withColumn("_new", new)
-    return out.withColumn(pk, F.when(F.col("_bad"), F.col("_new")).otherwise(F.col(pk))).drop("_bad", "_new", "_old")
+    marked = marked.withColumn("_bad", F.coalesce(bad, F.lit(True))).select(*df.columns, "_bad")
+    out = _renamed(marked, "_bad", seed, lambda s, n: uuid5(class_namespace(table), F.concat(_salted(s, n, 2), F.lit(pk))))
+    return out.withColumn(pk, F.when(F.col("_bad"), F.col("_new")).otherwise(F.col(pk))).select(*df.columns)
 
 
 def rewrite_pk(df: DataFrame, table: str, pk: str, seed: str = "seed", target_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """New deterministic keys for all rows, or for rows with target ids and repeats; (rows, old -> new map, the last row of an old key wins)."""
-    repeat = F.row_number().over(W.partitionBy(pk).orderBy("rec_idx")) > 1
+    marked = _with_repeats(df, pk)
     chosen = F.lit(True)
     if target_ids is not None:
-        df = df.join(target_ids.select(F.col(pk).alias("_t")).distinct(), F.col(pk) == F.col("_t"), "left")
-        chosen = F.col("_t").isNotNull() | repeat
-    df = df.withColumn("_turn", F.coalesce(chosen, F.lit(True)))
-    n = F.row_number().over(W.partitionBy(seed, "_turn").orderBy("rec_idx"))
-    new = uuid5(uuid.uuid5(uuid.UUID(int=0), f"rewrite:{table}"), _salted(F.col(seed), n, 1))
-    out = df.withColumn("_new", F.when(F.col("_turn"), new).otherwise(F.col(pk)))
+        marked = marked.join(target_ids.select(F.col(pk).alias("_t")).distinct(), F.col(pk) == F.col("_t"), "left")
+        chosen = F.col("_t").isNotNull() | F.col("_again")
+    marked = marked.withColumn("_turn", F.coalesce(chosen, F.lit(True))).select(*df.columns, "_turn")
+    space = uuid.uuid5(uuid.UUID(int=0), f"rewrite:{table}")
+    out = _renamed(marked, "_turn", seed, lambda s, n: uuid5(space, _salted(s, n, 1)))
     ids = out.where("_turn").where(F.col(pk).isNotNull()).groupBy(F.col(pk).alias("old_id")).agg(F.max_by("_new", "rec_idx").alias("new_id"))
-    return out.withColumn(pk, F.col("_new")).drop("_turn", "_t", "_new"), ids
+    return out.withColumn(pk, F.when(F.col("_turn"), F.col("_new")).otherwise(F.col(pk))).select(*df.columns), ids
 
 
 def cascade_fk(tables: Tables, id_maps: Tables, specs: dict[str, TableSpec] = SPECS) -> tuple[Tables, DataFrame]:
-    """References follow (old_id -> new_id) maps by target table; (tables, (table, field, changed)). Null references don't take part in the joins."""
+    """References follow (old_id -> new_id) maps by target table; (tables, (table, field, changed)).
+
+    Null references stay out of the joins. Without a reference to any of the maps the tables stay and the report is empty.
+    """
     out, counts = {}, []
     for name, df in tables.items():
         for fk in specs[name].fks:
             if fk.target not in id_maps or fk.field not in df.columns:
                 continue
+            columns = df.columns
             ids = id_maps[fk.target].select(F.col("old_id").alias("_old"), F.col("new_id").alias("_new"))
-            joined = df.join(ids, F.col(fk.field) == F.col("_old"), "left")
+            joined = df.where(F.col(fk.field).isNotNull()).join(ids, F.col(fk.field) == F.col("_old"), "left")
             changed = F.col("_new").isNotNull() & (F.col("_new") != F.col(fk.field))
             counts.append(joined.agg(F.count_if(changed).alias("changed")).select(F.lit(name).alias("table"), F.lit(fk.field).alias("field"), "changed"))
-            df = joined.withColumn(fk.field, F.coalesce("_new", fk.field)).drop("_old", "_new")
+            df = joined.withColumn(fk.field, F.coalesce("_new", fk.field)).select(*columns).unionByName(df.where(F.col(fk.field).isNull()))
         out[name] = df
-    report = counts[0] if counts else None
-    for more in counts[1:]:
-        report = report.unionByName(more)
-    return out, report
+    return out, union(counts) if counts else SparkSession.active().createDataFrame([], "table string, field string, changed long")
 
 
 def absent_ids(requested: DataFrame, df: DataFrame, id_col: str) -> DataFrame:

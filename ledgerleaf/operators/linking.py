@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import class_namespace, is_blank, is_null_or_empty, is_placeholder_uuid, is_uuid, uuid5
+from ..specs import SPECS, TableSpec
 from .quality import Tables, union
 
 
@@ -76,58 +77,85 @@ def city_mismatch(tables: Tables, city: DataFrame) -> DataFrame:
     return union([apply_city(df, city).agg(F.count_if("changed").alias("mismatches")).select(F.lit(n).alias("table"), "mismatches") for n, df in tables.items()])
 
 
-_RESULT = "struct<record_index:int,selections:array<struct<field:string,id:string,index:int>>>"
+_CHOICE = "array<map<string,string>>"
+_ENTRY = f"struct<record_index:string,selections:{_CHOICE}>"
 
 
-def apply_selections(records: DataFrame, responses: DataFrame, options: DataFrame, fields: list[str]) -> DataFrame:
-    """Ids chosen for records: responses (doc_id, batch_no, response) as a list, one object or {"results": [...]}; the last answer of a field counts.
+def _entries(response: Column) -> Column:
+    """The answers of one response as (record_index, selections), whatever its shape.
 
-    An ``id`` wins over an ``index``, which is looked up in options (doc_id, field, index, id); fields without an answer become null.
+    ``batch_results`` (or ``results``, or the response itself) is a list of answers, one answer, or a map from record
+    numbers to answers; a response that only has ``selections`` answers for record 0. Anything else has no answers.
     """
-    text = F.trim("response")
-    parsed = F.coalesce(
-        F.when(text.startswith("["), F.from_json(text, f"array<{_RESULT}>")),
-        F.from_json(text, f"struct<results:array<{_RESULT}>>")["results"],
-        F.array(F.from_json(text, _RESULT)),
+    text = F.trim(response)
+    inner = F.coalesce(F.get_json_object(text, "$.batch_results"), F.get_json_object(text, "$.results"))
+    body = F.trim(F.coalesce(inner, F.when(text.startswith("["), text)))
+    keys = F.json_object_keys(body)
+    single = F.array_contains(keys, "record_index") | F.array_contains(keys, "selections")
+    keyed = F.transform(
+        F.map_entries(F.from_json(body, "map<string,string>")),
+        lambda e: F.struct(F.coalesce(F.get_json_object(e["value"], "$.record_index"), e["key"]).alias("record_index"), F.from_json(F.get_json_object(e["value"], "$.selections"), _CHOICE).alias("selections")),
     )
-    flat = responses.select("doc_id", "batch_no", F.posexplode(parsed).alias("p", "r")).select("doc_id", "batch_no", "p", "r.record_index", F.posexplode("r.selections").alias("q", "s"))
-    found = flat.select("doc_id", "batch_no", "record_index", F.col("s.field").alias("field"), F.struct("p", "q").alias("at"), F.struct(F.nullif("s.id", F.lit("")).alias("id"), F.col("s.index").alias("index")).alias("v"))
-    last = found.groupBy("doc_id", "batch_no", "record_index", "field").agg(F.max_by("v", "at").alias("v")).select("doc_id", "batch_no", F.col("record_index").alias("batch_idx"), "field", "v.id", "v.index")
-    looked = last.join(options.select("doc_id", "field", "index", F.col("id").alias("_opt")), ["doc_id", "field", "index"], "left")
-    chosen = looked.groupBy("doc_id", "batch_no", "batch_idx").pivot("field", fields).agg(F.first(F.coalesce("id", "_opt")))
-    out = records.drop(*fields).join(chosen, ["doc_id", "batch_no", "batch_idx"], "left")
-    return out
+    bare = F.when(inner.isNull() & F.array_contains(F.json_object_keys(text), "selections"), F.array(F.struct(F.lit("0").alias("record_index"), F.from_json(F.get_json_object(text, "$.selections"), _CHOICE).alias("selections"))))
+    return F.when(body.startswith("["), F.from_json(body, f"array<{_ENTRY}>")).when(single, F.array(F.from_json(body, _ENTRY))).when(body.startswith("{"), keyed).otherwise(bare)
+
+
+def apply_selections(records: DataFrame, responses: DataFrame, options: DataFrame, fields: list[str]) -> DataFrame:
+    """Ids chosen for records (doc_id, batch_no, batch_idx): responses (doc_id, batch_no, response) in any of the shapes of ``_entries``; the last answer of a field counts.
+
+    An ``id`` (also a null one) wins over an ``index``, which is looked up in options (doc_id, field, index, id); an index
+    that isn't there says nothing. Fields without an answer become null; answers for records that aren't there, and
+    answers that aren't whole numbers, are dropped. A broken response has no answers.
+    """
+    flat = responses.select("doc_id", "batch_no", F.posexplode(_entries(F.col("response"))).alias("p", "r"))
+    flat = flat.select("doc_id", "batch_no", "p", F.col("r.record_index").try_cast("int").alias("batch_idx"), F.posexplode("r.selections").alias("q", "s")).where("batch_idx >= 0")
+    said = flat.select("doc_id", "batch_no", "batch_idx", F.element_at("s", "field").alias("field"), F.struct("p", "q").alias("_at"), F.map_contains_key("s", "id").alias("_named"), F.element_at("s", "id").alias("_id"), F.element_at("s", "index").try_cast("int").alias("index"))
+    known = options.select("doc_id", "field", "index", F.col("id").cast("string").alias("_opt"))
+    looked = said.where("NOT _named").join(known, ["doc_id", "field", "index"])
+    keys = ["doc_id", "batch_no", "batch_idx", "field"]
+    both = said.where("_named").select(*keys, "_at", "_id").unionByName(looked.where("_opt IS NOT NULL").select(*keys, "_at", F.col("_opt").alias("_id")))
+    last = both.where(F.col("field").isin(*fields)).groupBy(*keys).agg(F.max_by("_id", "_at").alias("_id"))
+    chosen = last.groupBy("doc_id", "batch_no", "batch_idx").pivot("field", fields).agg(F.first("_id"))
+    return records.drop(*fields).join(chosen, ["doc_id", "batch_no", "batch_idx"], "left")
 
 
 def tokens(c: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(c), r"(?U)[^\p{L}\p{N}]+"), lambda x: x != ""))
 
 
-def link_fk(records: DataFrame, options: DataFrame, min_score: float = 0.2, max_df: int | None = None, scorer: Callable[[Column, Column, Column], Column] | None = None, not_self: bool = False) -> DataFrame:
+def link_fk(records: DataFrame, options: DataFrame, min_score: float = 0.2, scorer: Callable[[Column, Column, Column], Column] | None = None, not_self: bool = False) -> DataFrame:
     """records (doc_id, rec_idx, text[, own_id]) × options (doc_id, id, label) of one document -> the best id or null.
 
-    Only pairs that share a token meet; tokens in more than ``max_df`` options of a document are left out of the
-    blocking. The score is shared tokens over all tokens of both (or ``scorer`` of shared, text tokens, label tokens);
-    ties go to the smaller id. ``not_self`` leaves out the record's own id.
+    The score is shared tokens over all tokens of both (or ``scorer`` of shared, text tokens, label tokens); ties go to the
+    smaller id. ``not_self`` leaves out the record's own id. Without a scorer only pairs meet that share one of the
+    rarest tokens of both: of n tokens all but the commonest ``ceil(min_score * n) - 1``, as two sets that reach the score
+    share one of these (so no pair is lost). With a scorer all pairs that share a token meet. Records without a token, or
+    without a like option, have linked_id and score null.
     """
     own = records.withColumn("_t", tokens(F.col("text")))
     opts = options.withColumn("_l", tokens(F.col("label")))
-    words = opts.select("doc_id", "id", F.size("_l").alias("nl"), F.explode("_l").alias("w"))
-    if max_df is not None:
-        rare = words.groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("_df")).where(F.col("_df") <= max_df).drop("_df")
-        words = words.join(rare, ["doc_id", "w"], "left_semi")
+    if scorer is None and min_score > 0:
+        words = opts.select("doc_id", F.explode("_l").alias("_w")).groupBy("doc_id", "_w").agg(F.count(F.lit(1)).alias("_n"))
+
+        def rarest(df: DataFrame, keys: list[str], sets: str) -> DataFrame:
+            ranked = df.select("doc_id", *keys, F.explode(sets).alias("_w")).join(words, ["doc_id", "_w"], "left")
+            sorted_ = ranked.groupBy("doc_id", *keys).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_w").alias("w")))).alias("_s"))
+            most = F.size("_s") - F.ceil(F.size("_s") * F.lit(min_score) - 1e-9).cast("int") + 1
+            return sorted_.select("doc_id", *keys, F.explode(F.slice("_s", F.lit(1), most)).alias("_w")).select("doc_id", *keys, "_w.w")
+
+        left, right = rarest(own, ["rec_idx"], "_t"), rarest(opts, ["id", "label"], "_l")
+    else:
+        left, right = own.select("doc_id", "rec_idx", F.explode("_t").alias("w")), opts.select("doc_id", "id", "label", F.explode("_l").alias("w"))
+    pairs = left.join(right, ["doc_id", "w"]).select("doc_id", "rec_idx", "id", "label").distinct()
     keep = ["own_id"] if not_self else []
-    left = own.select("doc_id", "rec_idx", *keep, F.size("_t").alias("nt"), F.explode("_t").alias("w"))
-    pairs = left.join(words, ["doc_id", "w"])
+    full = pairs.join(own.select("doc_id", "rec_idx", *keep, "_t"), ["doc_id", "rec_idx"]).join(opts.select("doc_id", "id", "label", "_l").distinct(), ["doc_id", "id", "label"])
     if not_self:
-        pairs = pairs.where(~F.col("id").eqNullSafe(F.col("own_id")))
-    shared = pairs.groupBy("doc_id", "rec_idx", "id", "nt", "nl").agg(F.count(F.lit(1)).alias("shared"))
-    score = scorer(F.col("shared"), F.col("nt"), F.col("nl")) if scorer else F.col("shared") / (F.col("nt") + F.col("nl") - F.col("shared"))
-    scored = shared.withColumn("score", score).where(F.col("score") >= min_score)
-    best = scored.groupBy("doc_id", "rec_idx").agg(F.max("score").alias("_best"))
-    top = scored.join(best, ["doc_id", "rec_idx"]).where(F.col("score") == F.col("_best"))
-    top = top.groupBy("doc_id", "rec_idx").agg(F.min("id").alias("linked_id"), F.first("score").alias("score"))
-    return records.join(top, ["doc_id", "rec_idx"], "left")
+        full = full.where(~F.col("id").eqNullSafe(F.col("own_id")))
+    shared, nt, nl = F.size(F.array_intersect("_t", "_l")), F.size("_t"), F.size("_l")
+    score = scorer(shared, nt, nl) if scorer else shared / (nt + nl - shared)
+    scored = full.select("doc_id", "rec_idx", "id", score.alias("score")).where(F.col("score") >= min_score)
+    top = scored.groupBy("doc_id", "rec_idx").agg(F.min_by(F.struct("id", "score"), F.struct(-F.col("score"), F.col("id"))).alias("_best"))
+    return records.join(top.select("doc_id", "rec_idx", F.col("_best.id").alias("linked_id"), F.col("_best.score").alias("score")), ["doc_id", "rec_idx"], "left")
 
 
 def link_parent(df: DataFrame, id_col: str, text_col: str, label_col: str, **more) -> DataFrame:
@@ -138,12 +166,17 @@ def link_parent(df: DataFrame, id_col: str, text_col: str, label_col: str, **mor
 
 
 def prior_context(items: DataFrame, chunks: DataFrame, n: int = 0) -> DataFrame:
-    """(doc_id, class, signature, chunk_index, item, at): items of the same table in earlier chunks, each once, the first n a signature (n <= 0: all)."""
+    """(doc_id, class, signature, chunk_index, item, item_chunk, at): items of the same table in earlier chunks, each once, the first n a signature (n <= 0: all).
+
+    Items come in the order of their first chunk, so the first n of a chunk are among the first n of all: these are
+    chosen before items and chunks meet.
+    """
     keys = ["doc_id", "class", "signature"]
     first = items.groupBy(*keys, "item").agg(F.min("chunk_index").alias("item_chunk"), F.min("seq").alias("seq"))
-    got = chunks.select(*keys, "chunk_index").distinct().join(first, keys).where(F.col("item_chunk") < F.col("chunk_index"))
-    ranked = got.withColumn("at", F.row_number().over(W.partitionBy(*keys, "chunk_index").orderBy("item_chunk", "seq", "item")))
-    return (ranked.where(F.col("at") <= n) if n > 0 else ranked).drop("seq")
+    ranked = first.withColumn("at", F.row_number().over(W.partitionBy(*keys).orderBy("item_chunk", "seq", "item")))
+    if n > 0:
+        ranked = ranked.where(F.col("at") <= n)
+    return chunks.select(*keys, "chunk_index").distinct().join(ranked, keys).where(F.col("item_chunk") < F.col("chunk_index")).drop("seq")
 
 
 def merge_items(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -153,9 +186,38 @@ def merge_items(existing: DataFrame, new: DataFrame) -> DataFrame:
     return once.groupBy("signature").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "item"))), lambda x: x["item"]).alias("items"))
 
 
-def retry_feedback(issues: DataFrame, groups: DataFrame) -> DataFrame:
-    """(table, rec_idx, messages, text): reference messages, then duplicate messages, of each record."""
-    first = issues.select("table", "rec_idx", F.lit(0).alias("kind"), F.concat("field", F.lit(": "), "message").alias("message"))
-    second = groups.select("table", F.explode("rows").alias("rec_idx"), F.lit(1).alias("kind"), F.concat(F.lit("duplicate key "), "key_fields").alias("message"))
-    per = first.unionByName(second).groupBy("table", "rec_idx").agg(F.array_sort(F.collect_list(F.struct("kind", "message"))).alias("m"))
-    return per.select("table", "rec_idx", F.transform("m", lambda x: x["message"]).alias("messages")).withColumn("text", F.array_join("messages", "; "))
+#: Which step chooses a table's references anew.
+RETRY_TARGETS = {
+    "EmissionRecord": "emission_sector",
+    "Indicator": "indicator_sector",
+    "BudgetFunding": "budget_funding",
+    "InitiativeStakeholder": "initiative_stakeholder",
+    "InitiativeIndicator": "initiative_indicator",
+    "InitiativeTef": "initiative_tef",
+    "IndicatorValue": "indicator_value",
+    "CityTarget": "city_target",
+    "TefCategory": "tef_parent",
+}
+#: What is said about a repeated key.
+REPEATED = "Duplicate unique key on (%s): %s. Choose a different match if possible to make this combination unique."
+
+
+def retry_feedback(issues: DataFrame, groups: DataFrame, specs: dict[str, TableSpec] = SPECS, targets: dict[str, str] = RETRY_TARGETS, only: set[str] | None = None) -> DataFrame:
+    """(table, rec_idx, messages, text, target): a record's reference messages in the order of its references, then its repeated keys in the order of the groups.
+
+    ``issues`` as ``fk_issues``, ``groups`` as ``duplicate_groups`` gives them. ``target``: the step that can mend the
+    table, null if none; with ``only``, just tables whose step is named there. A record's messages are few: one a
+    reference and unique key.
+    """
+    place = F.lit(None).cast("int")
+    for name, spec in specs.items():
+        for k, fk in enumerate(spec.fks):
+            place = F.when((F.col("table") == name) & (F.col("field") == fk.field), k).otherwise(place)
+    first = issues.select("table", "rec_idx", F.lit(0).alias("kind"), place.cast("long").alias("seq"), F.concat("field", F.lit(": "), "message").alias("message"))
+    named = F.array_join(F.transform(F.split("key_fields", ","), lambda c, i: F.concat(c, F.lit("="), F.get("values", i))), ", ")
+    said = F.format_string(REPEATED, F.array_join(F.split("key_fields", ","), ", "), named)
+    second = groups.select("table", F.explode("rows").alias("rec_idx"), F.lit(1).alias("kind"), F.col("first").cast("long").alias("seq"), said.alias("message"))
+    per = first.unionByName(second).groupBy("table", "rec_idx").agg(F.array_sort(F.collect_list(F.struct("kind", "seq", "message"))).alias("m"))
+    step = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])[F.col("table")] if targets else F.lit(None).cast("string")
+    out = per.select("table", "rec_idx", F.transform("m", lambda x: x["message"]).alias("messages")).withColumns({"text": F.array_join("messages", " "), "target": step})
+    return out if only is None else out.where(F.col("target").isin(*only))

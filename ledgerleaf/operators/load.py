@@ -4,53 +4,75 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import coerce, is_null_or_empty
 from ..specs import CITY_CHAIN, SPECS, TableSpec
-from .quality import Tables, topo_sort, union
+from .quality import Tables, checkpointed, topo_sort, union
 
 _TYPES = {"string": "string", "int": "int", "long": "bigint", "decimal": "decimal(38,12)", "date": "date", "timestamp": "timestamp_ntz", "uuid": "string", "json": "string"}
 
 
 def normalize_columns(df: DataFrame, spec: TableSpec, drop_unknown: bool = False, raw: str = "raw") -> DataFrame:
-    """JSON objects in ``raw`` -> the spec's columns as text, ``present`` (columns whose key is there) and ``unknown`` keys.
+    """JSON objects in ``raw`` -> the spec's columns as text, ``present`` (columns whose key is there), ``unknown`` keys and ``kinds`` (column -> JSON type).
 
-    A key may be the column's name or its snake-case form; the column's name wins if both are there.
+    ``raw`` is parsed once. A key may be the column's name or its snake-case form; the column's name wins if both are
+    there. What is no JSON object has ``present`` null. Columns with the names of added ones give way.
     """
     snake = {column: name for name, column in spec.aliases().items()}
-    keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
-    value = lambda k: F.get_json_object(raw, f"$['{k}']")
-    cols = {c: F.when(F.array_contains("_keys", c), value(c)).otherwise(value(snake[c])) for c in spec.columns}
-    present = F.array_compact(F.array(*[F.when(F.array_contains("_keys", c) | F.array_contains("_keys", snake[c]), c) for c in spec.columns]))
+    df = df.drop(*spec.columns, "present", "unknown", "kinds")
+    # a generated column: later filters on its parts are not pushed below it, where they would parse again
+    read = df.withColumn("_json", F.explode(F.array(F.from_json(raw, "map<string,variant>"))))
+    value = lambda c: F.when(F.map_contains_key("_json", c), F.element_at("_json", c)).otherwise(F.element_at("_json", snake[c]))
+    has = lambda c: F.map_contains_key("_json", c) | F.map_contains_key("_json", snake[c])
+    text = {c: F.try_variant_get(value(c), "$", "string") for c in spec.columns}
+    kinds = F.map_from_arrays(F.array(*[F.lit(c) for c in spec.columns]), F.array(*[F.regexp_extract(F.schema_of_variant(value(c)), "^[A-Z]+", 0) for c in spec.columns]))
+    present = F.when(F.col("_json").isNotNull(), F.array_compact(F.array(*[F.when(has(c), c) for c in spec.columns])))
     known = F.array(*[F.lit(k) for c in spec.columns for k in dict.fromkeys((c, snake[c]))])
-    out = df.withColumn("_keys", keys).withColumns({**cols, "present": present, "unknown": F.array_except("_keys", known)}).drop("_keys")
-    return out.withColumn("unknown", F.array().cast("array<string>")) if drop_unknown else out
+    unknown = F.array().cast("array<string>") if drop_unknown else F.coalesce(F.array_except(F.map_keys("_json"), known), F.array().cast("array<string>"))
+    return read.withColumns({**text, "present": present, "unknown": unknown, "kinds": kinds}).drop("_json")
 
 
-def validate(df: DataFrame, spec: TableSpec, mode: str = "validate") -> tuple[DataFrame, DataFrame]:
+#: JSON types that a column of a kind may have.
+_JSON = {"string": ("STRING",), "uuid": ("STRING",), "date": ("STRING", "BIGINT"), "timestamp": ("STRING", "BIGINT"), "json": None}
+_NUMBER = ("STRING", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+
+
+def validate(df: DataFrame, spec: TableSpec, mode: str = "validate", on_error: str = "continue") -> tuple[DataFrame, DataFrame]:
     """(valid rows, typed; errors (table, rec_idx, field, type)). Wants the output of ``normalize_columns``.
 
-    ``missing``: a required key is absent; ``null``: it is there but null or blank; ``type``: the text is no such value;
-    ``extra``: an unknown key. ``permissive`` drops unknown keys and keeps rows whose optional fields don't convert.
+    ``missing``: a required key is absent; ``null``: it is there but null or blank; ``type``: the value is no such value,
+    also a number or an object where text belongs, and, with field null, a record that is no object; ``extra``: an unknown
+    key. ``permissive`` drops unknown keys and keeps rows whose optional fields don't convert. ``on_error="stop"``: all
+    errors are found before anything is returned, and the first by row and field is raised.
     """
-    checks, typed = [], {}
+    now, typed = df.withColumn("_object", F.col("present").isNotNull()), {}
+    kind_of = lambda c: F.coalesce(F.element_at("kinds", c), F.lit("STRING")) if "kinds" in df.columns else F.lit("STRING")
+    for c, (kind, _) in spec.columns.items():
+        number = kind_of(c) == "BIGINT"
+        typed[f"_t_{c}"] = coerce(F.col(c), kind, number if kind in ("date", "timestamp") else None).cast(_TYPES[kind])
+    now = now.withColumns(typed)
+    checks = []
     for c, (kind, required) in spec.columns.items():
-        value = coerce(F.col(c), kind)
+        allowed = _JSON.get(kind, _NUMBER)
+        fits = F.lit(True) if allowed is None else kind_of(c).isin(*allowed)
         blank = F.col(c).isNull() | (F.trim(F.col(c)) == "")
-        typed[c] = value.cast(_TYPES[kind])
-        wrong = F.when(~blank & value.isNull(), "type") if required or mode == "validate" else F.lit(None)
+        wrong = F.when(~blank & (F.col(f"_t_{c}").isNull() | ~fits), "type") if required or mode == "validate" else F.lit(None)
         problem = F.when(~F.array_contains("present", c), "missing").when(blank, "null").otherwise(wrong) if required else wrong
         checks.append(F.when(problem.isNotNull(), F.struct(F.lit(c).alias("field"), problem.alias("type"))))
     found = F.array_compact(F.array(*checks))
     if mode == "validate":
         found = F.concat(found, F.transform("unknown", lambda k: F.struct(k.alias("field"), F.lit("extra").alias("type"))))
-    marked = df.withColumn("_errors", found)
+    no_object = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit("type").alias("type")))
+    marked = now.withColumn("_errors", F.explode(F.array(F.when(F.col("_object"), found).otherwise(no_object))))
     errors = marked.select(F.lit(spec.name).alias("table"), "rec_idx", F.explode("_errors").alias("e")).select("table", "rec_idx", "e.field", "e.type")
-    valid = marked.where(F.size("_errors") == 0).withColumns(typed).drop("_errors", "present", "unknown")
-    return valid, errors
+    if on_error == "stop":
+        first = errors.orderBy("rec_idx", "field").first()
+        if first:
+            raise ValueError(f"{first.table}[{first.rec_idx}] {first.field}: {first.type}")
+    keep = [F.col(f"_t_{c}").alias(c) if c in spec.columns else F.col(f"`{c}`") for c in df.columns if c not in ("present", "unknown", "kinds")]
+    return marked.where(F.size("_errors") == 0).select(*keep), errors
 
 
 def fill_pk(df: DataFrame, pk: str, generated: str) -> DataFrame:
@@ -64,26 +86,26 @@ def city_ids(tables: Tables) -> DataFrame:
 
 
 def city_scope(tables: Tables, ids: DataFrame, specs: dict[str, TableSpec] = SPECS, chain: dict[str, tuple[str, str]] = CITY_CHAIN, city: str = "cityId") -> Tables:
-    """Rows that belong to the cities in ``ids``: by their own city column, or by the row they refer to; tables of neither kind whole."""
-    out: Tables = {}
-    for name, df in tables.items():
-        if city in df.columns:
-            out[name] = df.join(ids.select(city).distinct(), city, "left_semi")
+    """Rows that belong to the cities in ``ids``: by their own city column, or by the row they refer to; tables of neither kind whole.
+
+    Tables may come in any order. A table that belongs to cities through one that isn't there is empty, as is one on a
+    ring of such references: none of its rows is known to belong.
+    """
+    out: Tables = {n: df.join(ids.select(city).distinct(), city, "left_semi") for n, df in tables.items() if city in df.columns}
+    out |= {n: df for n, df in tables.items() if n not in out and n not in chain}
     pending = [n for n in tables if n not in out]
-    for name in pending:
-        fk, parent = chain.get(name, (None, None))
-        if parent in out:
-            keys = out[parent].select(F.col(specs[parent].pk).alias(fk)).distinct()
-            out[name] = tables[name].join(keys, fk, "left_semi")
-        else:
-            out[name] = tables[name]
-    return out
+    while ready := [n for n in pending if chain[n][1] in out]:
+        for name in ready:
+            fk, parent = chain[name]
+            out[name] = tables[name].join(out[parent].select(F.col(specs[parent].pk).alias(fk)).distinct(), fk, "left_semi")
+        pending = [n for n in pending if n not in out]
+    out |= {n: tables[n].limit(0) for n in pending}
+    return {n: out[n] for n in tables}
 
 
 def filter_city(tables: Tables, city_id: str, **more) -> Tables:
     """``city_scope`` of one city; rows of shared tables come once."""
-    spark = next(iter(tables.values())).sparkSession
-    return city_scope(tables, spark.createDataFrame([(city_id,)], "cityId string"), **more)
+    return city_scope(tables, SparkSession.active().createDataFrame([(city_id,)], "cityId string"), **more)
 
 
 def gate_by_city(tables: Tables, bad: DataFrame, **more) -> Tables:
@@ -93,49 +115,75 @@ def gate_by_city(tables: Tables, bad: DataFrame, **more) -> Tables:
 
 
 def enforce_constraints(tables: Tables, specs: dict[str, TableSpec] = SPECS) -> tuple[Tables, DataFrame]:
-    """In load order: unique key and unique keys (first row wins, null parts never clash), then references among accepted parents; (accepted, rejected (table, rec_idx, reason))."""
+    """In load order: unique key and unique keys (first row wins, null parts never clash), then references among accepted parents; (accepted, rejected (table, rec_idx, reason)).
+
+    A table's rows get their first reason in one pass and are saved before its children look at them, so nothing is
+    computed again. Rows with null keys or references stay out of the joins. No tables: nothing accepted or rejected.
+    """
     accepted: Tables = {}
     rejected = []
     for name in [n for n in specs if n in tables]:
-        spec, df = specs[name], tables[name]
+        spec, given = specs[name], tables[name]
+        why = F.lit(None).cast("string")
+        df = given.withColumn("_why", F.when(F.col(spec.pk).isNull(), "null primary key").otherwise(why))
         for reason, key in [("duplicate primary key", (spec.pk,)), *[("duplicate " + ",".join(k), k) for k in spec.unique_keys]]:
-            null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-            first = df.where(~null).groupBy(*key).agg(F.min("rec_idx").alias("_first"))
-            df = df.join(first, list(key), "left")
-            again = F.col("_first").isNotNull() & (F.col("rec_idx") > F.col("_first"))
-            if key == (spec.pk,):
-                rejected.append(df.where(null).select(F.lit(name).alias("table"), "rec_idx", F.lit("null primary key").alias("reason")))
-                df = df.where(~null)
-            rejected.append(df.where(again).select(F.lit(name).alias("table"), "rec_idx", F.lit(reason).alias("reason")))
-            df = df.where(~again).drop("_first")
+            open_ = F.col("_why").isNull() & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+            live = df.where(open_)
+            first = live.groupBy(*key).agg(F.min("rec_idx").alias("_first"))
+            marked = live.join(first, list(key)).withColumn("_why", F.when(F.col("rec_idx") > F.col("_first"), reason))
+            df = marked.select(*given.columns, "_why").unionByName(df.where(~open_))
         for fk in spec.fks:
             if fk.field not in df.columns or (fk.target not in accepted and fk.target != name):
                 continue
+            reason = f"{fk.field} not in {fk.target}"
             if fk.target == name:
-                df, lost = _whole_trees(df, spec.pk, fk.field)
+                df = checkpointed(df)
+                keep, _ = _whole_trees(df.where("_why IS NULL").drop("_why"), spec.pk, fk.field)
+                inside = keep.select(F.col(spec.pk).alias("_p"), F.lit(True).alias("_in"))
+                open_, side = F.col("_why").isNull(), spec.pk
             else:
-                ids = accepted[fk.target].select(F.col(specs[fk.target].pk).alias("_p"))
-                lost = df.where(F.col(fk.field).isNotNull()).join(ids, F.col(fk.field) == F.col("_p"), "left_anti")
-                df = df.join(ids.withColumn("_in", F.lit(True)), F.col(fk.field) == F.col("_p"), "left").where(F.col(fk.field).isNull() | F.col("_in")).drop("_p", "_in")
-            rejected.append(lost.select(F.lit(name).alias("table"), "rec_idx", F.lit(f"{fk.field} not in {fk.target}").alias("reason")))
-        accepted[name] = df
-    return accepted, union(rejected)
+                inside = accepted[fk.target].select(F.col(specs[fk.target].pk).alias("_p"), F.lit(True).alias("_in"))
+                open_, side = F.col("_why").isNull() & F.col(fk.field).isNotNull(), fk.field
+            marked = df.where(open_).join(inside, F.col(side) == F.col("_p"), "left").withColumn("_why", F.when(F.col("_in").isNull(), reason))
+            df = marked.select(*given.columns, "_why").unionByName(df.where(~open_))
+        df = checkpointed(df)
+        accepted[name] = df.where("_why IS NULL").drop("_why")
+        rejected.append(df.where("_why IS NOT NULL").select(F.lit(name).alias("table"), "rec_idx", F.col("_why").alias("reason")))
+    return accepted, union(rejected) if rejected else SparkSession.active().createDataFrame([], "table string, rec_idx long, reason string")
 
 
 def _whole_trees(df: DataFrame, pk: str, parent: str) -> tuple[DataFrame, DataFrame]:
     """Rows whose ancestors all are in the table and end in a root; the others."""
     ordered, missing = topo_sort(df, pk, parent)
-    roots = ordered.join(missing, F.col(parent) == F.col("missing_parent"), "left")
-    lost_roots = roots.where(F.col("missing_parent").isNotNull()).select(F.element_at("path", 1).alias("_r")).distinct()
+    roots = ordered.where(F.col(parent).isNotNull()).join(missing, F.col(parent) == F.col("missing_parent"))
+    lost_roots = roots.select(F.element_at("path", 1).alias("_r")).distinct()
     good = ordered.where(F.col("level").isNotNull()).withColumn("_root", F.element_at("path", 1)).join(lost_roots, F.col("_root") == F.col("_r"), "left_anti")
     keep = good.select(*df.columns)
     return keep, df.join(keep.select(pk), pk, "left_anti")
 
 
-def load_tables(tables: Tables, specs: dict[str, TableSpec], target: str, fmt: str = "parquet") -> None:
-    """Appends accepted rows to ``target``/<table>, parents first."""
-    for name in [n for n in specs if n in tables]:
-        tables[name].write.mode("append").format(fmt).save(f"{target}/{name}")
+def load_tables(tables: Tables, specs: dict[str, TableSpec], target: str, fmt: str = "parquet", batch: str | None = None) -> None:
+    """Adds accepted rows to ``target``/<table>, parents first.
+
+    With ``batch`` a load is a transaction: its rows go to a folder of their own in each table, a run that is repeated
+    replaces them, and the batch counts, for ``read_loaded``, once its mark is written after the last table. Without one
+    rows are appended, and a repeated run adds them again.
+    """
+    named = [n for n in specs if n in tables]
+    for name in named:
+        if batch is None:
+            tables[name].write.mode("append").format(fmt).save(f"{target}/{name}")
+        else:
+            tables[name].write.mode("overwrite").format(fmt).save(f"{target}/{name}/batch={batch}")
+    if batch is not None:
+        mark = SparkSession.active().createDataFrame([(batch, n) for n in named], "batch string, table string")
+        mark.coalesce(1).write.mode("overwrite").json(f"{target}/_loaded/batch={batch}")
+
+
+def read_loaded(spark: SparkSession, target: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """Rows of a table whose batches were loaded as a whole; ``batch`` tells which."""
+    done = spark.read.schema("batch string, table string").json(f"{target}/_loaded").where(F.col("table") == name).select("batch").distinct()
+    return spark.read.format(fmt).option("basePath", f"{target}/{name}").load(f"{target}/{name}/batch=*").withColumn("batch", F.col("batch").cast("string")).join(done, "batch", "left_semi")
 
 
 def load_report(counts: DataFrame, errors: DataFrame, limit: int = 50) -> DataFrame:
@@ -157,8 +205,18 @@ def id_sets(a: DataFrame, b: DataFrame, id_col: str) -> DataFrame:
     return joined.select("id", F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "extra").otherwise("matched").alias("side"))
 
 
-def reconcile(source: Tables, target: Tables, specs: dict[str, TableSpec] = SPECS, shared: tuple[str, ...] = ()) -> DataFrame:
-    """(table, source_count, target_count, matched, missing, extra, ok, shared) by table; ok: nothing missing."""
-    found = [id_sets(source[n], target[n], specs[n].pk).withColumn("table", F.lit(n)) for n in source if n in target]
-    per = union(found).groupBy("table").agg(*[F.count_if(F.col("side") == s).alias(s) for s in ("matched", "missing", "extra")])
+def reconcile(source: Tables, target: Tables, specs: dict[str, TableSpec] = SPECS, shared: tuple[str, ...] = (), cities: DataFrame | None = None, city: str = "cityId") -> DataFrame:
+    """(table, source_count, target_count, matched, missing, extra, ok, shared) by table in both; ok: nothing missing.
+
+    ``cities`` (cityId): tables with a city column are compared for these cities only; tables without one, whole. Ids
+    count once; null ids don't count; a table without ids has all counts 0 and is ok.
+    """
+    found = []
+    for n in [n for n in source if n in target]:
+        sides = [df.join(cities.select(city).distinct(), city, "left_semi") if cities is not None and city in df.columns else df for df in (source[n], target[n])]
+        counts = [F.count_if(F.col("side") == s).alias(s) for s in ("matched", "missing", "extra")]
+        found.append(id_sets(*sides, specs[n].pk).agg(*counts).select(F.lit(n).alias("table"), "*"))
+    if not found:
+        return SparkSession.active().createDataFrame([], "table string, source_count long, target_count long, matched long, missing long, extra long, ok boolean, shared boolean")
+    per = union(found)
     return per.select("table", (F.col("matched") + F.col("missing")).alias("source_count"), (F.col("matched") + F.col("extra")).alias("target_count"), "matched", "missing", "extra", (F.col("missing") == 0).alias("ok"), F.col("table").isin(*shared).alias("shared") if shared else F.lit(False).alias("shared"))

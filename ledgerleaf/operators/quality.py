@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,34 +17,49 @@ Tables = dict[str, DataFrame]
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
+    if not frames:
+        raise ValueError("there are no tables to put together")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _absent(rows: DataFrame, field: str, parents: DataFrame, pk: str) -> DataFrame:
-    ids = parents.select(F.col(pk).cast("string").alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    return rows.join(ids, F.col(field).cast("string") == F.col("_id"), "left_anti")
-
-
 def fk_issues(tables: Tables, specs: dict[str, TableSpec] = SPECS) -> DataFrame:
-    """(table, rec_idx, field, value, kind, message): blank required references and values not in their target table."""
+    """(table, rec_idx, field, value, kind, message): blank required references and values not in their target table.
+
+    Each table is read once: a left join for each reference marks its value, then a row gives all its issues. A reference
+    whose target is not in ``tables`` is not checked; no tables or none with references give no rows; repeated rows give
+    their issues each.
+    """
     found = []
     for name, rows in tables.items():
-        for fk in specs[name].fks:
-            if fk.field not in rows.columns or fk.target not in tables:
-                continue
-            value = F.col(fk.field).cast("string")
-            shape = lambda df, kind, text: df.select(F.lit(name).alias("table"), "rec_idx", F.lit(fk.field).alias("field"), value.alias("value"), F.lit(kind).alias("kind"), text.alias("message"))  # noqa: B023, E731
-            if not fk.optional:
-                found.append(shape(rows.where(is_null_or_empty(F.col(fk.field))), "missing", F.lit("missing required FK value")))
-            lost = _absent(rows.where(~is_null_or_empty(F.col(fk.field))), fk.field, tables[fk.target], specs[fk.target].pk)
-            found.append(shape(lost, "not_found", F.concat(F.lit("value "), value, F.lit(f" not found in {fk.target}"))))
-    return union(found)
+        fks = [fk for fk in specs[name].fks if fk.field in rows.columns and fk.target in tables]
+        if not fks:
+            continue
+        now = rows.select("rec_idx", *[F.col(fk.field).cast("string").alias(f"_v{k}") for k, fk in enumerate(fks)])
+        for k, fk in enumerate(fks):
+            ids = tables[fk.target].select(F.col(specs[fk.target].pk).cast("string").alias(f"_v{k}")).where(F.col(f"_v{k}").isNotNull()).distinct()
+            now = now.join(ids.withColumn(f"_in{k}", F.lit(True)), f"_v{k}", "left")
+        issues = []
+        for k, fk in enumerate(fks):
+            value = F.col(f"_v{k}")
+            shape = lambda kind, text: F.struct(F.lit(fk.field).alias("field"), value.alias("value"), F.lit(kind).alias("kind"), text.alias("message"))  # noqa: B023, E731
+            blank = F.lit(None) if fk.optional else shape("missing", F.lit("missing required FK value"))
+            lost = shape("not_found", F.concat(F.lit("value "), value, F.lit(f" not found in {fk.target}")))
+            issues.append(F.when(is_null_or_empty(value), blank).when(F.col(f"_in{k}").isNull(), lost))
+        each = now.select(F.lit(name).alias("table"), "rec_idx", F.explode(F.array_compact(F.array(*issues))).alias("i"))
+        found.append(each.select("table", "rec_idx", "i.field", "i.value", "i.kind", "i.message"))
+    return union(found) if found else _nothing("table string, rec_idx long, field string, value string, kind string, message string")
+
+
+def _nothing(schema: str) -> DataFrame:
+    """An empty table in the running session."""
+    return SparkSession.active().createDataFrame([], schema)
 
 
 def duplicate_groups(tables: Tables, rules: dict[str, list[tuple[str, ...]]], max_groups: int | None = 50) -> DataFrame:
-    """(table, key_fields, key, first, rows): rows that share a complete key; the first ``max_groups`` by table and first row (none: all).
+    """(table, key_fields, key, values, first, rows): rows that share a complete key; the first ``max_groups`` by table and first row (none: all).
 
-    Groups are counted before their row numbers are gathered, so only real duplicates are collected.
+    Groups are counted before their row numbers are gathered, so only real duplicates are collected; a group's row numbers
+    are one list, as its readers want it. Rows with a null or empty part of a key are in no group.
     """
     found = []
     for order, (name, keys) in enumerate(rules.items()):
@@ -52,7 +68,7 @@ def duplicate_groups(tables: Tables, rules: dict[str, list[tuple[str, ...]]], ma
             many = whole.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
             rows = whole.join(many, list(key), "left_semi").groupBy(*key).agg(F.array_sort(F.collect_list("rec_idx")).alias("rows"))
             text = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-            found.append(rows.select(F.lit(order).alias("_t"), F.lit(name).alias("table"), F.lit(",".join(key)).alias("key_fields"), text.alias("key"), F.get("rows", F.lit(0)).alias("first"), "rows"))
+            found.append(rows.select(F.lit(order).alias("_t"), F.lit(name).alias("table"), F.lit(",".join(key)).alias("key_fields"), text.alias("key"), F.array(*[F.col(k).cast("string") for k in key]).alias("values"), F.get("rows", F.lit(0)).alias("first"), "rows"))
     out = union(found)
     if max_groups is not None:
         out = out.orderBy("_t", "first", "key").limit(max_groups)
@@ -86,59 +102,88 @@ def fk_presence(tables: Tables, specs: dict[str, TableSpec] = SPECS) -> DataFram
     return union(found)
 
 
+def file_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(table, bytes) of the files under each table's path; paths that aren't there are left out. Contents are not read."""
+    found = []
+    for name, path in paths.items():
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            found.append(files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).select(F.lit(name).alias("table"), "bytes"))
+    return union(found) if found else _nothing("table string, bytes long")
+
+
 def table_profile(tables: Tables, sizes: DataFrame | None = None, specs: dict[str, TableSpec] = SPECS) -> DataFrame:
-    """(table, exists, records, bytes, status) for every expected table; ``sizes``: (table, bytes) of its files."""
-    spark = next(iter(tables.values())).sparkSession
-    expected = spark.createDataFrame([(n,) for n in specs], "table string")
-    counts = union([df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(n).alias("table"), "records") for n, df in tables.items()])
-    out = expected.join(counts, "table", "left")
+    """(table, exists, records, bytes, status) for every expected table; ``sizes``: (table, bytes), as ``file_sizes`` gives them (none: 0). Tables that aren't given don't exist."""
+    expected = SparkSession.active().createDataFrame([(n,) for n in specs], "table string")
+    counts = [df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(n).alias("table"), "records") for n, df in tables.items()]
+    out = expected.join(union(counts) if counts else _nothing("table string, records long"), "table", "left")
     out = out.join(sizes, "table", "left") if sizes is not None else out.withColumn("bytes", F.lit(None).cast("long"))
     exists = F.col("records").isNotNull()
     return out.select("table", exists.alias("exists"), F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("bytes", F.lit(0)).alias("bytes"), F.when(~exists, "missing").when(F.col("records") == 0, "empty").otherwise("ok").alias("status"))
 
 
+def ready(profile: DataFrame) -> DataFrame:
+    """One row of a profile: tables, found, records, bytes, ready (every expected table exists)."""
+    return profile.agg(F.count(F.lit(1)).alias("tables"), F.count_if("exists").alias("found"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.every("exists"), F.lit(True)).alias("ready"))
+
+
 def flag_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds ``first`` and ``is_repeat``: a later row with the same keys; rows with a falsy key are never repeats."""
+    """Adds ``first`` (the smallest rec_idx with the same keys) and ``is_repeat`` (a later row with them).
+
+    Rows with a null or empty key are never repeats: ``first`` is null. Least rows are combined before they are shuffled
+    and joined back, so a key of very many rows is no single group. Columns named ``first`` or ``is_repeat`` give way.
+    """
+    df = df.drop("first", "is_repeat")
     falsy = reduce(lambda a, b: a | b, [is_null_or_empty(F.col(k)) for k in keys])
-    # rows without a key stay apart from the window, or they would all meet in one task
-    keyed = df.where(~falsy).withColumn("first", F.min("rec_idx").over(W.partitionBy(*keys)))
-    rest = df.where(falsy).withColumn("first", F.lit(None).cast("long"))
-    return keyed.unionByName(rest).withColumn("is_repeat", F.coalesce(F.col("rec_idx") > F.col("first"), F.lit(False)))
+    whole, rest = df.where(~falsy), df.where(falsy)  # rows without a key stay out of the join, where they would meet in one task
+    keyed = whole.join(whole.groupBy(*keys).agg(F.min("rec_idx").alias("first")), keys)
+    both = keyed.select(*df.columns, "first").unionByName(rest.withColumn("first", F.lit(None).cast(df.schema["rec_idx"].dataType)))
+    return both.withColumn("is_repeat", F.coalesce(F.col("rec_idx") > F.col("first"), F.lit(False)))
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the folder the cluster names; in a session without one, as in tests, in a local one."""
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage in the folder the cluster names; only a session on one machine may go without one, as in tests."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/ledgerleaf-checkpoints")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ledgerleaf-"))
     return df.checkpoint()
 
 
-def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str = "rec_idx", max_levels: int = 1000, every: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Parents before children: (rows with ``level``, parents that are not in the table).
+def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str = "rec_idx") -> tuple[DataFrame, DataFrame]:
+    """Parents before children: (rows with ``level``, ``path`` and ``is_extra``, parents that are not in the table).
 
-    Level by level: roots have no parent or one that is not there; then their children. Rows on a cycle come after all
-    levels (level null), rows with a null or repeated id last (``is_extra``). Sort by is_extra, level (nulls last), path.
+    Roots have no parent (null or empty) or one that is not there. Levels come by pointer doubling: a row jumps over as
+    many ancestors as it knows, so a chain of n rows takes log2(n) joins, however deep. Rows on or behind a cycle have
+    level null; rows with a null, empty or repeated id are ``is_extra``. Sort by is_extra, level (nulls last), path (the
+    positions from the root down), which is the order of a breadth-first walk. An empty table gives empty tables; columns
+    named like an added one give way.
     """
+    df = df.drop("level", "path", "is_extra")
     keyed = flag_repeats(df, [id_col])
-    good = keyed.where(F.col(id_col).isNotNull() & ~F.col("is_repeat")).drop("first", "is_repeat")
-    extra = keyed.where(F.col(id_col).isNull() | F.col("is_repeat")).drop("first", "is_repeat")
-    ids = good.select(F.col(id_col).alias("_id"))
-    edges = good.join(ids, F.col(parent_col) == F.col("_id"), "left").withColumn("_root", F.col("_id").isNull()).drop("_id")
-    missing = good.where(F.col(parent_col).isNotNull()).join(ids, F.col(parent_col) == F.col("_id"), "left_anti").select(F.col(parent_col).alias("missing_parent")).distinct()
-    place = F.array(F.col(position).cast("long"))
-    level = edges.where("_root").select(F.col(id_col).alias("id"), F.lit(0).alias("level"), place.alias("path"))
-    levels, rest = [level], edges.where("NOT _root")
-    for n in range(1, max_levels):
-        above = level.select(F.col("id").alias("_up"), F.col("path").alias("_path"))
-        level = rest.join(above, F.col(parent_col) == F.col("_up")).select(F.col(id_col).alias("id"), F.lit(n).alias("level"), F.concat("_path", place).alias("path"))
-        if n % every == 0:
-            level = _checkpointed(level)
-        if level.isEmpty():
+    odd = is_null_or_empty(F.col(id_col)) | F.col("is_repeat")
+    good, extra = keyed.where(~odd).select(*df.columns), keyed.where(odd).select(*df.columns)
+    parent = F.when(~is_null_or_empty(F.col(parent_col)), F.col(parent_col))
+    own = good.select(F.col(id_col).alias("_id"), parent.alias("_up"), F.array(F.col(position).cast("long")).alias("_path"))
+    ids = own.select(F.col("_id").alias("_up"), F.lit(True).alias("_in"))
+    below = own.where("_up IS NOT NULL").join(ids, "_up", "left")
+    missing = below.where("_in IS NULL").select(F.col("_up").alias("missing_parent")).distinct()
+    root = own.schema["_id"].dataType
+    start = own.where("_up IS NULL").unionByName(below.select("_id", F.when(F.col("_in"), F.col("_up")).alias("_up"), "_path"))
+    at, open_ = checkpointed(start.select("_id", F.col("_up").cast(root).alias("_up"), "_path")), None
+    while True:
+        left = at.where("_up IS NOT NULL").count()
+        if left in (0, open_):  # those that stay are on or behind a cycle
             break
-        levels.append(level)
-    at = union(levels).withColumnRenamed("id", "_at")
-    ordered = good.join(at, F.col(id_col) == F.col("_at"), "left").drop("_at").withColumn("is_extra", F.lit(False))
+        open_ = left
+        above = at.select(F.col("_id").alias("_up"), F.col("_up").alias("_next"), F.col("_path").alias("_before"))
+        moved = at.where("_up IS NOT NULL").join(above, "_up").select("_id", F.col("_next").alias("_up"), F.concat("_before", "_path").alias("_path"))
+        at = checkpointed(at.where("_up IS NULL").unionByName(moved))
+    done = at.where("_up IS NULL").select("_id", (F.size("_path") - 1).alias("level"), F.col("_path").alias("path"))
+    ordered = good.join(done, F.col(id_col) == F.col("_id"), "left").select(*df.columns, "level", "path", F.lit(False).alias("is_extra"))
     extra = extra.withColumns({"level": F.lit(None).cast("int"), "path": F.lit(None).cast("array<bigint>"), "is_extra": F.lit(True)})
     return ordered.unionByName(extra), missing
 

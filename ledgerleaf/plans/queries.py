@@ -77,15 +77,18 @@ def fk_issues(spark, sf_dir):
 @query(f"""WITH {LI} SELECT 'lineitem' AS "table", 'l_orderkey,l_linenumber' AS key_fields, l_orderkey || '|' || l_linenumber AS key, min(rec_idx) AS first, list(rec_idx ORDER BY rec_idx) AS rows
 FROM li GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
 def duplicate_groups(spark, sf_dir):
-    return quality.duplicate_groups(star(spark, sf_dir, "lineitem"), {"lineitem": [("l_orderkey", "l_linenumber")]}, None)
+    return quality.duplicate_groups(star(spark, sf_dir, "lineitem"), {"lineitem": [("l_orderkey", "l_linenumber")]}, None).drop("values")
 
 
 @query(f"""WITH {LI}, g AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM li GROUP BY ALL)
 SELECT 'lineitem' AS "table", 'pk' AS "check", (SELECT count(*) FROM li) AS records, 0 AS missing, 0 AS groups, 0 AS rows
 UNION ALL SELECT 'lineitem', 'l_orderkey,l_linenumber', sum(n), 0, count(*) FILTER (n > 1), coalesce(sum(n) FILTER (n > 1), 0) FROM g
-UNION ALL SELECT 'orders', 'pk', count(*), 0, 0, 0 FROM orders""")
+UNION ALL SELECT 'orders', 'pk', sum(n), coalesce(sum(n) FILTER (k IS NULL), 0), count(*) FILTER (k IS NOT NULL AND n > 1), coalesce(sum(n) FILTER (k IS NOT NULL AND n > 1), 0)
+FROM (SELECT CASE WHEN o_orderkey % 13 > 0 THEN o_orderkey - o_orderkey % 3 END AS k, count(*) AS n FROM orders GROUP BY 1)""")
 def key_quality(spark, sf_dir):
-    return quality.key_quality(star(spark, sf_dir, "lineitem", "orders"), STAR)
+    t = star(spark, sf_dir, "lineitem", "orders")
+    holes = F.when(F.col("o_orderkey") % 13 > 0, F.col("o_orderkey") - F.col("o_orderkey") % 3)
+    return quality.key_quality({**t, "orders": t["orders"].withColumn("o_orderkey", holes)}, STAR)
 
 
 @query("""SELECT 'lineitem' AS "table", count(*) AS records, count(*) FILTER (l_orderkey % 5 = 0) + count(*) FILTER (l_partkey % 9 = 0) AS blank FROM lineitem
@@ -101,13 +104,23 @@ def flag_repeats(spark, sf_dir):
     return quality.flag_repeats(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]).select("rec_idx", "first", "is_repeat")
 
 
-@query("""SELECT r_regionkey AS id, CAST(NULL AS VARCHAR) AS parent, 0 AS level FROM region UNION ALL SELECT 100 + n_nationkey, CAST(n_regionkey AS VARCHAR), 1 FROM nation
-UNION ALL SELECT 1000 + c_custkey, CAST(100 + c_nationkey AS VARCHAR), 2 FROM customer""")
+@query("""WITH RECURSIVE t AS (SELECT r_regionkey AS id, NULL AS parent FROM region UNION ALL SELECT 100 + n_nationkey, n_regionkey FROM nation
+UNION ALL SELECT 1000 + c_custkey, CASE WHEN c_custkey % 9 = 0 THEN -1 ELSE 100 + c_nationkey END FROM customer UNION ALL SELECT 10000000 + s_suppkey, 10000000 + s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN -1 ELSE 1 END FROM supplier WHERE s_suppkey < 2 * (SELECT count(*) // 2 FROM supplier)
+UNION ALL SELECT 20000000 + o_orderkey, CASE WHEN o_orderkey % 64 > 0 THEN 20000000 + o_orderkey - 1 END FROM orders),
+ids AS (SELECT id FROM t), w AS (SELECT id, 0 AS level FROM t WHERE parent IS NULL OR parent NOT IN (SELECT id FROM ids) UNION ALL SELECT t.id, w.level + 1 FROM t JOIN w ON t.parent = w.id)
+SELECT t.id, CAST(t.parent AS VARCHAR) AS parent, w.level FROM t LEFT JOIN w USING (id)""")
 def topo_sort(spark, sf_dir):
-    t = star(spark, sf_dir, "region", "nation", "customer")
+    """A forest with parents that aren't there, pairs that are each other's parent, and chains of up to 64 orders."""
+    t = star(spark, sf_dir, "region", "nation", "customer", "supplier", "orders")
     row = lambda df, i, p: df.select(F.expr(i).cast("long").alias("id"), F.expr(p).cast("long").alias("parent"))
-    tree = row(t["region"], "r_regionkey", "NULL").unionByName(row(t["nation"], "100 + n_nationkey", "n_regionkey")).unionByName(row(t["customer"], "1000 + c_custkey", "100 + c_nationkey"))
-    return quality.topo_sort(tree.withColumn("rec_idx", F.col("id")), "id", "parent")[0].select("id", F.col("parent").cast("string").alias("parent"), "level")
+    parts = [
+        row(t["region"], "r_regionkey", "NULL"),
+        row(t["nation"], "100 + n_nationkey", "n_regionkey"),
+        row(t["customer"], "1000 + c_custkey", "IF(c_custkey % 9 = 0, -1, 100 + c_nationkey)"),
+        row(t["supplier"].join(F.broadcast(t["supplier"].agg((2 * F.floor(F.count(F.lit(1)) / 2)).alias("n"))), F.col("s_suppkey") < F.col("n")), "10000000 + s_suppkey", "10000000 + s_suppkey + IF(s_suppkey % 2 = 0, -1, 1)"),  # one row
+        row(t["orders"], "20000000 + o_orderkey", "IF(o_orderkey % 64 > 0, 20000000 + o_orderkey - 1, NULL)"),
+    ]
+    return quality.topo_sort(quality.union(parts).withColumn("rec_idx", F.col("id")), "id", "parent")[0].select("id", F.col("parent").cast("string").alias("parent"), "level")
 
 
 @query("""SELECT * FROM (SELECT o_orderkey AS rec_idx, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50), (SELECT count(*) AS total FROM orders)""")
@@ -116,9 +129,13 @@ def cap_details(spark, sf_dir):
     return rows.crossJoin(F.broadcast(total))  # one row
 
 
-@query("""SELECT 'nation' AS "table", (SELECT count(*) FROM nation) AS total, CAST(n_nationkey AS BIGINT) AS rec_idx, n_name AS name FROM nation ORDER BY n_nationkey LIMIT 3""")
+_SAMPLED = {"region": "r_name", "nation": "n_name", "customer": "c_name", "supplier": "s_name", "part": "p_name", "orders": "o_orderstatus", "lineitem": "l_returnflag"}
+
+
+@query(f"WITH {LI} " + " UNION ALL ".join(f"""(SELECT '{n}' AS "table", (SELECT count(*) FROM {n}) AS total, CAST({KEYS.get(n, 'rec_idx')} AS BIGINT) AS rec_idx, {c} AS name FROM {'li' if n == 'lineitem' else n} ORDER BY 3 LIMIT 3)""" for n, c in _SAMPLED.items()))
 def sample_rows(spark, sf_dir):
-    return quality.sample_rows(star(spark, sf_dir, "nation"), 3).select("table", "total", "rec_idx", F.get_json_object("row", "$.n_name").alias("name"))
+    name = F.coalesce(*[F.when(F.col("table") == n, F.get_json_object("row", f"$.{c}")) for n, c in _SAMPLED.items()])
+    return quality.sample_rows(star(spark, sf_dir, *_SAMPLED), 3).select("table", "total", "rec_idx", name.alias("name"))
 
 
 @query("""SELECT 'region' AS "table", true AS "exists", count(*) AS records, 0 AS bytes, 'ok' AS status FROM region UNION ALL SELECT 'orders', true, count(*), 0, 'ok' FROM orders
@@ -240,19 +257,20 @@ def _events(spark, sf_dir):
     body = F.struct(
         F.when(m != 1, F.col("event_id")).alias("id"),
         F.when(m != 2, F.col("user_id")).alias("user_id"),
-        F.when(m == 3, " ").otherwise(F.col("event_type")).alias("eventType"),
+        F.when(m == 3, " ").when(m == 6, "{").otherwise(F.col("event_type")).alias("eventType"),
         F.when(m == 4, "much").otherwise("5").alias("value"),
         F.date_format("ts", "yyyy/MM/dd").alias("day"),
         F.when(m == 5, "x").alias("other"),
     )
-    return e.select(F.col("event_id").alias("rec_idx"), F.to_json(body).alias("raw"))
+    raw = F.to_json(body)
+    return e.select(F.col("event_id").alias("rec_idx"), F.when(m == 6, F.replace(raw, F.lit('"{"'), F.lit('{"a":1}'))).when(m == 7, F.concat(F.lit("["), raw, F.lit("]"))).when(m == 8, F.regexp_replace(raw, '"value":"5"', '"value":5.0')).otherwise(raw).alias("raw"))
 
 
-_ERRORS = """e AS (SELECT 'events' AS "table", event_id AS rec_idx, CASE event_id % 10 WHEN 1 THEN 'id' WHEN 2 THEN 'userId' WHEN 3 THEN 'eventType' WHEN 4 THEN 'value' ELSE 'other' END AS field,
-CASE event_id % 10 WHEN 1 THEN 'missing' WHEN 2 THEN 'missing' WHEN 3 THEN 'null' WHEN 4 THEN 'type' ELSE 'extra' END AS type FROM events WHERE event_id % 10 BETWEEN 1 AND 5)"""
+_ERRORS = """e AS (SELECT 'events' AS "table", event_id AS rec_idx, CASE event_id % 10 WHEN 1 THEN 'id' WHEN 2 THEN 'userId' WHEN 3 THEN 'eventType' WHEN 4 THEN 'value' WHEN 5 THEN 'other' WHEN 6 THEN 'eventType' END AS field,
+CASE event_id % 10 WHEN 1 THEN 'missing' WHEN 2 THEN 'missing' WHEN 3 THEN 'null' WHEN 4 THEN 'type' WHEN 5 THEN 'extra' ELSE 'type' END AS type FROM events WHERE event_id % 10 BETWEEN 1 AND 7)"""
 
 
-@query("""SELECT event_id AS rec_idx, CASE WHEN event_id % 10 <> 2 THEN CAST(user_id AS VARCHAR) END AS "userId", event_id % 10 = 5 AS has_unknown FROM events""")
+@query("""SELECT event_id AS rec_idx, CASE WHEN event_id % 10 NOT IN (2, 7) THEN CAST(user_id AS VARCHAR) END AS "userId", event_id % 10 = 5 AS has_unknown FROM events""")
 def normalize_columns(spark, sf_dir):
     got = load.normalize_columns(_events(spark, sf_dir), _EVENT)
     return got.select("rec_idx", "userId", (F.size("unknown") > 0).alias("has_unknown"))
@@ -274,17 +292,21 @@ def load_report(spark, sf_dir):
     return load.load_report(counts, validate(spark, sf_dir))
 
 
-@query("""SELECT event_id AS rec_idx, strftime(ts, '%Y-%m-%d') AS day, CAST(5 AS DOUBLE) AS value FROM events WHERE event_id % 10 NOT BETWEEN 1 AND 5""")
+@query("""SELECT event_id AS rec_idx, strftime(ts, '%Y-%m-%d') AS day, CAST(5 AS DOUBLE) AS value FROM events WHERE event_id % 10 NOT BETWEEN 1 AND 7""")
 def validated_rows(spark, sf_dir):
     good = load.validate(load.normalize_columns(_events(spark, sf_dir), _EVENT), _EVENT)[0]
     return good.select("rec_idx", F.col("day").cast("string").alias("day"), F.col("value").cast("double").alias("value"))
 
 
-@query("""SELECT 'orders' AS "table", count(*) AS source_count, count(*) FILTER (o_orderkey % 3 <> 0) AS target_count, count(*) FILTER (o_orderkey % 3 <> 0) AS matched,
-count(*) FILTER (o_orderkey % 3 = 0) AS missing, 0 AS extra, count(*) FILTER (o_orderkey % 3 = 0) = 0 AS ok, false AS shared FROM orders""")
+@query("""SELECT 'orders' AS "table", count(*) FILTER (s) AS source_count, count(*) FILTER (t) AS target_count, count(*) FILTER (s AND t) AS matched, count(*) FILTER (s AND NOT t) AS missing,
+count(*) FILTER (t AND NOT s) AS extra, count(*) FILTER (s AND NOT t) = 0 AS ok, false AS shared FROM (SELECT o_orderkey % 5 <> 0 AS s, o_orderkey % 3 <> 0 AS t FROM orders)
+UNION ALL SELECT 'customer', count(*), count(*), count(*), 0, 0, true, true FROM customer WHERE c_nationkey IN (1, 2, 3)""")
 def reconcile(spark, sf_dir):
     t = star(spark, sf_dir, "orders")
-    return load.reconcile(t, {"orders": t["orders"].where("o_orderkey % 3 <> 0")}, STAR)
+    people = table(spark, sf_dir, "customer").withColumn("cityId", F.col("c_nationkey").cast("string"))
+    cities = table(spark, sf_dir, "nation").where("n_nationkey IN (1, 2, 3)").select(F.col("n_nationkey").cast("string").alias("cityId"))
+    there = people.where("c_nationkey IN (1, 2, 3, 4)")
+    return load.reconcile({"orders": t["orders"].where("o_orderkey % 5 <> 0"), "customer": people}, {"orders": t["orders"].where("o_orderkey % 3 <> 0"), "customer": there}, STAR, ("customer",), cities)
 
 
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'missing' WHEN o_orderkey % 5 = 0 THEN 'extra' ELSE 'matched' END AS side FROM orders""")
@@ -397,19 +419,22 @@ def link_candidates(spark, sf_dir):
     return linking.link_fk(records, options).select("rec_idx", "linked_id")
 
 
-_FEED = f"""WITH {LI}, bad AS (SELECT rec_idx FROM li WHERE l_orderkey % 7 = 0), g AS (SELECT rec_idx, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM li)
-SELECT 'lineitem' AS "table", rec_idx, count(*) AS n_messages FROM (SELECT rec_idx FROM bad UNION ALL SELECT rec_idx FROM g WHERE n > 1) GROUP BY rec_idx"""
+_FEED = f"""WITH {LI}, fk AS (SELECT rec_idx, 0 AS kind, 0 AS seq, 'l_orderkey: value ' || l_orderkey || ' not found in orders' AS m FROM li WHERE l_orderkey % 7 = 0
+UNION ALL SELECT rec_idx, 0, 1, 'l_partkey: value ' || l_partkey || ' not found in part' FROM li WHERE l_partkey % 11 = 0),
+g AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM li),
+x AS (SELECT * FROM fk UNION ALL SELECT rec_idx, 1, 0, 'Duplicate unique key on (l_orderkey, l_linenumber): l_orderkey=' || l_orderkey || ', l_linenumber=' || l_linenumber || '. Choose a different match if possible to make this combination unique.' FROM g WHERE n > 1)
+SELECT 'lineitem' AS "table", rec_idx, count(*) AS n_messages, string_agg(m, ' ' ORDER BY kind, seq) AS text, 'again' AS target FROM x GROUP BY rec_idx"""
 
 
 @query(_FEED)
 def retry_feedback(spark, sf_dir):
-    t = star(spark, sf_dir, "orders", "lineitem")
-    issues = quality.fk_issues({"orders": t["orders"].where("o_orderkey % 7 <> 0"), "lineitem": t["lineitem"]}, STAR).where(F.col("table") == "lineitem")
-    got = linking.retry_feedback(issues, duplicate_groups(spark, sf_dir))
-    return got.select("table", "rec_idx", F.size("messages").cast("long").alias("n_messages"))
+    t = holed(spark, sf_dir)
+    groups = quality.duplicate_groups(t, {"lineitem": [("l_orderkey", "l_linenumber")]}, None)
+    got = linking.retry_feedback(quality.fk_issues({"lineitem": t["lineitem"], "orders": t["orders"], "part": t["part"]}, STAR), groups, STAR, {"lineitem": "again"}, {"again"})
+    return got.select("table", "rec_idx", F.size("messages").cast("long").alias("n_messages"), "text", "target")
 
 
-_NORM = r"lower(trim(regexp_replace(regexp_replace({}, '-[ \t]*\r?\n[ \t]*', ' ', 'g'), '\s+', ' ', 'g')))"
+_NORM = r"lower(trim(regexp_replace(regexp_replace({}, '-[\r\n]+', ' ', 'g'), '\s+', ' ', 'g')))"
 
 
 @query(f"""SELECT doc_id, {_NORM.format('text')} AS norm FROM documents""")
@@ -422,7 +447,8 @@ def sanitize(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", S.sanitize_markdown(F.col("text")).alias("clean"))
 
 
-@query(r"""SELECT doc_id, trim(array_to_string(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(rtrim(x), '^[\d.\-\s]+(.+)$', '\1')), chr(10))) AS toc FROM documents""")
+@query(r"""WITH l AS (SELECT doc_id, list_transform(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)), lambda x: regexp_replace(regexp_replace(x, '\s+$', ''), '^\s*[\d.\-]*\s*(.+)$', '\1')) AS x FROM documents),
+b AS (SELECT doc_id, list_filter(x, lambda y, i: y <> '' OR i = 1 OR x[i - 1] <> '') AS x FROM l) SELECT doc_id, regexp_replace(array_to_string(x, chr(10)), '^\s+|\s+$', '', 'g') AS toc FROM b""")
 def normalize_toc(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", S.normalize_toc(F.col("text")).alias("toc"))
 
@@ -507,28 +533,40 @@ def size_gate(spark, sf_dir):
     return text.size_gate(spark.read.parquet(f"{sf_dir}/documents.parquet"), 1000, 300).select("doc_id", "token_count", "route")
 
 
-@query(r"""SELECT doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x) <> '')) AS sentences FROM documents""")
+@query(r"""SELECT doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''), chr(1)) AS sentences FROM documents""")
 def split_sentences(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.size(S.split_sentences(F.col("text"))).cast("long").alias("sentences"))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.array_join(S.split_sentences(F.col("text")), "\x01").alias("sentences"))
 
 
-_COERCED = """SELECT o_orderkey, CAST(CAST(year(o_orderdate) AS INTEGER) AS INTEGER) AS y, CAST(o_orderkey AS BIGINT) AS i, CAST(o_orderkey AS DOUBLE) AS d, CAST(o_orderkey AS VARCHAR) AS n,
-CAST(year(o_orderdate) AS VARCHAR) || '-01-01' AS t, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_orderkey % 2 = 0 AS is_uuid, o_orderkey % 4 = 0 AS is_placeholder FROM orders"""
+#: Text; first number; verified decimal; whole number to load; date to load. By the written rules, not by the operators.
+_HARD = (
+    ("0.125", "0.125", 0.125, None, None), ("1,471,000", "1471000", 1471000.0, 1471000, None), ("around 3.141 t", "3.141", 3.141, None, None), ("2,5.", "25", 2.5, None, None),
+    ("12,5, then", "125", 12.5, None, None), ("1.471.000", "1471000", 1471000.0, None, None), ("5.7", "5.7", 5.7, None, None), ("1_000", "1", 1.0, 1000, None),
+    ("-7", "-7", -7.0, -7, None), ("none", "none", None, None, None), ("12", "12", 12.0, 12, None), ("2023-05-01Z", "2023", 2023.0, None, "2023-05-01"),
+    ("2030", "2030", 2030.0, 2030, "2030-01-01"), ("20230501", "20230501", 20230501.0, 20230501, "2023-05-01"), ("1,250 t", "1250", 1250.0, None, None), (" ", " ", None, None, None),
+)
+_LITERAL = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+_COERCED = f"""WITH hard(k, text, n, d, i, day) AS (VALUES {", ".join(f"({k}, {', '.join(map(_LITERAL, row))})" for k, row in enumerate(_HARD))})
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(o_orderkey AS BIGINT) AS digits, CAST(d AS DOUBLE) AS d, n, CAST(i AS BIGINT) AS i, day, CAST(year(o_orderdate) AS VARCHAR) || '-01-01' AS t,
+CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS slashed, o_orderkey % 2 = 0 AS is_uuid, o_orderkey % 4 = 0 AS is_placeholder FROM orders JOIN hard ON k = o_orderkey % {len(_HARD)}"""
 
 
 @query(_COERCED)
 def coercions(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     year, key = F.year("o_orderdate").cast("string"), F.col("o_orderkey").cast("string")
+    hard = F.get(F.array(*[F.lit(row[0]) for row in _HARD]), (F.col("o_orderkey") % len(_HARD)).cast("int"))
     id_ = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("00000000-0000-0000-0000-"), F.lpad(key, 12, "0"))).when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("{1F000000-0000-0000-0000-"), F.lpad(key, 12, "0"), F.lit("}"))).otherwise(key)
     return o.select(
         "o_orderkey",
         S.year_int(F.concat(F.lit("in "), year, F.lit(" or so"))).alias("y"),
-        S.verified_int(F.concat(key, F.lit(" units"))).alias("i"),
-        S.verified_decimal(F.concat(F.lit("about "), key)).cast("double").alias("d"),
-        S.first_number(F.concat(F.lit("no. "), key, F.lit(" t"))).alias("n"),
+        S.verified_int(F.concat(key, F.lit(" units"))).alias("digits"),
+        S.verified_decimal(hard).cast("double").alias("d"),
+        S.first_number(hard).alias("n"),
+        S.coerce(hard, "long").alias("i"),
+        S.coerce(hard, "date").cast("string").alias("day"),
         S.year_to_date_text(year).alias("t"),
-        S.coerce(F.date_format("o_orderdate", "yyyy/MM/dd"), "date").cast("string").alias("day"),
+        S.coerce(F.date_format("o_orderdate", "yyyy/MM/dd"), "date").cast("string").alias("slashed"),
         S.is_uuid(id_).alias("is_uuid"),
         S.is_placeholder_uuid(id_).alias("is_placeholder"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.quality import Tables
+from ..operators.quality import Tables, union
 from ..specs import SPECS, TableSpec
 
 RAW = "doc_id string, rec_idx long, raw string"
@@ -58,13 +58,21 @@ def write_tables(tables: Tables, folder: str, mode: str = "overwrite", fmt: str
         df.write.mode(mode).format(fmt).save(f"{folder}{'.dry_run' if dry_run else ''}/{name}")
 
 
-def write_report(frames: dict[str, DataFrame], path: str, first: int = 50) -> None:
-    """One JSON line for each part of a report: its name and its rows; a part of details has its first rows only."""
-    parts = []
-    for name, df in frames.items():
-        rows = df.limit(first).agg(F.collect_list(F.to_json(F.struct("*"))).alias("rows"))
-        parts.append(rows.select(F.lit(name).alias("part"), "rows"))
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    out.coalesce(1).write.mode("overwrite").json(path)
+def write_report(counts: dict[str, DataFrame], path: str, details: dict[str, tuple[DataFrame, list[str]]] | None = None, first: int = 50) -> None:
+    """JSON lines (part, total, position, row): the parts in ``counts`` whole, of those in ``details`` (frame, order) the first rows in order; ``total`` counts all rows of a part.
+
+    A part without rows is one line with position and row null.
+    """
+    out = []
+    for name, df in counts.items():
+        out.append(_part(name, df, df.select(F.lit(None).cast("int").alias("position"), F.to_json(F.struct("*")).alias("row"))))
+    for name, (df, order) in (details or {}).items():
+        top = df.orderBy(*order).limit(first)  # a report names the first errors only
+        ranked = top.withColumn("_at", F.row_number().over(W.orderBy(*order)))  # as many rows as a report shows
+        out.append(_part(name, df, ranked.select(F.col("_at").alias("position"), F.to_json(F.struct(*df.columns)).alias("row"))))
+    union(out).write.mode("overwrite").json(path)
+
+
+def _part(name: str, df: DataFrame, rows: DataFrame) -> DataFrame:
+    total = df.agg(F.count(F.lit(1)).alias("total"))  # one row
+    return total.join(rows, F.lit(True), "left").select(F.lit(name).alias("part"), "total", "position", "row")

@@ -1,9 +1,13 @@
 """Record-table operators: golden rows, traps and invariants."""
 
 import json
+import random
+import re
 import uuid
+from collections import defaultdict
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,11 +27,16 @@ def one(spark, column, *values, kind="string"):
 def test_normalize_for_match(spark):
     got = one(spark, S.normalize_for_match, "  Hello \t World\n", "emission-\nreduction", "emission-\r\nreduction", "A B", "", None)
     assert got == ["hello world", "emission reduction", "emission reduction", "a b", "", None]
+    assert one(spark, S.normalize_for_match, "a- \nb", "a-\rb", "a-\n\r\n b", "a-b") == ["a- b", "a b", "a b", "a-b"]
 
 
 def test_numbers(spark):
     assert one(spark, S.first_number, "1,471,000", "4%", "around 300 MW", "2,5", "-5", "abc", "3.75") == ["1471000", "4", "300", "25", "-5", "abc", "3.75"]
     assert [None if x is None else float(x) for x in one(spark, S.verified_decimal, "1,471,000", "2,5", "1,250", "none")] == [1471000.0, 2.5, 1250.0, None]
+    assert one(spark, S.first_number, "0.125", "1.471", "3.141 t", "1.471.000", "1.471,5", "1,471.5", "12,5, then", "007") == ["0.125", "1.471", "3.141", "1471000", "1471.5", "1471.5", "125", "7"]
+    assert one(spark, lambda c: S.first_number(c, True), "1,471,000", "0.5.7") == ["1471", "0.5"]
+    got = one(spark, S.verified_decimal, "2,5.", "12,5, then", "1.234", "at 3.", "-1,250.75 t", None)
+    assert [None if x is None else float(x) for x in got] == [2.5, 12.5, 1.234, 3.0, -1250.75, None]
     assert one(spark, S.verified_int, "5250", "5250 tCO2e", "-5", "abc") == [5250, 52502, -5, None]
     assert one(spark, S.year_int, "by 2030", "1850", "2019-05-01") == [2030, None, 2019]
     assert one(spark, S.year_to_date_text, "2030", "soon") == ["2030-01-01", "soon"]
@@ -36,6 +45,10 @@ def test_numbers(spark):
 def test_coercions(spark):
     assert [str(x) for x in one(spark, lambda c: S.coerce(c, "date"), "2023/05/01", "2023-05-01T10:00:00Z", "2030", "20230501", "", "abc")] == ["2023-05-01", "2023-05-01", "2030-01-01", "2023-05-01", "None", "None"]
     assert one(spark, lambda c: S.coerce(c, "int"), " 12 ", "1,000", "x", "") == [12, 1000, None, None]
+    assert one(spark, lambda c: S.coerce(c, "int"), "5.7", "1_000", "5.0", "-7", "1e3") == [None, 1000, 5, -7, None]
+    assert [str(x) for x in one(spark, lambda c: S.coerce(c, "date"), "12", "2023-05-01Z", "2023-02-30", "0000")] == ["None", "2023-05-01", "None", "None"]
+    assert [str(x) for x in one(spark, lambda c: S.coerce(c, "date", F.lit(True)), "12", "12345")] == ["0012-01-01", "None"]
+    assert [str(x) for x in one(spark, lambda c: S.coerce(c, "timestamp"), "2030", "2023/05/01T10:00:00+02:00", "2023-05-01", "12")] == ["2030-01-01 00:00:00", "2023-05-01 08:00:00", "2023-05-01 00:00:00", "None"]
     u = str(uuid.uuid4())
     assert one(spark, lambda c: S.coerce(c, "uuid"), "{" + u.upper() + "}", "urn:uuid:" + u, "bad") == [u, u, None]
     assert one(spark, S.is_placeholder_uuid, "00000000-0000-0000-0000-000000000001", u, None) == [True, False, False]
@@ -50,7 +63,7 @@ def test_uuid5_and_canonical_json(spark):
 
 def test_text_scalars(spark):
     assert one(spark, S.sanitize_markdown, "a\r\nb\\nc\n\n\n\nd") == ["a\nb\nc\n\nd"]
-    assert one(spark, S.normalize_toc, "1.2 Title  \n\n\n\n- item", "2030") == ["Title\n\nitem", "0"]
+    assert one(spark, S.normalize_toc, "1.2 Title  \n\n\n\n- item", "2030", "1. 2024 Budget", "2020 35.2 40", "- 2030 target", " \t x\r\n\t\n \ny") == ["Title\n\nitem", "0", "2024 Budget", "35.2 40", "2030 target", "x\n\ny"]
     assert one(spark, S.split_sentences, "One. Two! Three? rest") == [["One.", "Two!", "Three?", "rest"]]
 
 
@@ -79,9 +92,64 @@ def test_chunks(spark):
     assert "And more!" in [c.text for c in chunks]
     with pytest.raises(ValueError):
         text.chunk_documents(docs, 5, 5)
+    assert [(c.chunk_index, c.token_count, c.end_line) for c in text.route_and_chunk(docs.where("doc_id = 1"), 100, 200, 5).collect()] == [(0, 28, 9)]
+    assert text.route_and_chunk(docs.where("doc_id = 1"), 100, 20, 5).count() == 0
+    assert text.route_and_chunk(docs.where("doc_id = 1"), 10, 20, 5).count() == text.chunk_documents(docs, 5).count()
     assert {r.doc_id: r.route for r in text.size_gate(docs, 10, 5).collect()} == {1: "chunk", 2: "whole"}
 
 
+def test_blocks():
+    body = "## B\n# A\ntext\n| - |\n\n#no\n### C\n\n  # D  \n x | y\n:--- | ---:\n|1|2|\n a | b\n--- | ---\nrest\n\n - | -\n--- | ---\n\n# E | F\n---|---\n\nu | v\n---\n"
+    got = [(b[0], b[2], b[3], b[4], b[5]) for b in text.blocks_of(body)]
+    assert got == [
+        ("paragraph", 1, 4, "B", None),
+        ("paragraph", 6, 7, "B", None),
+        ("paragraph", 9, 9, "D", None),
+        ("table", 10, 14, "D", "x | y"),
+        ("paragraph", 15, 15, "D", None),
+        ("paragraph", 17, 18, "D", None),
+        ("table", 20, 21, "E | F", "# E | F"),
+        ("paragraph", 23, 24, "E | F", None),
+    ]
+    assert text.blocks_of(None) == [] and text.blocks_of(" \n\t\n") == []
+    assert [b[4] for b in text.blocks_of("#### x\n\n## y\n\n### z\n\n# w")] == ["x", "x > y", "x > y > z", "w"]
+
+
+def test_chunks_against_a_plain_version(spark):
+    r = random.Random(4)
+    docs = []
+    for d in range(60):
+        parts = []
+        for _ in range(r.randrange(0, 12)):
+            kind = r.randrange(4)
+            words = lambda n: " ".join(r.choice(["a", "bb", "ccc."]) for _ in range(n))
+            parts.append("# " + words(2) if kind == 0 else "h | k\n--- | ---\n" + "\n".join("1 | 2" for _ in range(r.randrange(4))) if kind == 1 else words(r.randrange(1, 40)))
+        docs.append((d, "\n\n".join(parts)))
+    count = lambda t: int(helpers.count_words(pd.Series([t])).iloc[0])
+    for size, overlap in ((10, 0), (10, 4), (25, 24)):
+        got = defaultdict(list)
+        for c in sorted(text.chunk_documents(spark.createDataFrame(docs, "doc_id long, text string"), size, overlap).collect(), key=lambda c: (c.doc_id, c.chunk_index)):
+            got[c.doc_id].append((c.text, c.token_count))
+        for d, t in docs:
+            pieces = []
+            for b in text.blocks_of(t):
+                pieces += [b[1]] if b[0] == "table" or count(b[1]) <= size else [x for x in re.split(r"(?<=[.!?])\s+", b[1]) if x]
+            base = []
+            for x in pieces:
+                if base and sum(map(count, base[-1])) + count(x) <= size:
+                    base[-1].append(x)
+                else:
+                    base.append([x])
+            want = []
+            for k, own in enumerate(base):
+                lead = []
+                while k and overlap and len(lead) < len(base[k - 1]) and sum(map(count, lead)) < overlap:
+                    lead.insert(0, base[k - 1][-1 - len(lead)])
+                joined = "\n\n".join([*lead, *own])
+                want.append((joined, count(joined)))
+            assert got[d] == want
+
+
 def test_topo_sort(spark):
     rows = [(0, "a", None), (1, "c", "b"), (2, "b", "a"), (3, "x", "y"), (4, "y", "x"), (5, "m", "lost"), (6, "a", None), (7, None, "a")]
     got, missing = quality.topo_sort(spark.createDataFrame(rows, "rec_idx long, id string, parent string"), "id", "parent")
