@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import helpers as H
 from ..functions import scalars as S
 from ..operators import evidence, identity, linking, load, quality, text
+from ..sources import tables as sources
 from ..specs import Fk, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,28 +505,98 @@ def page_pairs(spark, sf_dir):
     return text.page_pairs(c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), F.col("text").alias("markdown"))).select("doc_id", "page_no", "next_no")
 
 
-@query()
+_N = r"len(regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]'))"
+_STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+#: Paragraphs of the documents, which hold no headings and tables: runs of lines that aren't blank.
+_PARAGRAPHS = f"""l AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS x FROM documents, unnest(generate_series(1, len(string_split(text, chr(10))))) AS g(i)),
+m AS (SELECT *, regexp_matches(x, '\\S') AS worded, sum(CASE WHEN regexp_matches(x, '\\S') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM l),
+p AS (SELECT doc_id, {_STRIP.format('string_agg(x, chr(10) ORDER BY i)')} AS text, min(i) AS a, max(i) AS z FROM m WHERE worded GROUP BY doc_id, gap),
+q AS (SELECT *, {_N.format('text')} AS n, row_number() OVER (PARTITION BY doc_id ORDER BY a) - 1 AS k FROM p)"""
+
+
+def _chunk_sql(size: int, overlap: int) -> str:
+    """CTEs over ``_PARAGRAPHS``: pieces packed one by one, ``chunk`` at the end."""
+    return f"""s AS (SELECT doc_id, a, z, unnest(CASE WHEN n <= {size} THEN [text] ELSE string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) END) AS text, k, generate_subscripts(CASE WHEN n <= {size} THEN [text] ELSE string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) END, 1) AS j FROM q),
+t AS (SELECT doc_id, a, z, text, {_N.format('text')} AS n, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) AS k FROM s WHERE text <> ''),
+w AS (SELECT doc_id, k, 0 AS c, n AS held FROM t WHERE k = 1 UNION ALL SELECT t.doc_id, t.k, CASE WHEN w.held + t.n <= {size} THEN w.c ELSE w.c + 1 END, CASE WHEN w.held + t.n <= {size} THEN w.held + t.n ELSE t.n END FROM w JOIN t ON t.doc_id = w.doc_id AND t.k = w.k + 1),
+o AS (SELECT t.*, w.c, coalesce(sum(n) OVER (PARTITION BY t.doc_id, w.c ORDER BY t.k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS behind FROM t JOIN w USING (doc_id, k)),
+u AS (SELECT doc_id, c, a, z, text, k, true AS own FROM o UNION ALL SELECT doc_id, c + 1, a, z, text, k, false FROM o JOIN (SELECT doc_id, max(c) AS last FROM w GROUP BY doc_id) USING (doc_id) WHERE c < last AND behind < {overlap}),
+chunk AS (SELECT doc_id, CAST(c AS INTEGER) AS chunk_index, string_agg(text, chr(10) || chr(10) ORDER BY k) AS text, CAST({_N.format("string_agg(text, chr(10) || chr(10) ORDER BY k)")} AS BIGINT) AS token_count,
+  CAST(min(a) AS INTEGER) AS start_line, CAST(max(z) FILTER (own) AS INTEGER) AS end_line, CAST([] AS VARCHAR[]) AS signatures FROM u GROUP BY doc_id, c)"""
+
+
+@query(f"WITH RECURSIVE {_PARAGRAPHS}, {_chunk_sql(200, 20)} SELECT * FROM chunk")
 def chunk_documents(spark, sf_dir):
     return text.chunk_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), 200, 20)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_PARAGRAPHS}, {_chunk_sql(500, 0)}, d AS (SELECT doc_id, text, CAST({_N.format('text')} AS BIGINT) AS n FROM documents)
+SELECT doc_id, 0 AS chunk_index, text, n AS token_count, 1 AS start_line, len(string_split(text, chr(10))) AS end_line, CAST([] AS VARCHAR[]) AS signatures FROM d WHERE n <= 1000
+UNION ALL SELECT chunk.* FROM chunk JOIN d USING (doc_id) WHERE d.n > 1000""")
 def route_and_chunk(spark, sf_dir):
-    return text.route_and_chunk(spark.read.parquet(f"{sf_dir}/documents.parquet"), 2000, 100000, 500)
+    return text.route_and_chunk(spark.read.parquet(f"{sf_dir}/documents.parquet"), 1000, 100000, 500)
 
 
-@query()
+@query(f"""WITH {_PARAGRAPHS} SELECT doc_id, CAST(k AS INTEGER) AS block_no, 'paragraph' AS kind, text, CAST(a AS INTEGER) AS start_line, CAST(z AS INTEGER) AS end_line, CAST(n AS BIGINT) AS token_count,
+CAST(NULL AS VARCHAR) AS heading_path, CAST(NULL AS VARCHAR) AS header, CAST(NULL AS VARCHAR) AS signature FROM q""")
 def parse_blocks(spark, sf_dir):
     return text.parse_blocks(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-@query()
+@query("""SELECT min(p_partkey) AS doc_id, substr(sha1(p_brand || ' > sizes|key | name'), 1, 12) AS signature, 'Key | Name' AS header, p_brand || ' > sizes' AS heading_path, 5 AS start_line, CAST(6 + count(*) AS INTEGER) AS end_line FROM part GROUP BY p_brand
+UNION ALL SELECT min(p_partkey), substr(sha1(p_brand || '|| size | parts |'), 1, 12), '| size | parts |', p_brand, CAST(10 + count(*) AS INTEGER), CAST(11 + count(*) AS INTEGER) FROM part GROUP BY p_brand""")
 def extract_tables(spark, sf_dir):
-    """Each part as a row of a Markdown table of its brand."""
-    p = table(spark, sf_dir, "part").withColumn("row", F.concat_ws(" | ", F.col("p_partkey"), "p_name", "p_size"))
-    doc = p.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_list("row")), "\n").alias("rows"))
-    docs = doc.select(F.abs(F.hash("p_brand")).cast("long").alias("doc_id"), F.concat(F.lit("# "), "p_brand", F.lit("\n\nkey | name | size\n--- | --- | ---\n"), "rows").alias("text"))
-    return text.extract_tables(docs)
+    """Each part as a row of a Markdown table of its brand, under two headings, and a table without rows under one."""
+    p = table(spark, sf_dir, "part").withColumn("row", F.concat_ws(" | ", F.col("p_partkey"), "p_name"))
+    doc = p.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_list("row")), "\n").alias("rows"), F.min("p_partkey").alias("doc_id"))
+    body = F.concat(F.lit("# "), "p_brand", F.lit("\n\n## sizes\n\nKey | Name\n---- | :---:\n"), "rows", F.lit("\n\n# "), "p_brand", F.lit("\n\n| size | parts |\n|---|---|\nend of the table"))
+    return text.extract_tables(doc.select("doc_id", body.alias("text")))
+
+
+@query("""SELECT 'doc=' || s_nationkey AS doc_id, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS rec_idx, CAST(s_suppkey AS BIGINT) AS s_suppkey FROM supplier""")
+def read_tables(spark, sf_dir):
+    """Suppliers written as JSON lists, a file for each nation, and read back."""
+    row = F.struct("s_suppkey", F.to_json(F.struct("s_suppkey", "s_name")).alias("row"))
+    lists = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("doc")).agg(F.array_sort(F.collect_list(row)).alias("r"))
+    folder = sources.new_folder(spark, "lists")
+    lists.select("doc", F.concat(F.lit("["), F.array_join(F.transform("r", lambda x: x["row"]), ","), F.lit("]")).alias("value")).write.partitionBy("doc").text(f"{folder}/supplier.json")
+    got = sources.read_tables(spark, folder, {"supplier": STAR["supplier"]})["supplier"]
+    return got.select("doc_id", "rec_idx", F.get_json_object("raw", "$.s_suppkey").cast("long").alias("s_suppkey"))
+
+
+@query("SELECT 'item=' || item_id AS doc_id, text || chr(10) AS text FROM benchmark")
+def read_documents(spark, sf_dir):
+    """The benchmark's passages written as files and read back."""
+    folder = sources.new_folder(spark, "passages")
+    spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("item"), F.col("text").alias("value")).write.partitionBy("item").text(folder)
+    return sources.read_documents(spark, f"{folder}/*/*").select("doc_id", "text")
+
+
+@query("""SELECT 'orders' AS "table", CAST(o_orderkey AS BIGINT) AS key FROM orders UNION ALL SELECT 'customer', c_custkey FROM customer""")
+def write_tables(spark, sf_dir):
+    folder = sources.new_folder(spark, "stage")
+    sources.write_tables(star(spark, sf_dir, "orders", "customer"), folder)
+    read = lambda n: spark.read.parquet(f"{folder}/{n}").select(F.lit(n).alias("table"), F.col(KEYS[n]).cast("long").alias("key"))
+    return read("orders").unionByName(read("customer"))
+
+
+@query("""SELECT CAST(o_orderkey AS BIGINT) AS key, CASE WHEN o_orderkey % 3 = 0 THEN 'a' ELSE 'b' END AS batch FROM orders WHERE o_orderkey % 3 < 2""")
+def load_tables(spark, sf_dir):
+    """Three batches of orders: one loaded, one loaded twice, as after a failure, and one that broke off before its mark."""
+    o, folder = table(spark, sf_dir, "orders"), sources.new_folder(spark, "store")
+    for batch, part in (("a", 0), ("b", 1), ("b", 1)):
+        load.load_tables({"orders": o.where(F.col("o_orderkey") % 3 == part)}, STAR, folder, batch=batch)
+    o.where("o_orderkey % 3 = 2").write.parquet(f"{folder}/orders/batch=c")
+    return load.read_loaded(spark, folder, "orders").select(F.col("o_orderkey").cast("long").alias("key"), "batch")
+
+
+@query("""SELECT 'counts' AS part, count(DISTINCT o_orderstatus) OVER () AS total, CAST(NULL AS INTEGER) AS position, '{"o_orderstatus":"' || o_orderstatus || '","n":' || n || '}' AS row FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)
+UNION ALL SELECT * FROM (SELECT 'errors', (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0), CAST(row_number() OVER (ORDER BY o_orderkey) AS INTEGER), '{"rec_idx":' || o_orderkey || '}' FROM orders WHERE o_orderkey % 7 = 0 ORDER BY o_orderkey LIMIT 50)""")
+def write_report(spark, sf_dir):
+    o, folder = table(spark, sf_dir, "orders"), sources.new_folder(spark, "report")
+    counts = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    sources.write_report({"counts": counts}, folder, {"errors": (o.where("o_orderkey % 7 = 0").select("rec_idx"), ["rec_idx"])})
+    return spark.read.schema("part string, total long, position int, row string").json(folder)
 
 
 @query(r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) AS BIGINT) AS token_count, CASE WHEN len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) > 1000 THEN 'chunk' WHEN len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) > 300 THEN 'reject' ELSE 'whole' END AS route FROM documents""")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +16,14 @@ from ..specs import SPECS, TableSpec
 RAW = "doc_id string, rec_idx long, raw string"
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for each call in the shared folder, ``spark.checkpoint.dir``; only a session on one machine may go without one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(shared or 'file://' + tempfile.gettempdir()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
@@ -25,7 +37,7 @@ def read_table(spark: SparkSession, path: str, on_corrupt: str = "fail") -> Data
     """
     if not _exists(spark, path):
         return spark.createDataFrame([], RAW)
-    whole = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     doc = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     good = F.json_array_length("value").isNotNull()
     items = F.from_json("value", "array<string>")
@@ -41,7 +53,7 @@ def read_tables(spark: SparkSession, folder: str, specs: dict[str, TableSpec] =
 
 def read_documents(spark: SparkSession, glob: str) -> DataFrame:
     """Markdown files -> (doc_id, text, path, modified); doc_id is the parent folder's name."""
-    whole = spark.read.option("wholetext", True).text(glob)
+    whole = spark.read.text(glob, wholetext=True)
     return whole.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("doc_id"), F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"))
 
 

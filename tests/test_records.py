@@ -157,6 +157,40 @@ def test_topo_sort(spark):
     assert [r.missing_parent for r in missing.collect()] == ["lost"]
 
 
+def test_deep_trees_and_falsy_ids(spark):
+    n = 3000
+    chain = [(k, f"t{k}", f"t{k - 1}" if k else None) for k in range(n)]
+    good, bad = load.enforce_constraints({"TefCategory": spark.createDataFrame([*chain[::-1], (n, "x", "y"), (n + 1, "y", "x")], "rec_idx long, tefId string, parentId string")})
+    assert sorted(r.rec_idx for r in good["TefCategory"].collect()) == list(range(n)) and {r.rec_idx for r in bad.collect()} == {n, n + 1}
+    rows = [(0, "", None), (1, "", None), (2, "a", ""), (3, "b", "a"), (4, None, "a"), (5, None, None)]
+    got, missing = quality.topo_sort(spark.createDataFrame(rows, "rec_idx long, id string, parent string"), "id", "parent")
+    assert {r.rec_idx: (r.level, r.is_extra) for r in got.collect()} == {0: (None, True), 1: (None, True), 2: (0, False), 3: (1, False), 4: (None, True), 5: (None, True)}
+    assert missing.count() == 0 and len(got.collect()) == len(rows)
+
+
+def test_city_scope_in_any_order(spark):
+    c = spark.createDataFrame([("i1", "a"), ("i2", "b")], "indicatorId string, cityId string")
+    v = spark.createDataFrame([("v1", "i1"), ("v2", "i2")], "indicatorValueId string, indicatorId string")
+    w = spark.createDataFrame([("w1", "v1"), ("w2", "v2")], "id string, v string")
+    chain = {"IndicatorValue": ("indicatorId", "Indicator"), "deep": ("v", "IndicatorValue"), "lost": ("x", "nowhere")}
+    specs = SPECS | {"deep": TableSpec("deep", "id"), "lost": TableSpec("lost", "id")}
+    got = load.filter_city({"deep": w, "IndicatorValue": v, "lost": w.withColumn("x", F.lit("y")), "Sector": w, "Indicator": c}, "a", specs=specs, chain=chain)
+    assert {n: df.count() for n, df in got.items()} == {"deep": 1, "IndicatorValue": 1, "lost": 0, "Sector": 2, "Indicator": 1}
+
+
+def test_quotes_of_a_document_given_twice(spark):
+    docs = spark.createDataFrame([("d", "alpha beta"), ("d", "gamma")], "doc_id string, text string")
+    got = evidence.quotes_found(spark.createDataFrame([("d", "alpha"), ("d", "gamma")], "doc_id string, quote string"), docs).collect()
+    assert sorted((r.quote, r.found) for r in got) == [("alpha", True), ("gamma", False)]
+
+
+def test_nested_evidence(spark):
+    docs = spark.createDataFrame([("d", "It is 2,5. times")], "doc_id string, text string")
+    rows = spark.createDataFrame([("d", 0, ("2,5.", "is 2,5.", 0.9)), ("d", 1, ("7", "not there", 0.9))], "doc_id string, rec_idx int, x struct<value:string,quote:string,confidence:double>")
+    good, bad = evidence.verify_records(rows, docs, {"x": "decimal"})
+    assert [(r.rec_idx, float(r.x)) for r in good.collect()] == [(0, 2.5)] and [r.rec_idx for r in bad.collect()] == [1]
+
+
 def test_duplicates_skip_blank_keys(spark):
     rows = [(0, "a", 1), (1, "a", 1), (2, None, 1), (3, None, 1), (4, "", 1), (5, "", 1)]
     df = spark.createDataFrame(rows, "rec_idx long, k string, y int")
@@ -209,9 +243,55 @@ def test_selections(spark):
         assert {r.batch_idx: r.f for r in linking.apply_selections(records, responses, options, ["f"]).collect()} == {0: "two", 1: "own", 2: None}
 
 
+def test_all_shapes_of_answers(spark):
+    records = spark.createDataFrame([("d", 0, i) for i in range(3)], "doc_id string, batch_no int, batch_idx int")
+    options = spark.createDataFrame([("d", "f", 1, "one"), ("d", "f", 2, "two")], "doc_id string, field string, index int, id string")
+    pick = lambda **x: [{"field": "f", **x}]
+    cases = [
+        ({"batch_results": [{"record_index": 1, "selections": pick(index=2)}]}, {1: "two"}),
+        ({"batch_results": {"record_index": 2, "selections": pick(id="x")}}, {2: "x"}),
+        ({"batch_results": {"0": {"selections": pick(index="1")}, "2": {"record_index": 1, "selections": pick(id="y")}, "z": {"selections": pick(id="no")}}}, {0: "one", 1: "y"}),
+        ({"selections": pick(id="z")}, {0: "z"}),
+        ({"batch_results": [{"record_index": 0, "selections": [*pick(index=1), *pick(index=9)]}, {"record_index": 7, "selections": pick(id="out")}, {"record_index": -1, "selections": pick(id="out")}]}, {0: "one"}),
+        ({"batch_results": [{"record_index": 0, "selections": [*pick(index=1), *pick(id=None)]}]}, {}),
+        ({"batch_results": "none"}, {}),
+    ]
+    for body, want in cases:
+        responses = spark.createDataFrame([("d", 0, json.dumps(body))], "doc_id string, batch_no int, response string")
+        got = {r.batch_idx: r.f for r in linking.apply_selections(records, responses, options, ["f"]).collect()}
+        assert got == {0: None, 1: None, 2: None} | want, body
+    broken = spark.createDataFrame([("d", 0, "{"), ("d", 0, None)], "doc_id string, batch_no int, response string")
+    assert all(r.f is None for r in linking.apply_selections(records, broken, options, ["f"]).collect())
+
+
+def test_linking_loses_no_pair_by_common_tokens(spark):
+    r = random.Random(3)
+    word = lambda: r.choice(["a", "a", "b", "b", "c", "d", "e", "f", "g", "h"])
+    left = [("d", k, " ".join(word() for _ in range(r.randrange(0, 7)))) for k in range(60)]
+    right = [("d", f"o{k}", " ".join(word() for _ in range(r.randrange(1, 7)))) for k in range(60)]
+    for least in (0.2, 0.6, 1.0):
+        got = {x.rec_idx: x.linked_id for x in linking.link_fk(spark.createDataFrame(left, "doc_id string, rec_idx long, text string"), spark.createDataFrame(right, "doc_id string, id string, label string"), least).collect()}
+        for _, k, t in left:
+            a = set(t.split())
+            scores = [(-len(a & b) / len(a | b), i) for _, i, x in right for b in [set(x.split())] if a & b and len(a & b) / len(a | b) >= least]
+            assert got[k] == (min(scores)[1] if scores else None), (least, k)
+
+
+def test_validate_json_types_and_stop(spark):
+    spec = SPECS["Sector"]
+    u = str(uuid.uuid4())
+    rows = [(0, json.dumps({"sectorId": u, "sectorName": {"a": 1}})), (1, json.dumps({"sectorId": u, "sectorName": 5})), (2, "[1]"), (3, "{broken"), (4, json.dumps({"sectorId": u, "sectorName": "x", "misc": {"a": [1]}})), (5, None)]
+    got = load.normalize_columns(spark.createDataFrame(rows, "rec_idx long, raw string"), spec)
+    valid, errors = load.validate(got, spec)
+    assert {(r.rec_idx, r.field, r.type) for r in errors.collect()} == {(0, "sectorName", "type"), (1, "sectorName", "type"), (2, None, "type"), (3, None, "type"), (5, None, "type")}
+    assert [(r.rec_idx, r.misc) for r in valid.collect()] == [(4, '{"a":[1]}')]
+    with pytest.raises(ValueError, match=r"Sector\[0\] sectorName: type"):
+        load.validate(got, spec, on_error="stop")
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "run").mkdir()
-    (tmp_path / "run" / "City.json").write_text('[{"a": 1}, {"b": null}]')
+    (tmp_path / "run" / "City.json").write_text('[\n  {"a": 1},\n  {"b": null}\n]\n')
     (tmp_path / "run" / "Sector.json").write_text('{"a": 1}')
     got = sources.read_tables(spark, f"{tmp_path}/run", on_corrupt="empty")
     assert [(r.doc_id, r.rec_idx, json.loads(r.raw)) for r in got["City"].orderBy("rec_idx").collect()] == [("run", 0, {"a": 1}), ("run", 1, {"b": None})]
@@ -220,8 +300,21 @@ def test_sources(spark, tmp_path):
         sources.read_table(spark, f"{tmp_path}/run/Sector.json").collect()
     sources.write_tables({"City": got["City"]}, f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out/City").count() == 2
-    sources.write_report({"counts": got["City"].select("rec_idx")}, f"{tmp_path}/report")
-    assert spark.read.json(f"{tmp_path}/report").first().part == "counts"
+    many = spark.range(1000).withColumnRenamed("id", "rec_idx")
+    sources.write_report({"counts": got["City"].select("rec_idx"), "none": many.limit(0)}, f"{tmp_path}/report", {"errors": (many.repartition(5), ["rec_idx"])}, 3)
+    lines = {(r.part, r.total, r.position, r.row) for r in spark.read.schema("part string, total long, position int, row string").json(f"{tmp_path}/report").collect()}
+    assert lines == {("counts", 2, None, '{"rec_idx":0}'), ("counts", 2, None, '{"rec_idx":1}'), ("none", 0, None, None)} | {("errors", 1000, k + 1, f'{{"rec_idx":{k}}}') for k in range(3)}
+    (tmp_path / "run" / "doc.md").write_text("# a\nb\n")
+    assert [(r.doc_id, r.text) for r in sources.read_documents(spark, f"{tmp_path}/run/*.md").collect()] == [("run", "# a\nb\n")]
+
+
+def test_a_batch_counts_when_it_is_whole(spark, tmp_path):
+    df = spark.createDataFrame([(0, "a"), (1, "b")], "rec_idx long, cityId string")
+    for batch, rows in (("one", df), ("two", df.limit(1)), ("two", df.limit(1))):
+        load.load_tables({"City": rows}, SPECS, f"{tmp_path}", batch=batch)
+    df.write.parquet(f"{tmp_path}/City/batch=three")
+    assert sorted(r.batch for r in load.read_loaded(spark, f"{tmp_path}", "City").collect()) == ["one", "one", "two"]
+    assert quality.file_sizes(spark, {"City": f"{tmp_path}/City", "Sector": f"{tmp_path}/none"}).first().bytes > 0
 
 
 def test_linking_never_links_to_itself(spark):
