@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import carried, unpacked, without
 
 NEITHER = (-1, 0)
 FEW = 16  # tokens that may go on from a state's text, up to which they are tried behind the token before it
@@ -330,8 +330,8 @@ def _lists(parts: list[bytes]) -> pa.Array:
 def bpe_encode(docs: DataFrame, ranks: str, pattern: str, keep_text: bool = True) -> DataFrame:
     """``docs`` (text, ...) with ``ids`` (array<int>): each match of ``pattern`` encoded separately by the ranks in the file ``ranks``."""
     docs = without(docs, ["ids"])
-    docs = docs.withColumn("text", F.col("text").cast("string"))
-    schema = T.StructType([f for f in docs.schema if keep_text or f.name != "text"] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    given = carried(docs, ["text"]).withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([f for f in given.schema if keep_text or f.name != "text"] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _once(Encoder, ranks, pattern)
@@ -339,13 +339,14 @@ def bpe_encode(docs: DataFrame, ranks: str, pattern: str, keep_text: bool = True
             ids = [encoder.encode(t) if t else b"" for t in b.column("text").to_pylist()]
             yield _with(b if keep_text else b.drop_columns(["text"]), {"ids": _lists(ids)})
 
-    return docs.mapInArrow(run, schema)
+    return unpacked(given.mapInArrow(run, schema), [*[c for c in docs.columns if keep_text or c != "text"], "ids"], ["text", "ids"])
 
 
 def bpe_decode(coded: DataFrame, ranks: str) -> DataFrame:
-    """``coded`` (ids, ...) with ``decoded`` (the bytes) and ``text`` (their characters)."""
+    """``coded`` (ids, ...) with ``decoded`` (the bytes) and ``text`` (their characters); null ids are none."""
     coded = without(coded, ["decoded", "text"])
-    schema = T.StructType([*coded.schema, T.StructField("decoded", T.BinaryType()), T.StructField("text", T.StringType())])
+    given = carried(coded, ["ids"]).withColumn("ids", F.coalesce(F.col("ids"), F.array().cast("array<int>")))
+    schema = T.StructType([*given.schema, T.StructField("decoded", T.BinaryType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _once(Decoder, ranks)
@@ -355,14 +356,14 @@ def bpe_decode(coded: DataFrame, ranks: str) -> DataFrame:
             got = [decoder.decode(flat[a:z]) for a, z in zip(edge, edge[1:])]
             yield _with(b, {"decoded": pa.array([x for x, _ in got], pa.binary()), "text": pa.array([x for _, x in got], pa.string())})
 
-    return coded.mapInArrow(run, schema)
+    return unpacked(given.mapInArrow(run, schema), [*coded.columns, "decoded", "text"], ["ids", "decoded", "text"])
 
 
 def bpe_round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """``docs`` (text, ...) with ``text`` replaced by ids, decoded and text: both operators in one pass, so that the ids stay in the worker that knows them."""
     docs = without(docs, ["ids", "decoded"])
-    docs = docs.withColumn("text", F.col("text").cast("string"))
-    schema = T.StructType([*[f for f in docs.schema if f.name != "text"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType()), T.StructField("text", T.StringType())])
+    given = carried(docs, ["text"]).withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*[f for f in given.schema if f.name != "text"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _once(Encoder, ranks, pattern), _once(Decoder, ranks)
@@ -371,4 +372,5 @@ def bpe_round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
             got = [decoder.decode(np.frombuffer(x, np.int32)) for x in ids]
             yield _with(b.drop_columns(["text"]), {"ids": _lists(ids), "decoded": pa.array([x for x, _ in got], pa.binary()), "text": pa.array([x for _, x in got], pa.string())})
 
-    return docs.mapInArrow(run, schema)
+    added = ["ids", "decoded", "text"]
+    return unpacked(given.mapInArrow(run, schema), [*[c for c in docs.columns if c != "text"], *added], added)

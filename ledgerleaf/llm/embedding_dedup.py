@@ -13,7 +13,7 @@ is split on both sides, so no task holds more than two times ``CELL`` vectors. T
 number of vectors; cells are at most (2 / width + 2)^dimensions a block, which bounds the counts the driver sees.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite numbers, and rows without vec_id, link with
-nothing; vectors of different lengths don't link; repeated rows are vectors of their own and link with each other, and rows that share a vec_id all show that id's most links and smallest component; an
+nothing; very large and very small ones are scaled by a power of two, which changes no cosine; vectors of different lengths don't link; repeated rows are vectors of their own and link with each other, and rows that share a vec_id all show that id's most links and smallest component; an
 empty table gives an empty result; input columns named like an added column give way to it.
 """
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save, without
+from .common import save, unused, without
 from .components import components
 
 COSINE = 0.95
@@ -73,7 +73,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, v in zip(b.column("vec_id").to_pylist(), b.column("embedding").to_pylist()):
             x = np.array([np.nan if e is None else e for e in v or []], np.float64)
             ok = i is not None and len(x) > 0 and np.isfinite(x).all() and x.any()
-            raw = (x + 0.0).tobytes() if ok else None
+            raw = (np.ldexp(x, -int(np.frexp(np.abs(x).max())[1])) + 0.0).tobytes() if ok else None  # by a power of two, so that squares stay in range
             size.append(len(x))
             vector.append(raw)
             digest.append(hashlib.blake2b(raw, digest_size=16).digest() if ok else None)
@@ -214,7 +214,7 @@ def grid_dims(vectors: int) -> int:
 
 def embedding_dedup(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``vectors`` (vec_id, embedding, ...) with n_links (other vectors of cosine >= ``cosine``), component_id (smallest vec_id reachable) and kept."""
-    vectors = without(vectors, [*ADDED, "digest"])
+    vectors = without(vectors, ADDED)
     vectors = vectors.withColumn("vec_id", F.col("vec_id").cast("long"))
     read = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(_read, "vec_id long, size int, digest binary, vector binary")
     read = save(read, "vectors")
@@ -237,6 +237,8 @@ def embedding_dedup(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     # rows that share a vec_id are one vector in the result: the most links, the smallest component
     own = read.select("vec_id", "digest").join(facts, "digest", "left")
     whole = own.groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    out = vectors.join(whole, "vec_id", "left")
-    out = out.withColumns({"n_links": F.coalesce("n_links", F.lit(0)), "component_id": F.coalesce("component_id", "vec_id")})
+    at, links, part = (unused(vectors, x) for x in ("at", "links", "part"))
+    whole = whole.select(F.col("vec_id").alias(at), F.col("n_links").alias(links), F.col("component_id").alias(part))
+    out = vectors.join(whole, F.col("vec_id") == F.col(at), "left")
+    out = out.withColumns({"n_links": F.coalesce(F.col(links), F.lit(0)), "component_id": F.coalesce(F.col(part), F.col("vec_id"))})
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id")).select(*[F.col(f"`{c}`") for c in vectors.columns], *ADDED)

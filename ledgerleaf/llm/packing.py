@@ -112,15 +112,17 @@ def _schedule(length: int):
 
 
 def _shares(sizes: DataFrame, total: int, targets: dict[str, float] | None) -> DataFrame:
-    """(queue, n) of every queue -> (queue, share, phase): shares add up to 1, phases are spread over 0 to 1."""
+    """(queue, n) of every queue -> (queue, share, phase, last): shares add up to 1, phases are spread over 0 to 1; last: weight 0."""
+    if any(not x >= 0 for x in (targets or {}).values()):
+        raise ValueError("a target is a weight of 0 or more")
     own = F.col("n") / F.lit(float(total))
     if targets:
         named = sizes.withColumn("name", F.expr("substr(queue, instr(queue, ':') + 1)"))
         given = sizes.sparkSession.createDataFrame([(q, float(x)) for q, x in targets.items()], "name string, weight double")
         sizes, own = named.join(given, "name", "left"), F.coalesce(F.col("weight"), own)
-    scale = sizes.agg(F.sum(own)).first()[0]
+    scale = sizes.agg(F.sum(own)).first()[0] or 1.0
     phase = F.pmod(F.xxhash64("queue"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return sizes.select("queue", (own / F.lit(scale)).alias("share"), phase.alias("phase"))
+    return sizes.select("queue", F.when(own > 0, own / F.lit(scale)).otherwise(1.0).alias("share"), phase.alias("phase"), (own <= 0).alias("last"))
 
 
 def cuts(total: int, length: int) -> list[int]:
@@ -166,7 +168,9 @@ def _pieces(path: str, end: int, length: int, total: int):
 def pack(docs: DataFrame, path: str, end: int, length: int = LENGTH, targets: dict[str, float] | None = None) -> DataFrame:
     """``docs`` (doc_id, text, source) -> pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source.
 
-    ``targets``: weights by source; sources without one keep their share of the corpus. A weight is relative to the others.
+    ``targets``: weights by source; sources without one keep their share of the corpus. A weight is relative to the others;
+    documents of a source of weight 0 come after all others, a weight below 0 is an error. Of documents due at one place,
+    the queue's name and then the row decide.
     """
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), source.alias("source"))
@@ -177,15 +181,21 @@ def pack(docs: DataFrame, path: str, end: int, length: int = LENGTH, targets: di
     if not total:
         return coded.mapInArrow(_pieces(path, end, length, 0), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string")
     lengths = coded.select("row", "part", named.alias("queue"), "n")
+    shares = save(_shares(sizes, total, targets), "queue-shares")
+    tokens = float(_turns(length) * length)
+    # sources of weight 0 come after the last slice of the others
+    end_of_others = shares.where("NOT last").join(sizes, "queue").agg(F.max(F.col("n") / F.col("share"))).first()[0] or 0
+    after = int(end_of_others // tokens) + 2
     parts = lengths.groupBy("queue", "part").agg(F.sum("n").alias("sum"))
-    base = parts.withColumn("base", F.sum("sum").over(W.partitionBy("queue").orderBy("part")) - F.col("sum")).drop("sum").join(_shares(sizes, total, targets), "queue")
+    base = parts.withColumn("base", F.sum("sum").over(W.partitionBy("queue").orderBy("part")) - F.col("sum")).drop("sum").join(shares, "queue")
     inside = F.sum("n").over(W.partitionBy("queue", "part").orderBy("row")) - F.col("n")
     starts = lengths.withColumn("inside", inside).join(base, ["queue", "part"]).withColumn("start", F.col("base") + F.col("inside"))
     turn = F.floor((F.col("start") + F.col("phase") * F.col("n")) / (F.col("share") * F.lit(float(length))))
-    sliced = starts.withColumn("slice", F.floor(turn / F.lit(float(_turns(length)))))
+    sliced = starts.withColumn("slice", F.floor(turn / F.lit(float(_turns(length)))) + F.when(F.col("last"), after).otherwise(0))
     order = save(sliced.select("slice", "queue", "row", "n", "start", "share", "phase").groupBy("slice").applyInArrow(_schedule(length), "row long, slice long, place long"), "schedule")
-    tokens = sliced.groupBy("slice").agg(F.sum("n").alias("tokens"))
-    before = tokens.withColumn("before", F.sum("tokens").over(W.orderBy("slice")) - F.col("tokens")).drop("tokens")
+    in_slice = sliced.groupBy("slice").agg(F.sum("n").alias("tokens"))
+    # a row a slice, so of 4 million tokens: small enough for one task at any size
+    before = in_slice.withColumn("before", F.sum("tokens").over(W.orderBy("slice")) - F.col("tokens")).drop("tokens")
     places = order.join(before, "slice").select("row", (F.col("before") + F.col("place")).alias("place"))
     placed = coded.select("row", "doc_id", "source", "ids").join(places, "row")
     return placed.mapInArrow(_pieces(path, end, length, total), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string")

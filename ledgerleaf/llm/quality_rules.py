@@ -6,7 +6,8 @@ the base rule fails (too few words, or too many words in repeated 3-word windows
 than ``max_loss`` of its text. One pass over the rows, no shuffle: memory is bounded by one text.
 
 Defined cases: null, empty and blank texts have no words, so they fail the base rule and are not kept; lines without a
-word are kept as they are; input columns named like an added column give way to it; repeated rows are judged alike.
+word are kept as they are; repeated rows are judged alike; an empty table gives an empty result; input columns named like
+an added column give way to it, other names don't matter.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import java_words, let, without
+from .common import java_words, let, packed, without
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -79,6 +80,7 @@ def line_ok(line: Column, hinted: Column) -> Column:
 def quality_rules(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     """``docs`` (doc_id, text, ...) with the base measures, the verdict ``kept`` and ``clean_text`` (the text without failed lines)."""
     docs = without(docs, ADDED)
+    row, docs = docs.columns, packed(docs, ["text"])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     worded = lambda lines: F.filter(lines, lambda x: x.rlike(HAS_WORD))
     split = docs.withColumns({"_words": java_words(F.col("text")), "_lines": F.split(text, "\n", -1), "n_symbols": _symbols(text).cast("long"), "_low": F.lower(text)})
@@ -100,7 +102,8 @@ def quality_rules(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     left = F.when(F.col("n_bad_lines") == 0, F.col("word_chars")).otherwise(_word_chars(java_words(F.col("clean_text"))))
     lost = 1 - left / F.greatest(F.col("word_chars"), F.lit(1))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    # the last term is always true and not deterministic: it keeps filters on the verdict above this projection, where each measure is computed once
-    verdict = ~F.col("base_failed") & (F.col("loss") <= max_loss) & (F.monotonically_increasing_id() >= 0)
-    out = measured.withColumns({"loss": lost, "base_failed": failed}).withColumn("kept", verdict)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED)
+    verdict = ~F.col("base_failed") & (F.col("loss") <= max_loss)
+    judged = measured.withColumns({"loss": lost, "base_failed": failed}).withColumn("kept", verdict)
+    # one generated row a row: filters on the verdict stay above it, where each measure is computed once
+    out = judged.select("row", F.explode(F.array(F.struct(*ADDED))).alias("found")).select("row", "found.*")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in row], *ADDED)

@@ -9,11 +9,13 @@ Plan: documents are dealt into chunks by a hash of doc_id (one shuffle, read twi
 to each bucket (equal strings of a chunk travel once, so that copies are combined before the shuffle); a bucket answers
 each block with spans; chunks and spans meet by chunk. A minimiser that a sample of documents shows to be frequent is
 split: its windows travel alone and are spread over all buckets by the hash of the whole window. That only moves work;
-the result does not depend on the sample.
+the result does not depend on the sample, which grows with the corpus, so that a minimiser that fills a bucket is in it
+some dozens of times at any size.
 
 Defined cases: null or blank text has no words and loses none; a text shorter than the window keeps all; rows with
 equal doc_id never remove each other's words; a null doc_id counts as the greatest; an empty table gives an empty
-result; input columns named like an added column give way to it.
+result; repeated rows are documents of one doc_id; input columns named like an added column give way to it, other names
+don't matter.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from .common import chunk_of, text_bytes, without
 PART = 3  # words of a minimiser
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
-SAMPLE_ROWS = 4000  # documents looked at to find frequent minimisers; it steers the dealing only
+SAMPLE_ROWS, SAMPLE_PART = 4000, 0.001  # documents looked at to find frequent minimisers, or this part if it is more; they steer the dealing only
 ADDED = ["n_words", "n_removed", "kept_sha256"]
 NO_ID = np.iinfo(np.int64).max
 
@@ -113,7 +115,7 @@ def _heavy(spark_docs: DataFrame, window: int, buckets: int, rows: int) -> np.nd
 
     sample = spark_docs.select("text").where(F.col("text").isNotNull())
     if rows > SAMPLE_ROWS:
-        sample = sample.sample(SAMPLE_ROWS / rows, seed=7)
+        sample = sample.sample(max(SAMPLE_ROWS / rows, SAMPLE_PART), seed=7)
     seen = sample.mapInArrow(count, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
     total = seen.agg(F.sum("n")).first()[0] or 0
     most = seen.where(F.col("n") > max(64, total // buckets)).orderBy(F.desc("n")).limit(2 * buckets).collect()
@@ -310,18 +312,19 @@ def substring_dedup(docs: DataFrame, window: int = 13, texts: bool = True) -> Da
     Returns the columns of ``docs`` (``text`` cleaned; without it if ``texts`` is false) and n_words, n_removed and
     kept_sha256 (of the kept words joined by one space). Windows are judged on the input, not on what is left.
     """
-    docs = without(docs, [*ADDED, "chunk"])
-    docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+    docs = without(docs, ADDED)
+    names = [c for c in docs.columns if texts or c != "text"]
+    more = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = [F.struct(*[F.col(f"`{c}`") for c in more]).alias("row")] if more else []  # passes on as it is, whatever its names
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *row)
     size, rows = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     size = size or 0
     chunks, buckets = size // CHUNK_BYTES + 1, size // BUCKET_BYTES + 1
     heavy = _heavy(docs, window, buckets, rows) if buckets > 1 else np.zeros(0, np.uint64)
-    # names with points or of other kinds don't matter to the helpers: they pass on as Arrow columns
     dealt = docs.withColumn("chunk", chunk_of("doc_id", chunks))
-    blocks = dealt.groupBy("chunk").applyInArrow(lambda t: _blocks(t, window, buckets, heavy), "chunk int, bucket int, payload binary")
+    blocks = dealt.select("chunk", "doc_id", "text").groupBy("chunk").applyInArrow(lambda t: _blocks(t, window, buckets, heavy), "chunk int, bucket int, payload binary")
     spans = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_bucketed(window), "chunk int, rows binary, starts binary, ends binary")
-    names = [c for c in docs.columns if texts or c != "text"]
-    order = [c for c in names if c != "text"] + ["text"] * texts
+    order = [c for c in docs.columns if c != "text"] + ["text"] * texts
     schema = T.StructType([docs.schema[c] for c in order] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
     out = dealt.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_finish(order, texts), schema)
-    return out.select(*[F.col(f"`{c}`") for c in names], *ADDED)
+    return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col("row").getField(c).alias(c) for c in names], *ADDED)

@@ -7,7 +7,7 @@ an index line (record id, offset, length, type) in a sidecar file; both get thei
 is run again does no harm. Reading: index lines are dealt by archive and range of offsets; a task seeks to a member,
 inflates it alone and checks the payload's length and digest against its headers.
 
-Files are opened with pyarrow's file systems in the shared folder; the input is read by Spark only.
+Files are opened with pyarrow's file systems in the shared folder (``system`` says which); the input is read by Spark only.
 
 Defined cases: null html is an empty payload; payloads under ``min_bytes`` are all responses; a null url has no target
 header; rows with equal page_id are records of their own, responses all if theirs is the smallest id; a null page_id
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, save
+from .common import delete, new_path, save
 
 STEP = 1 << 20
 RANGE = 64 << 20  # bytes of an archive read by one group
@@ -38,6 +39,11 @@ COLUMNS = "page_id long, payload_bytes long, payload_digest string, record_type
 DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
+def system(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and place of a URI. Object stores go by their own scheme's name; the others are those pyarrow knows (file, hdfs, s3, gs, abfs)."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
 def base32(digest_hex: Column) -> Column:
     """Base32 of a SHA-1 given in hex: five hex digits are four base32 digits."""
     parts = [F.lpad(F.conv(F.substring(digest_hex, 1 + 5 * k, 5), 16, 32), 4, "0") for k in range(8)]
@@ -117,12 +123,12 @@ def _normalised(target: str, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path in b.column("path").to_pylist():
-                system, place = fs.FileSystem.from_uri(path)
-                _, folder = fs.FileSystem.from_uri(target)
+                store, place = system(path)
+                _, folder = system(target)
                 name = f"{folder}/{place.rpartition('/')[2].partition('.')[0]}"
                 mine, offset, lines = f"{name}.{uuid.uuid4().hex}", 0, []
-                system.create_dir(folder, recursive=True)
-                with system.open_input_stream(place, compression=None) as source, system.open_output_stream(f"{mine}.tmp", compression=None) as out, system.open_output_stream(f"{mine}.idx.tmp", compression=None) as index:
+                store.create_dir(folder, recursive=True)
+                with store.open_input_stream(place, compression=None) as source, store.open_output_stream(f"{mine}.tmp", compression=None) as out, store.open_output_stream(f"{mine}.idx.tmp", compression=None) as index:
                     stream = Inflated(source)
                     while (head := stream.until(b"\r\n\r\n")) is not None:
                         head = head.lstrip(b"\r\n")
@@ -135,8 +141,8 @@ def _normalised(target: str, level: int):
                         index.write(f"{found['warc-record-id']}\t{offset}\t{size}\t{found['warc-type']}\n".encode())
                         offset += size
                         lines.append(size)
-                system.move(f"{mine}.tmp", f"{name}.warc.gz")
-                system.move(f"{mine}.idx.tmp", f"{name}.idx")
+                store.move(f"{mine}.tmp", f"{name}.warc.gz")
+                store.move(f"{mine}.idx.tmp", f"{name}.idx")
                 yield pa.RecordBatch.from_arrays([pa.array([f"{target}/{name.rpartition('/')[2]}.warc.gz"]), pa.array([len(lines)], pa.int64()), pa.array([offset], pa.int64())], names=["archive", "records", "bytes"])
 
     return run
@@ -182,8 +188,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if archive != now:
                 if source is not None:
                     source.close()
-                system, place = fs.FileSystem.from_uri(archive)
-                now, source = archive, system.open_input_file(place)
+                store, place = system(archive)
+                now, source = archive, store.open_input_file(place)
             source.seek(offset)
             out.append(_parsed(source.read(size)))
         if out:
@@ -210,6 +216,8 @@ def warc_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     path, target = new_path(spark, "warc-whole"), new_path(spark, "warc")
     write_archives(pages, path, min_bytes)
-    if normalise_archives(spark, path, target).isEmpty():
+    made = normalise_archives(spark, path, target)
+    delete(spark, path)  # the normalised archives stay: what is returned reads them
+    if made.isEmpty():
         return spark.createDataFrame([], COLUMNS)
     return read_archives(spark, target)
