@@ -73,23 +73,37 @@ CHAT_SCHEMAS = {
 
 
 def op9_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn that an assistant may answer is a call; the assistant's turn after it is its result; a call builds on that two turns before."""
+    """Every turn that an assistant may answer is a call; the assistant's turn after it is its result; a call builds on that two turns before.
+
+    By the conversation's number, calls are also spoilt: in rings, of an unknown tool, without arguments or with broken,
+    incomplete and mistyped ones, and repeated; results without a call, and second results.
+    """
     turns = _table(spark, sf_dir, "conversations")
     call = lambda turn: F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), turn)
+    kind, many = F.col("conv_id") % 8, F.col("conv_id") % 16
+    good = F.to_json(F.struct("turn", "text", F.length("text").alias("chars")))
     calls = turns.where(F.coalesce(F.col("role") != "assistant", F.lit(True))).select(
         "conv_id",
         call(F.col("turn")).alias("call_id"),
-        F.when(F.col("turn") >= 2, call(F.col("turn") - 2)).alias("parent_id"),
+        F.when((kind == 1) & (F.col("turn") == 0), call(F.lit(2))).when(F.col("turn") >= 2, call(F.col("turn") - 2)).alias("parent_id"),
         "turn",
-        F.col("role").alias("name"),
-        F.to_json(F.struct("turn", "text", F.length("text").alias("chars"))).alias("arguments"),
+        F.when(kind == 2, "other").otherwise(F.col("role")).alias("name"),
+        F.when(kind == 3, F.lit(None))
+        .when(kind == 4, F.concat(F.lit("no "), good))
+        .when(kind == 5, F.to_json(F.struct("turn", F.length("text").alias("extra"))))
+        .when(kind == 6, F.to_json(F.struct(F.col("turn").cast("string").alias("turn"), "text", F.lit(0.5).alias("chars"))))
+        .otherwise(good)
+        .alias("arguments"),
     )
-    results = turns.where(F.col("role") == "assistant").select("conv_id", call(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    calls = calls.unionByName(calls.where(kind == 7).withColumn("turn", F.col("turn") + 100))
+    results = turns.where(F.col("role") == "assistant").select("conv_id", F.when(many == 9, F.concat(F.lit("lost-"), "conv_id")).otherwise(call(F.col("turn") - 1)).alias("call_id"), "turn", F.col("text").alias("content"))
+    results = results.unionByName(results.where(many == 10).withColumn("turn", F.col("turn") + 50))
     return link_tool_calls(calls, results, CHAT_SCHEMAS)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Later copies of runs of two lines or more, and of single lines of 13 words, as many as a passage of op1."""
+    out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=13)
     return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
@@ -139,22 +153,35 @@ WITH line AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS x FROM documen
 w AS (SELECT doc_id, i, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 pair AS (SELECT a.doc_id, a.n, a.x || chr(10) || b.x AS s FROM w a JOIN w b ON a.doc_id = b.doc_id AND b.n = a.n + 1),
 least AS (SELECT doc_id, n, min((doc_id, n)) OVER (PARTITION BY s) AS first FROM pair),
-gone AS (SELECT DISTINCT doc_id, n + j AS n FROM least, unnest([0, 1]) AS h(j) WHERE (doc_id, n) > first),
+alone AS (SELECT doc_id, n, min((doc_id, n)) OVER (PARTITION BY x) AS first FROM w WHERE len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= 13),
+gone AS (SELECT doc_id, n + j AS n FROM least, unnest([0, 1]) AS h(j) WHERE (doc_id, n) > first UNION SELECT doc_id, n FROM alone WHERE (doc_id, n) > first),
 kept AS (SELECT l.doc_id, string_agg(l.x, chr(10) ORDER BY l.i) AS t FROM line l LEFT JOIN w USING (doc_id, i) LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.n = w.n WHERE g.n IS NULL GROUP BY l.doc_id),
 size AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id), lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, coalesce(size.n, 0) AS n_lines, coalesce(lost.n, 0) AS n_removed_lines, CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS clean_sha256
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN size USING (doc_id) LEFT JOIN lost USING (doc_id)""",
     "op9_chat_tools": r"""
-WITH RECURSIVE call AS (SELECT conv_id, turn, role, text FROM conversations WHERE role <> 'assistant'),
-up AS (SELECT c.*, p.turn IS NOT NULL AS has_parent, c.turn >= 2 AND p.turn IS NULL AS parent_missing FROM call c LEFT JOIN (SELECT DISTINCT conv_id, turn FROM call) p ON p.conv_id = c.conv_id AND p.turn = c.turn - 2),
-deep AS (SELECT DISTINCT conv_id, turn, CAST(0 AS BIGINT) AS depth FROM up WHERE NOT has_parent
-         UNION ALL SELECT u.conv_id, u.turn, d.depth + 1 FROM deep d JOIN (SELECT DISTINCT conv_id, turn FROM up) u ON u.conv_id = d.conv_id AND u.turn = d.turn + 2),
-res AS (SELECT conv_id, turn - 1 AS turn, count(*) AS n, min(text) AS result FROM conversations WHERE role = 'assistant' GROUP BY ALL),
-j AS (SELECT u.conv_id, u.turn, u.role AS name, u.text, d.depth, u.parent_missing, coalesce(r.n, 0) AS n_results, r.result,
-        'c' || u.conv_id || '-' || u.turn AS call_id, CASE WHEN r.n > 0 THEN 'linked' ELSE 'no_result' END AS status
-      FROM up u JOIN deep d USING (conv_id, turn) LEFT JOIN res r USING (conv_id, turn))
-SELECT conv_id, call_id, turn, name, depth, status, parent_missing, n_results, name = 'user' AS valid,
-       CASE WHEN name = 'user' THEN CAST([] AS VARCHAR[]) ELSE ['chars: unknown'] END AS errors,
-       CAST(json_object('arguments', json_object('chars', length(text), 'text', text, 'turn', turn), 'call_id', call_id, 'conv_id', conv_id, 'depth', depth,
-            'name', name, 'result', result, 'status', status, 'turn', turn) AS VARCHAR) AS json FROM j""",
+WITH RECURSIVE base AS (SELECT conv_id, turn, role, text, conv_id % 8 AS kind, 'c' || conv_id || '-' || turn AS call_id,
+       CASE WHEN conv_id % 8 = 1 AND turn = 0 THEN 2 WHEN turn >= 2 THEN turn - 2 END AS up FROM conversations WHERE role <> 'assistant'),
+ids AS (SELECT DISTINCT conv_id, turn, up FROM base),
+heads AS (SELECT i.conv_id, i.turn, p.turn AS parent, i.up IS NOT NULL AND p.turn IS NULL AS parent_missing FROM ids i LEFT JOIN ids p ON p.conv_id = i.conv_id AND p.turn = i.up),
+deep AS (SELECT conv_id, turn, CAST(0 AS BIGINT) AS depth FROM heads WHERE parent IS NULL UNION ALL SELECT h.conv_id, h.turn, d.depth + 1 FROM deep d JOIN heads h ON h.conv_id = d.conv_id AND h.parent = d.turn),
+res AS (SELECT conv_id, CASE WHEN conv_id % 16 = 9 THEN 'lost-' || conv_id ELSE 'c' || conv_id || '-' || (turn - 1) END AS call_id, turn, text FROM conversations WHERE role = 'assistant'),
+more AS (SELECT * FROM res UNION ALL SELECT conv_id, call_id, turn + 50, text FROM res WHERE conv_id % 16 = 10),
+one AS (SELECT conv_id, call_id, count(*) AS n, min_by(text, (turn, text)) AS result, min((turn, text)) AS place FROM more GROUP BY ALL),
+called AS (SELECT b.conv_id, b.call_id, b.turn, CASE WHEN kind = 2 THEN 'other' ELSE role END AS name, d.depth, CASE WHEN d.depth IS NULL THEN 'cycle' WHEN o.n > 0 THEN 'linked' ELSE 'no_result' END AS status,
+         h.parent_missing, coalesce(o.n, 0) AS n_results, o.result, kind, text, b.turn AS said
+       FROM base b JOIN heads h USING (conv_id, turn) LEFT JOIN deep d USING (conv_id, turn) LEFT JOIN one o ON o.conv_id = b.conv_id AND o.call_id = b.call_id),
+again AS (SELECT conv_id, call_id, turn + 100, name, depth, 'repeated', parent_missing, 0, NULL, kind, text, turn FROM called WHERE kind = 7),
+lost AS (SELECT m.conv_id, m.call_id, m.turn, CASE WHEN c.call_id IS NULL THEN 'orphan_result' ELSE 'further_result' END AS status, m.text FROM more m
+         LEFT JOIN (SELECT DISTINCT conv_id, call_id FROM base) c ON c.conv_id = m.conv_id AND c.call_id = m.call_id JOIN one o ON o.conv_id = m.conv_id AND o.call_id = m.call_id
+         WHERE c.call_id IS NULL OR (m.turn, m.text) > o.place),
+every AS (SELECT * FROM called UNION ALL SELECT * FROM again UNION ALL SELECT conv_id, call_id, turn, NULL, NULL, status, false, 0, text, NULL, NULL, NULL FROM lost),
+checked AS (SELECT *, CASE WHEN status = 'orphan_result' THEN ['result: no call'] WHEN status = 'further_result' THEN ['result: not the first'] WHEN kind IN (3, 4) THEN ['arguments: not an object'] WHEN name NOT IN ('user', 'system') THEN ['unknown tool ' || name]
+         WHEN kind = 5 AND name = 'user' THEN ['text: missing', 'chars: missing', 'extra: unknown'] WHEN kind = 5 THEN ['text: missing', 'extra: unknown'] WHEN kind = 6 AND name = 'user' THEN ['turn: not integer', 'chars: not integer']
+         WHEN kind = 6 THEN ['turn: not integer', 'chars: unknown'] WHEN name = 'system' THEN ['chars: unknown'] ELSE CAST([] AS VARCHAR[]) END AS errors,
+       CASE WHEN kind IN (3, 4) OR kind IS NULL THEN NULL WHEN kind = 5 THEN json_object('extra', length(text), 'turn', said) WHEN kind = 6 THEN json_object('chars', 0.5::DOUBLE, 'text', text, 'turn', CAST(said AS VARCHAR))
+         ELSE json_object('chars', length(text), 'text', text, 'turn', said) END AS arguments,
+       rank() OVER (PARTITION BY conv_id ORDER BY depth NULLS LAST, turn, call_id) - 1 AS position FROM every)
+SELECT conv_id, call_id, turn, position, name, depth, status, parent_missing, n_results, len(errors) = 0 AS valid, errors,
+       CAST(json_object('arguments', arguments, 'call_id', call_id, 'conv_id', conv_id, 'depth', depth, 'name', name, 'result', result, 'status', status, 'turn', turn) AS VARCHAR) AS json FROM checked""",
 }
