@@ -1,23 +1,29 @@
 """MinHash near-dedup with an LSH forest.
 
-A document is its set of distinct 4-word shingles (64-bit hashes of lower-cased words). Documents with one set are one
-node. A signature of 128 minima is read in 32 sorted orders, each starting at another place; in an order, the documents
-that share the first 4 values are a region. Small regions give all their pairs as candidates; in a large region every
-member is paired with the region's first member and the region is split by a longer common prefix (8, 16, 32 values),
-where its parts are treated alike: depth adapts to each region. Candidates whose set sizes allow the similarity are
-confirmed on the full sets. Large regions that share members form a family. Members of a family that the confirmed links
-don't join to its largest component are compared completely, in blocks: a task holds the sets of one block of them and
-one block of the family and gives one link for each two components it finds linked, never a list of pairs.
+A document is its set of distinct word shingles (64-bit hashes of lower-cased words). Documents with one set are one node.
+A signature of 128 minima is read in 32 orders, each starting at another value. The forest is these orders sorted: a
+region is a run of nodes with a common prefix of ``ROOT`` values, dealt whole to one task, which gets its nodes sorted by
+the next ``TAIL`` values and takes the longest common prefix of each with the one before it. A region of up to ``SMALL``
+nodes gives all its pairs as candidates. A larger one gives each node with the neighbour of the longer common prefix and
+with the region's first node, and falls into the regions of the next depth at which its common prefixes part, of which
+those that are still large are treated alike: depth adapts to each region, value by value. Regions of more than ``LIMIT`` nodes, found by counting with partial aggregates,
+are not dealt: their nodes pair with the first one and are dealt anew by a longer root. Candidates whose set sizes allow
+the similarity are confirmed on the full sets.
+
+Large regions that share members form a family. Members of a family that the confirmed links don't join to its largest
+component are compared completely, in blocks: a task holds the sets of one block of them and one block of the family and
+gives one link for each two components it finds linked, never a list of pairs.
 
 So the result is exact for all pairs that share a region in some order, which a pair of similarity 0.8 misses with
-probability (1 - 0.8^4)^32 < 1e-7. No cap drops candidates. Regions are counted with partial aggregates; a group of
-copies or near copies that a third of the rows form costs a number of pairs linear in its size.
+probability (1 - 0.8^4)^32 < 1e-7. No cap drops candidates. A group of copies or near copies that a third of the rows form
+costs a number of pairs linear in its size.
 
-Shuffles: (key, node) rows, 24 bytes, 32 a node, twice; full sets only of documents in candidate pairs.
+Shuffles: region numbers (8 bytes, 32 a node) to be counted; nodes with their tails (32 bytes, 32 a node) once; full sets only of documents in candidate pairs.
 
-Defined cases: null, empty and blank texts have no shingles and link with nothing; texts under 4 words are one shingle;
-rows with one doc_id are one document, linked by any of its texts; a null doc_id links with nothing and has a null
-component; an empty table gives an empty result; input columns named like an added column give way to it.
+Defined cases: null, empty and blank texts have no shingles and link with nothing; texts shorter than a shingle are one
+shingle; rows with one doc_id are one document, linked by any of its texts; a null doc_id links with nothing and has a
+null component; an empty table gives an empty result; input columns named like an added column give way to it, other
+names don't matter.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save, small_batches, without
+from .common import save, small_batches, unused, without
 from .components import components
 from .substring_dedup import _mix, _weighted
 
@@ -39,7 +45,8 @@ SHINGLE = 4
 PERCENT = 80
 SIZE = 128  # values of a signature
 TREES = 32
-DEPTHS = (4, 8, 16, 32)
+ROOTS, TAIL = (4, 16, 28), 12  # values that make a region, first and for regions over the limit; values it is sorted by
+LIMIT = 4096  # nodes of a region that one task sorts
 BLOCK = 1 << 19  # shingles of a block of a family
 FEW = 500_000  # ids that a broadcast may hold (4 MB)
 SMALL = 24  # members of a region that is paired completely
@@ -81,41 +88,110 @@ def _describe(width: int):
     return run
 
 
-def _orders(depth: int):
-    """(node, n, sign, trees) -> (key, node, n, tree): the common prefix of ``depth`` values in each order."""
+def _orders(root: int):
+    """(node, n, sign[, trees]) -> (region, tail, node, n, tree): the hashed first ``root`` values in each order, and the next values as bytes that sort like them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            sign = np.frombuffer(b"".join(b.column("sign").to_pylist()), np.uint32).reshape(-1, SIZE).astype(np.uint64)
-            step = SIZE // TREES
-            keys = np.empty((len(sign), TREES), np.uint64)
+            sign = np.frombuffer(b"".join(b.column("sign").to_pylist()), np.uint32).reshape(-1, SIZE)
+            wide, step = sign.astype(np.uint64), SIZE // TREES
+            regions = np.empty((len(sign), TREES), np.uint64)
+            tails = np.empty((len(sign), TREES, TAIL), np.uint8)
             for t in range(TREES):
                 h = np.full(len(sign), t + 1, np.uint64)
-                for j in range(depth):
-                    h = _mix(h ^ (sign[:, (t * step + j) % SIZE] + np.uint64(0x9E3779B97F4A7C15)))
-                keys[:, t] = h
-            node, n = (np.repeat(b.column(c).to_numpy(zero_copy_only=False), TREES) for c in ("node", "n"))
+                for j in range(root):
+                    h = _mix(h ^ (wide[:, (t * step + j) % SIZE] + np.uint64(0x9E3779B97F4A7C15)))
+                regions[:, t] = h
+                tails[:, t] = sign[:, (t * step + root + np.arange(TAIL)) % SIZE] & np.uint32(0xFF)
             tree = np.tile(np.arange(TREES, dtype=np.int32), len(sign))
-            keys = keys.ravel().view(np.int64)
+            keep = np.ones(len(tree), bool)
             if "trees" in b.schema.names:
-                bits = np.repeat(b.column("trees").to_numpy(zero_copy_only=False), TREES)
-                own = (bits >> tree) & 1 == 1
-                keys, node, n, tree = keys[own], node[own], n[own], tree[own]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node), pa.array(n), pa.array(tree)], names=["key", "node", "n", "tree"])
+                keep = (np.repeat(b.column("trees").to_numpy(zero_copy_only=False), TREES) >> tree) & 1 == 1
+            node, n = (np.repeat(b.column(c).to_numpy(zero_copy_only=False), TREES)[keep] for c in ("node", "n"))
+            n = n.astype(np.int32)
+            raw = np.ascontiguousarray(tails.reshape(-1, TAIL)[keep])
+            tail = pa.FixedSizeBinaryArray.from_buffers(pa.binary(TAIL), len(raw), [None, pa.py_buffer(raw)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(regions.ravel()[keep].view(np.int64)), tail, pa.array(node), pa.array(n), pa.array(tree[keep])], names=["region", "tail", "node", "n", "tree"])
 
     return run
 
 
-def _pair(a: str, b: str, na: str, nb: str) -> DataFrame:
-    """Column list of a candidate pair, smaller node first."""
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.col(na).alias("na"), F.col(nb).alias("nb")]
+def prefixes(region: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Of sorted rows, how many values of its tail each has in common with the row before it; -1 where a region begins."""
+    same = np.cumprod(tail[1:] == tail[:-1], axis=1).sum(axis=1)
+    return np.append(-1, np.where(region[1:] == region[:-1], same, -1))[: len(region)]
+
+
+def candidates(node: np.ndarray, common: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of candidate pairs (i, j), and of the members of large regions with the place of the region's first node."""
+    heads = np.flatnonzero(common < 0)
+    size = np.diff(np.append(heads, len(common)))
+    small = np.repeat(size <= few, size)
+    number = np.cumsum(common < 0)
+    left, right, member, first = [], [], [], []
+
+    def whole(number: np.ndarray, at: np.ndarray) -> None:
+        """All pairs of rows that stand in runs of one number."""
+        for k in range(1, few):
+            i = np.flatnonzero(number[k:] == number[:-k])
+            if not len(i):
+                break
+            left.append(at[i])
+            right.append(at[i + k])
+
+    rows = np.flatnonzero(small)
+    whole(number[rows], rows)
+    runs = [(a, a + n) for a, n in zip(heads[size > few].tolist(), size[size > few].tolist())]
+    while runs:
+        a, z = runs.pop()
+        at = np.arange(a, z)
+        hub = a + int(node[a:z].argmin())
+        own = np.append(common[a + 1 : z], -1)
+        before = np.append(-1, own[:-1]) >= own  # whose common prefix is the longer one
+        left.extend((at, at))
+        right.extend((np.full(z - a, hub), np.where(before, at - 1, at + 1)))
+        member.append(at)
+        first.append(np.full(z - a, hub))
+        depth = int(common[a + 1 : z].min())
+        if depth < TAIL:
+            cut = [a, *(np.flatnonzero(common[a + 1 : z] == depth) + a + 1).tolist(), z]
+            runs.extend((x, y) for x, y in zip(cut, cut[1:]) if y - x > few)
+    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return join(left), join(right), join(member), join(first)
+
+
+def _neighbours(percent: int, few: int):
+    """Rows sorted by region and tail -> (a, b, kind): candidates (0) and members of large regions with their first node (1). One region is held beyond a batch."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
 
-def _possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity, each once."""
-    return pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).where("a < b").select("a", "b").distinct()
+        def found(region, tail, node, n):
+            i, j, member, first = candidates(node, prefixes(region, tail), few)
+            fits = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (node[i] != node[j])
+            x, y = node[i[fits]], node[j[fits]]
+            pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+            a, b = np.append(pair[:, 0], node[member]), np.append(pair[:, 1], node[first])
+            kind = np.append(np.zeros(len(pair), np.int8), np.ones(len(member), np.int8))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(kind)], names=["a", "b", "kind"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            tail = np.frombuffer(b"".join(b.column("tail").to_pylist()), np.uint8).reshape(-1, TAIL)
+            own = [b.column("region").to_numpy(), tail, b.column("node").to_numpy(), b.column("n").to_numpy().astype(np.int64)]
+            if held is not None:
+                own = [np.concatenate(p) for p in zip(held, own)]
+            begin = int(np.searchsorted(own[0], own[0][-1]))  # the last region may go on
+            held = [x[begin:] for x in own]
+            if begin:
+                yield found(*(x[:begin] for x in own))
+        if held is not None:
+            yield found(*held)
+
+    return run
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -149,38 +225,37 @@ def _sets(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     return texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, set binary")
 
 
-def _regions(rows: DataFrame) -> DataFrame:
-    """Regions of two members or more, with their first member."""
-    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n")).where("members > 1")
-
-
 def near_links(nodes: DataFrame, texts: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """nodes (node, n, sign) and their texts (node, text) -> links (u, v)."""
     spark = nodes.sparkSession
-    found, large, open_ = [], None, nodes.select("node", "n", "sign")
-    for depth in DEPTHS:
-        rows = open_.mapInArrow(_orders(depth), "key long, node long, n long, tree int")
-        members = save(rows.join(_regions(rows), "key"), "regions")
-        small = members.where(F.col("members") <= SMALL).select("key", "node", "n")
-        other = small.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"))
-        found.append(_possible(small.join(other, "key").where("node < node2").select(*_pair("node", "node2", "n", "n2")), percent))
-        big = members.where(F.col("members") > SMALL)
-        found.append(_possible(big.select(*_pair("node", "hub", "n", "hub_n")), percent))
-        if depth == DEPTHS[0]:
-            large = big.select("node", "hub", "n")
-        deeper = big.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, tree))").alias("trees"))
-        if big.isEmpty() or depth == DEPTHS[-1]:
+    found, open_ = [], nodes.select("node", "n", "sign")
+    for root in ROOTS:
+        rows = open_.mapInArrow(_orders(root), "region long, tail binary, node long, n int, tree int")
+        sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("hub"))
+        over = save(sizes.where(F.col("members") > LIMIT).select("region", "hub"), "large-regions")
+        many = over.count()
+        named = F.broadcast(over) if many <= FEW else over  # 16 bytes each; beyond that both sides are dealt
+        dealt = rows.join(named, "region", "left_anti") if many else rows
+        near = dealt.select("region", "tail", "node", "n").repartition("region").sortWithinPartitions("region", "tail", "node")
+        found.append(save(near.mapInArrow(_neighbours(percent, SMALL), "a long, b long, kind byte"), "neighbours"))
+        if not many:
             break
+        members = save(rows.join(named, "region").select("node", "n", "tree", "hub"), "large-regions")
+        pairs = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), F.lit(0).cast("byte").alias("kind"))
+        found.append(pairs.unionByName(members.select(F.col("node").alias("a"), F.col("hub").alias("b"), F.lit(1).cast("byte").alias("kind"))))
+        deeper = members.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, tree))").alias("trees"))
         open_ = nodes.select("node", "n", "sign").join(deeper, "node")
-    pairs = found[0]
+    every = found[0]
     for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    pairs = save(pairs.distinct(), "candidates")
+        every = every.unionByName(more)
+    pairs = save(every.where("kind = 0").select("a", "b").distinct(), "candidates")
     with small_batches(spark, 500):
         links = save(_confirm(pairs, _sets(texts, pairs, width), percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-    if large.isEmpty():
-        return links
-    return links.unionByName(_families(large, components(links), texts, width, percent))
+        large = save(every.where("kind = 1").select(F.col("a").alias("node"), F.col("b").alias("hub")).distinct(), "large-regions")
+        if large.isEmpty():
+            return links
+        large = large.join(nodes.select("node", "n"), "node")
+        return links.unionByName(_families(large, components(links), texts, width, percent))
 
 
 def _linked(percent: int):
@@ -236,16 +311,19 @@ def _families(large: DataFrame, joined: DataFrame, texts: DataFrame, width: int,
 
 def minhash_dedup(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` (doc_id, text, ...) with n_shingles, component_id (smallest doc_id reachable by links) and kept (doc_id = component_id)."""
-    docs = without(docs, [*ADDED, "digest", "node"])
+    docs = without(docs, ADDED)
     docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    read = save(docs.select("doc_id", "text").mapInArrow(_describe(width), "doc_id long, n long, digest binary, sign binary"), "signatures")
+    with small_batches(docs.sparkSession, 500):
+        read = save(docs.select("doc_id", "text").mapInArrow(_describe(width), "doc_id long, n long, digest binary, sign binary"), "signatures")
     real = read.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     nodes = save(real.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sign").alias("sign")), "nodes")
     # a doc_id with several sets is one document: its sets' nodes are linked
     same = real.select("doc_id", "digest").distinct().join(nodes.select("digest", "node"), "digest").where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     texts = docs.select(F.col("doc_id").alias("node"), "text")
     links = near_links(nodes, texts, width, percent)
-    group = components(links.unionByName(same)).withColumnRenamed("id", "doc_id")
-    facts = read.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
-    out = docs.join(facts, "doc_id", "left").join(group, "doc_id", "left")
-    return out.withColumns({"n_shingles": F.coalesce("n_shingles", F.lit(0)), "component_id": F.coalesce("component", "doc_id")}).withColumn("kept", F.col("doc_id") == F.col("component_id")).select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED)
+    group, at, size = (unused(docs, x) for x in ("component", "id", "n"))
+    part = components(links.unionByName(same)).select(F.col("id").alias(at), F.col("component").alias(group))
+    facts = read.groupBy("doc_id").agg(F.max("n").alias(size)).withColumnRenamed("doc_id", at).join(part, at, "left")
+    out = docs.join(facts, F.col("doc_id") == F.col(at), "left")
+    found = {"n_shingles": F.coalesce(F.col(size), F.lit(0)), "component_id": F.coalesce(F.col(group), F.col("doc_id"))}
+    return out.withColumns(found).withColumn("kept", F.col("doc_id") == F.col("component_id")).select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED)
