@@ -24,10 +24,18 @@ MAX_LOSS = 0.3
 HAS_WORD = r"[^\x20\x09-\x0D]"
 #: Punctuation that prose has after some word.
 SENTENCE = r"""[.!?:;,…。！？"'”’»)\]](\s|\z)"""
-#: Wording of page furniture.
-BOILERPLATE = r"(?i)lorem ipsum|enable javascript|javascript is disabled|cookie policy|accept (all )?cookies|privacy policy|terms of (use|service)|all rights reserved|skip to (main )?content|sign (in|up) to|log ?in to continue|subscribe to our|share (this )?on (facebook|twitter)|click here|read more\z"
+#: Wording of page furniture, in English, German, French and Spanish; a point stands for a letter with an accent.
+BOILERPLATE = (
+    r"(?i)lorem ipsum|enable javascript|javascript is disabled|cookie policy|accept (all )?cookies|privacy policy|terms of (use|service)|all rights reserved|skip to (main )?content|sign (in|up) to|log ?in to continue|subscribe to our|share (this )?on (facebook|twitter)|click here|read more\z"
+    r"|alle rechte vorbehalten|datenschutzerkl|nutzungsbedingungen|\bimpressum\b|cookies akzeptieren|hier klicken|weiterlesen\z|mehr erfahren\z|newsletter abonnieren"
+    r"|tous droits r.serv.s|politique de confidentialit|mentions l.gales|conditions d.utilisation|accepter les cookies|cliquez ici|lire la suite\z|abonnez-vous"
+    r"|todos los derechos reservados|pol.tica de (privacidad|cookies)|aviso legal|condiciones de uso|aceptar (las )?cookies|haga clic aqu|leer m.s\z|suscr.base"
+)
 #: One of these, in lower case, is in every text that the wording above can match.
 HINTS = ["lorem ipsum", "javascript", "cookie", "privacy policy", "terms of", "rights reserved", "skip to", "sign in", "sign up", "log in", "login", "subscribe to", "share ", "click here", "read more"]
+HINTS += ["rechte vorbehalten", "datenschutz", "nutzungsbedingungen", "impressum", "klicken", "weiterlesen", "mehr erfahren", "abonn"]
+HINTS += ["tous droits", "confidentialit", "mentions l", "conditions d", "cliquez", "lire la suite"]
+HINTS += ["derechos reservados", "privacidad", "aviso legal", "condiciones de uso", "clic aqu", "leer m", "suscr"]
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 ADDED = [*BASE, "n_lines", "n_bad_lines", "loss", "kept", "clean_text"]
 
