@@ -70,11 +70,11 @@ def audit_proofs(stored: DataFrame, docs: DataFrame, fields: dict[str, bool]) ->
 
 
 def acceptance(results: DataFrame) -> DataFrame:
-    """results (class, accepted) -> (class, accepted, errors, status, stored): ``ok`` if nothing was rejected, ``partial`` otherwise."""
+    """results (class, accepted) -> (class, accepted, errors, status, stored): ``ok`` if nothing was rejected, ``partial`` otherwise. A null verdict counts as neither; an empty table gives no rows."""
     per = results.groupBy("class").agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("errors"))
     return per.select("class", "accepted", "errors", F.when(F.col("errors") == 0, "ok").otherwise("partial").alias("status"), F.col("accepted").alias("stored"))
 
 
 def flatten_values(df: DataFrame, pk: str, series: str = "values") -> tuple[DataFrame, DataFrame]:
-    """(parent rows, value rows with the parent's key and ``value_idx``)."""
+    """(parent rows, value rows with the parent's key and ``value_idx``); a null or empty series has no value rows."""
     return df.drop(series), df.select(F.col(pk), F.posexplode(series).alias("value_idx", "v")).select(pk, "value_idx", "v.*")

@@ -14,14 +14,14 @@ from .quality import Tables, union
 
 
 def clear_fields(df: DataFrame, fields: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with the fields set to null, (cleared): how many values were not null)."""
+    """(rows with the fields set to null, (cleared): how many values were not null). Fields that aren't columns are passed over; an empty table has cleared 0."""
     own = [f for f in fields if f in df.columns]
     cleared = sum((F.coalesce(F.count_if(F.col(f).isNotNull()), F.lit(0)) for f in own), F.lit(0).cast("long"))
     return df.withColumns({f: F.lit(None).cast(df.schema[f].dataType) for f in own}), df.agg(cleared.alias("cleared"))
 
 
 def summarise(df: DataFrame, fields: list[str], feedback: DataFrame | None = None) -> DataFrame:
-    """(rec_idx, summary): listed fields that are present as JSON, ``misc`` if it is not empty, ``mapping_feedback`` if given as (rec_idx, feedback)."""
+    """(rec_idx, summary): listed fields that are present as JSON, ``misc`` if it is not empty, ``mapping_feedback`` if given as (rec_idx, feedback). Null fields are left out; a rec_idx with several feedbacks gives a row for each."""
     cols = [F.col(f) for f in fields if f in df.columns and f != "misc"]
     if "misc" in df.columns:
         cols.append(F.when(~F.coalesce(F.trim("misc").isin("", "{}", "null"), F.lit(True)), F.col("misc")).alias("misc"))
@@ -32,7 +32,10 @@ def summarise(df: DataFrame, fields: list[str], feedback: DataFrame | None = Non
 
 
 def build_options(df: DataFrame, id_col: str, labels: list[str], with_index: bool = False, by: str = "doc_id") -> DataFrame:
-    """(by, id, label, index): rows with an id and a label ``k=v | k=v`` of their non-empty columns; index counts from 1 in each ``by``."""
+    """(by, id, label, index): rows with an id and a label ``k=v | k=v`` of their non-empty columns; index counts from 1 in each ``by``, in the order of rec_idx.
+
+    Rows with a null or empty id are no options; a row without any label keeps an empty one; repeated ids stay options each.
+    """
     parts = [F.when(~is_null_or_empty(F.col(c)), F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in labels]
     rows = df.where(~is_null_or_empty(F.col(id_col)))
     out = rows.select(by, "rec_idx", F.col(id_col).cast("string").alias("id"), F.concat_ws(" | ", *parts).alias("label"))
@@ -50,13 +53,13 @@ def fill_default(df: DataFrame, col: str, default: str, marker: str, misc: str =
 
 
 def make_batches(df: DataFrame, size: int = 15, by: str = "doc_id") -> DataFrame:
-    """Adds batch_no and batch_idx: consecutive groups of ``size`` rows of each ``by``."""
+    """Adds batch_no and batch_idx: consecutive groups of ``size`` rows of each ``by``, in the order of rec_idx; rows of a null ``by`` form batches of their own."""
     at = F.row_number().over(W.partitionBy(by).orderBy("rec_idx")) - 1
     return df.withColumn("_at", at).withColumns({"batch_no": F.floor(F.col("_at") / size).cast("int"), "batch_idx": F.col("_at") % size}).drop("_at")
 
 
 def canonical_city(cities: DataFrame, runs: DataFrame) -> DataFrame:
-    """One city a run: its first row; a usable id stays, else it is derived from name, country and locode; a run without a row gets a placeholder."""
+    """One city a run: its first row; a usable id stays, else it is derived from name, country and locode; a run without a row gets an id derived from three nulls. A run named twice counts once."""
     first = cities.withColumn("_n", F.row_number().over(W.partitionBy("doc_id").orderBy("rec_idx"))).where("_n = 1").drop("_n", "rec_idx")
     parts = [F.coalesce(F.to_json(F.array(F.col(c))), F.lit("[null]")) for c in ("cityName", "country", "locode")]
     name = F.concat(*[x for p in zip((F.lit('{"cityName": '), F.lit(', "country": '), F.lit(', "locode": ')), (F.regexp_replace(p, r"^\[|\]$", "") for p in parts)) for x in p], F.lit("}"))
@@ -159,7 +162,7 @@ def link_fk(records: DataFrame, options: DataFrame, min_score: float = 0.2, scor
 
 
 def link_parent(df: DataFrame, id_col: str, text_col: str, label_col: str, **more) -> DataFrame:
-    """``link_fk`` of a table with itself: a row is never its own parent."""
+    """``link_fk`` of a table with itself: a row is never its own parent; rows with a null id can have a parent and be none."""
     records = df.select("doc_id", "rec_idx", F.col(id_col).cast("string").alias("own_id"), F.col(text_col).alias("text"))
     options = df.select("doc_id", F.col(id_col).cast("string").alias("id"), F.col(label_col).alias("label"))
     return link_fk(records, options, not_self=True, **more)
@@ -180,7 +183,11 @@ def prior_context(items: DataFrame, chunks: DataFrame, n: int = 0) -> DataFrame:
 
 
 def merge_items(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """(signature, items): lists with new items appended, exact repeats dropped, first order kept. Both: (signature, seq, item)."""
+    """(signature, items): lists with new items appended, exact repeats dropped, first order kept. Both: (signature, seq, item).
+
+    Of items with one place the smaller comes first; a null item counts as an item. A signature's items are one row, as
+    its readers want them.
+    """
     both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
     once = both.groupBy("signature", "item").agg(F.min(F.struct("_new", "seq")).alias("at"))
     return once.groupBy("signature").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "item"))), lambda x: x["item"]).alias("items"))

@@ -81,7 +81,7 @@ def fill_pk(df: DataFrame, pk: str, generated: str) -> DataFrame:
 
 
 def city_ids(tables: Tables) -> DataFrame:
-    """All city ids over all tables that carry the column."""
+    """All city ids over all tables that carry the column, each once; null and empty ones are none. No such table is an error."""
     return union([df.select(F.col("cityId").cast("string").alias("cityId")) for df in tables.values() if "cityId" in df.columns]).where(~is_null_or_empty(F.col("cityId"))).distinct()
 
 
@@ -187,19 +187,19 @@ def read_loaded(spark: SparkSession, target: str, name: str, fmt: str = "parquet
 
 
 def load_report(counts: DataFrame, errors: DataFrame, limit: int = 50) -> DataFrame:
-    """counts (table, loaded, validated, inserted) and errors (table, rec_idx, ...) -> the counts with failed (events), failed_rows and truncated."""
+    """counts (table, loaded, validated, inserted) and errors (table, rec_idx, ...) -> the counts with failed (events), failed_rows and truncated. A table without errors has 0 of both."""
     per = errors.groupBy("table").agg(F.count(F.lit(1)).alias("failed"), F.countDistinct("rec_idx").alias("failed_rows"))
     out = counts.join(per, "table", "left").na.fill(0, ["failed", "failed_rows"])
     return out.withColumn("truncated", F.col("failed") > limit)
 
 
 def missing_fields(errors: DataFrame, top: int = 10) -> DataFrame:
-    """The fields most often missing; ties by name."""
+    """The ``top`` fields most often missing; ties by name; none if nothing is missing."""
     return errors.where(F.col("type") == "missing").groupBy("field").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "field").limit(top)
 
 
 def id_sets(a: DataFrame, b: DataFrame, id_col: str) -> DataFrame:
-    """(id, side): matched, missing (in a only) or extra (in b only), each id once."""
+    """(id, side): matched, missing (in a only) or extra (in b only), each id once; null ids are none."""
     left, right = (x.select(F.col(id_col).cast("string").alias("id")).where("id IS NOT NULL").distinct() for x in (a, b))
     joined = left.withColumn("_a", F.lit(True)).join(right.withColumn("_b", F.lit(True)), "id", "full_outer")
     return joined.select("id", F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "extra").otherwise("matched").alias("side"))

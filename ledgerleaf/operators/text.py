@@ -32,7 +32,7 @@ def assemble_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_pairs(pages: DataFrame) -> DataFrame:
-    """(doc_id, page_no, next_no, left, right): consecutive pages of which at least one has text."""
+    """(doc_id, page_no, next_no, left, right): consecutive pages of which at least one has text; a single page has no pair, gaps in the numbers don't matter."""
     w = W.partitionBy("doc_id").orderBy("page_no")
     got = pages.select("doc_id", "page_no", F.lead("page_no").over(w).alias("next_no"), F.col("markdown").alias("left"), F.lead("markdown").over(w).alias("right"))
     text = F.concat(F.coalesce("left", F.lit("")), F.coalesce("right", F.lit("")))
@@ -40,7 +40,7 @@ def page_pairs(pages: DataFrame) -> DataFrame:
 
 
 def size_gate(docs: DataFrame, threshold: int, limit: int, force: bool = False, counter: Counter = count_words) -> DataFrame:
-    """Adds token_count and route: ``chunk`` above the threshold (or if forced), ``reject`` above the limit, else ``whole``."""
+    """Adds token_count and route: ``chunk`` above the threshold (or if forced), ``reject`` above the limit, else ``whole``. Null texts have 0 tokens. Columns of these names give way."""
     counted = docs.withColumn("token_count", token_count(F.col("text"), counter))
     return counted.withColumn("route", F.when(F.lit(force) | (F.col("token_count") > threshold), "chunk").when(F.col("token_count") > limit, "reject").otherwise("whole"))
 
