@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunk_of, text_bytes, without
+from .common import chunk_of, without
 
 PART = 3  # words of a minimiser
 CHUNK_BYTES = 8 << 20

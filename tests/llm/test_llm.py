@@ -11,7 +11,6 @@ from collections import Counter, defaultdict, deque
 
 import numpy as np
 import public_tokenizers as P
-import pyarrow as pa
 import pytest
 import regex
 import tiktoken
