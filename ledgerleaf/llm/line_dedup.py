@@ -15,12 +15,13 @@ all copies is the union of the maximal repeated runs.
 
 Shuffles: line hashes (16 bytes a line) once; afterwards only repeated lines; texts once, to be joined with the lines to
 delete, by document. Counting and ranking combine before they shuffle, and no group is collected: a line, run or document
-that a third of the rows share is a count and a minimum. Documents are joined by a row id made of doc_id and text, so
+that a third of the rows share is a count and a minimum. Keys of more than a share of the rows, at most ``HOT_KEYS`` of
+them, meet their facts in a broadcast join, so their rows stay where they are; the others are dealt. Documents are joined by a row id made of doc_id and text, so
 rows with one doc_id don't mix.
 
 Defined cases: null, empty and blank texts have no lines and stay as they are; lines without a word are neither compared
 nor deleted; repeated rows (equal doc_id and text) count as one document; a null doc_id counts as the smallest; an empty
-table gives an empty result; input columns named like an added column give way to it.
+table gives an empty result; input columns named like an added column give way to it, other names don't matter.
 """
 
 from __future__ import annotations
@@ -28,12 +29,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, let, save, without
+from .common import discard, let, packed, save, without
 
 MIN_LINES = 2
 ADDED = ["n_lines", "n_removed_lines", "clean_text"]
 PLACE = ["d", "h", "n"]  # doc_id, hash of the text, number of the worded line
 NO_ID = -(1 << 63)
+HOT_KEYS = 20_000  # keys that a broadcast may hold: each has more than this part of the rows
+HOT_ROWS = 500  # and more rows than this
 
 
 def _row(docs: DataFrame) -> DataFrame:
@@ -57,24 +60,33 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def _intervals(suffixes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, first, rank) of the keys found at two places or more. The sort is dealt by ranges, so ranks rise over all partitions."""
+    """(keys, places, first, rank) of the keys found at two places or more. The sort is dealt by ranges, so ranks rise over all partitions."""
     groups = suffixes.groupBy(*keys).agg(F.count(F.lit(1)).alias("places"), F.min(F.struct(*PLACE)).alias("first"))
-    ranked = groups.where("places > 1").drop("places").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranked = groups.where("places > 1").repartitionByRange(*keys).sortWithinPartitions(*keys)
     return save(ranked.withColumn("rank", F.monotonically_increasing_id()), "line-ranks")
 
 
+def _met(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows with the facts of their keys; facts: unique keys and places, how many rows they have (all of ``rows``)."""
+    share = max(HOT_ROWS, (facts.agg(F.sum("places")).first()[0] or 0) // HOT_KEYS)
+    hot = F.broadcast(facts.where(F.col("places") > share))  # fewer than HOT_KEYS: they have more than their part each
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(facts.where(F.col("places") <= share), keys)
+    return rows.join(hot, keys).unionByName(rest).drop("places")
+
+
 def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = 0) -> DataFrame:
     """(d, h, n): the lines to delete, each once."""
     lines = save(_lines(docs.select("doc_id", "text"), min_words), "lines")
-    often = lines.groupBy("a", "b").count().where("count > 1").drop("count")
-    level = save(lines.join(often, ["a", "b"]).dropDuplicates(PLACE), "line-suffixes")
+    often = save(lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("places")).where("places > 1"), "line-counts")
+    level = save(_met(lines, often, ["a", "b"]).dropDuplicates(PLACE), "line-suffixes")
     discard(lines)
+    discard(often)
     keys, pairs, span, step, copies, wide = ["a", "b"], level, 0, 1, None, ["wide"]
     while True:
         ranks = _intervals(pairs, keys)
         if ranks.isEmpty():
             break
-        below, level = level, save(pairs.join(ranks, keys).select(*PLACE, "rank", "first", *wide), "line-suffixes")
+        below, level = level, save(_met(pairs, ranks, keys).select(*PLACE, "rank", "first", *wide), "line-suffixes")
         discard(ranks)
         if copies is None:
             discard(below)
@@ -98,7 +110,8 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = 0)
 
     ``min_words``: repeated single lines of that many words go too; 0: none do.
     """
-    docs = without(docs, [*ADDED, "d", "h", "gone"])
+    docs = without(docs, ADDED)
+    names, docs = docs.columns, packed(docs, ["doc_id", "text"])
     gone = repeated_lines(docs, min_lines, min_words).groupBy("d", "h").agg(F.collect_list(F.col("n").cast("int")).alias("gone"))
     text = F.col("text").cast("string")
     found = _row(docs).join(gone, ["d", "h"], "left").withColumn("n_removed_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
@@ -111,4 +124,4 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = 0)
 
     clean = F.when(F.col("n_removed_lines") == 0, text).otherwise(let(F.split(text, "\n", -1), rest))
     n_lines = F.coalesce(F.size(F.filter(F.split(text, "\n", -1), _worded)), F.lit(0)).cast("long")
-    return found.withColumns({"n_lines": n_lines, "clean_text": clean}).select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED)
+    return found.withColumns({"n_lines": n_lines, "clean_text": clean}).select(*[F.col("row").getField(c).alias(c) for c in names], *ADDED)
