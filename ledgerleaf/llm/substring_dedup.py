@@ -322,7 +322,8 @@ def substring_dedup(docs: DataFrame, window: int = 13, texts: bool = True) -> Da
     chunks, buckets = size // CHUNK_BYTES + 1, size // BUCKET_BYTES + 1
     heavy = _heavy(docs, window, buckets, rows) if buckets > 1 else np.zeros(0, np.uint64)
     dealt = docs.withColumn("chunk", chunk_of("doc_id", chunks))
-    blocks = dealt.select("chunk", "doc_id", "text").groupBy("chunk").applyInArrow(lambda t: _blocks(t, window, buckets, heavy), "chunk int, bucket int, payload binary")
+    # the same grouping as below, so that texts are shuffled once
+    blocks = dealt.groupBy("chunk").applyInArrow(lambda t: _blocks(t, window, buckets, heavy), "chunk int, bucket int, payload binary")
     spans = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_bucketed(window), "chunk int, rows binary, starts binary, ends binary")
     order = [c for c in docs.columns if c != "text"] + ["text"] * texts
     schema = T.StructType([docs.schema[c] for c in order] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
