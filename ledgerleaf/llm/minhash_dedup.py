@@ -143,21 +143,22 @@ def candidates(node: np.ndarray, common: np.ndarray, few: int) -> tuple[np.ndarr
 
     rows = np.flatnonzero(small)
     whole(number[rows], rows)
-    runs = [(a, a + n) for a, n in zip(heads[size > few].tolist(), size[size > few].tolist())]
+    runs = [(a, a + n, True) for a, n in zip(heads[size > few].tolist(), size[size > few].tolist())]
     while runs:
-        a, z = runs.pop()
+        a, z, region = runs.pop()
         at = np.arange(a, z)
         hub = a + int(node[a:z].argmin())
         own = np.append(common[a + 1 : z], -1)
         before = np.append(-1, own[:-1]) >= own  # whose common prefix is the longer one
         left.extend((at, at))
         right.extend((np.full(z - a, hub), np.where(before, at - 1, at + 1)))
-        member.append(at)
-        first.append(np.full(z - a, hub))
+        if region:  # its parts are in the same family
+            member.append(at)
+            first.append(np.full(z - a, hub))
         depth = int(common[a + 1 : z].min())
         if depth < TAIL:
             cut = [a, *(np.flatnonzero(common[a + 1 : z] == depth) + a + 1).tolist(), z]
-            runs.extend((x, y) for x, y in zip(cut, cut[1:]) if y - x > few)
+            runs.extend((x, y, False) for x, y in zip(cut, cut[1:]) if y - x > few)
     join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return join(left), join(right), join(member), join(first)
 
@@ -173,8 +174,9 @@ def _neighbours(percent: int, few: int):
             fits = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (node[i] != node[j])
             x, y = node[i[fits]], node[j[fits]]
             pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-            a, b = np.append(pair[:, 0], node[member]), np.append(pair[:, 1], node[first])
-            kind = np.append(np.zeros(len(pair), np.int8), np.ones(len(member), np.int8))
+            in_family = np.unique(np.stack([node[member], node[first]], axis=1), axis=0)
+            a, b = np.append(pair[:, 0], in_family[:, 0]), np.append(pair[:, 1], in_family[:, 1])
+            kind = np.append(np.zeros(len(pair), np.int8), np.ones(len(in_family), np.int8))
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(kind)], names=["a", "b", "kind"])
 
         for b in batches:
