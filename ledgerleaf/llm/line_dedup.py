@@ -66,7 +66,7 @@ def _intervals(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     return save(ranked.withColumn("rank", F.monotonically_increasing_id()), "line-ranks")
 
 
-def _met(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+def joined_with_facts(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     """The rows with the facts of their keys; facts: unique keys and places, how many rows they have (all of ``rows``)."""
     share = max(HOT_ROWS, (facts.agg(F.sum("places")).first()[0] or 0) // HOT_KEYS)
     hot = F.broadcast(facts.where(F.col("places") > share))  # fewer than HOT_KEYS: they have more than their part each
@@ -78,7 +78,7 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     """(d, h, n): the lines to delete, each once."""
     lines = save(_lines(docs.select("doc_id", "text"), min_words), "lines")
     often = save(lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("places")).where("places > 1"), "line-counts")
-    level = save(_met(lines, often, ["a", "b"]).dropDuplicates(PLACE), "line-suffixes")
+    level = save(joined_with_facts(lines, often, ["a", "b"]).dropDuplicates(PLACE), "line-suffixes")
     discard(lines)
     discard(often)
     keys, pairs, span, step, copies, wide = ["a", "b"], level, 0, 1, None, ["wide"]
@@ -86,7 +86,7 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
         ranks = _intervals(pairs, keys)
         if ranks.isEmpty():
             break
-        below, level = level, save(_met(pairs, ranks, keys).select(*PLACE, "rank", "first", *wide), "line-suffixes")
+        below, level = level, save(joined_with_facts(pairs, ranks, keys).select(*PLACE, "rank", "first", *wide), "line-suffixes")
         discard(ranks)
         if copies is None:
             discard(below)

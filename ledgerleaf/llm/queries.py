@@ -16,6 +16,8 @@ from .line_dedup import line_dedup
 from .lm_scoring import lm_scores
 from .minhash_dedup import minhash_dedup
 from .packing import pack
+from .phrases import collocations
+from .spelling import spelling_variants
 from .substring_dedup import substring_dedup
 from .warc import warc_round_trip
 
@@ -107,6 +109,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -118,9 +128,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_tools": op9_chat_tools,
     "op10_line_dedup": op10_line_dedup,
+    "op12_spelling": op12_spelling,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op13_phrases": r"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS x FROM documents),
+p AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w FROM piece),
+win AS (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase FROM p, unnest([1, 2, 3, 4, 5]) AS h(m), unnest(generate_series(1, len(w) - m + 1)) AS g(i)),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM win GROUP BY ALL), total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE a >= 100),
+cut AS (SELECT c.lang, c.phrase, c.a, n, k, l.a AS l, r.a AS r, (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score FROM c, unnest(generate_series(1, c.m - 1)) AS g(k) JOIN total ON total.lang = c.lang
+  JOIN c l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.w, 1, k), ' ') JOIN c r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.w, k + 1, c.m), ' ')),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+part AS (SELECT lang, array_to_string(list_slice(w, i, i + s - 1), ' ') AS phrase, max(a) AS longer FROM c, unnest(generate_series(2, m - 1)) AS h(s), unnest(generate_series(1, m - s + 1)) AS g(i) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM low LEFT JOIN part USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a QUALIFY rank <= 2000""",
     "op1_substring_dedup": rf"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS s FROM d, unnest(generate_series(1, len(w) - 12)) AS g(i)),
