@@ -12,6 +12,7 @@ from . import quality_rules as rules
 from .bpe import bpe_round_trip
 from .chat_tools import link_tool_calls
 from .embedding_dedup import embedding_dedup
+from .html_extraction import main_text
 from .line_dedup import line_dedup
 from .lm_scoring import lm_scores
 from .minhash_dedup import minhash_dedup
@@ -109,6 +110,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -128,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_tools": op9_chat_tools,
     "op10_line_dedup": op10_line_dedup,
+    "op11_html_extraction": op11_html_extraction,
     "op12_spelling": op12_spelling,
     "op13_phrases": op13_phrases,
 }
