@@ -98,7 +98,8 @@ def coerce(c: Column, kind: str, number: Column | None = None) -> Column:
 
     Digits may be grouped by commas and underscores. A whole number has no decimals other than zeros. Dates are ISO
     dates, also with slashes, with a time or a Z behind them, or four digits for a year's first day; where the text was a
-    JSON ``number``, one from 1 to 9999 is a year.
+    JSON ``number``, one from 1 to 9999 is a year. Timestamps with an offset become UTC, others stay as they are, in any
+    session; what is no date, or date and time, is none.
     """
     text = F.nullif(F.trim(_s(c)), F.lit(""))
     digits = F.regexp_replace(text, "[,_]", "")
@@ -116,7 +117,14 @@ def coerce(c: Column, kind: str, number: Column | None = None) -> Column:
         return F.coalesce(year, packed, F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day)).try_cast("date")
     if kind == "timestamp":
         stamp = F.replace(text, F.lit("/"), F.lit("-"))
-        return F.coalesce(year, F.when(stamp.rlike(r"^\d{4}-\d{2}-\d{2}"), stamp)).try_cast("timestamp").cast("timestamp_ntz")
+        clock = r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?"
+        bare = F.when(stamp.rlike(rf"^(?:\d{{4}}-\d{{2}}-\d{{2}}|{clock})$"), stamp)
+        # with an offset, the clock less the offset: UTC whatever the session's zone
+        zone = rf"^({clock})\s*(?:[Zz]|([+-])(\d{{2}}):?(\d{{2}})?)$"
+        hours, minutes = (F.coalesce(F.regexp_extract(stamp, zone, k).try_cast("int"), F.lit(0)) for k in (3, 4))
+        east = F.when(F.regexp_extract(stamp, zone, 2) == "-", -1).otherwise(1) * (60 * hours + minutes)
+        utc = F.when(stamp.rlike(zone), F.regexp_extract(stamp, zone, 1).try_cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), east))
+        return F.coalesce(F.coalesce(year, bare).try_cast("timestamp_ntz"), utc)
     if kind == "uuid":
         return F.when(is_uuid(text), canonical_uuid(text))
     return text

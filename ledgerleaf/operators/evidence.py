@@ -2,27 +2,65 @@
 
 from __future__ import annotations
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..frames import also, col, joined, save, unused, without
 from ..functions.scalars import is_blank, normalize_for_match, verified_decimal, verified_int, year_int
 
 _COERCE = {"decimal": verified_decimal, "int": verified_int, "year": year_int, "string": lambda c: c.cast("string")}
 
 
+MANY = 64  # quotes of a document, beyond which its text is scanned for all of them at once
+PART = 10_000  # quotes of a document that one scan looks for
+
+
 def quotes_found(quotes: DataFrame, docs: DataFrame) -> DataFrame:
     """quotes (doc_id, quote, ...) with ``found``: the normalised quote is in the normalised text of its document.
 
-    A document's text is normalised once; quotes join it by doc_id, where a document with very many quotes can be split.
-    Blank quotes and texts, and quotes without a document, give false. Of several texts with one doc_id the least counts.
-    A column named ``found`` gives way.
+    A document's text is normalised once. Where a document has few quotes, they join its text by doc_id. Where it has more
+    than ``MANY``, its different quotes become one Aho-Corasick automaton and the text is scanned once, not copied to each
+    quote; quotes beyond ``PART`` go to further automata, each with a copy of the text. Blank quotes and texts, and quotes
+    without a document, give false. Of several texts with one doc_id the least counts. A column named ``found`` gives way.
     """
-    quotes = quotes.drop("found")
-    text = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias("_text")).select("doc_id", normalize_for_match(F.col("_text")).alias("_text"))
-    quote = normalize_for_match(F.col("quote"))
-    hit = F.coalesce((quote != "") & (F.col("_text") != "") & F.contains(F.col("_text"), quote), F.lit(False))
-    return quotes.join(text, "doc_id", "left").select(*[F.col(f"`{c}`") for c in quotes.columns], hit.alias("found"))
+    quotes = without(quotes, ["found"])
+    own = [col(c) for c in quotes.columns]
+    text, norm, hit, many = unused(quotes, "text", "norm", "hit", "many")
+    whole = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias(text)).select("doc_id", normalize_for_match(col(text)).alias(text))
+    asked = also(quotes, **{norm: normalize_for_match(col("quote"))})
+    counts = save(asked.where(F.col("doc_id").isNotNull() & (col(norm) != "")).groupBy("doc_id").agg(F.countDistinct(col(norm)).alias(many)).where(col(many) > MANY), "documents-of-many-quotes")
+
+    def plainly(df: DataFrame) -> DataFrame:
+        both = joined(df, whole, {"doc_id": "doc_id"})
+        found = F.coalesce((col(norm) != "") & (col(text) != "") & F.contains(col(text), col(norm)), F.lit(False))
+        return both.select(*own, found.alias("found"))
+
+    if counts.isEmpty():
+        return plainly(asked)
+    parts = counts.select("doc_id", (F.floor((col(many) - 1) / PART) + 1).cast("int").alias("parts"))
+    dealt = asked.select("doc_id", col(norm).alias("norm")).where("norm <> ''").distinct().join(parts, "doc_id").select("doc_id", F.pmod(F.xxhash64("norm"), F.col("parts")).cast("int").alias("part"), "norm")
+    texts = whole.select("doc_id", col(text).alias("text")).where("text <> ''").join(parts, "doc_id").select("doc_id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "text")
+    kind = quotes.schema["doc_id"].dataType.simpleString()
+    seen = dealt.groupBy("doc_id", "part").cogroup(texts.groupBy("doc_id", "part")).applyInArrow(_scan, f"doc_id {kind}, norm string")
+    scanned = joined(joined(asked, counts, {"doc_id": "doc_id"}, "left_semi"), seen.select(col("doc_id"), col("norm"), F.lit(True).alias(hit)), {"doc_id": "doc_id", norm: "norm"})
+    rest = joined(asked, counts, {"doc_id": "doc_id"}, "left_anti")
+    return plainly(rest).unionByName(scanned.select(*own, F.coalesce(col(hit), F.lit(False)).alias("found")))
+
+
+def _scan(quotes: pa.Table, texts: pa.Table) -> pa.Table:
+    """(doc_id, norm): the quotes that one pass over the text of their document meets."""
+    found: set[str] = set()
+    if quotes.num_rows and texts.num_rows:
+        machine = ahocorasick.Automaton()
+        for q in quotes.column("norm").to_pylist():
+            machine.add_word(q, q)
+        machine.make_automaton()
+        found = {q for _, q in machine.iter(texts.column("text")[0].as_py())}
+    doc = (quotes if quotes.num_rows else texts).column("doc_id")
+    return pa.table({"doc_id": pa.array([doc[0].as_py()] * len(found), doc.type), "norm": pa.array(sorted(found), pa.string())})
 
 
 def verify_records(records: DataFrame, docs: DataFrame, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
@@ -31,7 +69,8 @@ def verify_records(records: DataFrame, docs: DataFrame, fields: dict[str, str])
     A field whose value is null and whose proof is incomplete is skipped. Otherwise a blank quote, a confidence outside
     0 to 1, a quote that is not in the source or a value that doesn't convert is an error, and any error rejects the
     whole record. Accepted rows have converted values and ``proofs`` by field. A field may also be one struct of value,
-    quote and confidence.
+    quote and confidence. Rows of one (doc_id, rec_idx) are judged as one: an error of either rejects both, and of two
+    proofs of a field the lesser counts.
     """
     for f in fields:
         if isinstance(records.schema[f].dataType, StructType):
@@ -51,7 +90,8 @@ def verify_records(records: DataFrame, docs: DataFrame, fields: dict[str, str])
     )
     judged = checked.withColumn("error", problem)
     errors = judged.where("error IS NOT NULL").groupBy("doc_id", "rec_idx").agg(F.array_sort(F.collect_list(F.struct("field", "error"))).alias("errors"))
-    proofs = judged.groupBy("doc_id", "rec_idx").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", F.struct("quote", "confidence"))))).alias("proofs"))
+    once = judged.groupBy("doc_id", "rec_idx", "field").agg(F.min(F.struct("quote", "confidence")).alias("proof"))
+    proofs = once.groupBy("doc_id", "rec_idx").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "proof")))).alias("proofs"))
     rejected = records.select("doc_id", "rec_idx").join(errors, ["doc_id", "rec_idx"])
     good = records.join(errors.select("doc_id", "rec_idx"), ["doc_id", "rec_idx"], "left_anti").join(proofs, ["doc_id", "rec_idx"], "left")
     return good.withColumns({f: _COERCE[k](F.col(f)) for f, k in fields.items()}).drop(*[f"{f}_{x}" for f in fields for x in ("quote", "confidence")]), rejected

@@ -1,79 +1,136 @@
-"""Deduplication, deterministic keys and rewriting of references."""
+"""Deduplication, deterministic keys and rewriting of references.
+
+Rows are ordered by (doc_id, rec_idx), so "first" means the same however many documents a table holds. No column of these
+operators clashes with the caller's.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..frames import also, col, discard, joined, numbered, place, replaced, save, unused
 from ..functions.scalars import class_namespace, is_placeholder_uuid, is_uuid, uuid5
 from ..specs import SPECS, TableSpec
 from .quality import Tables, union
 
 
 def dedupe_records(new: DataFrame, stored: DataFrame | None, key: str = "content_key") -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected): a record whose content key is stored already or was seen in an earlier row is rejected.
+    """(kept, rejected): a record whose content key is stored already or was seen in an earlier row, of any document, is rejected.
 
-    Only keys and row numbers are shuffled before the joins; the least row of a key is combined first, so a key of very
-    many rows is no single group. Rows with a null key are all kept.
+    Only keys and places are shuffled before the joins; the least row of a key is combined first, so a key of very many
+    rows is no single group. Rows with a null key are all kept; rows with one key and one place count as one row and stay
+    or go together.
     """
-    first = new.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("rec_idx").alias("_first"))
+    first, seen, mine = unused(new, "first", "seen", "key")
+    whole = new.where(col(key).isNotNull())
+    least = whole.groupBy(col(key).alias(mine)).agg(F.min(place(new)).alias(first))
     if stored is not None:
-        first = first.join(stored.select(key).distinct().withColumn("_seen", F.lit(True)), key, "left")
+        least = joined(least, stored.select(col(key).alias("k")).distinct().withColumn(seen, F.lit(True)), {mine: "k"})
     else:
-        first = first.withColumn("_seen", F.lit(None).cast("boolean"))
-    marked = new.where(F.col(key).isNotNull()).join(first, key)
-    again = F.col("_seen").isNotNull() | (F.col("rec_idx") > F.col("_first"))
-    return marked.where(~again).select(*new.columns).unionByName(new.where(F.col(key).isNull())), marked.where(again).select(*new.columns)
+        least = also(least, **{seen: F.lit(None).cast("boolean")})
+    marked = joined(whole, least, {key: mine}, "inner")
+    again = col(seen).isNotNull() | (place(new) > col(first))
+    own = [col(c) for c in new.columns]
+    return marked.where(~again).select(*own).unionByName(new.where(col(key).isNull())), marked.where(again).select(*own)
 
 
-def _salted(seed, n, first_salt: int):
+def _salted(seed: Column, n: Column, first_salt: int) -> Column:
+    """The n-th try of a seed: bare at first, then with ``first_salt`` and on."""
     return F.when(n == 1, seed).otherwise(F.concat(seed, F.lit("|"), (n - 2 + first_salt).cast("string")))
 
 
-def _with_repeats(df: DataFrame, key: str) -> DataFrame:
-    """Adds ``_again``: an earlier row has the same key. Rows without a key, which may be most, meet in no group and have none."""
-    keyed = df.where(F.col(key).isNotNull())
-    first = keyed.groupBy(key).agg(F.min("rec_idx").alias("_first"))
-    marked = keyed.join(first, key).withColumn("_again", F.col("rec_idx") > F.col("_first")).select(*df.columns, "_again")
-    return marked.unionByName(df.where(F.col(key).isNull()).withColumn("_again", F.lit(False)))
+def _with_repeats(df: DataFrame, key: str, again: str) -> DataFrame:
+    """Adds ``again``: an earlier row has the same key. Rows without a key, which may be most, meet in no group and have none."""
+    mine, first = unused(df, "key", "first")
+    keyed = df.where(col(key).isNotNull())
+    least = keyed.groupBy(col(key).alias(mine)).agg(F.min(place(df)).alias(first))
+    marked = joined(keyed, least, {key: mine}, "inner").select(*[col(c) for c in df.columns], (place(df) > col(first)).alias(again))
+    return marked.unionByName(also(df.where(col(key).isNull()), **{again: F.lit(False)}))
+
 
+def _free_keys(todo: DataFrame, seed: str, taken: DataFrame, name: Callable[[Column, Column], Column], new: str) -> DataFrame:
+    """``todo`` with a key in ``new`` that is not in ``taken`` (k): the j-th row of a seed gets the j-th of the seed's keys that is free.
 
-def _renamed(df: DataFrame, where: str, seed: str, name) -> DataFrame:
-    """Adds ``_new`` to the rows that ``where`` marks: ``name`` of their seed and number among the marked rows of that seed; null for the others, which take part in no window."""
-    todo = df.where(where).withColumn("_k", F.row_number().over(W.partitionBy(seed).orderBy("rec_idx")))
-    return todo.withColumn("_new", name(F.col(seed), F.col("_k"))).drop("_k").unionByName(df.where(f"NOT {where}").withColumn("_new", F.lit(None).cast("string")))
+    Keys of different seeds differ. First every row tries the key of its number; only seeds of which one was taken go on:
+    in rounds, all their tries so far are held against ``taken`` and as many more are made as are still missing, to a
+    fixpoint. Only keys are shuffled, and in the rounds only those of such seeds. A null seed has a null key.
+    """
+    at, mine, no = unused(todo, "try", "key", "no")
+    own = [col(c) for c in todo.columns]
+    tried = save(also(numbered(todo, seed, at), **{new: name(col(seed), col(at))}), "keys-tried")
+    hit = joined(tried.select(col(seed).alias(mine), col(new).alias(no)), taken, {no: "k"}, "left_semi").select(mine).distinct()
+    hit = save(hit, "seeds-taken")
+    good = joined(tried, hit, {seed: mine}, "left_anti").select(*own, col(new))
+    if hit.isEmpty():
+        return good
+    late = save(joined(tried, hit, {seed: mine}, "left_semi").select(*own, col(at)), "rows-late")
+    size = late.groupBy(col(seed).alias("s")).agg(F.count(F.lit(1)).alias("m"))
+    reach = save(size.select("s", "m", F.col("m").alias("l")), "seed-reach")
+    while True:
+        tries = reach.select("s", "m", F.explode(F.sequence(F.lit(1), F.col("l"))).alias("t")).withColumn("new", name(F.col("s"), F.col("t")))
+        free = save(joined(tries, taken, {"new": "k"}, "left_anti"), "keys-free")
+        short = joined(reach, free.groupBy("s").agg(F.count(F.lit(1)).alias("n")), {"s": "s"}).select("s", "m", (F.col("l") + F.greatest(F.col("m") - F.coalesce("n", F.lit(0)), F.lit(0))).alias("l"), (F.coalesce("n", F.lit(0)) < F.col("m")).alias("more"))
+        if short.where("more").isEmpty():
+            break
+        old, reach = reach, save(short.drop("more"), "seed-reach")
+        discard(old)
+        discard(free)
+    ranked = numbered(free.select("s", F.col("t").alias("rec_idx"), "new"), "s", "t").select(F.col("s").alias(mine), F.col("t").alias(no), F.col("new").alias(new))
+    return good.unionByName(joined(late, ranked, {seed: mine, at: no}, "inner").select(*own, col(new)))
 
 
 def assign_pk(df: DataFrame, table: str, pk: str, seed: str = "seed", existing: DataFrame | None = None) -> DataFrame:
-    """Missing, malformed, placeholder or repeated keys, and those in ``existing``, become the UUID of the record's seed; the k-th row of one seed is salted with k.
+    """Missing, malformed, placeholder or repeated keys, and those in ``existing`` (pk), become the UUID of the record's seed, salted from 2 on until it is free.
 
-    Seeds are the records' content, so rows of one seed are copies. Rows with a null seed and a bad key get a null key.
+    Free means: not in ``existing``, not a good key of another row, not given to an earlier row; so keys are unique
+    afterwards, also when a second run finds its own keys in ``existing``. Rows of one seed are copies; the k-th starts with
+    the k-th salt. Rows with a null seed and a bad key get a null key; of rows with a null identity any may be first.
     """
-    marked = _with_repeats(df, pk)
-    bad = ~is_uuid(F.col(pk)) | is_placeholder_uuid(F.col(pk)) | F.col("_again")
+    again, old, bad, new = unused(df, "again", "old", "bad", "new")
+    marked = _with_repeats(df, pk, again)
+    wrong = ~is_uuid(col(pk)) | is_placeholder_uuid(col(pk)) | col(again)
+    if existing is not None:
+        marked = joined(marked, existing.select(col(pk).cast("string").alias("k")).distinct().withColumn(old, F.lit(True)), {pk: "k"})
+        wrong = wrong | col(old).isNotNull()
+    own = [col(c) for c in df.columns]
+    marked = save(marked.select(*own, F.coalesce(wrong, F.lit(True)).alias(bad)), "keys-marked")
+    good = marked.where(~col(bad))
+    taken = good.select(col(pk).cast("string").alias("k"))
     if existing is not None:
-        marked = marked.join(existing.select(F.col(pk).alias("_old")).distinct(), F.col(pk) == F.col("_old"), "left")
-        bad = bad | F.col("_old").isNotNull()
-    marked = marked.withColumn("_bad", F.coalesce(bad, F.lit(True))).select(*df.columns, "_bad")
-    out = _renamed(marked, "_bad", seed, lambda s, n: uuid5(class_namespace(table), F.concat(_salted(s, n, 2), F.lit(pk))))
-    return out.withColumn(pk, F.when(F.col("_bad"), F.col("_new")).otherwise(F.col(pk))).select(*df.columns)
+        taken = taken.unionByName(existing.select(col(pk).cast("string").alias("k")).where("k IS NOT NULL").distinct())
+    given = _free_keys(marked.where(col(bad)).select(*own), seed, taken, lambda s, n: uuid5(class_namespace(table), F.concat(_salted(s, n, 2), F.lit(pk))), new)
+    return good.select(*own).unionByName(replaced(given, pk, col(new)).select(*own))
 
 
 def rewrite_pk(df: DataFrame, table: str, pk: str, seed: str = "seed", target_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """New deterministic keys for all rows, or for rows with target ids and repeats; (rows, old -> new map, the last row of an old key wins)."""
-    marked = _with_repeats(df, pk)
-    chosen = F.lit(True)
-    if target_ids is not None:
-        marked = marked.join(target_ids.select(F.col(pk).alias("_t")).distinct(), F.col(pk) == F.col("_t"), "left")
-        chosen = F.col("_t").isNotNull() | F.col("_again")
-    marked = marked.withColumn("_turn", F.coalesce(chosen, F.lit(True))).select(*df.columns, "_turn")
+    """New deterministic keys for all rows, or for rows with target ids (pk) and repeats; (rows, old -> new map, the last row of an old key wins).
+
+    A new key is none that the table had, stays in it or was given before: its salt, from 1 on, is counted up until it is
+    free. Without target ids, a row whose key is among the first m of its seed, which m rows share, keeps it, so a second
+    run changes nothing. Rows without a key get one, unless target ids are named.
+    """
+    again, hit, turn, new = unused(df, "again", "hit", "turn", "new")
     space = uuid.uuid5(uuid.UUID(int=0), f"rewrite:{table}")
-    out = _renamed(marked, "_turn", seed, lambda s, n: uuid5(space, _salted(s, n, 1)))
-    ids = out.where("_turn").where(F.col(pk).isNotNull()).groupBy(F.col(pk).alias("old_id")).agg(F.max_by("_new", "rec_idx").alias("new_id"))
-    return out.withColumn(pk, F.when(F.col("_turn"), F.col("_new")).otherwise(F.col(pk))).select(*df.columns), ids
+    key_of = lambda s, n: uuid5(space, _salted(s, n, 1))
+    own = [col(c) for c in df.columns]
+    marked = _with_repeats(df, pk, again)
+    if target_ids is None:
+        seeds = marked.groupBy(col(seed).alias("s")).agg(F.count(F.lit(1)).alias("m"))
+        tries = seeds.where("s IS NOT NULL").select(F.explode(F.sequence(F.lit(1), F.col("m"))).alias("n"), "s").select("s", key_of(F.col("s"), F.col("n")).alias("k")).withColumn(hit, F.lit(True))
+        marked = joined(marked, tries, {seed: "s", pk: "k"})
+        chosen = F.coalesce(col(again) | col(hit).isNull(), F.lit(True))
+    else:
+        marked = joined(marked, target_ids.select(col(pk).alias("k")).distinct().withColumn(hit, F.lit(True)), {pk: "k"})
+        chosen = col(hit).isNotNull() | col(again)
+    marked = save(marked.select(*own, chosen.alias(turn)), "keys-marked")
+    taken = marked.where(col(pk).isNotNull()).select(col(pk).cast("string").alias("k")).distinct()
+    given = save(_free_keys(marked.where(col(turn)).select(*own), seed, taken, key_of, new), "keys-rewritten")
+    ids = given.where(col(pk).isNotNull()).groupBy(col(pk).alias("old_id")).agg(F.max_by(col(new), place(df)).alias("new_id"))
+    return marked.where(~col(turn)).select(*own).unionByName(replaced(given, pk, col(new)).select(*own)), ids
 
 
 def cascade_fk(tables: Tables, id_maps: Tables, specs: dict[str, TableSpec] = SPECS) -> tuple[Tables, DataFrame]:
@@ -86,16 +143,16 @@ def cascade_fk(tables: Tables, id_maps: Tables, specs: dict[str, TableSpec] = SP
         for fk in specs[name].fks:
             if fk.target not in id_maps or fk.field not in df.columns:
                 continue
-            columns = df.columns
-            ids = id_maps[fk.target].select(F.col("old_id").alias("_old"), F.col("new_id").alias("_new"))
-            joined = df.where(F.col(fk.field).isNotNull()).join(ids, F.col(fk.field) == F.col("_old"), "left")
-            changed = F.col("_new").isNotNull() & (F.col("_new") != F.col(fk.field))
-            counts.append(joined.agg(F.count_if(changed).alias("changed")).select(F.lit(name).alias("table"), F.lit(fk.field).alias("field"), "changed"))
-            df = joined.withColumn(fk.field, F.coalesce("_new", fk.field)).select(*columns).unionByName(df.where(F.col(fk.field).isNull()))
+            columns = [col(c) for c in df.columns]
+            (new,) = unused(df, "new")
+            both = joined(df.where(col(fk.field).isNotNull()), id_maps[fk.target].select("old_id", col("new_id").alias(new)), {fk.field: "old_id"})
+            changed = col(new).isNotNull() & (col(new) != col(fk.field))
+            counts.append(both.agg(F.count_if(changed).alias("changed")).select(F.lit(name).alias("table"), F.lit(fk.field).alias("field"), "changed"))
+            df = replaced(both, fk.field, F.coalesce(col(new), col(fk.field))).select(*columns).unionByName(df.where(col(fk.field).isNull()))
         out[name] = df
     return out, union(counts) if counts else SparkSession.active().createDataFrame([], "table string, field string, changed long")
 
 
 def absent_ids(requested: DataFrame, df: DataFrame, id_col: str) -> DataFrame:
     """Requested ids that a table doesn't have."""
-    return requested.select(id_col).distinct().join(df.select(id_col), id_col, "left_anti")
+    return joined(requested.select(col(id_col)).distinct(), df.select(col(id_col)), {id_col: id_col}, "left_anti")

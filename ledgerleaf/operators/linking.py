@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..frames import all_of, also, col, identity, joined, numbered, replaced, save, unused, without
 from ..functions.scalars import class_namespace, is_blank, is_null_or_empty, is_placeholder_uuid, is_uuid, uuid5
 from ..specs import SPECS, TableSpec
 from .quality import Tables, union
@@ -21,27 +22,30 @@ def clear_fields(df: DataFrame, fields: list[str]) -> tuple[DataFrame, DataFrame
 
 
 def summarise(df: DataFrame, fields: list[str], feedback: DataFrame | None = None) -> DataFrame:
-    """(rec_idx, summary): listed fields that are present as JSON, ``misc`` if it is not empty, ``mapping_feedback`` if given as (rec_idx, feedback). Null fields are left out; a rec_idx with several feedbacks gives a row for each."""
-    cols = [F.col(f) for f in fields if f in df.columns and f != "misc"]
+    """([doc_id,] rec_idx, summary): listed fields that are present as JSON, ``misc`` if it is not empty, ``mapping_feedback`` if given as ([doc_id,] rec_idx, feedback). Null fields are left out; a row with several feedbacks gives a row for each."""
+    cols = [col(f) for f in fields if f in df.columns and f != "misc"]
     if "misc" in df.columns:
         cols.append(F.when(~F.coalesce(F.trim("misc").isin("", "{}", "null"), F.lit(True)), F.col("misc")).alias("misc"))
+    own = identity(df)
     if feedback is not None:
-        df = df.join(feedback.select("rec_idx", "feedback"), "rec_idx", "left")
-        cols.append(F.col("feedback").alias("mapping_feedback"))
-    return df.select("rec_idx", F.to_json(F.struct(*cols)).alias("summary"))
+        (said,) = unused(df, "said")
+        keys = [c for c in own if c in feedback.columns]
+        df = joined(df, feedback.select(*keys, F.col("feedback").alias(said)), {c: c for c in keys})
+        cols.append(col(said).alias("mapping_feedback"))
+    return df.select(*own, F.to_json(F.struct(*cols)).alias("summary"))
 
 
 def build_options(df: DataFrame, id_col: str, labels: list[str], with_index: bool = False, by: str = "doc_id") -> DataFrame:
-    """(by, id, label, index): rows with an id and a label ``k=v | k=v`` of their non-empty columns; index counts from 1 in each ``by``, in the order of rec_idx.
+    """(by, id, label, index): rows with an id and a label ``k=v | k=v`` of their non-empty columns; index counts from 1 in each ``by``, in the order of rows.
 
     Rows with a null or empty id are no options; a row without any label keeps an empty one; repeated ids stay options each.
     """
-    parts = [F.when(~is_null_or_empty(F.col(c)), F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in labels]
-    rows = df.where(~is_null_or_empty(F.col(id_col)))
-    out = rows.select(by, "rec_idx", F.col(id_col).cast("string").alias("id"), F.concat_ws(" | ", *parts).alias("label"))
+    parts = [F.when(~is_null_or_empty(col(c)), F.concat(F.lit(f"{c}="), col(c).cast("string"))) for c in labels]
+    rows = df.where(~is_null_or_empty(col(id_col)))
+    out = rows.select(*dict.fromkeys([by, *identity(df)]), col(id_col).cast("string").alias("id"), F.concat_ws(" | ", *parts).alias("label"))
     if with_index:
-        out = out.withColumn("index", F.row_number().over(W.partitionBy(by).orderBy("rec_idx")))
-    return out.drop("rec_idx")
+        out = numbered(out, by, "index").withColumn("index", F.col("index").cast("int"))
+    return out.select(by, "id", "label", *["index"] * with_index)
 
 
 def fill_default(df: DataFrame, col: str, default: str, marker: str, misc: str = "misc") -> tuple[DataFrame, DataFrame]:
@@ -53,31 +57,38 @@ def fill_default(df: DataFrame, col: str, default: str, marker: str, misc: str =
 
 
 def make_batches(df: DataFrame, size: int = 15, by: str = "doc_id") -> DataFrame:
-    """Adds batch_no and batch_idx: consecutive groups of ``size`` rows of each ``by``, in the order of rec_idx; rows of a null ``by`` form batches of their own."""
-    at = F.row_number().over(W.partitionBy(by).orderBy("rec_idx")) - 1
-    return df.withColumn("_at", at).withColumns({"batch_no": F.floor(F.col("_at") / size).cast("int"), "batch_idx": F.col("_at") % size}).drop("_at")
+    """Adds batch_no and batch_idx: consecutive groups of ``size`` rows of each ``by``, in the order of (doc_id, rec_idx); rows of a null ``by`` form batches of their own. Columns of these names give way."""
+    df = without(df, ["batch_no", "batch_idx"])
+    (at,) = unused(df, "at")
+    out = numbered(df, by, at)
+    return out.select(*[col(c) for c in df.columns], F.floor((col(at) - 1) / size).cast("int").alias("batch_no"), ((col(at) - 1) % size).cast("int").alias("batch_idx"))
 
 
 def canonical_city(cities: DataFrame, runs: DataFrame) -> DataFrame:
     """One city a run: its first row; a usable id stays, else it is derived from name, country and locode; a run without a row gets an id derived from three nulls. A run named twice counts once."""
-    first = cities.withColumn("_n", F.row_number().over(W.partitionBy("doc_id").orderBy("rec_idx"))).where("_n = 1").drop("_n", "rec_idx")
+    kept = [c for c in cities.columns if c not in ("doc_id", "rec_idx")]
+    first = cities.groupBy("doc_id").agg(F.min_by(F.struct(*[col(c) for c in kept]), F.struct("rec_idx", *[col(c) for c in kept])).alias("\0row"))
+    first = first.select("doc_id", *[col("\0row").getField(c).alias(c) for c in kept])
     parts = [F.coalesce(F.to_json(F.array(F.col(c))), F.lit("[null]")) for c in ("cityName", "country", "locode")]
     name = F.concat(*[x for p in zip((F.lit('{"cityName": '), F.lit(', "country": '), F.lit(', "locode": ')), (F.regexp_replace(p, r"^\[|\]$", "") for p in parts)) for x in p], F.lit("}"))
     usable = is_uuid(F.col("cityId")) & ~is_placeholder_uuid(F.col("cityId"))
-    joined = runs.select("doc_id").distinct().join(first, "doc_id", "left")
-    return joined.withColumn("cityId", F.when(usable, F.col("cityId")).otherwise(uuid5(class_namespace("City"), name)))
+    both = runs.select("doc_id").distinct().join(first, "doc_id", "left")
+    return replaced(both, "cityId", F.when(usable, F.col("cityId")).otherwise(uuid5(class_namespace("City"), name)))
 
 
 def apply_city(df: DataFrame, city: DataFrame) -> DataFrame:
-    """Each row's cityId becomes its run's; ``changed`` tells where it was another. The join is Spark's choice: a city table is small, not bounded."""
-    ids = city.select("doc_id", F.col("cityId").alias("_city"))
-    joined = df.join(ids, "doc_id", "left")
-    return joined.withColumn("changed", F.col("_city").isNotNull() & ~F.col("_city").eqNullSafe(F.col("cityId"))).withColumn("cityId", F.coalesce("_city", "cityId")).drop("_city")
+    """Each row's cityId becomes its run's; ``changed`` tells where it was another. The join is Spark's choice: a city table is small, not bounded. A column named ``changed`` gives way."""
+    df = without(df, ["changed"])
+    (new,) = unused(df, "city")
+    both = joined(df, city.select("doc_id", F.col("cityId").alias(new)), {"doc_id": "doc_id"})
+    changed = col(new).isNotNull() & ~col(new).eqNullSafe(F.col("cityId"))
+    return both.select(*[F.coalesce(col(new), F.col("cityId")).alias(c) if c == "cityId" else col(c) for c in df.columns], changed.alias("changed"))
 
 
 def city_mismatch(tables: Tables, city: DataFrame) -> DataFrame:
-    """(table, mismatches): rows whose cityId is not their run's."""
-    return union([apply_city(df, city).agg(F.count_if("changed").alias("mismatches")).select(F.lit(n).alias("table"), "mismatches") for n, df in tables.items()])
+    """(table, mismatches): rows whose cityId is not their run's. No tables: no rows."""
+    found = [apply_city(df, city).agg(F.count_if("changed").alias("mismatches")).select(F.lit(n).alias("table"), "mismatches") for n, df in tables.items()]
+    return union(found) if found else SparkSession.active().createDataFrame([], "table string, mismatches long")
 
 
 _CHOICE = "array<map<string,string>>"
@@ -126,39 +137,191 @@ def tokens(c: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(c), r"(?U)[^\p{L}\p{N}]+"), lambda x: x != ""))
 
 
-def link_fk(records: DataFrame, options: DataFrame, min_score: float = 0.2, scorer: Callable[[Column, Column, Column], Column] | None = None, not_self: bool = False) -> DataFrame:
-    """records (doc_id, rec_idx, text[, own_id]) × options (doc_id, id, label) of one document -> the best id or null.
+Scorer = Callable[[Column, Column, Column], Column]
+PREFIX_FROM = 0.5  # least score from which looking at the rarest tokens alone saves more than ranking them costs
 
-    The score is shared tokens over all tokens of both (or ``scorer`` of shared, text tokens, label tokens); ties go to the
-    smaller id. ``not_self`` leaves out the record's own id. Without a scorer only pairs meet that share one of the
-    rarest tokens of both: of n tokens all but the commonest ``ceil(min_score * n) - 1``, as two sets that reach the score
-    share one of these (so no pair is lost). With a scorer all pairs that share a token meet. Records without a token, or
-    without a like option, have linked_id and score null.
+
+def _overlap(shared: Column, own: Column, option: Column) -> Column:
+    return shared / (own + option - shared)
+
+
+def _postings(df: DataFrame, keys: list[str], text: str, weights: DataFrame | None) -> DataFrame:
+    """(keys, w, x, total): a row a token with its weight and the weight of all tokens of the row."""
+    each = df.select(*keys, tokens(F.col(text)).alias("t"))
+    if weights is None:
+        return each.select(*keys, F.size("t").cast("double").alias("total"), F.explode("t").alias("w")).withColumn("x", F.lit(1.0))
+    flat = each.select(*keys, F.explode("t").alias("w")).join(weights, ["doc_id", "w"], "left").withColumn("x", F.coalesce("x", F.lit(0.0)))
+    return flat.join(flat.groupBy(*keys).agg(F.sum("x").alias("total")), keys)
+
+
+def idf(options: DataFrame) -> DataFrame:
+    """(doc_id, w, x): a token's weight, the logarithm of how few of the document's options have it, plus one."""
+    each = options.select("doc_id", "id", F.explode(tokens(F.col("label"))).alias("w")).distinct()
+    many = each.groupBy("doc_id").agg(F.countDistinct("id").alias("of"))
+    return each.groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n")).join(many, "doc_id").select("doc_id", "w", (F.log(F.col("of") / F.col("n")) + 1).alias("x"))
+
+
+def link_scores(records: DataFrame, options: DataFrame, min_score: float = 0.2, scorer: Scorer | None = None, weights: DataFrame | None = None) -> DataFrame:
+    """(doc_id, rec_idx, id, score): all options of a record that share a token with it and reach the score.
+
+    The score is shared weight over all weight of both, or ``scorer`` of (shared, record's, option's); a token weighs 1, or
+    as ``weights`` (doc_id, w, x) say. Postings of records and options carry their totals, so one join and one sum over the
+    shared tokens give the score. An option given twice with one label counts once; with several, its best label counts.
     """
-    own = records.withColumn("_t", tokens(F.col("text")))
-    opts = options.withColumn("_l", tokens(F.col("label")))
-    if scorer is None and min_score > 0:
-        words = opts.select("doc_id", F.explode("_l").alias("_w")).groupBy("doc_id", "_w").agg(F.count(F.lit(1)).alias("_n"))
-
-        def rarest(df: DataFrame, keys: list[str], sets: str) -> DataFrame:
-            ranked = df.select("doc_id", *keys, F.explode(sets).alias("_w")).join(words, ["doc_id", "_w"], "left")
-            sorted_ = ranked.groupBy("doc_id", *keys).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_w").alias("w")))).alias("_s"))
-            most = F.size("_s") - F.ceil(F.size("_s") * F.lit(min_score) - 1e-9).cast("int") + 1
-            return sorted_.select("doc_id", *keys, F.explode(F.slice("_s", F.lit(1), most)).alias("_w")).select("doc_id", *keys, "_w.w")
-
-        left, right = rarest(own, ["rec_idx"], "_t"), rarest(opts, ["id", "label"], "_l")
+    own = _postings(records, ["doc_id", "rec_idx"], "text", weights)
+    opts = _postings(options.select("doc_id", "id", "label").distinct(), ["doc_id", "id", "label"], "label", weights)
+    if scorer is None and weights is None and min_score >= PREFIX_FROM:
+        pairs = _rarest(own, ["doc_id", "rec_idx"], opts, min_score).join(_rarest(opts, ["doc_id", "id", "label"], opts, min_score), ["doc_id", "w"]).select("doc_id", "rec_idx", "id", "label").distinct()
+        both = pairs.join(own.select("doc_id", "rec_idx", "w", "x", "total"), ["doc_id", "rec_idx"]).join(opts.select("doc_id", "id", "label", "w", F.col("total").alias("of")), ["doc_id", "id", "label", "w"])
     else:
-        left, right = own.select("doc_id", "rec_idx", F.explode("_t").alias("w")), opts.select("doc_id", "id", "label", F.explode("_l").alias("w"))
-    pairs = left.join(right, ["doc_id", "w"]).select("doc_id", "rec_idx", "id", "label").distinct()
-    keep = ["own_id"] if not_self else []
-    full = pairs.join(own.select("doc_id", "rec_idx", *keep, "_t"), ["doc_id", "rec_idx"]).join(opts.select("doc_id", "id", "label", "_l").distinct(), ["doc_id", "id", "label"])
+        both = own.join(opts.select("doc_id", "id", "label", "w", F.col("total").alias("of")), ["doc_id", "w"])
+    sums = both.groupBy("doc_id", "rec_idx", "id", "label").agg(F.sum("x").alias("shared"), F.first("total").alias("total"), F.first("of").alias("of"))
+    scored = sums.select("doc_id", "rec_idx", "id", (scorer or _overlap)(F.col("shared"), F.col("total"), F.col("of")).alias("score")).where(F.col("score") >= min_score)
+    return scored.groupBy("doc_id", "rec_idx", "id").agg(F.max("score").alias("score"))
+
+
+def _rarest(postings: DataFrame, keys: list[str], options: DataFrame, min_score: float) -> DataFrame:
+    """Of a set's n tokens all but the commonest ``ceil(min_score * n) - 1``: two sets that reach the score share one of these."""
+    seen = options.groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n"))
+    ranked = postings.join(seen, ["doc_id", "w"], "left").groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("w").alias("w")))).alias("s"))
+    most = F.size("s") - F.ceil(F.size("s") * F.lit(min_score) - 1e-9).cast("int") + 1
+    return ranked.select(*keys, F.explode(F.slice("s", F.lit(1), most)).alias("e")).select(*keys, "e.w")
+
+
+def link_bounded(records: DataFrame, options: DataFrame, min_score: float = 0.2, scorer: Scorer | None = None, weights: DataFrame | None = None, not_self: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The best option of each record by score bounds: ((doc_id, rec_idx, id, score), candidates looked at by round (round, candidates)).
+
+    ``scorer`` rises with the shared weight and falls with the option's. A record's tokens are ordered by how few options
+    have them. An option that shares none of the first j tokens shares at most what is left, so its score is at most the
+    scorer of that; once this bound is below the best score found, or below ``min_score``, the record is done and its
+    commoner tokens meet nothing. Rounds take a record's first token, the next, the next two, the next four and so on; only
+    records that are still open take part, so very common tokens meet few records. Equal to comparing all pairs that share
+    a token; ties go to the smaller id.
+    """
+    score = scorer or _overlap
+    keys = ["doc_id", "rec_idx"]
+    opts = _postings(options.select("doc_id", "id", "label").distinct(), ["doc_id", "id", "label"], "label", weights)
+    opts = save(opts.withColumnRenamed("total", "of"), "postings")
+    seen = opts.groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n"))
+    own = _postings(records, keys, "text", weights).join(seen, ["doc_id", "w"])  # tokens that no option has meet nothing
+    listed = own.groupBy(*keys, "total").agg(F.sort_array(F.collect_list(F.struct("n", "w", "x"))).alias("t"))
+    listed = listed.withColumn("left", F.transform(F.sequence(F.lit(1), F.size("t")), lambda k: F.aggregate(F.slice("t", k, F.size("t")), F.lit(0.0), lambda a, e: a + e["x"])))
     if not_self:
-        full = full.where(~F.col("id").eqNullSafe(F.col("own_id")))
-    shared, nt, nl = F.size(F.array_intersect("_t", "_l")), F.size("_t"), F.size("_l")
-    score = scorer(shared, nt, nl) if scorer else shared / (nt + nl - shared)
-    scored = full.select("doc_id", "rec_idx", "id", score.alias("score")).where(F.col("score") >= min_score)
-    top = scored.groupBy("doc_id", "rec_idx").agg(F.min_by(F.struct("id", "score"), F.struct(-F.col("score"), F.col("id"))).alias("_best"))
-    return records.join(top.select("doc_id", "rec_idx", F.col("_best.id").alias("linked_id"), F.col("_best.score").alias("score")), ["doc_id", "rec_idx"], "left")
+        listed = joined(listed, records.select(*keys, F.col("own_id").alias("self")).distinct(), {c: c for c in keys})
+    open_ = save(listed.withColumn("best", F.lit(None).cast("struct<score:double,id:string>")), "records-open")
+    done, looked, start, span = [], [], 0, 1
+    while True:
+        part = open_.select(*keys, F.explode(F.slice("t", F.lit(start + 1), F.lit(span))).alias("e")).select(*keys, F.col("e.w").alias("w"))
+        pairs = part.join(opts.select("doc_id", "w", "id", "label", "of"), ["doc_id", "w"]).select(*keys, "id", "label", "of").distinct()
+        if not_self:
+            pairs = joined(pairs, open_.select(*keys, "self"), {c: c for c in keys}).where(~F.col("id").eqNullSafe(F.col("self"))).drop("self")
+        pairs = save(pairs, "pairs")
+        looked.append(pairs.agg(F.count(F.lit(1)).alias("candidates")).select(F.lit(len(looked)).alias("round"), "candidates"))
+        mine = open_.select(*keys, "total", F.explode("t").alias("e")).select(*keys, "total", F.col("e.w").alias("w"), F.col("e.x").alias("x"))
+        shared = pairs.join(mine, keys).join(opts.select("doc_id", "id", "label", "w"), ["doc_id", "id", "label", "w"], "left_semi")
+        sums = shared.groupBy(*keys, "id", "label", "of", "total").agg(F.sum("x").alias("shared")).select(*keys, F.col("id").cast("string").alias("id"), score(F.col("shared"), F.col("total"), F.col("of")).cast("double").alias("score"))
+        found = sums.where(F.col("score") >= min_score).groupBy(*keys).agg(F.min_by(F.struct("score", "id"), F.struct(-F.col("score"), F.col("id"))).alias("new"))
+        start, span = start + span, max(1, start + span)
+        now = joined(open_, found, {c: c for c in keys})
+        better = F.col("best").isNull() | (F.col("new.score") > F.col("best.score")) | ((F.col("new.score") == F.col("best.score")) & (F.col("new.id") < F.col("best.id")))
+        now = now.withColumn("best", F.when(F.col("new").isNotNull() & better, F.col("new")).otherwise(F.col("best"))).drop("new")
+        rest = F.get("left", F.lit(start))
+        bound = score(rest, F.col("total"), rest)
+        more = F.coalesce((bound >= min_score) & (F.col("best").isNull() | (bound >= F.col("best.score"))), F.lit(False))
+        judged = save(now.withColumn("more", more), "records-judged")
+        done.append(judged.where("NOT more AND best IS NOT NULL").select(*keys, F.col("best.id").alias("id"), F.col("best.score").alias("score")))
+        open_ = judged.where("more").drop("more")
+        if open_.isEmpty():
+            return union(done), union(looked)
+
+
+def link_fk(records: DataFrame, options: DataFrame, min_score: float = 0.2, scorer: Scorer | None = None, not_self: bool = False, weights: DataFrame | None = None) -> DataFrame:
+    """records (doc_id, rec_idx, text[, own_id]) × options (doc_id, id, label) of one document -> the best id or null in ``linked_id``, with its ``score``.
+
+    Scores as in ``link_scores``; ties go to the smaller id. ``not_self`` leaves out the record's own id. With a scorer or
+    weights of its own a record meets its options rarest token first and stops by bounds (``link_bounded``). Records without
+    a token, or without a like option, have linked_id and score null. Columns of the added names give way.
+    """
+    records = without(records, ["linked_id", "score"])
+    keys = ["doc_id", "rec_idx"]
+    if scorer is not None or weights is not None:
+        top = link_bounded(records, options, min_score, scorer, weights, not_self)[0]
+    else:
+        scored = link_scores(records, options, min_score)
+        if not_self:
+            scored = joined(scored, records.select(*keys, F.col("own_id").alias("self")).distinct(), {c: c for c in keys}, "inner").where(~F.col("id").eqNullSafe(F.col("self")))
+        best = scored.groupBy(*keys).agg(F.min_by(F.struct("id", "score"), F.struct(-F.col("score"), F.col("id"))).alias("best"))
+        top = best.select(*keys, "best.id", "best.score")
+    return joined(records, top.select(*keys, F.col("id").alias("linked_id"), "score"), {c: c for c in keys})
+
+
+def settle_links(candidates: DataFrame, held: DataFrame | None = None, group: tuple[str, ...] = (), rounds: int | None = None) -> DataFrame:
+    """One record an option: candidates (doc_id, rec_idx, id, score[, group]) -> (doc_id, rec_idx, id, score, round), by deferred acceptance.
+
+    Every record asks for its best option (ties: the smaller id); an option keeps the record of the best score (ties: the
+    smaller (doc_id, rec_idx)) and the others ask for their next one, so no record and option would both rather have each
+    other. An option is one for each value of the ``group`` columns; those in ``held`` (id[, group]) are taken for good. A
+    record whose options are all gone is not returned. At most ``rounds`` rounds (none: until all have settled): what
+    an option keeps then stands. A round moves only the records that were turned away and what their next options hold.
+    """
+    keys, slot = ["doc_id", "rec_idx"], ["id", *group]
+    live = candidates if held is None else joined(candidates, held.select(*slot).distinct(), {c: c for c in slot}, "left_anti")
+    ranked = live.withColumn("k", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("score"), "id")))  # a record's options, of one document
+    ranked = save(ranked.select(*keys, *slot, "score", "k"), "choices")
+    asking, kept, n = ranked.where("k = 1").withColumn("round", F.lit(1)), None, 0
+    while True:
+        n += 1
+        both = asking if kept is None else kept.unionByName(asking)
+        best = both.groupBy(*slot).agg(F.min_by(F.struct(*keys), F.struct(-F.col("score"), *keys)).alias("who"))
+        judged = save(joined(both, best, {c: c for c in slot}, "inner").withColumn("wins", F.struct(*keys) == F.col("who")).drop("who"), "choices-judged")
+        kept = judged.where("wins").drop("wins")
+        lost = judged.where("NOT wins")
+        if lost.isEmpty() or n == rounds:
+            return kept.drop("k")
+        asking = ranked.join(lost.select(*keys, (F.col("k") + 1).alias("k")), [*keys, "k"]).select(*ranked.columns).withColumn("round", F.lit(n + 1))
+
+
+def retry_links(records: DataFrame, field: str, candidates: DataFrame, targets: DataFrame, unique: tuple[str, ...] | None = None, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Links rows anew whose reference is bad; (rows, changes (doc_id, rec_idx, old, new, round)).
+
+    Bad are rows whose ``field`` is blank or not among ``targets`` (id), and, where ``unique`` names the other columns of
+    a unique key (maybe none), rows that share their key. Good rows stay and hold their keys. A bad row asks for its
+    ``candidates`` (doc_id, rec_idx, id, score) in order, never for an id that isn't a target; of rows that share a key
+    that of the best score keeps its id. With ``unique`` no key is given twice (``settle_links``), and a row without a free
+    candidate gets null; without, each bad row gets its best candidate. A null in another column of the key makes the row
+    unique whatever its id. Candidates of good rows, and of rows that aren't there, are passed over.
+    """
+    keys = ["doc_id", "rec_idx"]
+    good_id, rows_id, many = unused(records, "good", "id", "many")
+    known = targets.select(F.col("id").cast("string").alias("k")).where("k <> ''").distinct()
+    value = col(field).cast("string")
+    marked = joined(also(records, **{rows_id: value}), known.withColumn(good_id, F.lit(True)), {rows_id: "k"})
+    good = F.coalesce(col(good_id), F.lit(False))
+    if unique is not None:
+        slot = {f"\0u{i}": c for i, c in enumerate((field, *unique))}
+        counts = records.where(all_of([~is_null_or_empty(col(c)) for c in slot.values()])).groupBy(*[col(c).alias(n) for n, c in slot.items()]).agg(F.count(F.lit(1)).alias(many))
+        marked = joined(marked, counts.where(col(many) > 1), {c: n for n, c in slot.items()})
+        good = good & col(many).isNull()
+    marked = save(marked.select(*[col(c) for c in records.columns], good.alias(good_id)), "links-judged")
+    bad = marked.where(~col(good_id))
+    others = [col(c).alias(f"u{i}") for i, c in enumerate(unique or ())]
+    group = [f"u{i}" for i in range(len(unique or ()))]
+    live = candidates.select(*keys, F.col("id").cast("string").alias("id"), "score").join(known.withColumnRenamed("k", "id"), "id", "left_semi")
+    asked = live.join(bad.select(*keys, *others).distinct(), keys)
+    if unique is None:
+        best = asked.groupBy(*keys).agg(F.min_by("id", F.struct(-F.col("score"), F.col("id"))).alias("new")).withColumn("round", F.lit(1))
+    else:
+        whole = all_of([F.col(g).isNotNull() for g in group])
+        free = asked.where(~whole).groupBy(*keys).agg(F.min_by("id", F.struct(-F.col("score"), F.col("id"))).alias("new")).withColumn("round", F.lit(1))
+        held = marked.where(col(good_id)).select(value.alias("id"), *others)
+        best = settle_links(asked.where(whole), held, tuple(group), rounds).select(*keys, F.col("id").alias("new"), "round").unionByName(free)
+    best = save(best, "links-new")
+    new, turn = unused(records, "new", "round")
+    both = joined(bad, best.select(*keys, F.col("new").alias(new), F.col("round").alias(turn)), {c: c for c in keys})
+    kind = records.schema[field].dataType
+    own = [col(c) for c in records.columns]
+    changes = both.where(~value.eqNullSafe(col(new))).select(*keys, value.alias("old"), col(new).alias("new"), col(turn).alias("round"))
+    return marked.where(col(good_id)).select(*own).unionByName(replaced(both, field, col(new).cast(kind)).select(*own)), changes
 
 
 def link_parent(df: DataFrame, id_col: str, text_col: str, label_col: str, **more) -> DataFrame:
@@ -185,11 +348,11 @@ def prior_context(items: DataFrame, chunks: DataFrame, n: int = 0) -> DataFrame:
 def merge_items(existing: DataFrame, new: DataFrame) -> DataFrame:
     """(signature, items): lists with new items appended, exact repeats dropped, first order kept. Both: (signature, seq, item).
 
-    Of items with one place the smaller comes first; a null item counts as an item. A signature's items are one row, as
-    its readers want them.
+    Of items with one place the smaller comes first; a null item counts as an item; two empty tables give no rows. A
+    signature's items are one row, as its readers want them.
     """
-    both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    once = both.groupBy("signature", "item").agg(F.min(F.struct("_new", "seq")).alias("at"))
+    sides = [df.select("signature", "seq", "item", F.lit(n).alias("new")) for n, df in enumerate((existing, new))]
+    once = union(sides).groupBy("signature", "item").agg(F.min(F.struct("new", "seq")).alias("at"))
     return once.groupBy("signature").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "item"))), lambda x: x["item"]).alias("items"))
 
 
@@ -210,21 +373,27 @@ REPEATED = "Duplicate unique key on (%s): %s. Choose a different match if possib
 
 
 def retry_feedback(issues: DataFrame, groups: DataFrame, specs: dict[str, TableSpec] = SPECS, targets: dict[str, str] = RETRY_TARGETS, only: set[str] | None = None) -> DataFrame:
-    """(table, rec_idx, messages, text, target): a record's reference messages in the order of its references, then its repeated keys in the order of the groups.
+    """(table, [doc_id,] rec_idx, messages, text, target): a record's reference messages in the order of its references, then its repeated keys in the order of the groups.
 
-    ``issues`` as ``fk_issues``, ``groups`` as ``duplicate_groups`` gives them. ``target``: the step that can mend the
-    table, null if none; with ``only``, just tables whose step is named there. A record's messages are few: one a
-    reference and unique key.
+    ``issues`` as ``fk_issues``, ``groups`` as ``duplicate_groups`` gives them; a row is known by its document and number.
+    ``target``: the step that can mend the table, null if none; with ``only``, just tables whose step is named there. A
+    record's messages are few: one a reference and unique key.
     """
-    place = F.lit(None).cast("int")
+    at = F.lit(None).cast("int")
     for name, spec in specs.items():
         for k, fk in enumerate(spec.fks):
-            place = F.when((F.col("table") == name) & (F.col("field") == fk.field), k).otherwise(place)
-    first = issues.select("table", "rec_idx", F.lit(0).alias("kind"), place.cast("long").alias("seq"), F.concat("field", F.lit(": "), "message").alias("message"))
+            at = F.when((F.col("table") == name) & (F.col("field") == fk.field), k).otherwise(at)
+    own = ["doc_id", "rec_idx"] if "doc_id" in issues.columns or "doc_ids" in groups.columns else ["rec_idx"]
+    first = issues.select("table", *identity(issues), F.lit(0).alias("kind"), at.cast("long").alias("seq"), F.concat("field", F.lit(": "), "message").alias("message"))
     named = F.array_join(F.transform(F.split("key_fields", ","), lambda c, i: F.concat(c, F.lit("="), F.get("values", i))), ", ")
     said = F.format_string(REPEATED, F.array_join(F.split("key_fields", ","), ", "), named)
-    second = groups.select("table", F.explode("rows").alias("rec_idx"), F.lit(1).alias("kind"), F.col("first").cast("long").alias("seq"), said.alias("message"))
-    per = first.unionByName(second).groupBy("table", "rec_idx").agg(F.array_sort(F.collect_list(F.struct("kind", "seq", "message"))).alias("m"))
+    # groups are told in the order of their first rows, ties by the key's columns
+    order = F.struct(*[c for c in ("first_doc_id", "first") if c in groups.columns], "key_fields")
+    row = F.explode(F.arrays_zip("doc_ids", "rows") if "doc_ids" in groups.columns else F.transform("rows", lambda x: F.struct(x.alias("rows")))).alias("r")
+    second = groups.select("table", row, F.lit(1).alias("kind"), order.alias("order"), said.alias("message"))
+    second = second.select("table", *[F.col("r.doc_ids").alias("doc_id")] * ("doc_ids" in groups.columns), F.col("r.rows").alias("rec_idx"), "kind", "order", "message")
+    per = first.withColumn("order", F.lit(None).cast(second.schema["order"].dataType)).unionByName(second.withColumn("seq", F.lit(None).cast("long")), allowMissingColumns=True)
+    per = per.groupBy("table", *own).agg(F.array_sort(F.collect_list(F.struct("kind", "seq", "order", "message"))).alias("m"))
     step = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])[F.col("table")] if targets else F.lit(None).cast("string")
-    out = per.select("table", "rec_idx", F.transform("m", lambda x: x["message"]).alias("messages")).withColumns({"text": F.array_join("messages", " "), "target": step})
+    out = per.select("table", *own, F.transform("m", lambda x: x["message"]).alias("messages")).withColumns({"text": F.array_join("messages", " "), "target": step})
     return out if only is None else out.where(F.col("target").isin(*only))

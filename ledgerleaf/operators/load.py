@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..frames import all_of, also, col, identity, joined, place, save, unused, without
 from ..functions.scalars import coerce, is_null_or_empty
+from ..sources.store import Store, key_value
 from ..specs import CITY_CHAIN, SPECS, TableSpec
-from .quality import Tables, checkpointed, topo_sort, union
+from .quality import Tables, topo_sort, union
 
 _TYPES = {"string": "string", "int": "int", "long": "bigint", "decimal": "decimal(38,12)", "date": "date", "timestamp": "timestamp_ntz", "uuid": "string", "json": "string"}
 
@@ -40,7 +40,7 @@ _NUMBER = ("STRING", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 
 def validate(df: DataFrame, spec: TableSpec, mode: str = "validate", on_error: str = "continue") -> tuple[DataFrame, DataFrame]:
-    """(valid rows, typed; errors (table, rec_idx, field, type)). Wants the output of ``normalize_columns``.
+    """(valid rows, typed; errors (table, [doc_id,] rec_idx, field, type)). Wants the output of ``normalize_columns``.
 
     ``missing``: a required key is absent; ``null``: it is there but null or blank; ``type``: the value is no such value,
     also a number or an object where text belongs, and, with field null, a record that is no object; ``extra``: an unknown
@@ -66,9 +66,9 @@ def validate(df: DataFrame, spec: TableSpec, mode: str = "validate", on_error: s
         found = F.concat(found, F.transform("unknown", lambda k: F.struct(k.alias("field"), F.lit("extra").alias("type"))))
     no_object = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit("type").alias("type")))
     marked = now.withColumn("_errors", F.explode(F.array(F.when(F.col("_object"), found).otherwise(no_object))))
-    errors = marked.select(F.lit(spec.name).alias("table"), "rec_idx", F.explode("_errors").alias("e")).select("table", "rec_idx", "e.field", "e.type")
+    errors = marked.select(F.lit(spec.name).alias("table"), *identity(df), F.explode("_errors").alias("e")).select("table", *identity(df), "e.field", "e.type")
     if on_error == "stop":
-        first = errors.orderBy("rec_idx", "field").first()
+        first = errors.orderBy(*identity(df), "field").first()
         if first:
             raise ValueError(f"{first.table}[{first.rec_idx}] {first.field}: {first.type}")
     keep = [F.col(f"_t_{c}").alias(c) if c in spec.columns else F.col(f"`{c}`") for c in df.columns if c not in ("present", "unknown", "kinds")]
@@ -114,81 +114,196 @@ def gate_by_city(tables: Tables, bad: DataFrame, **more) -> Tables:
     return city_scope(tables, good, **more)
 
 
-def enforce_constraints(tables: Tables, specs: dict[str, TableSpec] = SPECS) -> tuple[Tables, DataFrame]:
-    """In load order: unique key and unique keys (first row wins, null parts never clash), then references among accepted parents; (accepted, rejected (table, rec_idx, reason)).
+def _lost(values: DataFrame, parents: DataFrame | None, store: Store | None, target: str, pk: str, **at) -> DataFrame:
+    """Those of ``values`` (value) that neither an accepted parent nor one in the store has as its key."""
+    asked = values.where("value IS NOT NULL").distinct()
+    if parents is not None:
+        asked = asked.join(parents.select(key_value([col(pk)]).alias("value")), "value", "left_anti")
+    if store is not None:
+        asked = save(asked, "values-asked")
+        asked = asked.join(store.stored(target, (pk,), asked, **at), "value", "left_anti")
+    return save(asked, "values-lost")
+
 
-    A table's rows get their first reason in one pass and are saved before its children look at them, so nothing is
-    computed again. Rows with null keys or references stay out of the joins. No tables: nothing accepted or rejected.
+def _first_wins(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(no): of rows (no, at, keys) those that come in when they are inserted one by one: none of a row's keys may be held by one that came in before.
+
+    Only rows that share a key take part. In a round, rows that are the first of all their keys come in, and rows that
+    share a key with one of them are out; what is left goes on. One key needs one round, several a few.
+    """
+    inside, left = [], rows
+    while True:
+        mine = F.struct("at", "no")
+        now = left
+        for k in keys:
+            now = now.join(left.where(F.col(k).isNotNull()).groupBy(k).agg(F.min(mine).alias(f"first_{k}")), k, "left")
+        wins = all_of([F.col(k).isNull() | (F.col(f"first_{k}") == mine) for k in keys])
+        judged = save(now.select("no", "at", *keys, wins.alias("wins")), "rows-judged")
+        won = judged.where("wins")
+        inside.append(won.select("no"))
+        left = judged.where("NOT wins")
+        for k in keys:
+            left = left.join(won.where(F.col(k).isNotNull()).select(k), k, "left_anti")
+        left = save(left.select("no", "at", *keys), "rows-left")
+        if left.isEmpty():
+            return union(inside)
+
+
+def enforce_constraints(tables: Tables, specs: dict[str, TableSpec] = SPECS, store: Store | None = None, version: int | None = None, but: str | None = None) -> tuple[Tables, DataFrame]:
+    """In load order, what a database takes when rows are inserted one by one; (accepted, rejected (table, [doc_id,] rec_idx, reason)).
+
+    A row comes in if no required column is null, its references are among accepted parents, and neither its primary key nor
+    one of its unique keys is held by a row that came in before, in the order of (doc_id, rec_idx) over all documents. Null
+    parts of keys never clash, null references pass. With a ``store``, its rows (of all batches but ``but``) came in before
+    and are parents too. The reason named is that of the first key an earlier row has, in or not, then of a reference.
+
+    Rows are judged by their keys alone, which are saved once; whole rows only meet the list of the rejected. Null keys and
+    references stay out of the joins. A reference to a table that is neither in ``tables`` nor in a store isn't checked. No
+    tables: nothing accepted or rejected.
     """
     accepted: Tables = {}
     rejected = []
+    at = {"version": version, "but": but}
     for name in [n for n in specs if n in tables]:
         spec, given = specs[name], tables[name]
-        why = F.lit(None).cast("string")
-        df = given.withColumn("_why", F.when(F.col(spec.pk).isNull(), "null primary key").otherwise(why))
-        for reason, key in [("duplicate primary key", (spec.pk,)), *[("duplicate " + ",".join(k), k) for k in spec.unique_keys]]:
-            open_ = F.col("_why").isNull() & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-            live = df.where(open_)
-            first = live.groupBy(*key).agg(F.min("rec_idx").alias("_first"))
-            marked = live.join(first, list(key)).withColumn("_why", F.when(F.col("rec_idx") > F.col("_first"), reason))
-            df = marked.select(*given.columns, "_why").unionByName(df.where(~open_))
-        for fk in spec.fks:
-            if fk.field not in df.columns or (fk.target not in accepted and fk.target != name):
-                continue
-            reason = f"{fk.field} not in {fk.target}"
+        (no,) = unused(given, "no")
+        rows = save(also(given, **{no: F.monotonically_increasing_id()}), "rows")
+        keys = {f"k{i}": key for i, key in enumerate([(spec.pk,), *spec.unique_keys]) if all(c in given.columns for c in key)}
+        fks = {f"f{i}": fk for i, fk in enumerate(spec.fks) if fk.field in given.columns and (fk.target in accepted or fk.target == name or store is not None)}
+        needed = [c for c, (_, required) in spec.columns.items() if required and c in given.columns and c != spec.pk]
+        null = F.coalesce(F.when(col(spec.pk).isNull(), F.lit("null primary key")), *[F.when(col(c).isNull(), F.lit(f"null in {c}")) for c in needed])
+        ids = rows.select(col(no).alias("no"), place(given).alias("at"), null.alias("hole"), *[key_value([col(c) for c in k]).alias(n) for n, k in keys.items()], *[key_value([col(fk.field)]).alias(n) for n, fk in fks.items()])
+        lost = F.lit(None).cast("string")
+        for n, fk in reversed(fks.items()):
+            if fk.target != name:
+                gone = _lost(ids.select(F.col(n).alias("value")), accepted.get(fk.target), store, fk.target, specs[fk.target].pk, **at)
+                ids = joined(ids, gone.withColumn(f"{n}_lost", F.lit(True)), {n: "value"})
+                lost = F.when(F.col(f"{n}_lost"), f"{fk.field} not in {fk.target}").otherwise(lost)
+        ids = save(ids.select("no", "at", "hole", *keys, *fks, lost.alias("lost")), "row-keys")
+        held = F.lit(None).cast("string")
+        open_ = ids.where("hole IS NULL AND lost IS NULL")
+        duplicate = {n: "duplicate primary key" if n == "k0" else "duplicate " + ",".join(k) for n, k in keys.items()}
+        if store is not None:
+            for n, key in keys.items():
+                taken = save(store.stored(name, key, ids.select(F.col(n).alias("value")), **at), "keys-taken")
+                open_ = open_.join(taken.select(F.col("value").alias(n)), n, "left_anti")
+                ids = joined(ids, taken.withColumn(f"{n}_taken", F.lit(True)), {n: "value"})
+        several = {n: save(ids.where(F.col(n).isNotNull()).groupBy(n).agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("at", "no")).alias("first")).where("many > 1").drop("many"), "keys-repeated") for n in keys}
+        clash, facts = F.lit(False), ids
+        for n in keys:
+            open_ = joined(open_, several[n].select(n, F.lit(True).alias(f"{n}_again")), {n: n})
+            clash = clash | F.coalesce(F.col(f"{n}_again"), F.lit(False))
+        clashing = save(open_.where(clash).select("no", "at", *keys), "rows-clashing")
+        good = open_.where(~clash).select("no")
+        if not clashing.isEmpty():
+            good = good.unionByName(_first_wins(clashing, list(keys)))
+        out = facts.join(good, "no", "left_anti")
+        for n in keys:
+            out = joined(out, several[n].withColumnRenamed("first", f"{n}_first"), {n: n})
+        for n in reversed(keys):
+            earlier = F.col(f"{n}_first") < F.struct("at", "no")
+            held = F.when(earlier | F.col(f"{n}_taken") if store is not None else earlier, duplicate[n]).otherwise(held)
+        out = save(out.select("no", "at", F.coalesce("hole", held, "lost").alias("reason")), "rows-rejected")
+        for fk in fks.values():
             if fk.target == name:
-                df = checkpointed(df)
-                keep, _ = _whole_trees(df.where("_why IS NULL").drop("_why"), spec.pk, fk.field)
-                inside = keep.select(F.col(spec.pk).alias("_p"), F.lit(True).alias("_in"))
-                open_, side = F.col("_why").isNull(), spec.pk
-            else:
-                inside = accepted[fk.target].select(F.col(specs[fk.target].pk).alias("_p"), F.lit(True).alias("_in"))
-                open_, side = F.col("_why").isNull() & F.col(fk.field).isNotNull(), fk.field
-            marked = df.where(open_).join(inside, F.col(side) == F.col("_p"), "left").withColumn("_why", F.when(F.col("_in").isNull(), reason))
-            df = marked.select(*given.columns, "_why").unionByName(df.where(~open_))
-        df = checkpointed(df)
-        accepted[name] = df.where("_why IS NULL").drop("_why")
-        rejected.append(df.where("_why IS NOT NULL").select(F.lit(name).alias("table"), "rec_idx", F.col("_why").alias("reason")))
+                kept = save(joined(rows, out, {no: "no"}, "left_anti"), "rows-unique")
+                lonely = _lonely(kept, no, spec.pk, fk.field, lambda asked: _lost(asked, None, store, name, spec.pk, **at))  # noqa: B023
+                out = save(out.unionByName(lonely.select("no", "at", F.lit(f"{fk.field} not in {name}").alias("reason"))), "rows-rejected")
+        accepted[name] = joined(rows, out, {no: "no"}, "left_anti").select(*[col(c) for c in given.columns])
+        rejected.append(out.select(F.lit(name).alias("table"), *[F.col("at").getField(c).alias(c) for c in identity(given)], "reason"))
     return accepted, union(rejected) if rejected else SparkSession.active().createDataFrame([], "table string, rec_idx long, reason string")
 
 
-def _whole_trees(df: DataFrame, pk: str, parent: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ancestors all are in the table and end in a root; the others."""
-    ordered, missing = topo_sort(df, pk, parent)
-    roots = ordered.where(F.col(parent).isNotNull()).join(missing, F.col(parent) == F.col("missing_parent"))
-    lost_roots = roots.select(F.element_at("path", 1).alias("_r")).distinct()
-    good = ordered.where(F.col("level").isNotNull()).withColumn("_root", F.element_at("path", 1)).join(lost_roots, F.col("_root") == F.col("_r"), "left_anti")
-    keep = good.select(*df.columns)
-    return keep, df.join(keep.select(pk), pk, "left_anti")
+def _lonely(df: DataFrame, no: str, pk: str, parent: str, lost) -> DataFrame:
+    """(no, at): rows not all of whose ancestors are in the table (or, of the highest, in the store), up to one without a parent."""
+    rows = df.select(col(no).alias("no"), place(df).alias("at"), col(pk).alias("id"), col(parent).alias("up"))
+    ordered, missing = topo_sort(rows.select("no", "at", "id", "up", F.col("no").alias("rec_idx")), "id", "up")
+    ordered = save(ordered, "trees")
+    gone = lost(missing.select(key_value([F.col("missing_parent")]).alias("value")))
+    bad = ordered.where("level = 0 AND up IS NOT NULL").withColumn("value", key_value([F.col("up")])).join(gone, "value", "left_semi").select(F.col("id").alias("root"))
+    return ordered.where("level IS NULL AND NOT is_extra").unionByName(ordered.where("level IS NOT NULL").join(bad, "root", "left_semi").select(*ordered.columns)).select("no", "at")
+
+
+def with_city(tables: Tables, specs: dict[str, TableSpec] = SPECS, chain: dict[str, tuple[str, str]] = CITY_CHAIN, city: str = "cityId", name: str = "city") -> Tables:
+    """Tables with the city of each row in ``name``: their own, or that of the row they refer to; null for tables of neither kind and rows that refer to nothing."""
+    out: Tables = {n: also(df, **{name: col(city).cast("string")}) for n, df in tables.items() if city in df.columns}
+    out |= {n: also(df, **{name: F.lit(None).cast("string")}) for n, df in tables.items() if n not in out and (n not in chain or chain[n][1] not in tables)}
+    pending = [n for n in tables if n not in out]
+    while ready := [n for n in pending if chain[n][1] in out]:
+        for n in ready:
+            fk, parent = chain[n]
+            up = out[parent].where(col(name).isNotNull()).select(col(specs[parent].pk).alias("k"), col(name)).dropDuplicates(["k"])
+            out[n] = joined(tables[n], up, {fk: "k"})
+        pending = [n for n in pending if n not in out]
+    return out | {n: also(tables[n], **{name: F.lit(None).cast("string")}) for n in pending}
+
+
+def load_batch(store: Store, batch: str, tables: Tables, mode: str = "each", errors: DataFrame | None = None, chain: dict[str, tuple[str, str]] = CITY_CHAIN, city: str = "cityId") -> tuple[int | None, DataFrame]:
+    """Loads a batch into a store, checked against what it holds; (version, rejected (table, [doc_id,] rec_idx, reason)).
+
+    ``each``: every row that meets the constraints comes in. ``atomic``: all rows or, if one is rejected or ``errors`` has
+    a row, none. ``city``: a city with a rejected row, or one in ``errors`` (cityId), stays out as a whole and the others
+    come in; rows without a city are judged each. Without the cities that stay out the others are checked again, until no
+    other is hit; of two cities in each other's way that of the earlier row stands, and if it is out for another reason,
+    both are. A batch of a name that is there replaces it, and its own
+    earlier rows don't count against it. Nothing is published if nothing comes in (version none), or if a check fails;
+    another batch published meanwhile that touched the tables looked at is ``Conflict``: call again.
+    """
+    seen, specs = store.version(), store.specs
+    read = sorted({n for n in specs if n in tables} | {fk.target for n in tables for fk in specs[n].fks})
+    check = lambda t: enforce_constraints(t, specs, store, seen, batch)
+    if mode != "city":
+        good, bad = check(tables)
+        bad = save(bad, "rejected")
+        if mode == "atomic" and not (bad.isEmpty() and (errors is None or errors.isEmpty())):
+            return None, bad
+    else:
+        named = {n: save(df, "rows-with-city") for n, df in with_city(tables, specs, chain, city, "\0city").items()}
+        nobody = store.spark.createDataFrame([], "c string")
+        out = nobody if errors is None else errors.select(F.col("cityId").cast("string").alias("c")).distinct()
+        said: list[DataFrame] = []
+        while True:
+            good, bad = check({n: joined(df, out, {"\0city": "c"}, "left_anti") for n, df in named.items()})
+            bad = save(bad, "rejected")
+            said.append(bad)
+            hit = union([joined(df, bad.where(F.col("table") == n).select(*identity(df)), {c: c for c in identity(df)}, "left_semi").select(col("\0city").alias("c")) for n, df in named.items()])
+            hit = save(hit.where("c IS NOT NULL").distinct(), "cities-hit")
+            if hit.isEmpty():
+                break
+            out = save(out.unionByName(hit).distinct(), "cities-out")
+        good, bad = {n: df.drop("\0city") for n, df in good.items()}, union(said).distinct()
+    if all(df.isEmpty() for df in good.values()) and batch not in store.batches(seen):
+        return None, bad
+    return store.commit(batch, store.write(batch, good), seen, read), bad
 
 
 def load_tables(tables: Tables, specs: dict[str, TableSpec], target: str, fmt: str = "parquet", batch: str | None = None) -> None:
-    """Adds accepted rows to ``target``/<table>, parents first.
+    """Adds rows that were accepted to ``target``, parents first.
 
-    With ``batch`` a load is a transaction: its rows go to a folder of their own in each table, a run that is repeated
-    replaces them, and the batch counts, for ``read_loaded``, once its mark is written after the last table. Without one
-    rows are appended, and a repeated run adds them again.
+    With ``batch`` a load is a transaction of a ``Store`` in that folder: all tables appear in one step, a repeated batch
+    replaces its rows in one step, and a run that fails leaves what was there. Constraints are not looked at (``load_batch``
+    does). Without one rows are appended to ``target``/<table>, and a repeated run adds them again.
     """
-    named = [n for n in specs if n in tables]
-    for name in named:
-        if batch is None:
+    if batch is None:
+        for name in [n for n in specs if n in tables]:
             tables[name].write.mode("append").format(fmt).save(f"{target}/{name}")
-        else:
-            tables[name].write.mode("overwrite").format(fmt).save(f"{target}/{name}/batch={batch}")
-    if batch is not None:
-        mark = SparkSession.active().createDataFrame([(batch, n) for n in named], "batch string, table string")
-        mark.coalesce(1).write.mode("overwrite").json(f"{target}/_loaded/batch={batch}")
+    else:
+        store = Store(SparkSession.active(), target, specs)
+        store.commit(batch, store.write(batch, tables), store.version(), [])
 
 
-def read_loaded(spark: SparkSession, target: str, name: str, fmt: str = "parquet") -> DataFrame:
+def read_loaded(spark: SparkSession, target: str, name: str) -> DataFrame:
     """Rows of a table whose batches were loaded as a whole; ``batch`` tells which."""
-    done = spark.read.schema("batch string, table string").json(f"{target}/_loaded").where(F.col("table") == name).select("batch").distinct()
-    return spark.read.format(fmt).option("basePath", f"{target}/{name}").load(f"{target}/{name}/batch=*").withColumn("batch", F.col("batch").cast("string")).join(done, "batch", "left_semi")
+    found = Store(spark, target).read(name)
+    if found is None:
+        raise ValueError(f"{target} holds no rows of {name}")
+    return found
 
 
 def load_report(counts: DataFrame, errors: DataFrame, limit: int = 50) -> DataFrame:
-    """counts (table, loaded, validated, inserted) and errors (table, rec_idx, ...) -> the counts with failed (events), failed_rows and truncated. A table without errors has 0 of both."""
-    per = errors.groupBy("table").agg(F.count(F.lit(1)).alias("failed"), F.countDistinct("rec_idx").alias("failed_rows"))
+    """counts (table, loaded, validated, inserted) and errors (table, [doc_id,] rec_idx, ...) -> the counts with failed (events), failed_rows and truncated. A table without errors has 0 of both."""
+    row = F.when(F.col("rec_idx").isNotNull(), F.struct(*identity(errors)))
+    per = errors.groupBy("table").agg(F.count(F.lit(1)).alias("failed"), F.countDistinct(row).alias("failed_rows"))
     out = counts.join(per, "table", "left").na.fill(0, ["failed", "failed_rows"])
     return out.withColumn("truncated", F.col("failed") > limit)
 

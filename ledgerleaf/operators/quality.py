@@ -1,14 +1,18 @@
-"""References, duplicates and key quality of record tables. Tables are DataFrames with doc_id and rec_idx."""
+"""References, duplicates and key quality of record tables. Tables are DataFrames with doc_id and rec_idx.
+
+A row is known by (doc_id, rec_idx) and ordered by it; reports name both. A table without doc_id is one document, and
+reports on such tables alone have no doc_id. No column of these operators clashes with the caller's.
+"""
 
 from __future__ import annotations
 
-import re
-import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..frames import all_of, also, col, identity, joined, place, save, unused, without
 from ..functions.scalars import is_null_or_empty
 from ..specs import SPECS, TableSpec
 
@@ -22,30 +26,32 @@ def union(frames: list[DataFrame]) -> DataFrame:
 
 
 def fk_issues(tables: Tables, specs: dict[str, TableSpec] = SPECS) -> DataFrame:
-    """(table, rec_idx, field, value, kind, message): blank required references and values not in their target table.
+    """(table, [doc_id,] rec_idx, field, value, kind, message): blank required references and values not in their target table.
 
-    Each table is read once: a left join for each reference marks its value, then a row gives all its issues. A reference
-    whose target is not in ``tables`` is not checked; no tables or none with references give no rows; repeated rows give
-    their issues each.
+    The distinct values of a table's references are held against their targets once; the few that are nowhere then meet the
+    rows, so rows are not shuffled for values that are there. A reference whose target is not in ``tables`` is not checked;
+    no tables or none with references give no rows; repeated rows give their issues each.
     """
     found = []
     for name, rows in tables.items():
         fks = [fk for fk in specs[name].fks if fk.field in rows.columns and fk.target in tables]
         if not fks:
             continue
-        now = rows.select("rec_idx", *[F.col(fk.field).cast("string").alias(f"_v{k}") for k, fk in enumerate(fks)])
-        for k, fk in enumerate(fks):
-            ids = tables[fk.target].select(F.col(specs[fk.target].pk).cast("string").alias(f"_v{k}")).where(F.col(f"_v{k}").isNotNull()).distinct()
-            now = now.join(ids.withColumn(f"_in{k}", F.lit(True)), f"_v{k}", "left")
+        now = rows.select(*[col(c) for c in identity(rows)], *[col(fk.field).cast("string").alias(f"\0v{k}") for k, fk in enumerate(fks)])
+        values = now.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), col(f"\0v{k}").alias("v")) for k in range(len(fks))])).alias("x")).select("x.*").where("v <> ''").distinct()
+        ids = union([tables[fk.target].select(F.lit(k).alias("k"), col(specs[fk.target].pk).cast("string").alias("v")) for k, fk in enumerate(fks)])
+        lost = save(values.join(ids, ["k", "v"], "left_anti"), "values-not-found")
+        for k in range(len(fks)):
+            now = joined(now, lost.where(F.col("k") == k).select("v", F.lit(True).alias(f"\0lost{k}")), {f"\0v{k}": "v"})
         issues = []
         for k, fk in enumerate(fks):
-            value = F.col(f"_v{k}")
+            value = col(f"\0v{k}")
             shape = lambda kind, text: F.struct(F.lit(fk.field).alias("field"), value.alias("value"), F.lit(kind).alias("kind"), text.alias("message"))  # noqa: B023, E731
             blank = F.lit(None) if fk.optional else shape("missing", F.lit("missing required FK value"))
-            lost = shape("not_found", F.concat(F.lit("value "), value, F.lit(f" not found in {fk.target}")))
-            issues.append(F.when(is_null_or_empty(value), blank).when(F.col(f"_in{k}").isNull(), lost))
-        each = now.select(F.lit(name).alias("table"), "rec_idx", F.explode(F.array_compact(F.array(*issues))).alias("i"))
-        found.append(each.select("table", "rec_idx", "i.field", "i.value", "i.kind", "i.message"))
+            not_found = shape("not_found", F.concat(F.lit("value "), value, F.lit(f" not found in {fk.target}")))
+            issues.append(F.when(is_null_or_empty(value), blank).when(col(f"\0lost{k}"), not_found))
+        each = now.select(F.lit(name).alias("table"), *[col(c) for c in identity(rows)], F.explode(F.array_compact(F.array(*issues))).alias("i"))
+        found.append(each.select("table", *identity(rows), "i.field", "i.value", "i.kind", "i.message"))
     return union(found) if found else _nothing("table string, rec_idx long, field string, value string, kind string, message string")
 
 
@@ -55,50 +61,59 @@ def _nothing(schema: str) -> DataFrame:
 
 
 def duplicate_groups(tables: Tables, rules: dict[str, list[tuple[str, ...]]], max_groups: int | None = 50) -> DataFrame:
-    """(table, key_fields, key, values, first, rows): rows that share a complete key; the first ``max_groups`` by table and first row (none: all).
+    """(table, key_fields, key, values, first, rows[, first_doc_id, doc_ids]): rows that share a complete key; the first ``max_groups`` by table and first row (none: all).
 
     Groups are counted before their row numbers are gathered, so only real duplicates are collected; a group's row numbers
-    are one list, as its readers want it. Rows with a null or empty part of a key are in no group.
+    are one list, as its readers want it, in the order of (doc_id, rec_idx), and ``doc_ids`` tells each row's document. Rows
+    with a null or empty part of a key are in no group; without rules, or tables they are for, there are no groups.
     """
     found = []
     for order, (name, keys) in enumerate(rules.items()):
-        for key in keys:
-            whole = tables[name].where(reduce(lambda a, b: a & b, [~is_null_or_empty(F.col(k)) for k in key]))
-            many = whole.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-            rows = whole.join(many, list(key), "left_semi").groupBy(*key).agg(F.array_sort(F.collect_list("rec_idx")).alias("rows"))
-            text = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-            found.append(rows.select(F.lit(order).alias("_t"), F.lit(name).alias("table"), F.lit(",".join(key)).alias("key_fields"), text.alias("key"), F.array(*[F.col(k).cast("string") for k in key]).alias("values"), F.get("rows", F.lit(0)).alias("first"), "rows"))
+        for key in keys if name in tables else ():
+            df = tables[name]
+            named = [f"\0k{k}" for k in range(len(key))]
+            slim = df.where(all_of([~is_null_or_empty(col(k)) for k in key])).select(place(df).alias("\0at"), *[col(k).alias(n) for k, n in zip(key, named)])
+            many = slim.groupBy(*map(col, named)).agg(F.count(F.lit(1)).alias("\0n")).where(col("\0n") > 1).drop("\0n")
+            rows = joined(slim, many, {n: n for n in named}, "left_semi").groupBy(*map(col, named)).agg(F.array_sort(F.collect_list(col("\0at"))).alias("at"))
+            text = [col(n).cast("string") for n in named]
+            doc = [F.col("at.doc_id").alias("doc_ids"), F.get("at.doc_id", F.lit(0)).alias("first_doc_id")] if "doc_id" in df.columns else []
+            found.append(rows.select(F.lit(order).alias("\0t"), F.get("at", F.lit(0)).alias("\0first"), F.lit(name).alias("table"), F.lit(",".join(key)).alias("key_fields"), F.concat_ws("|", *text).alias("key"), F.array(*text).alias("values"), F.get("at.rec_idx", F.lit(0)).alias("first"), F.col("at.rec_idx").alias("rows"), *doc))
+    if not found:
+        return _nothing("table string, key_fields string, key string, values array<string>, first long, rows array<long>")
+    if len({f.schema["\0first"].dataType.simpleString() for f in found}) > 1:  # tables of one document beside others
+        found = [f.withColumn("\0first", F.struct(F.lit(None).cast("string").alias("doc_id") if "first_doc_id" not in f.columns else F.col("first_doc_id").cast("string").alias("doc_id"), F.col("first").alias("rec_idx"))) for f in found]
     out = union(found)
     if max_groups is not None:
-        out = out.orderBy("_t", "first", "key").limit(max_groups)
-    return out.drop("_t")
+        out = out.orderBy(col("\0t"), col("\0first"), "key").limit(max_groups)
+    return out.drop("\0t", "\0first")
 
 
 def key_quality(tables: Tables, specs: dict[str, TableSpec] = SPECS) -> DataFrame:
-    """(table, check, records, missing, groups, rows): missing and repeated primary and unique keys; null only counts as missing."""
+    """(table, check, records, missing, groups, rows): missing and repeated primary and unique keys; null only counts as missing. No tables: no rows."""
     found = []
-    for name, rows in tables.items():
+    for name, df in tables.items():
         for check, key in [("pk", (specs[name].pk,)), *[(",".join(k), k) for k in specs[name].unique_keys]]:
-            missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-            per = rows.withColumn("_m", missing).groupBy("_m", *key).agg(F.count(F.lit(1)).alias("n"))
+            missing = ~all_of([col(k).isNotNull() for k in key])
+            per = df.select(missing.alias("\0m"), *[col(k).alias(f"\0k{n}") for n, k in enumerate(key)]).groupBy(col("\0m"), *[col(f"\0k{n}") for n in range(len(key))]).agg(F.count(F.lit(1)).alias("n"))
+            gone, again = col("\0m"), ~col("\0m") & (F.col("n") > 1)
             found.append(
                 per.agg(
                     F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
-                    F.coalesce(F.sum(F.when(F.col("_m"), F.col("n"))), F.lit(0)).alias("missing"),
-                    F.count_if(~F.col("_m") & (F.col("n") > 1)).alias("groups"),
-                    F.coalesce(F.sum(F.when(~F.col("_m") & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("rows"),
+                    F.coalesce(F.sum(F.when(gone, F.col("n"))), F.lit(0)).alias("missing"),
+                    F.count_if(again).alias("groups"),
+                    F.coalesce(F.sum(F.when(again, F.col("n"))), F.lit(0)).alias("rows"),
                 ).select(F.lit(name).alias("table"), F.lit(check).alias("check"), "records", "missing", "groups", "rows")
             )
-    return union(found)
+    return union(found) if found else _nothing("table string, check string, records long, missing long, groups long, rows long")
 
 
 def fk_presence(tables: Tables, specs: dict[str, TableSpec] = SPECS) -> DataFrame:
-    """(table, records, blank): blank required references by table."""
+    """(table, records, blank): blank required references by table. No tables: no rows; a reference that is no column is blank nowhere."""
     found = []
     for name, rows in tables.items():
-        blank = [F.coalesce(F.count_if(is_null_or_empty(F.col(fk.field))), F.lit(0)) for fk in specs[name].fks if not fk.optional]
+        blank = [F.coalesce(F.count_if(is_null_or_empty(col(fk.field))), F.lit(0)) for fk in specs[name].fks if not fk.optional and fk.field in rows.columns]
         found.append(rows.agg(F.count(F.lit(1)).alias("records"), reduce(lambda a, b: a + b, blank, F.lit(0).cast("long")).alias("blank")).select(F.lit(name).alias("table"), "records", "blank"))
-    return union(found)
+    return union(found) if found else _nothing("table string, records long, blank long")
 
 
 def file_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
@@ -128,63 +143,93 @@ def ready(profile: DataFrame) -> DataFrame:
 
 
 def flag_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds ``first`` (the smallest rec_idx with the same keys) and ``is_repeat`` (a later row with them).
+    """Adds ``first`` (rec_idx of the first row with the same keys; with doc_id, ``first_doc_id`` too) and ``is_repeat`` (a later row with them).
 
-    Rows with a null or empty key are never repeats: ``first`` is null. Least rows are combined before they are shuffled
-    and joined back, so a key of very many rows is no single group. Columns named ``first`` or ``is_repeat`` give way.
+    First is the least (doc_id, rec_idx), whichever document a row is in. Rows with a null or empty key are never repeats:
+    ``first`` is null. Least rows are combined before they are shuffled and joined back, so a key of very many rows is no
+    single group. Columns named like an added one give way.
     """
-    df = df.drop("first", "is_repeat")
-    falsy = reduce(lambda a, b: a | b, [is_null_or_empty(F.col(k)) for k in keys])
+    added = ["first", *["first_doc_id"] * ("doc_id" in df.columns), "is_repeat"]
+    df = without(df, added)
+    (least,) = unused(df, "least")
+    named = {k: f"\0k{n}" for n, k in enumerate(keys)}
+    falsy = ~all_of([~is_null_or_empty(col(k)) for k in keys])
     whole, rest = df.where(~falsy), df.where(falsy)  # rows without a key stay out of the join, where they would meet in one task
-    keyed = whole.join(whole.groupBy(*keys).agg(F.min("rec_idx").alias("first")), keys)
-    both = keyed.select(*df.columns, "first").unionByName(rest.withColumn("first", F.lit(None).cast(df.schema["rec_idx"].dataType)))
-    return both.withColumn("is_repeat", F.coalesce(F.col("rec_idx") > F.col("first"), F.lit(False)))
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the folder the cluster names; only a session on one machine may go without one, as in tests."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not re.match(r"local(\[|$)", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ledgerleaf-"))
-    return df.checkpoint()
-
-
-def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str = "rec_idx") -> tuple[DataFrame, DataFrame]:
-    """Parents before children: (rows with ``level``, ``path`` and ``is_extra``, parents that are not in the table).
-
-    Roots have no parent (null or empty) or one that is not there. Levels come by pointer doubling: a row jumps over as
-    many ancestors as it knows, so a chain of n rows takes log2(n) joins, however deep. Rows on or behind a cycle have
-    level null; rows with a null, empty or repeated id are ``is_extra``. Sort by is_extra, level (nulls last), path (the
-    positions from the root down), which is the order of a breadth-first walk. An empty table gives empty tables; columns
-    named like an added one give way.
+    firsts = whole.groupBy(*[col(k).alias(n) for k, n in named.items()]).agg(F.min(place(df)).alias(least))
+    both = joined(whole, firsts, named, "inner")
+    own = [col(c) for c in df.columns]
+    told = [col(least).getField("rec_idx").alias("first"), *[col(least).getField("doc_id").alias("first_doc_id")] * ("doc_id" in df.columns), (place(df) > col(least)).alias("is_repeat")]
+    none = [F.lit(None).cast(df.schema["rec_idx"].dataType).alias("first"), *[F.lit(None).cast(df.schema["doc_id"].dataType).alias("first_doc_id") if "doc_id" in df.columns else None] * ("doc_id" in df.columns), F.lit(False).alias("is_repeat")]
+    return both.select(*own, *told).unionByName(rest.select(*own, *none))
+
+
+def _in_order(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``rows`` with a number that rises in the order of ``by`` over all tasks, saved."""
+    sorted_ = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    return save(also(sorted_, **{name: F.monotonically_increasing_id()}), "tree-order")
+
+
+def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parents before children: (rows with ``order``, ``level``, ``root`` and ``is_extra``, parents that are not in the table).
+
+    ``order`` counts from 0 in the order of a breadth-first walk: roots in the order of their rows, then their children,
+    parent by parent in the order of their rows, and so on; then the rows on or behind a cycle (level null) in the order of
+    rows; then rows with a null, empty or repeated id (``is_extra``). Roots have no parent (null or empty) or one that is
+    not there. Rows are ordered by (doc_id, rec_idx), or by ``position``, ties by id.
+
+    Rows of one level stand in the order of their paths from the root. Both come by doubling: a row knows how far up it has
+    looked and its rank among all rows by the part of the path below that; joined with the row it looks up to, it sees twice
+    as far, and a sort over ranges ranks it anew by (rank above, own rank). A chain of n rows takes log2(n) rounds, a
+    row is a few numbers in each, whatever its depth, and rows whose path is whole take no further part. An empty table
+    gives empty tables; columns named like an added one give way.
     """
-    df = df.drop("level", "path", "is_extra")
-    keyed = flag_repeats(df, [id_col])
-    odd = is_null_or_empty(F.col(id_col)) | F.col("is_repeat")
-    good, extra = keyed.where(~odd).select(*df.columns), keyed.where(odd).select(*df.columns)
-    parent = F.when(~is_null_or_empty(F.col(parent_col)), F.col(parent_col))
-    own = good.select(F.col(id_col).alias("_id"), parent.alias("_up"), F.array(F.col(position).cast("long")).alias("_path"))
-    ids = own.select(F.col("_id").alias("_up"), F.lit(True).alias("_in"))
-    below = own.where("_up IS NOT NULL").join(ids, "_up", "left")
-    missing = below.where("_in IS NULL").select(F.col("_up").alias("missing_parent")).distinct()
-    root = own.schema["_id"].dataType
-    start = own.where("_up IS NULL").unionByName(below.select("_id", F.when(F.col("_in"), F.col("_up")).alias("_up"), "_path"))
-    at, open_ = checkpointed(start.select("_id", F.col("_up").cast(root).alias("_up"), "_path")), None
+    added = ["order", "level", "root", "is_extra"]
+    df = without(df, added)
+    again, mine, first = unused(df, "again", "id", "first")
+    at = place(df) if position is None else F.struct(col(position).alias("rec_idx"))
+    usable = ~is_null_or_empty(col(id_col))
+    least = df.where(usable).groupBy(col(id_col).alias(mine)).agg(F.min(at).alias(first))
+    keyed = joined(df.where(usable), least, {id_col: mine}, "inner")
+    keyed = keyed.select(*[col(c) for c in df.columns], (at > col(first)).alias(again))
+    parent = F.when(~is_null_or_empty(col(parent_col)), col(parent_col))
+    own = keyed.where(~col(again)).select(col(id_col).alias("id"), parent.cast(df.schema[id_col].dataType).alias("up"), parent.alias("said"), at.alias("at"))
+    own = own.dropDuplicates(["id"])  # rows of one id at one place are one node
+    ids = own.select(F.col("id").alias("up"), F.lit(True).alias("there"))
+    with_up = own.where("up IS NOT NULL").join(ids, "up", "left")
+    missing = with_up.where("there IS NULL").select(F.col("said").alias("missing_parent")).distinct()
+    start = own.where("up IS NULL").select("id", "up", "at").unionByName(with_up.select("id", F.when(F.col("there"), F.col("up")).alias("up"), "at"))
+    nodes = _in_order(start, [F.col("at"), F.col("id")], "rank").select("id", "up", "rank", F.col("rank").alias("row"), F.lit(0).alias("level"), F.col("id").alias("root"))
+    nodes = nodes.select("id", "up", "rank", "row", F.when(F.col("up").isNull(), 0).otherwise(1).alias("level"), F.coalesce("up", "id").alias("root"))
+    whole, left = [nodes.where("up IS NULL")], nodes.where("up IS NOT NULL")
+    # a row's path is known below ``up``, which is ``level`` rows above it; ``root`` is the highest row it has seen
+    known, open_ = nodes, None
     while True:
-        left = at.where("_up IS NOT NULL").count()
-        if left in (0, open_):  # those that stay are on or behind a cycle
+        n = left.count()
+        if n in (0, open_):  # those that stay are on or behind a cycle
             break
-        open_ = left
-        above = at.select(F.col("_id").alias("_up"), F.col("_up").alias("_next"), F.col("_path").alias("_before"))
-        moved = at.where("_up IS NOT NULL").join(above, "_up").select("_id", F.col("_next").alias("_up"), F.concat("_before", "_path").alias("_path"))
-        at = checkpointed(at.where("_up IS NULL").unionByName(moved))
-    done = at.where("_up IS NULL").select("_id", (F.size("_path") - 1).alias("level"), F.col("_path").alias("path"))
-    ordered = good.join(done, F.col(id_col) == F.col("_id"), "left").select(*df.columns, "level", "path", F.lit(False).alias("is_extra"))
-    extra = extra.withColumns({"level": F.lit(None).cast("int"), "path": F.lit(None).cast("array<bigint>"), "is_extra": F.lit(True)})
-    return ordered.unionByName(extra), missing
+        open_ = n
+        above = known.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("rank").alias("high"), F.col("level").alias("more"), F.col("root").alias("top"))
+        moved = left.join(above, "up").select("id", F.col("next").alias("up"), "high", F.col("rank").alias("low"), "row", (F.col("level") + F.col("more")).alias("level"), F.col("top").alias("root"))
+        ranked = _in_order(moved, [F.col("high"), F.col("low")], "rank").drop("high", "low")
+        done, left = ranked.where("up IS NULL"), ranked.where("up IS NOT NULL")
+        whole.append(done)
+        known = union(whole).unionByName(left)
+    walk = union(whole).select("id", F.lit(0).alias("kind"), "level", "rank", "root")
+    rings = left.select("id", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("level"), F.col("row").alias("rank"), F.lit(None).cast(nodes.schema["root"].dataType).alias("root"))
+    placed = keyed.where(~col(again)).select(*[col(c) for c in df.columns])
+    kind, level, rank, root, id_ = unused(df, "kind", "level", "rank", "root", "id")
+    node = walk.unionByName(rings).select(F.col("id").alias(id_), F.col("kind").alias(kind), F.col("level").alias(level), F.col("rank").alias(rank), F.col("root").alias(root))
+    good = joined(placed, node, {id_col: id_})
+    extra = keyed.where(col(again)).select(*[col(c) for c in df.columns]).unionByName(df.where(~usable))
+    extra = also(extra, **{kind: F.lit(2), level: F.lit(None).cast("int"), rank: F.lit(0).cast("long"), root: F.lit(None).cast(nodes.schema["root"].dataType)})
+    (no,) = unused(good, "no")
+    sorted_ = _in_order(good.unionByName(extra), [col(kind), col(level), col(rank), at], no)
+    part = F.shiftright(col(no), 33)
+    sizes = sorted_.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))  # a row a task
+    before = sizes.select(F.col("part").alias("\0part"), F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("\0before"))
+    out = sorted_.join(F.broadcast(before), part == col("\0part"))
+    order = col("\0before") + col(no) - part * (1 << 33)
+    return out.select(*[col(c) for c in df.columns], order.alias("order"), col(level).alias("level"), col(root).alias("root"), (col(kind) == 2).alias("is_extra")), missing
 
 
 def cap(df: DataFrame, order: list[str | Column], n: int = 50) -> tuple[DataFrame, DataFrame]:
@@ -193,10 +238,10 @@ def cap(df: DataFrame, order: list[str | Column], n: int = 50) -> tuple[DataFram
 
 
 def sample_rows(tables: Tables, k: int = 1) -> DataFrame:
-    """(table, total, rec_idx, row): the first k rows of each table as JSON, with the number of all."""
+    """(table, total, [doc_id,] rec_idx, row): the first k rows of each table as JSON, with the number of all. No tables: no rows."""
     found = []
     for name, df in tables.items():
         total = df.agg(F.count(F.lit(1)).alias("total"))
-        rows = df.orderBy("rec_idx").limit(k).select("rec_idx", F.to_json(F.struct("*")).alias("row"))
-        found.append(rows.crossJoin(F.broadcast(total)).select(F.lit(name).alias("table"), "total", "rec_idx", "row"))  # one row
-    return union(found)
+        rows = df.orderBy(*identity(df)).limit(k).select(*identity(df), F.to_json(F.struct("*")).alias("row"))
+        found.append(rows.crossJoin(F.broadcast(total)).select(F.lit(name).alias("table"), "total", *identity(df), "row"))  # one row
+    return union(found) if found else _nothing("table string, total long, rec_idx long, row string")

@@ -49,6 +49,11 @@ def test_coercions(spark):
     assert [str(x) for x in one(spark, lambda c: S.coerce(c, "date"), "12", "2023-05-01Z", "2023-02-30", "0000")] == ["None", "2023-05-01", "None", "None"]
     assert [str(x) for x in one(spark, lambda c: S.coerce(c, "date", F.lit(True)), "12", "12345")] == ["0012-01-01", "None"]
     assert [str(x) for x in one(spark, lambda c: S.coerce(c, "timestamp"), "2030", "2023/05/01T10:00:00+02:00", "2023-05-01", "12")] == ["2030-01-01 00:00:00", "2023-05-01 08:00:00", "2023-05-01 00:00:00", "None"]
+    texts = ["2023-05-01T10:00:00Z", "2023-05-01 10:00:00.25-0530", "2023-10-29T02:30:00+01:00", "2023-05-01T10:00", "2023-05-01 10:00 Europe/Paris", "2023-05-01T25:00:00Z"]
+    want = ["2023-05-01 10:00:00", "2023-05-01 15:30:00.250000", "2023-10-29 01:30:00", "2023-05-01 10:00:00", "None", "None"]
+    for zone in ("America/New_York", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert [str(x) for x in one(spark, lambda c: S.coerce(c, "timestamp"), *texts)] == want
     u = str(uuid.uuid4())
     assert one(spark, lambda c: S.coerce(c, "uuid"), "{" + u.upper() + "}", "urn:uuid:" + u, "bad") == [u, u, None]
     assert one(spark, S.is_placeholder_uuid, "00000000-0000-0000-0000-000000000001", u, None) == [True, False, False]
