@@ -101,7 +101,8 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
         pairs, keys = level.select(*PLACE, F.col("rank").alias("this")).join(ahead, PLACE), ["this", "next"]
     if copies is None:
         return level.select(*PLACE).limit(0)
-    gone = copies.groupBy(*PLACE).agg(F.max("span").alias("span"))
+    # a copy of more lines than that holds, at each of its lines, a copy of its own, so the lines of a long run come once each
+    gone = copies.groupBy(*PLACE).agg(F.least(F.max("span"), F.lit(min_lines)).alias("span"))
     return gone.select("d", "h", F.explode(F.sequence("n", F.col("n") + F.col("span") - 1)).alias("n")).distinct()
 
 

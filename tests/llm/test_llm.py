@@ -489,6 +489,13 @@ def test_line_dedup_deletes_wide_single_lines(spark, docs, empty):
     assert line_dedup.line_dedup(empty, min_words=13).count() == 0
 
 
+def test_line_dedup_of_long_copies(spark):
+    lines = "\n".join(f"line {k}" for k in range(3000))
+    gone = line_dedup.repeated_lines(spark.createDataFrame([(1, lines), (2, "own\n" + lines)], "doc_id long, text string"))
+    assert gone.count() == 3000
+    assert [r.n_removed_lines for r in line_dedup.line_dedup(spark.createDataFrame([(1, lines), (2, lines)], "doc_id long, text string")).orderBy("doc_id").collect()] == [0, 3000]
+
+
 def near_groups(rows, width):
     sets = {}
     for d, t in rows:
