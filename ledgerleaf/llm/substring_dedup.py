@@ -2,15 +2,17 @@
 
 Every window of 13 consecutive words has a minimiser: the least hash among its 3-word parts. Consecutive windows with
 the same minimiser form one super-k-mer, which travels as one packed string to the bucket of the minimiser, so equal
-windows always meet. A bucket numbers its words exactly, sorts its windows and finds the smallest doc_id of each; what
-comes back to the documents is only the word spans to remove.
+windows always meet. A bucket numbers its words exactly, sorts its windows and finds the smallest doc_id of each.
 
 Plan: documents are dealt into chunks by a hash of doc_id (one shuffle, read twice); a chunk sends one compressed block
-to each bucket (equal strings of a chunk travel once, so that copies are combined before the shuffle); a bucket answers
-each block with spans; chunks and spans meet by chunk. A minimiser that a sample of documents shows to be frequent is
-split: its windows travel alone and are spread over all buckets by the hash of the whole window. That only moves work;
-the result does not depend on the sample, which grows with the corpus, so that a minimiser that fills a bucket is in it
-some dozens of times at any size.
+to each bucket: its different strings, each once with the smallest doc_id that has it here. So copies are combined before
+the shuffle, and no place in a text travels. A bucket keeps each string once, whichever chunks sent it, and a chunk's number
+of it; it answers a block with the runs of windows that start in a smaller doc_id than the chunk's smallest. Blocks and
+answers meet the texts by chunk, where the super-k-mers are made again: places of a string beyond the chunk's smallest
+doc_id lose all of it, those of the smallest what the answer names. A passage that a third of the rows share is one entry
+a chunk in its bucket. A minimiser that a sample of documents shows to be frequent is split: its windows travel alone and
+are spread over all buckets by the hash of the whole window. That only moves work; the result does not depend on the
+sample, which grows with the corpus, so that a minimiser that fills a bucket is in it some dozens of times at any size.
 
 Defined cases: null or blank text has no words and loses none; a text shorter than the window keeps all; rows with
 equal doc_id never remove each other's words; a null doc_id counts as the greatest; an empty table gives an empty
@@ -122,44 +124,58 @@ def _heavy(spark_docs: DataFrame, window: int, buckets: int, rows: int) -> np.nd
     return np.array(sorted(r.m for r in most), np.int64).view(np.uint64)
 
 
+class _Dealt:
+    """A chunk's super-k-mers and the strings they are sent as, numbered by bucket and first place."""
+
+    def __init__(self, ids: np.ndarray, texts: list[bytes], window: int, buckets: int, heavy: np.ndarray):
+        got = _super_kmers(texts, window)
+        self.strings: list[bytes] = []
+        self.string = np.zeros(0, np.int64)  # of each super-k-mer
+        if got is None:
+            return
+        joined, offsets, crc, row, begin, at, count, least = got
+        if len(heavy):
+            hot = np.isin(least, heavy)
+            if hot.any():
+                n = count[hot]
+                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                alone = np.repeat(begin[hot], n) + step
+                whole = _mix(_weighted(crc, window))
+                row = np.concatenate([row[~hot], np.repeat(row[hot], n)])
+                at = np.concatenate([at[~hot], np.repeat(at[hot], n) + step])
+                begin, least = np.concatenate([begin[~hot], alone]), np.concatenate([least[~hot], whole[alone]])
+                count = np.concatenate([count[~hot], np.ones(len(alone), np.int64)])
+        bucket = (_mix(least) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((at, row, bucket))
+        self.row, self.at, self.count, bucket = row[order], at[order], count[order], bucket[order]
+        low, high = offsets[begin[order]], offsets[begin[order] + self.count + window - 1] - 1
+        parts, self.first = [], [0]  # a bucket's strings begin at ``first``
+        edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+        for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
+            known: dict[bytes, int] = {}
+            parts.append(np.fromiter((known.setdefault(joined[s:e], len(known)) for s, e in zip(low[a:z].tolist(), high[a:z].tolist())), np.int64, z - a) + len(self.strings))
+            self.strings.extend(known)
+            self.first.append(len(self.strings))
+        self.bucket, self.string, self.doc = bucket[edges], np.concatenate(parts), ids[self.row]
+        self.windows = np.zeros(len(self.strings), np.int64)
+        self.windows[self.string] = self.count
+        self.least = np.full(len(self.strings), NO_ID)
+        np.minimum.at(self.least, self.string, self.doc)
+
+
 def _blocks(table: pa.Table, window: int, buckets: int, heavy: np.ndarray) -> pa.Table:
     """A chunk's blocks: (chunk, bucket, payload)."""
     schema = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())])
     _, ids, texts = _sorted_rows(table.column("doc_id"), table.column("text"))
-    got = _super_kmers(texts, window)
-    if got is None:
+    dealt = _Dealt(ids, texts, window, buckets, heavy)
+    if not dealt.strings:
         return schema.empty_table()
-    joined, offsets, crc, row, begin, at, count, least = got
-    if len(heavy):
-        hot = np.isin(least, heavy)
-        if hot.any():
-            n = count[hot]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            alone = np.repeat(begin[hot], n) + step
-            whole = _mix(_weighted(crc, window))
-            row = np.concatenate([row[~hot], np.repeat(row[hot], n)])
-            at = np.concatenate([at[~hot], np.repeat(at[hot], n) + step])
-            begin, least = np.concatenate([begin[~hot], alone]), np.concatenate([least[~hot], whole[alone]])
-            count = np.concatenate([count[~hot], np.ones(len(alone), np.int64)])
-            order = np.lexsort((at, row))
-            row, at, begin, least, count = (x[order] for x in (row, at, begin, least, count))
-    bucket = (_mix(least) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    low, high = offsets[begin], offsets[begin + count + window - 1] - 1
-    press, chunk = zstandard.ZstdCompressor(level=3), table.column("chunk")[0].as_py()
-    out_bucket, out = [], []
-    for a, z in zip(edges, np.append(edges[1:], len(order))):
-        own = order[a:z]
-        known: dict[bytes, int] = {}
-        which = np.fromiter((known.setdefault(joined[s:e], len(known)) for s, e in zip(low[own].tolist(), high[own].tolist())), np.uint32, len(own))
-        new = np.zeros(len(known), np.uint32)
-        new[which] = count[own]
-        doc = ids[row[own]]
-        parts = [b"\n".join(known), new.tobytes(), which.tobytes(), np.diff(doc, prepend=0).tobytes(), np.diff(row[own], prepend=0).astype(np.int32).tobytes(), at[own].astype(np.uint32).tobytes()]
-        out.append(press.compress(struct.pack("<3q", len(parts[0]), len(known), len(own)) + b"".join(parts)))
-        out_bucket.append(bucket[own[0]])
-    return pa.table([pa.array([chunk] * len(out), pa.int32()), pa.array(out_bucket, pa.int32()), pa.array(out, pa.binary())], schema=schema)
+    press, out = zstandard.ZstdCompressor(level=3), []
+    for a, z in zip(dealt.first, dealt.first[1:]):
+        text = b"\n".join(dealt.strings[a:z])
+        out.append(press.compress(struct.pack("<2q", len(text), z - a) + text + dealt.windows[a:z].astype(np.uint32).tobytes() + np.diff(dealt.least[a:z], prepend=0).tobytes()))
+    chunk = table.column("chunk")[0].as_py()
+    return pa.table([pa.array([chunk] * len(out), pa.int32()), pa.array(dealt.bucket, pa.int32()), pa.array(out, pa.binary())], schema=schema)
 
 
 def _same(ids: np.ndarray, a: np.ndarray, b: np.ndarray, window: int) -> bool:
@@ -181,78 +197,100 @@ def _smallest(ids: np.ndarray, at: np.ndarray, doc: np.ndarray, window: int) ->
     return out
 
 
-def _answers(payloads: list[bytes], chunks: list[int], window: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """For each block of a bucket with words to remove: chunk, rows, first words, ends."""
-    number: dict[bytes, int] = defaultdict()
-    number.default_factory = number.__len__
-    blocks, ids, at, doc, base = [], [], [], [], 0
-    for p in payloads:
-        raw = zstandard.ZstdDecompressor().decompress(p)
-        size, strings, occurrences = struct.unpack_from("<3q", raw)
-        words = raw[24 : 24 + size].split()
-        ids.append(np.fromiter(map(number.__getitem__, words), np.uint64, len(words)))
-        pos = 24 + size
-        fields = []
-        for kind, n in ((np.uint32, strings), (np.uint32, occurrences), (np.int64, occurrences), (np.int32, occurrences), (np.uint32, occurrences)):
-            fields.append(np.frombuffer(raw, kind, n, pos))
-            pos += fields[-1].nbytes
-        windows, which = fields[0].astype(np.int64), fields[1]
-        docs, rows = np.cumsum(fields[2]), np.cumsum(fields[3], dtype=np.int64)
-        low = np.full(strings, NO_ID)
-        np.minimum.at(low, which, docs)
+class _Bucket:
+    """The blocks of one bucket: each string once, and for each block which strings it has with their smallest doc_ids."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.windows: list[np.ndarray] = []
+        self.blocks: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def add(self, chunk: int, payload: bytes) -> None:
+        raw = zstandard.ZstdDecompressor().decompress(payload)
+        size, strings = struct.unpack_from("<2q", raw)
+        before = len(self.number)
+        which = np.fromiter((self.number.setdefault(x, len(self.number)) for x in raw[16 : 16 + size].split(b"\n")), np.int64, strings)
+        windows = np.frombuffer(raw, np.uint32, strings, 16 + size).astype(np.int64)
+        self.windows.append(windows[which >= before])  # a block's strings differ, so new ones come in order
+        self.blocks.append((chunk, which.astype(np.int32), np.cumsum(np.frombuffer(raw, np.int64, strings, 16 + size + 4 * strings))))
+
+    def answers(self, window: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+        """For each block with windows that start in a smaller doc_id: chunk, strings (numbered in the block), first windows, ends."""
+        windows = np.concatenate(self.windows)
+        low = np.full(len(windows), NO_ID)
+        for _, which, least in self.blocks:
+            np.minimum.at(low, which, least)
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        ids = np.concatenate([np.fromiter(map(number.__getitem__, x.split()), np.uint64) for x in self.number])
         begin = np.cumsum(windows + window - 1) - (windows + window - 1)
         step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        at.append(base + np.repeat(begin, windows) + step)
-        doc.append(np.repeat(low, windows))
-        base += len(words)
-        blocks.append((windows, which, docs, rows, fields[4]))
-    ids = np.concatenate(ids)
-    least = _smallest(ids, np.concatenate(at), np.concatenate(doc), window)
-    done = 0
-    for chunk, (windows, which, docs, rows, starts) in zip(chunks, blocks):
-        own = least[done : done + windows.sum()]
-        done += len(own)
-        begin = np.cumsum(windows) - windows
-        hit = np.flatnonzero(np.minimum.reduceat(own, begin)[which] < docs)
-        if not len(hit):
-            continue
-        n = windows[which[hit]]
-        occ = np.repeat(np.arange(len(hit)), n)
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        gone = own[begin[which[hit]][occ] + step] < docs[hit][occ]
-        occ, step = occ[gone], step[gone]
-        head = np.append(True, (occ[1:] != occ[:-1]) | (step[1:] != step[:-1] + 1))
-        tail = np.append(head[1:], True)
-        where = starts[hit][occ].astype(np.int64) + step
-        yield chunk, rows[hit][occ][head].astype(np.int32).tobytes(), where[head].astype(np.int32).tobytes(), (where[tail] + window).astype(np.int32).tobytes()
+        found = _smallest(ids, np.repeat(begin, windows) + step, np.repeat(low, windows), window)
+        first = np.cumsum(windows) - windows
+        smallest = np.minimum.reduceat(found, first)
+        for chunk, which, least in self.blocks:
+            hit = np.flatnonzero(smallest[which] < least)
+            if not len(hit):
+                continue
+            n = windows[which[hit]]
+            string, at = np.repeat(hit, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            gone = found[np.repeat(first[which[hit]], n) + at] < least[string]
+            string, at = string[gone], at[gone]
+            head = np.append(True, (string[1:] != string[:-1]) | (at[1:] != at[:-1] + 1))
+            tail = np.append(head[1:], True)
+            yield chunk, string[head].astype(np.int32).tobytes(), at[head].astype(np.int32).tobytes(), (at[tail] + window).astype(np.int32).tobytes()
 
 
 def _bucketed(window: int):
     """Blocks arrive sorted by bucket; one bucket is held at a time."""
-    names = ["chunk", "rows", "starts", "ends"]
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
-    def answer(payloads, chunks):
-        got = list(_answers(payloads, chunks, window))
+    def answer(held: _Bucket, bucket: int) -> Iterator[pa.RecordBatch]:
+        got = list(held.answers(window))
         if got:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*got), kinds)], names=names)
+            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            columns = [pa.array(list(c), k) for c, k in zip(zip(*got), kinds)]
+            yield pa.RecordBatch.from_arrays([columns[0], pa.array([bucket] * len(got), pa.int32()), *columns[1:]], names=["chunk", "bucket", "strings", "starts", "ends"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, payloads, chunks = None, [], []
+        now, held = None, _Bucket()
         for b in batches:
             for chunk, bucket, payload in zip(*(c.to_pylist() for c in b.columns)):
-                if bucket != now and payloads:
-                    yield from answer(payloads, chunks)
-                    payloads, chunks = [], []
+                if bucket != now and held.blocks:
+                    yield from answer(held, now)
+                    held = _Bucket()
                 now = bucket
-                payloads.append(payload)
-                chunks.append(chunk)
-        if payloads:
-            yield from answer(payloads, chunks)
+                held.add(chunk, payload)
+        if held.blocks:
+            yield from answer(held, now)
 
     return run
 
 
+def _spans(dealt: _Dealt, answers: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, first words, ends) to remove from a chunk's texts."""
+    if not dealt.strings:
+        return (np.zeros(0, np.int64),) * 3
+    later = np.flatnonzero(dealt.doc > dealt.least[dealt.string])  # another document here has all of it
+    rows, starts, ends = [dealt.row[later]], [dealt.at[later]], [dealt.at[later] + dealt.count[later] + window - 1]
+    if answers.num_rows:
+        base = dict(zip(dealt.bucket.tolist(), dealt.first))
+        columns = [[np.frombuffer(x, np.int32).astype(np.int64) for x in answers.column(c).to_pylist()] for c in ("strings", "starts", "ends")]
+        string = np.concatenate([x + base[b] for x, b in zip(columns[0], answers.column("bucket").to_pylist())])
+        begin, end = np.concatenate(columns[1]), np.concatenate(columns[2])
+        by = np.argsort(string, kind="stable")
+        string, begin, end = string[by], begin[by], end[by]
+        own = np.flatnonzero(dealt.doc == dealt.least[dealt.string])
+        low, high = np.searchsorted(string, dealt.string[own]), np.searchsorted(string, dealt.string[own], "right")
+        n = high - low
+        place, run = np.repeat(own, n), np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        rows.append(dealt.row[place])
+        starts.append(dealt.at[place] + begin[run])
+        ends.append(dealt.at[place] + end[run])
+    rows, starts, ends = (np.concatenate(x) for x in (rows, starts, ends))
+    by = np.argsort(rows, kind="stable")
+    return rows[by], starts[by], ends[by]
+
+
 def _cut(text: bytes, gone: np.ndarray, words: list[bytes]) -> tuple[bytes, bytes]:
     """The text without the words gone (white space inside kept stretches stays), and the kept words joined by one space."""
     keep = np.flatnonzero(~gone)
@@ -268,12 +306,10 @@ def _cut(text: bytes, gone: np.ndarray, words: list[bytes]) -> tuple[bytes, byte
     return b" ".join(pieces), kept
 
 
-def _finish(columns: list[str], texts_too: bool):
-    def run(docs: pa.Table, spans: pa.Table) -> pa.Table:
-        order, _, texts = _sorted_rows(docs.column("doc_id"), docs.column("text"))
-        rows, starts, ends = (np.frombuffer(b"".join(spans.column(c).to_pylist()), np.int32) for c in ("rows", "starts", "ends"))
-        by = np.argsort(rows, kind="stable")
-        rows, starts, ends = rows[by], starts[by], ends[by]
+def _finish(columns: list[str], texts_too: bool, window: int, buckets: int, heavy: np.ndarray):
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        order, ids, texts = _sorted_rows(docs.column("doc_id"), docs.column("text"))
+        rows, starts, ends = _spans(_Dealt(ids, texts, window, buckets, heavy), answers, window)
         low, high = np.searchsorted(rows, np.arange(len(texts))), np.searchsorted(rows, np.arange(len(texts)), "right")
         n_words, n_removed, digest, out = [], [], [], []
         for i, text in enumerate(texts):
@@ -324,8 +360,8 @@ def substring_dedup(docs: DataFrame, window: int = 13, texts: bool = True) -> Da
     dealt = docs.withColumn("chunk", chunk_of("doc_id", chunks))
     # the same grouping as below, so that texts are shuffled once
     blocks = dealt.groupBy("chunk").applyInArrow(lambda t: _blocks(t, window, buckets, heavy), "chunk int, bucket int, payload binary")
-    spans = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_bucketed(window), "chunk int, rows binary, starts binary, ends binary")
+    answers = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_bucketed(window), "chunk int, bucket int, strings binary, starts binary, ends binary")
     order = [c for c in docs.columns if c != "text"] + ["text"] * texts
     schema = T.StructType([docs.schema[c] for c in order] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-    out = dealt.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_finish(order, texts), schema)
+    out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_finish(order, texts, window, buckets, heavy), schema)
     return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col("row").getField(c).alias(c) for c in names], *ADDED)
