@@ -18,7 +18,9 @@ So the result is exact for all pairs that share a region in some order, which a
 probability (1 - 0.8^4)^32 < 1e-7. No cap drops candidates. A group of copies or near copies that a third of the rows form
 costs a number of pairs linear in its size.
 
-Shuffles: region numbers (8 bytes, 32 a node) to be counted; nodes with their tails (32 bytes, 32 a node) once; full sets only of documents in candidate pairs.
+Shuffles: region numbers (8 bytes, 32 a node) to be counted; nodes with their tails (32 bytes, 32 a node) once; full sets
+only of documents in candidate pairs: once to meet their pairs, then once for each pair, beside the pair's end of more
+pairs, whose own set comes once for ``TOGETHER`` of them. So a first node of a large region moves its set rarely.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; texts shorter than a shingle are one
 shingle; rows with one doc_id are one document, linked by any of its texts; a null doc_id links with nothing and has a
@@ -49,6 +51,7 @@ ROOTS, TAIL = (4, 16, 28), 12  # values that make a region, first and for region
 LIMIT = 4096  # nodes of a region that one task sorts
 BLOCK = 1 << 19  # shingles of a block of a family
 FEW = 500_000  # ids that a broadcast may hold (4 MB)
+TOGETHER = 500  # pairs of one node that are confirmed together
 SMALL = 24  # members of a region that is paired completely
 ADDED = ["n_shingles", "component_id", "kept"]
 
@@ -196,21 +199,42 @@ def _neighbours(percent: int, few: int):
     return run
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough on full sets."""
+def _asked(pairs: DataFrame) -> DataFrame:
+    """(node, key, part, first): which sets meet where. A pair is looked at beside its end of more pairs, the key; a key of very many pairs has parts of ``TOGETHER``, each with its set once (first)."""
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("pairs"))
+    many = save(degree.where(F.col("pairs") > TOGETHER), "hubs")
+    if many.count() <= FEW:  # ids and counts of at most 2 / TOGETHER of the pairs' ends; beyond that both sides are dealt
+        many = F.broadcast(many)
+    found = pairs.join(many.select(F.col("node").alias("a"), F.col("pairs").alias("na")), "a", "left").join(many.select(F.col("node").alias("b"), F.col("pairs").alias("nb")), "b", "left")
+    second = F.coalesce("nb", F.lit(0)) > F.coalesce("na", F.lit(0))
+    turned = found.select(F.when(second, F.col("b")).otherwise(F.col("a")).alias("key"), F.when(second, F.col("a")).otherwise(F.col("b")).alias("node"), F.coalesce(F.greatest("na", "nb"), F.lit(0)).alias("n"))
+    parts = F.floor(F.col("n") / TOGETHER) + 1
+    dealt = save(turned.select("key", "node", F.when(F.col("n") > 0, F.pmod(F.xxhash64("node"), parts)).otherwise(0).cast("int").alias("part")), "pairs-dealt")
+    keys = dealt.select(F.col("key").alias("node"), "key", "part").distinct().withColumn("first", F.lit(0).cast("byte"))
+    return dealt.select("node", "key", "part", F.lit(1).cast("byte").alias("first")).unionByName(keys)
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar enough on full sets. A set moves once for each pair in which it isn't the key, and once for each part of a key; a part is read as a stream that holds the key's set alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own, before = None, [], 1  # a doc_id of several texts has several sets
         for b in batches:
-            ok = []
-            for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
-
-    first = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
-    return first.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+            out = []
+            for k, node, first, x in zip(b.column("key").to_pylist(), b.column("node").to_pylist(), b.column("first").to_pylist(), b.column("set").to_pylist()):
+                x = np.frombuffer(x, np.uint64)
+                if first == 0:
+                    key, own = k, [*(own if before == 0 and k == key else ()), x]
+                elif k == key:
+                    both = [np.intersect1d(y, x, assume_unique=True).size for y in own]
+                    if any(100 * n >= percent * (len(y) + len(x) - n) for n, y in zip(both, own)):
+                        out.append((min(k, node), max(k, node)))
+                before = first
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    asked = _asked(pairs)
+    met = asked.join(_sets(texts, pairs, width), "node").repartition("key", "part").sortWithinPartitions("key", "part", "first")
+    return met.select("key", "node", "first", "set").mapInArrow(run, "a long, b long")
 
 
 def _sets(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -252,7 +276,7 @@ def near_links(nodes: DataFrame, texts: DataFrame, width: int = SHINGLE, percent
         every = every.unionByName(more)
     pairs = save(every.where("kind = 0").select("a", "b").distinct(), "candidates")
     with small_batches(spark, 500):
-        links = save(_confirm(pairs, _sets(texts, pairs, width), percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        links = save(_confirm(pairs, texts, width, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
         large = save(every.where("kind = 1").select(F.col("a").alias("node"), F.col("b").alias("hub")).distinct(), "large-regions")
         if large.isEmpty():
             return links

@@ -271,6 +271,18 @@ def test_minhash_dedup(docs, empty, monkeypatch):
     assert minhash_dedup.minhash_dedup(empty).count() == 0
 
 
+def test_minhash_of_hubs_and_documents_of_several_texts(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "TOGETHER", 3)
+    monkeypatch.setattr(minhash_dedup, "SMALL", 4)
+    r = random.Random(3)
+    words = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    rows = [(k, " ".join([*words[:k], f"x{k}", *words[k + 1 :]])) for k in range(40)]
+    other = " ".join(f"o{k}" for k in range(50))
+    rows += [(100, other), (100, " ".join(words)), (101, other + " end"), (102, "alone in all")]
+    got = {x.doc_id: x.component_id for x in minhash_dedup.minhash_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{k: 0 for k in range(40)}, 100: 0, 101: 0, 102: 102}
+
+
 def test_forest_pairs_small_regions_and_splits_large_ones():
     r = np.random.default_rng(2)
     tail = np.sort(r.integers(0, 3, (90, minhash_dedup.TAIL)).astype(np.uint8).view(f"V{minhash_dedup.TAIL}").ravel()).view(np.uint8).reshape(90, -1)
