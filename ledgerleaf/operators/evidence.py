@@ -18,20 +18,20 @@ MANY = 64  # quotes of a document, beyond which its text is scanned for all of t
 PART = 10_000  # quotes of a document that one scan looks for
 
 
-def quotes_found(quotes: DataFrame, docs: DataFrame) -> DataFrame:
+def quotes_found(quotes: DataFrame, docs: DataFrame, many: int | None = None) -> DataFrame:
     """quotes (doc_id, quote, ...) with ``found``: the normalised quote is in the normalised text of its document.
 
     A document's text is normalised once. Where a document has few quotes, they join its text by doc_id. Where it has more
-    than ``MANY``, its different quotes become one Aho-Corasick automaton and the text is scanned once, not copied to each
+    than ``many`` (none: ``MANY``), its different quotes become one Aho-Corasick automaton and the text is scanned once, not copied to each
     quote; quotes beyond ``PART`` go to further automata, each with a copy of the text. Blank quotes and texts, and quotes
     without a document, give false. Of several texts with one doc_id the least counts. A column named ``found`` gives way.
     """
     quotes = without(quotes, ["found"])
     own = [col(c) for c in quotes.columns]
-    text, norm, hit, many = unused(quotes, "text", "norm", "hit", "many")
+    text, norm, hit, size = unused(quotes, "text", "norm", "hit", "size")
     whole = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias(text)).select("doc_id", normalize_for_match(col(text)).alias(text))
     asked = also(quotes, **{norm: normalize_for_match(col("quote"))})
-    counts = save(asked.where(F.col("doc_id").isNotNull() & (col(norm) != "")).groupBy("doc_id").agg(F.countDistinct(col(norm)).alias(many)).where(col(many) > MANY), "documents-of-many-quotes")
+    counts = save(asked.where(F.col("doc_id").isNotNull() & (col(norm) != "")).groupBy("doc_id").agg(F.countDistinct(col(norm)).alias(size)).where(col(size) > (MANY if many is None else many)), "documents-of-many-quotes")
 
     def plainly(df: DataFrame) -> DataFrame:
         both = joined(df, whole, {"doc_id": "doc_id"})
@@ -40,11 +40,11 @@ def quotes_found(quotes: DataFrame, docs: DataFrame) -> DataFrame:
 
     if counts.isEmpty():
         return plainly(asked)
-    parts = counts.select("doc_id", (F.floor((col(many) - 1) / PART) + 1).cast("int").alias("parts"))
+    parts = counts.select("doc_id", (F.floor((col(size) - 1) / PART) + 1).cast("int").alias("parts"))
     dealt = asked.select("doc_id", col(norm).alias("norm")).where("norm <> ''").distinct().join(parts, "doc_id").select("doc_id", F.pmod(F.xxhash64("norm"), F.col("parts")).cast("int").alias("part"), "norm")
-    texts = whole.select("doc_id", col(text).alias("text")).where("text <> ''").join(parts, "doc_id").select("doc_id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "text")
+    texts = whole.select("doc_id", col(text).alias("text")).where("text <> ''").join(parts, "doc_id").select(F.col("doc_id").alias("of"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("at"), "text")
     kind = quotes.schema["doc_id"].dataType.simpleString()
-    seen = dealt.groupBy("doc_id", "part").cogroup(texts.groupBy("doc_id", "part")).applyInArrow(_scan, f"doc_id {kind}, norm string")
+    seen = dealt.groupBy("doc_id", "part").cogroup(texts.groupBy("of", "at")).applyInArrow(_scan, f"doc_id {kind}, norm string")
     scanned = joined(joined(asked, counts, {"doc_id": "doc_id"}, "left_semi"), seen.select(col("doc_id"), col("norm"), F.lit(True).alias(hit)), {"doc_id": "doc_id", norm: "norm"})
     rest = joined(asked, counts, {"doc_id": "doc_id"}, "left_anti")
     return plainly(rest).unionByName(scanned.select(*own, F.coalesce(col(hit), F.lit(False)).alias("found")))
@@ -59,7 +59,7 @@ def _scan(quotes: pa.Table, texts: pa.Table) -> pa.Table:
             machine.add_word(q, q)
         machine.make_automaton()
         found = {q for _, q in machine.iter(texts.column("text")[0].as_py())}
-    doc = (quotes if quotes.num_rows else texts).column("doc_id")
+    doc = quotes.column("doc_id") if quotes.num_rows else texts.column("of")
     return pa.table({"doc_id": pa.array([doc[0].as_py()] * len(found), doc.type), "norm": pa.array(sorted(found), pa.string())})
 
 

@@ -12,6 +12,7 @@ from ..functions import helpers as H
 from ..functions import scalars as S
 from ..operators import evidence, identity, linking, load, quality, text
 from ..sources import tables as sources
+from ..sources.store import Store
 from ..specs import Fk, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,12 +106,7 @@ def flag_repeats(spark, sf_dir):
     return quality.flag_repeats(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]).select("rec_idx", "first", "is_repeat")
 
 
-@query("""WITH RECURSIVE t AS (SELECT r_regionkey AS id, NULL AS parent FROM region UNION ALL SELECT 100 + n_nationkey, n_regionkey FROM nation
-UNION ALL SELECT 1000 + c_custkey, CASE WHEN c_custkey % 9 = 0 THEN -1 ELSE 100 + c_nationkey END FROM customer UNION ALL SELECT 10000000 + s_suppkey, 10000000 + s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN -1 ELSE 1 END FROM supplier WHERE s_suppkey < 2 * (SELECT count(*) // 2 FROM supplier)
-UNION ALL SELECT 20000000 + o_orderkey, CASE WHEN o_orderkey % 64 > 0 THEN 20000000 + o_orderkey - 1 END FROM orders),
-ids AS (SELECT id FROM t), w AS (SELECT id, 0 AS level FROM t WHERE parent IS NULL OR parent NOT IN (SELECT id FROM ids) UNION ALL SELECT t.id, w.level + 1 FROM t JOIN w ON t.parent = w.id)
-SELECT t.id, CAST(t.parent AS VARCHAR) AS parent, w.level FROM t LEFT JOIN w USING (id)""")
-def topo_sort(spark, sf_dir):
+def _forest(spark, sf_dir):
     """A forest with parents that aren't there, pairs that are each other's parent, and chains of up to 64 orders."""
     t = star(spark, sf_dir, "region", "nation", "customer", "supplier", "orders")
     row = lambda df, i, p: df.select(F.expr(i).cast("long").alias("id"), F.expr(p).cast("long").alias("parent"))
@@ -121,7 +117,16 @@ def topo_sort(spark, sf_dir):
         row(t["supplier"].join(F.broadcast(t["supplier"].agg((2 * F.floor(F.count(F.lit(1)) / 2)).alias("n"))), F.col("s_suppkey") < F.col("n")), "10000000 + s_suppkey", "10000000 + s_suppkey + IF(s_suppkey % 2 = 0, -1, 1)"),  # one row
         row(t["orders"], "20000000 + o_orderkey", "IF(o_orderkey % 64 > 0, 20000000 + o_orderkey - 1, NULL)"),
     ]
-    return quality.topo_sort(quality.union(parts).withColumn("rec_idx", F.col("id")), "id", "parent")[0].select("id", F.col("parent").cast("string").alias("parent"), "level")
+    return quality.union(parts).withColumn("rec_idx", F.col("id"))
+
+
+@query("""WITH RECURSIVE t AS (SELECT r_regionkey AS id, NULL AS parent FROM region UNION ALL SELECT 100 + n_nationkey, n_regionkey FROM nation
+UNION ALL SELECT 1000 + c_custkey, CASE WHEN c_custkey % 9 = 0 THEN -1 ELSE 100 + c_nationkey END FROM customer UNION ALL SELECT 10000000 + s_suppkey, 10000000 + s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN -1 ELSE 1 END FROM supplier WHERE s_suppkey < 2 * (SELECT count(*) // 2 FROM supplier)
+UNION ALL SELECT 20000000 + o_orderkey, CASE WHEN o_orderkey % 64 > 0 THEN 20000000 + o_orderkey - 1 END FROM orders),
+ids AS (SELECT id FROM t), w AS (SELECT id, 0 AS level FROM t WHERE parent IS NULL OR parent NOT IN (SELECT id FROM ids) UNION ALL SELECT t.id, w.level + 1 FROM t JOIN w ON t.parent = w.id)
+SELECT t.id, CAST(t.parent AS VARCHAR) AS parent, w.level FROM t LEFT JOIN w USING (id)""")
+def topo_sort(spark, sf_dir):
+    return quality.topo_sort(_forest(spark, sf_dir), "id", "parent")[0].select("id", F.col("parent").cast("string").alias("parent"), "level")
 
 
 @query("""SELECT * FROM (SELECT o_orderkey AS rec_idx, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50), (SELECT count(*) AS total FROM orders)""")
@@ -684,3 +689,112 @@ def latest_documents(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     files = p.select(F.concat(F.lit("20240101_120000_"), "p_brand").alias("doc_id"), F.col("p_partkey").alias("modified"))
     return latest(files).select("stem", F.col("modified").alias("newest"))
+
+
+# Tables of several documents, in each of which rows are numbered anew: (doc_id, rec_idx) is a row's identity.
+_DOC = """ld AS (SELECT * EXCLUDE rec_idx, 'd' || l_orderkey % 7 AS doc_id, l_orderkey // 7 * 1000 + rec_idx % 1000 AS rec_idx FROM li)"""
+_RUNS = {
+    "orders": STAR["orders"],
+    "lineitem": TableSpec("lineitem", "id", (Fk("l_orderkey", "orders"),), (("l_partkey", "l_linenumber"),)),
+}
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items dealt to seven documents by their order."""
+    li = table(spark, sf_dir, "lineitem")
+    doc, number = F.concat(F.lit("d"), F.col("l_orderkey") % 7), F.floor(F.col("l_orderkey") / 7) * 1000 + F.col("rec_idx") % 1000
+    return li.withColumns({"doc_id": doc, "rec_idx": number}).withColumn("id", F.concat_ws("/", "doc_id", "rec_idx"))
+
+
+@query(f"""WITH {LI}, {_DOC}, f AS (SELECT doc_id, rec_idx, min((doc_id, rec_idx)) OVER (PARTITION BY l_partkey, l_linenumber) AS m FROM ld)
+SELECT doc_id, rec_idx, m[1] AS first_doc_id, m[2] AS first, (doc_id, rec_idx) > m AS is_repeat FROM f""")
+def flag_repeats_documents(spark, sf_dir):
+    return quality.flag_repeats(runs(spark, sf_dir), ["l_partkey", "l_linenumber"]).select("doc_id", "rec_idx", "first_doc_id", "first", "is_repeat")
+
+
+@query(f"""WITH {LI}, {_DOC}, o AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0), r AS (SELECT doc_id, rec_idx, l_orderkey IN (SELECT o_orderkey FROM o) AS fits, min((doc_id, rec_idx)) OVER (PARTITION BY l_partkey, l_linenumber) AS every,
+min((doc_id, rec_idx)) FILTER (l_orderkey IN (SELECT o_orderkey FROM o)) OVER (PARTITION BY l_partkey, l_linenumber) AS inside FROM ld)
+SELECT 'lineitem' AS "table", doc_id, rec_idx, CASE WHEN (doc_id, rec_idx) > every THEN 'duplicate l_partkey,l_linenumber' ELSE 'l_orderkey not in orders' END AS reason FROM r WHERE NOT fits OR (doc_id, rec_idx) > inside""")
+def enforce_documents(spark, sf_dir):
+    t = {"orders": table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0").drop("o_custkey"), "lineitem": runs(spark, sf_dir)}
+    return load.enforce_constraints(t, _RUNS)[1].where("table = 'lineitem'").select("table", "doc_id", "rec_idx", "reason")
+
+
+@query(f"""WITH {LI}, {_DOC}, g AS (SELECT *, count(*) OVER (PARTITION BY l_partkey, l_linenumber) AS n FROM ld),
+x AS (SELECT doc_id, rec_idx, 0 AS kind, 'l_orderkey: value ' || l_orderkey || ' not found in orders' AS m FROM ld WHERE l_orderkey % 5 = 0
+UNION ALL SELECT doc_id, rec_idx, 1, 'Duplicate unique key on (l_partkey, l_linenumber): l_partkey=' || l_partkey || ', l_linenumber=' || l_linenumber || '. Choose a different match if possible to make this combination unique.' FROM g WHERE n > 1)
+SELECT doc_id, rec_idx, string_agg(m, ' ' ORDER BY kind) AS text FROM x GROUP BY ALL""")
+def retry_feedback_documents(spark, sf_dir):
+    t = {"orders": table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0").drop("o_custkey"), "lineitem": runs(spark, sf_dir)}
+    groups = quality.duplicate_groups(t, {"lineitem": list(_RUNS["lineitem"].unique_keys)}, None)
+    return linking.retry_feedback(quality.fk_issues(t, _RUNS), groups, _RUNS, {}).select("doc_id", "rec_idx", "text")
+
+
+_OWN = S.class_namespace("lineitem")
+
+
+@query(f"""WITH {LI}, {_DOC}, r AS (SELECT doc_id, rec_idx, CAST(l_orderkey AS VARCHAR) AS seed, row_number() OVER (PARTITION BY l_orderkey ORDER BY doc_id, rec_idx) AS j, count(*) OVER (PARTITION BY l_orderkey) AS m FROM ld),
+e AS (SELECT {_uuid_sql(_OWN, "o_orderkey || 'id'")} AS k FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT {_uuid_sql(_OWN, "o_orderkey || '|3id'")} FROM orders WHERE o_orderkey % 5 = 0),
+t AS (SELECT DISTINCT seed, unnest(generate_series(1, m + 2)) AS n FROM r), k AS (SELECT seed, n, {_uuid_sql(_OWN, "CASE WHEN n = 1 THEN seed ELSE seed || '|' || n END || 'id'")} AS k FROM t),
+f AS (SELECT seed, k, row_number() OVER (PARTITION BY seed ORDER BY n) AS j FROM k WHERE k NOT IN (SELECT k FROM e)) SELECT doc_id, rec_idx, k AS id FROM r JOIN f USING (seed, j)""")
+def assign_pk_existing(spark, sf_dir):
+    """Keys where some that would be generated are stored already: the next ones that are free."""
+    o, space = table(spark, sf_dir, "orders"), S.class_namespace("lineitem")
+    stored = lambda part, end: o.where(part).select(S.uuid5(space, F.concat(F.col("o_orderkey").cast("string"), F.lit(end))).alias("id"))
+    existing = stored("o_orderkey % 3 = 0", "id").unionByName(stored("o_orderkey % 5 = 0", "|3id"))
+    df = runs(spark, sf_dir).select("doc_id", "rec_idx", F.lit(None).cast("string").alias("id"), F.col("l_orderkey").cast("string").alias("seed"))
+    return identity.assign_pk(df, "lineitem", "id", existing=existing).select("doc_id", "rec_idx", "id")
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey, o_orderpriority, 'b' || o_orderkey % 3 AS batch FROM orders WHERE o_custkey % 7 <> 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY batch, o_orderkey) AS n FROM o) SELECT o_orderkey, batch FROM r WHERE n = 1""")
+def load_against_store(spark, sf_dir):
+    """Three batches of orders, each checked against what the store holds: customers of the first, keys of all before; the second comes twice."""
+    specs = {"customer": TableSpec("customer", "c_custkey"), "orders": TableSpec("orders", "o_orderkey", (Fk("o_custkey", "customer"),), (("o_custkey", "o_orderpriority"),))}
+    store, o = Store(spark, sources.new_folder(spark, "store"), specs, buckets=8), table(spark, sf_dir, "orders")
+    for k in (0, 1, 1, 2):
+        tables = {"orders": o.where(F.col("o_orderkey") % 3 == k).withColumn("doc_id", F.lit(f"b{k}"))}
+        if k == 0:
+            tables["customer"] = table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0")
+        load.load_batch(store, f"b{k}", tables)
+    return store.read("orders").select("o_orderkey", "batch")
+
+
+@query("""WITH RECURSIVE t AS (SELECT r_regionkey AS id, NULL AS parent FROM region UNION ALL SELECT 100 + n_nationkey, n_regionkey FROM nation
+UNION ALL SELECT 1000 + c_custkey, CASE WHEN c_custkey % 9 = 0 THEN -1 ELSE 100 + c_nationkey END FROM customer UNION ALL SELECT 10000000 + s_suppkey, 10000000 + s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN -1 ELSE 1 END FROM supplier WHERE s_suppkey < 2 * (SELECT count(*) // 2 FROM supplier)
+UNION ALL SELECT 20000000 + o_orderkey, CASE WHEN o_orderkey % 64 > 0 THEN 20000000 + o_orderkey - 1 END FROM orders),
+ids AS (SELECT id FROM t), w AS (SELECT id, 0 AS level, [id] AS path FROM t WHERE parent IS NULL OR parent NOT IN (SELECT id FROM ids) UNION ALL SELECT t.id, w.level + 1, list_append(w.path, t.id) FROM t JOIN w ON t.parent = w.id)
+SELECT t.id, row_number() OVER (ORDER BY w.level NULLS LAST, w.path, t.id) - 1 AS "order" FROM t LEFT JOIN w USING (id)""")
+def topo_order(spark, sf_dir):
+    """The forest of ``topo_sort`` in the order of a breadth-first walk."""
+    return quality.topo_sort(_forest(spark, sf_dir), "id", "parent")[0].select("id", "order")
+
+
+@query(f"""WITH p AS (SELECT p_partkey % 50 AS doc_id, p_partkey, {_TOKENS.format("p_type || ' ' || p_brand")} AS l FROM part), r AS (SELECT p_partkey AS rec_idx, p_partkey % 50 AS doc_id, {_TOKENS.format("p_brand || ' ' || p_name")} AS t FROM part),
+s AS (SELECT rec_idx, CAST(p_partkey AS VARCHAR) AS id, 2 * len(list_intersect(t, l)) / (len(t) + len(l)) AS score FROM r JOIN p USING (doc_id) WHERE len(list_intersect(t, l)) > 0)
+SELECT r.rec_idx, x.id AS linked_id FROM r LEFT JOIN (SELECT rec_idx, id, row_number() OVER (PARTITION BY rec_idx ORDER BY score DESC, id) AS n FROM s WHERE score >= 0.2) x ON x.rec_idx = r.rec_idx AND n = 1""")
+def link_scored(spark, sf_dir):
+    """``link_candidates`` with a scorer of one's own, by bounds."""
+    p = table(spark, sf_dir, "part").withColumn("doc_id", F.col("p_partkey") % 50)
+    records = p.select("doc_id", "rec_idx", F.concat_ws(" ", "p_brand", "p_name").alias("text"))
+    options = p.select("doc_id", F.col("p_partkey").cast("string").alias("id"), F.concat_ws(" ", "p_type", "p_brand").alias("label"))
+    return linking.link_fk(records, options, scorer=lambda shared, own, option: 2 * shared / (own + option)).select("rec_idx", "linked_id")
+
+
+@query()
+def retry_links(spark, sf_dir):
+    """Parts linked to a part of their brand that isn't there or that others have too, linked anew: no option twice."""
+    p = table(spark, sf_dir, "part").withColumn("doc_id", F.col("p_partkey") % 50)
+    records = p.select("doc_id", "rec_idx", F.when(F.col("p_partkey") % 3 > 0, F.concat("p_brand", F.lit("-"), F.col("p_partkey") % 2)).otherwise(F.col("p_partkey").cast("string")).alias("link"), "p_brand", "p_name")
+    options = p.where("p_partkey % 4 > 0").select("doc_id", F.col("p_partkey").cast("string").alias("id"), F.concat_ws(" ", "p_type", "p_brand").alias("label"))
+    scored = linking.link_scores(records.select("doc_id", "rec_idx", F.concat_ws(" ", "p_brand", "p_name").alias("text")), options)
+    return linking.retry_links(records.select("doc_id", "rec_idx", "link"), "link", scored, options.select("id"), ())[0]
+
+
+@query(f"""WITH b AS (SELECT item_id, text AS quote FROM benchmark) SELECT doc_id, item_id, contains({_NORM.format('d.text')}, {_NORM.format('quote')}) AS found FROM documents d, b""")
+def quotes_scanned(spark, sf_dir):
+    """Every passage of the benchmark in every document, whose text is scanned once for all of them."""
+    d, b = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
+    every = b.agg(F.collect_list(F.struct("item_id", F.col("text").alias("quote"))).alias("q"))  # the benchmark is a fixed list
+    quotes = d.select("doc_id").join(F.broadcast(every), F.lit(True)).select("doc_id", F.explode("q").alias("q")).select("doc_id", "q.item_id", "q.quote")
+    return evidence.quotes_found(quotes, d, many=8).select("doc_id", "item_id", "found")

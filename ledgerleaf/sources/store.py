@@ -29,7 +29,7 @@ from ..frames import also, col, delete, exists, save, without
 from ..operators.quality import Tables
 from ..specs import SPECS, TableSpec
 
-BUCKETS = 64  # folders of the index; a store keeps the number it began with
+BUCKETS = 16  # folders of the index, more for a store of very many keys; a store keeps the number it began with
 HASHES = 4  # bits of a key in its word
 WORDS = 1 << 24  # words of a bucket's filter; rows are there only for words that hold a bit
 SEPARATOR = "\x1f"
