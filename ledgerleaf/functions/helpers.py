@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import pandas as pd
+import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import also, col, unused
 from ..specs import TableSpec
 from .scalars import class_namespace, is_uuid, uuid5
 
@@ -42,13 +46,54 @@ def count_words(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: len(_TOKEN.findall(t)) if t else 0)
 
 
+@lru_cache(maxsize=4)
+def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
+    """Made once in a task's worker."""
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+class Encoded:
+    """A counter of tokens by a file of ranks, as ``token_count``, ``chunk_documents`` and the others take one. The file must be there on every machine; null texts have 0 tokens, and the strings of special tokens are text."""
+
+    def __init__(self, path: str, pattern: str):
+        self.path, self.pattern = path, pattern
+
+    def __call__(self, texts: pd.Series) -> pd.Series:
+        found = _encoding(self.path, self.pattern).encode_ordinary_batch([t or "" for t in texts], num_threads=1)
+        return pd.Series([len(ids) for ids in found], index=texts.index)
+
+
+_ENCODINGS: dict[str, Encoded] = {}
+
+
+def register_encoding(name: str, path: str, pattern: str) -> Encoded:
+    """Names a file of ranks and its pattern; the counter of that name."""
+    _ENCODINGS[name] = Encoded(path, pattern)
+    return _ENCODINGS[name]
+
+
+def encoding(name: str) -> Encoded:
+    """The counter of a registered encoding; another name is an error."""
+    if name not in _ENCODINGS:
+        raise ValueError(f"no encoding is named {name}; register_encoding tells where its ranks are")
+    return _ENCODINGS[name]
+
+
 def token_count(c: Column, counter: Callable[[pd.Series], pd.Series] = count_words) -> Column:
-    return F.pandas_udf(counter, "long")(c.cast("string"))
+    """Tokens of each text by a counter: words and marks, or ``encoding(name)``."""
+
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return counter(texts).astype("int64")
+
+    return run(c.cast("string"))
 
 
 def fill_placeholder_ids(df: DataFrame, spec: TableSpec, raw: str = "raw") -> DataFrame:
     """Absent or malformed UUID fields get the UUID of the whole raw record and the field's name."""
-    seed = canonical_json(F.col(raw))
+    (seed,) = unused(df, "seed")
     fields = [n for n, (kind, _) in spec.columns.items() if kind == "uuid"]
-    filled = {n: F.when(is_uuid(F.col(n)), F.col(n)).otherwise(uuid5(class_namespace(spec.name), F.concat(F.col("_seed"), F.lit(n)))) for n in fields if n in df.columns}
-    return df.withColumn("_seed", seed).withColumns(filled).drop("_seed")
+    filled = {n: F.when(is_uuid(F.col(n)), F.col(n)).otherwise(uuid5(class_namespace(spec.name), F.concat(col(seed), F.lit(n)))) for n in fields if n in df.columns}
+    return also(df, **{seed: canonical_json(col(raw))}).withColumns(filled).drop(seed)

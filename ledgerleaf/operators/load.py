@@ -335,3 +335,16 @@ def reconcile(source: Tables, target: Tables, specs: dict[str, TableSpec] = SPEC
         return SparkSession.active().createDataFrame([], "table string, source_count long, target_count long, matched long, missing long, extra long, ok boolean, shared boolean")
     per = union(found)
     return per.select("table", (F.col("matched") + F.col("missing")).alias("source_count"), (F.col("matched") + F.col("extra")).alias("target_count"), "matched", "missing", "extra", (F.col("missing") == 0).alias("ok"), F.col("table").isin(*shared).alias("shared") if shared else F.lit(False).alias("shared"))
+
+
+def reconcile_store(source: Tables, store: Store, shared: tuple[str, ...] = (), version: int | None = None) -> DataFrame:
+    """``reconcile`` of tables with a store by its digests: (table, source_count, target_count, matched, missing, extra, ok, shared, compared).
+
+    Ids are read only for ranges whose digests differ; ``compared`` tells how many of the store's. Ids count once; null
+    ids don't count; a table the store doesn't have is missing as a whole.
+    """
+    found = [store.differences(n, df, version).select(F.lit(n).alias("table"), "*") for n, df in source.items()]
+    if not found:
+        return SparkSession.active().createDataFrame([], "table string, source_count long, target_count long, matched long, missing long, extra long, ok boolean, shared boolean, compared long")
+    per = union(found)
+    return per.select("table", (F.col("matched") + F.col("missing")).alias("source_count"), (F.col("matched") + F.col("extra")).alias("target_count"), "matched", "missing", "extra", (F.col("missing") == 0).alias("ok"), F.col("table").isin(*shared).alias("shared") if shared else F.lit(False).alias("shared"), "compared")

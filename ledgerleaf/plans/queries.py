@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -798,3 +799,22 @@ def quotes_scanned(spark, sf_dir):
     every = b.agg(F.collect_list(F.struct("item_id", F.col("text").alias("quote"))).alias("q"))  # the benchmark is a fixed list
     quotes = d.select("doc_id").join(F.broadcast(every), F.lit(True)).select("doc_id", F.explode("q").alias("q")).select("doc_id", "q.item_id", "q.quote")
     return evidence.quotes_found(quotes, d, many=8).select("doc_id", "item_id", "found")
+
+
+@query("""SELECT 'orders' AS "table", count(*) FILTER (s) AS source_count, count(*) FILTER (t) AS target_count, count(*) FILTER (s AND t) AS matched, count(*) FILTER (s AND NOT t) AS missing, count(*) FILTER (t AND NOT s) AS extra,
+count(*) FILTER (s AND NOT t) = 0 AS ok, false AS shared, true AS read_less FROM (SELECT o_orderkey % 499 <> 0 AS s, o_orderkey % 997 <> 0 AS t FROM orders)""")
+def reconcile_store(spark, sf_dir):
+    """Two batches of orders in a store, of which few are missing or more than in the source: digests tell where."""
+    specs = {"orders": TableSpec("orders", "o_orderkey")}
+    store, o = Store(spark, sources.new_folder(spark, "store"), specs, buckets=8), table(spark, sf_dir, "orders")
+    for k in (0, 1):
+        load.load_batch(store, f"b{k}", {"orders": o.where(f"o_orderkey % 2 = {k} AND o_orderkey % 997 <> 0")})
+    got = load.reconcile_store({"orders": o.where("o_orderkey % 499 <> 0")}, store)
+    return got.withColumn("read_less", F.col("compared") < F.col("target_count")).drop("compared")
+
+
+@query()
+def chunk_encoded(spark, sf_dir):
+    """Chunks of up to 200 tokens of a registered encoding."""
+    counter = H.register_encoding("byte_bpe_50k", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return text.chunk_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), 200, 20, counter).select("doc_id", "chunk_index", "token_count", "start_line", "end_line")

@@ -15,6 +15,10 @@ fails leaves what was there.
 value into ``BUCKETS`` folders, and a blocked Bloom filter of each bucket: 64-bit words with ``HASHES`` bits a key, a row
 a word. ``stored`` looks values up: only the buckets they fall into are listed and read; the filters are joined first, and
 what they let pass meets the keys exactly. So a batch of new keys reads words, not keys.
+
+*Digests.* Every commit also adds the count and the sum of hashes of its primary keys by range (``PARTS`` of each bucket).
+Sums add up over batches, so ``differences`` compares a table with a source of any size by its digests and reads the ids of
+ranges that differ only.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ from ..specs import SPECS, TableSpec
 BUCKETS = 16  # folders of the index, more for a store of very many keys; a store keeps the number it began with
 HASHES = 4  # bits of a key in its word
 WORDS = 1 << 24  # words of a bucket's filter; rows are there only for words that hold a bit
+PARTS = 256  # ranges of a bucket's keys that have a digest each
 SEPARATOR = "\x1f"
 
 
@@ -45,6 +50,15 @@ def key_value(parts: list[Column]) -> Column:
     return F.concat(*[F.concat(F.length(t).cast("string"), F.lit(SEPARATOR), t) for t in texts])
 
 
+def _part(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value, F.lit(2)), F.lit(PARTS)).cast("int")
+
+
+def _digest(keys: DataFrame) -> DataFrame:
+    """keys (bucket, value), each once -> (bucket, part, n, h)."""
+    return keys.groupBy("bucket", _part(F.col("value")).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("value", F.lit(3)).cast("decimal(38,0)")).alias("h"))
+
+
 def _bloom(value: Column) -> tuple[Column, Column]:
     """(word, mask) of a value in its bucket's filter."""
     h = F.xxhash64(value, F.lit(1))
@@ -137,6 +151,30 @@ class Store:
         maybe = asked.join(filters, ["bucket", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select("bucket", "value").distinct()
         return maybe.join(read("keys", "key string, value string, bucket int"), ["bucket", "value"], "left_semi").select("value")
 
+    def differences(self, table: str, source: DataFrame, version: int | None = None) -> DataFrame:
+        """One row (matched, missing, extra, compared): keys of ``source`` and of the store's table, each once; compared: how many of the store's keys were read to tell.
+
+        Null keys are none. Ranges of one count and one sum of hashes count as equal.
+        """
+        pk = self.specs[table].pk
+        folders = [e for e in self._folders(self.version() if version is None else version) if e["table"] == table]
+        value = key_value([col(pk)])
+        mine = source.select(value.alias("value")).where("value IS NOT NULL").distinct().withColumn("bucket", F.pmod(F.xxhash64("value"), F.lit(self.buckets)).cast("int"))
+        if not folders:
+            return mine.agg(F.lit(0).cast("long").alias("matched"), F.count(F.lit(1)).alias("missing"), F.lit(0).cast("long").alias("extra"), F.lit(0).cast("long").alias("compared"))
+        mine = save(mine, "keys-of-source")
+        theirs = self.spark.read.parquet(*[e["folder"] for e in folders if e["kind"] == "digest"]).groupBy("bucket", "part").agg(F.sum("n").alias("m"), F.sum("h").alias("g"))
+        both = save(_digest(mine).join(theirs, ["bucket", "part"], "full_outer").withColumn("same", F.col("n").eqNullSafe(F.col("m")) & F.col("h").eqNullSafe(F.col("g"))), "digests")
+        apart = F.broadcast(both.where("NOT same").select("bucket", "part"))  # at most PARTS times the store's buckets
+        touched = [r.bucket for r in both.where("NOT same").select("bucket").distinct().collect()]  # at most as many as there are buckets
+        equal = both.where("same").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("equal"))
+        keys = self.spark.read.schema("key string, value string, bucket int").option("basePath", f"{self.folder}/keys").parquet(*[e["folder"] for e in folders if e["kind"] == "keys"])
+        keys = keys.where(F.col("bucket").isin(touched) if touched else F.lit(False)).where(F.col("key") == pk).withColumn("part", _part(F.col("value")))
+        stored = keys.join(apart, ["bucket", "part"], "left_semi").select("value").distinct().withColumn("b", F.lit(True))
+        asked = mine.withColumn("part", _part(F.col("value"))).join(apart, ["bucket", "part"], "left_semi").select("value", F.lit(True).alias("a"))
+        counts = asked.join(stored, "value", "full_outer").agg(F.count_if(F.col("a") & F.col("b")).alias("matched"), F.count_if(F.col("b").isNull()).alias("missing"), F.count_if(F.col("a").isNull()).alias("extra"), F.count("b").alias("compared"))
+        return counts.join(F.broadcast(equal)).select((F.col("matched") + F.col("equal")).alias("matched"), "missing", "extra", "compared")  # one row each
+
     # -- writing ----------------------------------------------------------------------------------------------------
 
     def _index(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
@@ -150,7 +188,7 @@ class Store:
         out = []
         for name in [n for n in self.specs if n in tables]:
             tag = uuid.uuid4().hex
-            place = {kind: f"{self.folder}/{kind}/commit={name}-{tag}" for kind in ("data", "keys", "bloom")}
+            place = {kind: f"{self.folder}/{kind}/commit={name}-{tag}" for kind in ("data", "keys", "bloom", "digest")}
             also(without(tables[name], ["batch"]), batch=F.lit(batch)).write.option("compression", "zstd").parquet(place["data"])
             rows = self.spark.read.parquet(place["data"])
             index = self._index(self.specs[name], rows)
@@ -159,6 +197,7 @@ class Store:
             keys = self.spark.read.schema("key string, value string, bucket int").parquet(place["keys"])
             words = keys.select("key", "bucket", word.alias("word"), mask.alias("mask")).groupBy("key", "bucket", "word").agg(F.bit_or("mask").alias("bits"))
             words.repartition("bucket").sortWithinPartitions("bucket", "key", "word").write.partitionBy("bucket").parquet(place["bloom"])
+            _digest(keys.where(F.col("key") == self.specs[name].pk)).coalesce(1).write.parquet(place["digest"])  # at most a row a range
             out += [{"batch": batch, "table": name, "kind": kind, "folder": folder} for kind, folder in place.items()]
         return out
 
@@ -189,7 +228,7 @@ class Store:
         now = self.version()
         alive = {e["folder"] for v in range(max(1, now - keep + 1), now + 1) for e in self._folders(v)}
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for kind in ("data", "keys", "bloom"):
+        for kind in ("data", "keys", "bloom", "digest"):
             path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{kind}")
             fs = path.getFileSystem(conf)
             for f in fs.listStatus(path) if fs.exists(path) else ():

@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf import frames
-from ledgerleaf.functions import scalars as S
-from ledgerleaf.operators import evidence, identity, linking, load, quality
+from ledgerleaf.functions import helpers
+from ledgerleaf.operators import evidence, identity, linking, load, quality, text
 from ledgerleaf.sources.store import Conflict, Store
 from ledgerleaf.specs import Fk, SPECS, TableSpec
 
@@ -344,3 +344,34 @@ def test_records_given_twice(spark):
     claims = spark.createDataFrame([("d", 0, "2030", "Target 2030", 0.9), ("d", 0, "2030", "2030", 0.5)], "doc_id string, rec_idx int, y string, y_quote string, y_confidence double")
     good, bad = evidence.verify_records(claims, docs, {"y": "year"})
     assert [r.proofs["y"].quote for r in good.collect()] == ["2030", "2030"] and bad.count() == 0
+
+
+def test_digests_tell_where_a_store_differs(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store", {"t": TableSpec("t", "id")}, buckets=4)
+    rows = lambda ids: spark.createDataFrame([("d", k, k) for k in ids], "doc_id string, rec_idx long, id long")
+    assert load.reconcile_store({"t": rows(range(5))}, store).first()[1:] == (5, 0, 0, 5, 0, False, False, 0)
+    load.load_batch(store, "a", {"t": rows(range(0, 3000, 2))})
+    load.load_batch(store, "b", {"t": rows(range(1, 3000, 2))})
+    got = load.reconcile_store({"t": rows([*range(10, 3000), 5000, 5000]).unionByName(spark.createDataFrame([("d", 9, None)], "doc_id string, rec_idx long, id long"))}, store).first()
+    assert (got.source_count, got.target_count, got.matched, got.missing, got.extra, got.ok) == (2991, 3000, 2990, 1, 10, False) and 10 <= got.compared < 200
+    assert load.reconcile_store({"t": rows(range(3000))}, store).first().compared == 0
+
+
+def test_named_encodings(spark):
+    import public_tokenizers
+    import tiktoken
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    counter = helpers.register_encoding("own", path, pattern)
+    import base64
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    plain = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["Hello world, été! <|endoftext|>", "", None, "x" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n for r in docs.select("doc_id", helpers.token_count(F.col("text"), helpers.encoding("own")).alias("n")).collect()}
+    assert got == {k: len(plain.encode_ordinary(t or "")) for k, t in enumerate(texts)}
+    chunks = text.chunk_documents(docs, 6, 0, counter).where("doc_id = 0").collect()
+    assert sum(c.token_count for c in chunks) <= got[0] and all(c.token_count == len(plain.encode_ordinary(c.text)) for c in chunks)
+    with pytest.raises(ValueError, match="no encoding"):
+        helpers.encoding("nobody")
