@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from ledgerleaf.llm.common import new_path, scratch
+from ledgerleaf.llm.common import delete, new_path, scratch
 from ledgerleaf.llm.line_dedup import line_dedup
 from ledgerleaf.llm.minhash_dedup import minhash_dedup
 from ledgerleaf.llm.packing import pack
@@ -68,11 +68,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = new_path(spark, name.replace(" ", "-"))
         with scratch(spark):  # what the stage saved on its way goes once its documents are written
             out = stage(spark, docs, sf_dir)
             out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if before is not None:
+            delete(spark, before)  # the last stage's documents stay: what is returned reads them
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -199,7 +199,7 @@ def test_constraints_as_rows_are_inserted(spark, seed):
 
 def test_batches_meet_what_the_store_holds(spark, tmp_path):
     r, folder = random.Random(7), f"file://{tmp_path}/store"
-    store, rows, want = Store(spark, folder, SPEC, buckets=4), [], None
+    store, rows, want = Store(spark, folder, SPEC, buckets=2), [], None
     p = spark.createDataFrame(PARENTS, "doc_id string, rec_idx long, id string")
     for k in range(3):
         own = made_rows(r, 25, 100 * k)
@@ -245,7 +245,7 @@ def test_two_writers(spark, tmp_path):
 
 
 def test_all_or_nothing(spark, tmp_path):
-    store = Store(spark, f"file://{tmp_path}/store")
+    store = Store(spark, f"file://{tmp_path}/store", buckets=2)
     city = spark.createDataFrame([("d", k, i) for k, i in enumerate(["x", "y", "z"])], "doc_id string, rec_idx long, cityId string")
     stats = spark.createDataFrame([("d", 0, "s0", "x", 1), ("d", 1, "s1", "x", 1), ("d", 2, "s2", "y", 1), ("d", 3, "s3", "z", 1)], "doc_id string, rec_idx long, statId string, cityId string, year int")
     indicator = spark.createDataFrame([("d", 0, "i", "x"), ("d", 1, "j", "y")], "doc_id string, rec_idx long, indicatorId string, cityId string")
