@@ -345,3 +345,33 @@ def test_queries_match_sql(spark, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_quotes_and_proofs_by_the_written_rules(spark):
+    """A row a rule: (source, quote, whether it is there), and (value, quote, confidence, whether the record stands)."""
+    sources_ = [
+        ("cut by 40% until 2035", "40%", True),
+        ("cut until 2035", "60%", False),
+        ("Waste   Water\nPlants", "Waste Water Plants", True),
+        ("The Base Year was 1990", "base year", True),
+        ("All \t plants\n\nby 2031-06-30", "plants by 2031-06-30", True),
+        ("district heat-\ning grid", "heat ing", True),
+        ("some words", "", False),
+        ("", "words", False),
+        ("some words", " \n\t", False),
+        (" \t\n", "words", False),
+        ("It was 3.75 tonnes a head in 2018.", "3.75 tonnes", True),
+        ("EUR 7,250,000 were spent", "7,250,000", True),
+        ("number 4711", "123", False),
+        ("our targets", "target", True),
+        ("| year | flats |\n| 2030 | 1,800 |", "1,800", True),
+        (None, "words", False),
+        ("words", None, False),
+    ]
+    docs = spark.createDataFrame([(f"d{k}", s) for k, (s, _, _) in enumerate(sources_)], "doc_id string, text string")
+    got = evidence.quotes_found(spark.createDataFrame([(f"d{k}", q) for k, (_, q, _) in enumerate(sources_)], "doc_id string, quote string"), docs)
+    assert {r.doc_id: r.found for r in got.collect()} == {f"d{k}": w for k, (_, _, w) in enumerate(sources_)}
+    proofs = [("2031", "in 2031", 0.9, True), (None, "in 2031", 0.9, True), ("2031", "", 0.9, False), ("2031", "  ", 0.9, False), ("2031", "in 2031", 1.2, False), ("2031", "in 2031", -0.2, False), (None, "in 2031", 0.0, True), ("2031", "in 2031", 1.0, True), ("2031", "in 2031", None, False), ("x", "in 2031", 0.5, False)]
+    rows = spark.createDataFrame([("d", k, *p[:3]) for k, p in enumerate(proofs)], "doc_id string, rec_idx long, y string, y_quote string, y_confidence double")
+    good, _ = evidence.verify_records(rows, spark.createDataFrame([("d", "Done in 2031.")], "doc_id string, text string"), {"y": "int"})
+    assert {r.rec_idx for r in good.collect()} == {k for k, p in enumerate(proofs) if p[3]}
