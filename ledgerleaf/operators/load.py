@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..frames import all_of, also, col, identity, joined, place, save, unused, without
+from ..frames import all_of, also, col, identity, joined, place, save, unused
 from ..functions.scalars import coerce, is_null_or_empty
 from ..sources.store import Store, key_value
 from ..specs import CITY_CHAIN, SPECS, TableSpec

@@ -1,6 +1,5 @@
 """Rows of several documents, names that clash, keys to a fixpoint, the store, links settled: against plain versions."""
 
-import itertools
 import random
 import uuid
 from collections import Counter, deque
