@@ -2,15 +2,17 @@
 
 Unit vectors of cosine c or more are at a squared distance of 2 - 2c or less. After a rotation that spreads variance
 evenly, the coordinates are split into blocks of about 8; at least one block then holds no more than its proportional
-share of that distance. Each block is range-joined under its share: a grid on its first dimensions deals vectors into
-cells as wide as the share's root, a cell meets itself and its neighbours, and numpy compares their block coordinates
-tile by tile. The union of the candidates is confirmed with double-precision cosines of the whole vectors; a pair that
+share of that distance. Each block is range-joined under its share: a grid on its first dimensions deals ids with the
+block's coordinates, and a few more that rule out most other pairs, into cells as wide as the share's root; a cell meets
+itself and its neighbours, and numpy compares tile by tile. Only rows that have a candidate in a cell send it their
+vector, where the union of the candidates is confirmed with double-precision cosines; a pair that
 qualifies in several blocks counts in the first of them only, so the counts add up without listing pairs.
 
 What leaves a task is, per vector, how many vectors it links with and one edge of a spanning forest: linear, however
 large a group of near copies is. Equal vectors are one node with a number of copies. A cell of more than ``CELL`` rows
-is split on both sides, so no task holds more than two times ``CELL`` vectors. The grid's dimensions follow from the
-number of vectors; cells are at most (2 / width + 2)^dimensions a block, which bounds the counts the driver sees.
+or ``NUMBERS`` numbers is split on both sides, so no task holds more than two times that. The grid's dimensions follow from
+the number of vectors; its occupied cells and their parts are a table. What is dealt a vector grows with its blocks,
+not with their product with its length.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite numbers, and rows without vec_id, link with
 nothing; very large and very small ones are scaled by a power of two, which changes no cosine; vectors of different lengths don't link; repeated rows are vectors of their own and link with each other, and rows that share a vec_id all show that id's most links and smallest component; an
@@ -23,6 +25,7 @@ import hashlib
 import itertools
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +38,15 @@ from .components import components
 COSINE = 0.95
 WIDTH = 8  # dimensions of a block
 CELL = 32768
+NUMBERS = 1 << 22  # numbers in the vectors of one side of a task at most
 TILE = 1 << 22  # entries of a distance tile
+BESIDE = 16  # further coordinates that travel with a block's own
+CELL_KEY = ["size", "block", "cell"]
+TASK = [*CELL_KEY, "l", "r"]
 ADDED = ["n_links", "component_id", "kept"]
 
 
+@cache
 def rotation(size: int) -> np.ndarray:
     """The same orthogonal matrix for the same size everywhere."""
     q, r = np.linalg.qr(np.random.default_rng(size).standard_normal((size, size)))
@@ -80,19 +88,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(size, pa.int32()), pa.array(digest, pa.binary()), pa.array(vector, pa.binary())], names=["vec_id", "size", "digest", "vector"])
 
 
-def _cells(unit_turned: np.ndarray, span: tuple[int, int], size: int, cosine: float, dims: int) -> tuple[np.ndarray, int]:
-    """Each row's grid coordinates in a block, and how many values one coordinate can take."""
+def _cells(turned: np.ndarray, span: tuple[int, int], size: int, cosine: float, dims: int) -> tuple[np.ndarray, int]:
+    """Each row's cell in a block, its grid coordinates as digits of one number, and the base of that number; a block narrower than the grid has zeros."""
     width = math.sqrt(budget(size, span, cosine)) * (1 + 1e-6)
     across = int(2 / width) + 4
-    at = np.floor((unit_turned[:, span[0] : min(span[1], span[0] + dims)] + 1) / width).astype(np.int64) + 1
-    return at, across
-
-
-def _flat(at: np.ndarray, across: int) -> np.ndarray:
+    at = np.floor((turned[:, span[0] : min(span[1], span[0] + dims)] + 1) / width).astype(np.int64) + 1
     out = np.zeros(len(at), np.int64)
-    for k in range(at.shape[1]):
-        out = out * across + at[:, k]
-    return out
+    for k in range(dims):
+        out = out * across + (at[:, k] if k < at.shape[1] else 0)
+    return out, across
 
 
 def _half(dims: int) -> list[tuple[int, ...]]:
@@ -101,49 +105,86 @@ def _half(dims: int) -> list[tuple[int, ...]]:
     return [d for d in itertools.product((-1, 0, 1), repeat=dims) if d < zero]
 
 
+def _spread(df: DataFrame, dims: int) -> DataFrame:
+    """(cell, across, ...) -> a row for the cell itself (home) and for each of the cells that have it as a neighbour before or behind."""
+    steps = F.array(*[F.struct(F.lit(not any(d)).alias("home"), F.array(*map(F.lit, d)).alias("by")) for d in [(0,) * dims, *_half(dims)]])
+    out = df.withColumn("_step", F.explode(steps))
+    by = F.aggregate("_step.by", F.lit(0).cast("long"), lambda sum_, d: sum_ * F.col("across") + d)
+    return out.withColumns({"cell": F.col("cell") - by, "home": F.col("_step.home")}).drop("_step")
+
+
 def _by_size(b: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
     for s in b.column("size").unique().to_pylist():
         own = np.flatnonzero(b.column("size").to_numpy() == s)
         yield s, b.take(pa.array(own))
 
 
-def _homes(cosine: float, dims: int):
+def beside(size: int, span: tuple[int, int]) -> list[int]:
+    """The coordinates that travel with a block: its own, then up to ``BESIDE`` that follow them in a ring."""
+    return [k % size for k in range(span[0], min(span[1] + BESIDE, span[0] + size))]
+
+
+def _in_blocks(cosine: float, dims: int):
+    """(node, size, vector) -> a row a block: its cell and the coordinates that travel in single precision."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for size, own in _by_size(b):
                 turned = _turned(_unit(own.column("vector").to_pylist()))
+                n = len(turned)
                 for k, span in enumerate(blocks(size)):
-                    cell, n = np.unique(_flat(*_cells(turned, span, size, cosine, dims)), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([size] * len(cell), pa.int32()), pa.array([k] * len(cell), pa.int32()), pa.array(cell), pa.array(n)], names=["size", "block", "cell", "n"])
+                    cell, across = _cells(turned, span, size, cosine, dims)
+                    at = turned[:, beside(size, span)].astype(np.float32)
+                    raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * at.shape[1]), n, [None, pa.py_buffer(at.tobytes())]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([own.column("node"), pa.array([size] * n, pa.int32()), pa.array([k] * n, pa.int32()), pa.array(cell), pa.array([across] * n, pa.int64()), raw], names=["node", "size", "block", "cell", "across", "at"])
 
     return run
 
 
-def _deal(cosine: float, dims: int, parts: dict[tuple[int, int, int], tuple[int, int]]):
-    """(node, copies, size, vector) -> a row for each task that needs it; left rows are of the task's cell, right rows of it and the cells before it."""
+def _splits(cells: DataFrame, dims: int) -> DataFrame:
+    """(size, block, cell, across) of all rows -> occupied cells with the parts that each side of theirs is split into."""
+    counts = cells.groupBy("size", "block", "cell", "across").agg(F.count(F.lit(1)).alias("n"))
+    sums = _spread(counts, dims).groupBy("size", "block", "cell").agg(F.sum(F.when(F.col("home"), F.col("n")).otherwise(0)).alias("left"), F.sum("n").alias("right"))
+    most = F.greatest(F.lit(1), F.least(F.lit(CELL), F.floor(F.lit(NUMBERS) / F.col("size")))).cast("long")
+    return sums.where("left > 0").select("size", "block", "cell", *[F.ceil(F.col(c) / most).cast("int").alias(c + "s") for c in ("left", "right")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for size, own in _by_size(b):
-                turned = _turned(_unit(own.column("vector").to_pylist()))
-                node = own.column("node").to_numpy()
-                salt = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-                for k, span in enumerate(blocks(size)):
-                    at, across = _cells(turned, span, size, cosine, dims)
-                    for shift in [(0,) * at.shape[1], *_half(at.shape[1])]:
-                        cell = _flat(at - np.array(shift, np.int64), across)  # the row is right there, as one of a cell before it
-                        cut = np.array([parts.get((size, k, c), (0, 0)) for c in cell.tolist()], np.int64).reshape(-1, 2)
-                        sides = [(True, 0, 1)] if any(shift) else [(True, 0, 1), (False, 1, 0)]
-                        for right, mine, theirs in sides:
-                            times = cut[:, 0] if right else cut[:, 1]
-                            own_part = salt % np.maximum(cut[:, 1] if right else cut[:, 0], 1)
-                            row = np.repeat(np.arange(len(node)), times)
-                            other = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                            mine_part = own_part[row]
-                            left, rights = (other, mine_part) if right else (mine_part, other)
-                            got = own.take(pa.array(row)).select(["node", "copies", "size", "vector"])
-                            more = [pa.array([k] * len(row), pa.int32()), pa.array(cell[row]), pa.array(left.astype(np.int32)), pa.array(rights.astype(np.int32)), pa.array([right] * len(row), pa.bool_()), pa.array([right and not any(shift)] * len(row), pa.bool_())]
-                            yield pa.RecordBatch.from_arrays([*got.columns, *more], names=[*got.schema.names, "block", "cell", "l", "r", "right", "home"])
+
+def deal(rows: DataFrame, parts: DataFrame, dims: int) -> DataFrame:
+    """(node, size, block, cell, across, at) -> a row for each task that compares it: left rows are of the task's cell, right rows of it and its neighbours before."""
+    salt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    lefts = rows.withColumn("home", F.lit(False)).join(parts, CELL_KEY).withColumns({"l": salt("lefts"), "r": every("rights"), "right": F.lit(False)})
+    rights = _spread(rows, dims).join(parts, CELL_KEY).withColumns({"r": salt("rights"), "l": every("lefts"), "right": F.lit(True)})
+    return lefts.select(*TASK, "node", "right", "home", "at").unionByName(rights.select(*TASK, "node", "right", "home", "at"))
+
+
+def _near(cosine: float):
+    """A task's rows by what travelled of them -> those that have a partner there whose distance may be small enough."""
+
+    def run(table: pa.Table) -> pa.Table:
+        size, block = table.column("size")[0].as_py(), table.column("block")[0].as_py()
+        span = blocks(size)[block]
+        node = table.column("node").to_numpy()
+        at = np.frombuffer(b"".join(table.column("at").to_pylist()), np.float32).reshape(len(node), -1)
+        own = np.ascontiguousarray(at[:, : span[1] - span[0]])
+        right, home = table.column("right").to_numpy(), table.column("home").to_numpy()
+        lefts, rights = np.flatnonzero(~right), np.flatnonzero(right)
+        square, whole = (own * own).sum(axis=1), (at * at).sum(axis=1)
+        hit = np.zeros(len(node), bool)
+        step = max(1, TILE // max(1, len(rights)))
+        for k in range(0, len(lefts), step):
+            x = lefts[k : k + step]
+            near = square[x, None] + square[rights] - 2 * (own[x] @ own[rights].T) <= budget(size, span, cosine) + 1e-5
+            i, j = np.nonzero(near)
+            i, j = x[i], rights[j]
+            fit = ~home[j] | (node[i] < node[j])
+            i, j = i[fit], j[fit]
+            for m in range(0, len(i), 1 << 16):
+                u, v = i[m : m + (1 << 16)], j[m : m + (1 << 16)]
+                all_ = whole[u] + whole[v] - 2 * np.einsum("ij,ij->i", at[u], at[v]) <= budget(size, (0, size), cosine) + 1e-5
+                hit[u[all_]] = True
+                hit[v[all_]] = True
+        return table.filter(pa.array(hit)).select([*TASK, "node", "right", "home"])
 
     return run
 
@@ -220,16 +261,12 @@ def embedding_dedup(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     read = save(read, "vectors")
     nodes = save(read.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("vector").alias("vector")), "vector-nodes")
     dims = grid_dims(nodes.count())
-    counts = nodes.select("size", "vector").mapInArrow(_homes(cosine, dims), "size int, block int, cell long, n long").groupBy("size", "block", "cell").agg(F.sum("n").alias("n"))
-    full = {(r.size, r.block, r.cell): r.n for r in counts.collect()}  # bounded by the grid
-    parts = {}
-    for (size, k, cell), n in full.items():
-        span = blocks(size)[k]
-        _, across = _cells(np.zeros((0, size)), span, size, cosine, dims)
-        around = sum(full.get((size, k, cell + int(_flat(np.array([d], np.int64), across)[0])), 0) for d in _half(min(dims, span[1] - span[0])))
-        parts[size, k, cell] = (-(-n // CELL), -(-(n + around) // CELL))
-    dealt = nodes.select("node", "copies", "size", "vector").mapInArrow(_deal(cosine, dims, parts), "node long, copies long, size int, vector binary, block int, cell long, l int, r int, right boolean, home boolean")
-    found = save(dealt.groupBy("size", "block", "cell", "l", "r").applyInArrow(_join(cosine), "node long, n long, least long"), "vector-links")
+    rows = save(nodes.select("node", "size", "vector").mapInArrow(_in_blocks(cosine, dims), "node long, size int, block int, cell long, across long, at binary"), "vector-blocks")
+    parts = save(_splits(rows.select(*CELL_KEY, "across"), dims), "vector-cells")
+    near = deal(rows, parts, dims).groupBy(*TASK).applyInArrow(_near(cosine), "size int, block int, cell long, l int, r int, node long, right boolean, home boolean")
+    near = save(near, "vector-near")
+    whole = near.join(nodes.select("node", "copies", "vector"), "node")
+    found = save(whole.groupBy(*TASK).applyInArrow(_join(cosine), "node long, n long, least long"), "vector-links")
     links = found.groupBy("node").agg(F.sum("n").alias("n"))
     group = components(found.select(F.col("node").alias("u"), F.col("least").alias("v"))).withColumnRenamed("id", "node")
     facts = nodes.select("digest", "node", "copies").join(links, "node", "left").join(group, "node", "left")

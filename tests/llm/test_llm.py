@@ -255,6 +255,23 @@ def test_embedding_dedup(spark, monkeypatch):
     assert embedding_dedup.embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_long_vectors_deal_their_blocks_not_themselves(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    base = r.standard_normal((120, 768))
+    vectors = [*base, *(base[:40] + 0.1 * r.standard_normal((40, 768)))]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    dealt = []
+    deal = embedding_dedup.deal
+    monkeypatch.setattr(embedding_dedup, "deal", lambda *a: dealt.append(deal(*a)) or dealt[-1])
+    got = {x.vec_id: (x.n_links, x.component_id) for x in embedding_dedup.embedding_dedup(df).collect()}
+    unit = np.array(vectors) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    assert got == {k: (int(near[k].sum()) - 1, int(np.flatnonzero(near[k])[0])) for k in range(len(vectors))}
+    rows, most, spent = dealt[0].agg(F.count(F.lit(1)), F.max(F.length("at")), F.sum(F.length("at"))).first()
+    assert most == 4 * (embedding_dedup.WIDTH + embedding_dedup.BESIDE)
+    assert spent < rows * 8 * 768 / 50  # whole vectors would be more than 50 times that
+
+
 def test_minhash_dedup(docs, empty, monkeypatch):
     sets = {}
     for r in docs.collect():
