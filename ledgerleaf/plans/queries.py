@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import helpers as H
@@ -570,6 +571,21 @@ def read_tables(spark, sf_dir):
     return got.select("doc_id", "rec_idx", F.get_json_object("raw", "$.s_suppkey").cast("long").alias("s_suppkey"))
 
 
+@query("""SELECT 'list=' || ascii(o_orderpriority) AS doc_id, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS rec_idx, CAST(o_orderkey AS BIGINT) AS o_orderkey,
+       CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS VARCHAR) || '0' AS price, o_orderstatus || ',"[]' AS status FROM orders""")
+def read_lists(spark, sf_dir):
+    """Orders written as one JSON list for each priority, with marks inside strings and prices of three places, and read back as written."""
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(15,2)").alias("price"))
+    text_ = F.format_string('{"o_orderkey": %d, "status": "%s,\\"[]",\n "price": %s0}', F.col("o_orderkey").cast("long"), "o_orderstatus", F.col("price").cast("string"))
+    last = F.lead("o_orderkey").over(W.partitionBy("o_orderpriority").orderBy("o_orderkey")).isNull()  # a file is written by one task
+    first = F.lag("o_orderkey").over(W.partitionBy("o_orderpriority").orderBy("o_orderkey")).isNull()
+    lines = o.select(F.ascii("o_orderpriority").alias("list"), F.concat(F.when(first, "[ ").otherwise(""), text_, F.when(last, " ]").otherwise(" ,")).alias("value"))
+    folder = sources.new_folder(spark, "lists")
+    lines.write.partitionBy("list").text(folder)
+    got = sources.read_table(spark, folder)
+    return got.select("doc_id", "rec_idx", F.get_json_object("raw", "$.o_orderkey").cast("long").alias("o_orderkey"), F.regexp_extract("raw", r'"price": ([0-9.]+)', 1).alias("price"), F.get_json_object("raw", "$.status").alias("status"))
+
+
 @query("SELECT 'item=' || item_id AS doc_id, text || chr(10) AS text FROM benchmark")
 def read_documents(spark, sf_dir):
     """The benchmark's passages written as files and read back."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import Tables, union
 from ..specs import SPECS, TableSpec
+from .lists import list_elements
 
 RAW = "doc_id string, rec_idx long, raw string"
 
@@ -32,18 +33,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def read_table(spark: SparkSession, path: str, on_corrupt: str = "fail") -> DataFrame:
     """A JSON list file (or a folder of them, one a document) -> (doc_id, rec_idx, raw); doc_id is the parent folder's name.
 
-    A path that isn't there is empty. A file that is broken or no list fails when it is read, or is empty with
-    ``on_corrupt="empty"``.
+    ``raw`` is the element's text as written, null for the null element; files of any size are read in byte ranges. A path
+    that isn't there is empty, as is a file of no bytes. A file that is broken or no list fails when it is read, or is empty with ``on_corrupt="empty"``.
     """
     if not _exists(spark, path):
         return spark.createDataFrame([], RAW)
-    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    doc = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    good = F.json_array_length("value").isNotNull()
-    items = F.from_json("value", "array<string>")
-    checked = items if on_corrupt == "empty" else F.when(good, items).otherwise(F.raise_error(F.concat(F.lit("no JSON list: "), F.col("_metadata.file_path"))).cast("array<string>"))
-    rows = whole.where(good) if on_corrupt == "empty" else whole
-    return rows.select(doc.alias("doc_id"), F.posexplode(checked).alias("rec_idx", "raw")).select("doc_id", F.col("rec_idx").cast("long").alias("rec_idx"), "raw")
+    items = list_elements(spark, path)
+    if on_corrupt == "empty":
+        items = items.join(items.where("NOT ok").select("file").distinct(), "file", "left_anti")
+    else:
+        items = items.where(F.when(F.col("ok"), True).otherwise(F.raise_error(F.concat(F.lit("no JSON list: "), F.col("file"))).cast("boolean")))
+    return items.select(F.element_at(F.split("file", "/"), -2).alias("doc_id"), "rec_idx", "raw")
 
 
 def read_tables(spark: SparkSession, folder: str, specs: dict[str, TableSpec] = SPECS, **more) -> Tables:
