@@ -11,7 +11,10 @@ Defined cases (column ``status``): ``linked``, ``no_result``, ``cycle`` (its anc
 ``repeated`` (not the first row of its identifier, by turn and then arguments: keeps its own row, gets no result); of
 results, ``orphan_result`` (no call has its identifier, or that is null) and ``further_result`` (a later one than the
 call's; one equal to it is only counted). A parent that is no call makes a root with ``parent_missing``. Arguments that
-are null or no JSON object are one error and are written as null. Rows with a null identifier never link; those of a null
+are null or no JSON object, or repeat a key of one object, are one error and are written as null, as are those with a number
+that can't be written again exactly: more than 38 digits or, with an exponent, more than 15 or a value beyond the normal
+doubles. Numbers without an exponent lose their last zeros (1.10 is 1.1 and 1.0 is 1, an integer), those with one are
+written as doubles (1e2 is 100.0). Rows with a null identifier never link; those of a null
 conversation have no position. Rows with depth null come last; rows of one depth, turn and call_id share a position.
 Empty tables give an empty result. Only the named columns are read, so extra columns don't matter.
 """
@@ -28,10 +31,23 @@ from .common import discard, save
 
 #: tool -> field -> (type, required); types: string, integer, number, boolean, array, object
 Schemas = dict[str, dict[str, tuple[str, bool]]]
-_TYPES = {"string": "STRING$", "integer": "BIGINT$", "number": "(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$", "boolean": "BOOLEAN$", "array": "ARRAY<.*", "object": "OBJECT<.*"}
+_TYPES = {"string": "STRING$", "integer": r"(BIGINT|DECIMAL\(\d+,0\))$", "number": "(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$", "boolean": "BOOLEAN$", "array": "ARRAY<.*", "object": "OBJECT<.*"}
 KEY = ["conv_id", "call_id"]
 
 
+def exact(arguments: Column) -> Column:
+    """Whether the numbers of a JSON text are held exactly once parsed."""
+    bare = F.regexp_replace(F.regexp_replace(arguments, r"(?s)\\.", ""), '"[^"]*"', "")  # without strings
+    numbers = F.regexp_extract_all(bare, F.lit(r"-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?"), 0)
+
+    def inexact(x: Column) -> Column:
+        mantissa, size = F.regexp_replace(x, "[eE].*", ""), F.abs(x.try_cast("double"))
+        digits = F.length(F.translate(mantissa, "-.", ""))
+        return F.when(x.rlike("[eE]"), (digits > 15) | (size == float("inf")) | (mantissa.rlike("[1-9]") & (size < 2.0**-1022))).otherwise(digits > 38)
+
+    return ~F.exists(numbers, inexact)
+
+
 def argument_errors(arguments: Column, value: Column, name: Column, schemas: Schemas) -> Column:
     """Messages, in the order of the schema; empty if the arguments are valid."""
     is_object = F.coalesce(F.schema_of_variant(value).startswith("OBJECT<"), F.lit(False))
@@ -44,7 +60,7 @@ def argument_errors(arguments: Column, value: Column, name: Column, schemas: Sch
             checks.append(F.when(~has, f"{field}: missing" if required else None).when(~fits, f"{field}: not {kind}"))
         unknown = F.transform(F.array_sort(F.array_except(F.json_object_keys(arguments), F.array(*map(F.lit, fields)))), lambda x: F.concat(x, F.lit(": unknown")))
         found = F.when(name == tool, F.concat(F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>"), unknown)).otherwise(found)
-    return F.when(is_object, found).otherwise(F.array(F.lit("arguments: not an object")))
+    return F.when(is_object & exact(arguments), found).when(is_object, F.array(F.lit("arguments: number not exact"))).otherwise(F.array(F.lit("arguments: not an object")))
 
 
 def depths(calls: DataFrame) -> DataFrame:
@@ -103,7 +119,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
     again = F.col("_first").isNotNull() & ~F.col("_head")
     status = F.when(again, "repeated").when(F.col("_first").isNotNull() & F.col("depth").isNull(), "cycle").when(F.col("n_results") > 0, "linked").otherwise("no_result")
     errors = argument_errors(F.col("arguments"), F.col("_value"), F.col("name"), schemas)
-    value = F.when(F.schema_of_variant("_value").startswith("OBJECT<"), F.col("_value"))
+    value = F.when(F.schema_of_variant("_value").startswith("OBJECT<") & exact(F.col("arguments")), F.col("_value"))
     out = linked.withColumns(
         {
             "status": status,

@@ -473,6 +473,22 @@ def test_chat_tools(spark):
     assert by["b", 1].errors == ["q: missing", "n: not integer"] and by["c", 2].errors == ["unknown tool other"] and by["f", 5].errors == ["q: not string", "z: unknown"]
 
 
+def test_numbers_of_arguments_are_exact_or_an_error(spark):
+    numbers = {
+        "1.0": ("1", True), "1.10": ("1.1", False), "12345678901234567890": ("12345678901234567890", True), "9" * 38: ("9" * 38, True), "-2": ("-2", True), "1e2": ("100.0", False), "0e-999": ("0.0", False),
+        "9" * 39: None, "0." + "0" * 40 + "1": None, "1e400": None, "-1E400": None, "1e-400": None, "1e-310": None, "1.2345678901234567e5": None,
+    }
+    texts = [f'{{"n":{x},"q":"1e999\\\\\\"{"9" * 50}"}}' for x in numbers] + ['{"n":1,"n":2}', '{"n":1,"q":"' + "x" * 200_000 + '"}']
+    calls = spark.createDataFrame([(1, f"{k:02}", None, k, "t", x) for k, x in enumerate(texts)], "conv_id long, call_id string, parent_id string, turn long, name string, arguments string")
+    got = chat_tools.link_tool_calls(calls, calls.select("conv_id", "call_id", "turn", F.lit("").alias("content")).limit(0), {"t": {"n": ("integer", True), "q": ("string", False)}}).orderBy("turn").collect()
+    for r, (x, out) in zip(got, numbers.items()):
+        if out is None:
+            assert r.errors == ["arguments: number not exact"] and r.json.startswith('{"arguments":null,')
+        else:
+            assert r.errors == ([] if out[1] else ["n: not integer"]) and r.json.startswith(f'{{"arguments":{{"n":{out[0]},"q"'), x
+    assert got[-2].errors == ["arguments: not an object"] and got[-1].valid
+
+
 def brute_lines(rows, least):
     lines = {d: [x for x in (t or "").split("\n") if split(x)] for d, t in rows}
     seen, gone = set(), defaultdict(set)
