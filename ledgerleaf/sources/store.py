@@ -16,9 +16,10 @@ value into ``BUCKETS`` folders, and a blocked Bloom filter of each bucket: 64-bi
 a word. ``stored`` looks values up: only the buckets they fall into are listed and read; the filters are joined first, and
 what they let pass meets the keys exactly. So a batch of new keys reads words, not keys.
 
-*Digests.* Every commit also adds the count and the sum of hashes of its primary keys by range (``PARTS`` of each bucket).
-Sums add up over batches, so ``differences`` compares a table with a source of any size by its digests and reads the ids of
-ranges that differ only.
+*Digests.* Every commit also adds the count and the sum of hashes of its primary keys by range: ``PARTS`` of each bucket,
+doubled until the table's keys are about ``RANGE_KEYS`` a range, so that few differences leave most ranges alike in a table
+of any size. Sums add up over batches and over ranges, so ``differences`` compares a table with a source by its digests and
+reads the ids of ranges that differ, and those of small early batches whose ranges are too wide.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ from ..specs import SPECS, TableSpec
 BUCKETS = 16  # folders of the index, more for a store of very many keys; a store keeps the number it began with
 HASHES = 4  # bits of a key in its word
 WORDS = 1 << 24  # words of a bucket's filter; rows are there only for words that hold a bit
-PARTS = 256  # ranges of a bucket's keys that have a digest each
+PARTS = 256  # least ranges of a bucket's keys that have a digest each
+RANGE_KEYS = 64  # keys of a table a range, about
 SEPARATOR = "\x1f"
 
 
@@ -50,13 +52,33 @@ def key_value(parts: list[Column]) -> Column:
     return F.concat(*[F.concat(F.length(t).cast("string"), F.lit(SEPARATOR), t) for t in texts])
 
 
-def _part(value: Column) -> Column:
-    return F.pmod(F.xxhash64(value, F.lit(2)), F.lit(PARTS)).cast("int")
+def _part(value: Column, parts: int) -> Column:
+    """The range of a key in its bucket; of half as many ranges it is the same number, modulo these."""
+    return F.pmod(F.xxhash64(value, F.lit(2)), F.lit(parts)).cast("int")
 
 
-def _digest(keys: DataFrame) -> DataFrame:
+def _parts(keys: int, buckets: int) -> int:
+    """Ranges of a bucket for so many keys of a table."""
+    parts = PARTS
+    while parts * buckets * RANGE_KEYS < keys and parts < 1 << 30:
+        parts *= 2
+    return parts
+
+
+def _common_parts(digests: list[dict]) -> int:
+    """The most ranges for which batches of wider ones hold an eighth of the keys at most."""
+    size = lambda e: e.get("keys", float("inf"))  # noqa: E731 (batches written before it was noted)
+    whole, held = sum(map(size, digests)), 0
+    for e in sorted(digests, key=lambda e: e.get("parts", PARTS)):
+        held += size(e)
+        if 8 * held > whole:
+            return e.get("parts", PARTS)
+    return max((e.get("parts", PARTS) for e in digests), default=PARTS)
+
+
+def _digest(keys: DataFrame, parts: int) -> DataFrame:
     """keys (bucket, value), each once -> (bucket, part, n, h)."""
-    return keys.groupBy("bucket", _part(F.col("value")).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("value", F.lit(3)).cast("decimal(38,0)")).alias("h"))
+    return keys.groupBy("bucket", _part(F.col("value"), parts).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("value", F.lit(3)).cast("decimal(38,0)")).alias("h"))
 
 
 def _bloom(value: Column) -> tuple[Column, Column]:
@@ -163,17 +185,24 @@ class Store:
         if not folders:
             return mine.agg(F.lit(0).cast("long").alias("matched"), F.count(F.lit(1)).alias("missing"), F.lit(0).cast("long").alias("extra"), F.lit(0).cast("long").alias("compared"))
         mine = save(mine, "keys-of-source")
-        theirs = self.spark.read.parquet(*[e["folder"] for e in folders if e["kind"] == "digest"]).groupBy("bucket", "part").agg(F.sum("n").alias("m"), F.sum("h").alias("g"))
-        both = save(_digest(mine).join(theirs, ["bucket", "part"], "full_outer").withColumn("same", F.col("n").eqNullSafe(F.col("m")) & F.col("h").eqNullSafe(F.col("g"))), "digests")
-        apart = F.broadcast(both.where("NOT same").select("bucket", "part"))  # at most PARTS times the store's buckets
+        digests = [e for e in folders if e["kind"] == "digest"]
+        parts = _common_parts(digests)
+        fine = [e for e in digests if e.get("parts", PARTS) >= parts]
+        wide = {(e["batch"], e["table"]) for e in digests} - {(e["batch"], e["table"]) for e in fine}
+        read = lambda of: self.spark.read.schema("key string, value string, bucket int").option("basePath", f"{self.folder}/keys").parquet(*of).where(F.col("key") == pk)
+        noted = self.spark.read.parquet(*[e["folder"] for e in fine]).select("bucket", F.pmod("part", F.lit(parts)).alias("part"), "n", "h", F.lit(0).cast("long").alias("read"))
+        if wide:
+            noted = noted.unionByName(_digest(read([e["folder"] for e in folders if e["kind"] == "keys" and (e["batch"], e["table"]) in wide]), parts).withColumn("read", F.col("n")))
+        theirs = noted.groupBy("bucket", "part").agg(F.sum("n").alias("m"), F.sum("h").alias("g"), F.sum("read").alias("read"))
+        both = save(_digest(mine, parts).join(theirs, ["bucket", "part"], "full_outer").withColumn("same", F.col("n").eqNullSafe(F.col("m")) & F.col("h").eqNullSafe(F.col("g"))), "digests")
+        apart = both.where("NOT same").select("bucket", "part")
         touched = [r.bucket for r in both.where("NOT same").select("bucket").distinct().collect()]  # at most as many as there are buckets
-        equal = both.where("same").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("equal"))
-        keys = self.spark.read.schema("key string, value string, bucket int").option("basePath", f"{self.folder}/keys").parquet(*[e["folder"] for e in folders if e["kind"] == "keys"])
-        keys = keys.where(F.col("bucket").isin(touched) if touched else F.lit(False)).where(F.col("key") == pk).withColumn("part", _part(F.col("value")))
+        equal = both.where("same").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("equal"), F.coalesce(F.sum("read"), F.lit(0)).alias("read"))
+        keys = read([e["folder"] for e in folders if e["kind"] == "keys"]).where(F.col("bucket").isin(touched) if touched else F.lit(False)).withColumn("part", _part(F.col("value"), parts))
         stored = keys.join(apart, ["bucket", "part"], "left_semi").select("value").distinct().withColumn("b", F.lit(True))
-        asked = mine.withColumn("part", _part(F.col("value"))).join(apart, ["bucket", "part"], "left_semi").select("value", F.lit(True).alias("a"))
+        asked = mine.withColumn("part", _part(F.col("value"), parts)).join(apart, ["bucket", "part"], "left_semi").select("value", F.lit(True).alias("a"))
         counts = asked.join(stored, "value", "full_outer").agg(F.count_if(F.col("a") & F.col("b")).alias("matched"), F.count_if(F.col("b").isNull()).alias("missing"), F.count_if(F.col("a").isNull()).alias("extra"), F.count("b").alias("compared"))
-        return counts.join(F.broadcast(equal)).select((F.col("matched") + F.col("equal")).alias("matched"), "missing", "extra", "compared")  # one row each
+        return counts.join(F.broadcast(equal)).select((F.col("matched") + F.col("equal")).alias("matched"), "missing", "extra", (F.col("compared") + F.col("read")).alias("compared"))  # one row each
 
     # -- writing ----------------------------------------------------------------------------------------------------
 
@@ -186,6 +215,7 @@ class Store:
     def write(self, batch: str, tables: Tables) -> list[dict]:
         """Writes a batch to folders of its own, which nobody reads before ``commit`` publishes them. A column named ``batch`` gives way to the batch's name."""
         out = []
+        before = [e for e in self._folders(self.version()) if e["kind"] == "digest" and e["batch"] != batch]
         for name in [n for n in self.specs if n in tables]:
             tag = uuid.uuid4().hex
             place = {kind: f"{self.folder}/{kind}/commit={name}-{tag}" for kind in ("data", "keys", "bloom", "digest")}
@@ -197,8 +227,10 @@ class Store:
             keys = self.spark.read.schema("key string, value string, bucket int").parquet(place["keys"])
             words = keys.select("key", "bucket", word.alias("word"), mask.alias("mask")).groupBy("key", "bucket", "word").agg(F.bit_or("mask").alias("bits"))
             words.repartition("bucket").sortWithinPartitions("bucket", "key", "word").write.partitionBy("bucket").parquet(place["bloom"])
-            _digest(keys.where(F.col("key") == self.specs[name].pk)).coalesce(1).write.parquet(place["digest"])  # at most a row a range
-            out += [{"batch": batch, "table": name, "kind": kind, "folder": folder} for kind, folder in place.items()]
+            n = rows.count()
+            parts = _parts(n + sum(e.get("keys", 0) for e in before if e["table"] == name), self.buckets)
+            _digest(keys.where(F.col("key") == self.specs[name].pk), parts).write.parquet(place["digest"])
+            out += [{"batch": batch, "table": name, "kind": kind, "folder": folder, **({"parts": parts, "keys": n} if kind == "digest" else {})} for kind, folder in place.items()]
         return out
 
     def commit(self, batch: str, written: list[dict], seen: int, reads: list[str] | None = None) -> int:

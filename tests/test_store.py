@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerleaf import frames
 from ledgerleaf.functions import helpers
 from ledgerleaf.operators import evidence, identity, linking, load, quality, text
+from ledgerleaf.sources import store as store_module
 from ledgerleaf.sources.store import Conflict, Store
 from ledgerleaf.specs import Fk, SPECS, TableSpec
 
@@ -356,6 +357,19 @@ def test_digests_tell_where_a_store_differs(spark, tmp_path):
     assert load.reconcile_store({"t": rows(range(3000))}, store).first().compared == 0
 
 
+def test_digests_grow_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "PARTS", 1)
+    monkeypatch.setattr(store_module, "RANGE_KEYS", 8, raising=False)
+    store = Store(spark, f"file://{tmp_path}/store", {"t": TableSpec("t", "id")}, buckets=2)
+    rows = lambda ids: spark.createDataFrame([("d", k, k) for k in ids], "doc_id string, rec_idx long, id long")
+    edges = (0, 20, 1500, 3000)  # the first batch has too few ranges for the whole table
+    for k in range(3):
+        load.load_batch(store, f"b{k}", {"t": rows(range(edges[k], edges[k + 1]))})
+    got = load.reconcile_store({"t": rows([*range(5, 2995), 4000])}, store).first()
+    assert (got.source_count, got.target_count, got.matched, got.missing, got.extra) == (2991, 3000, 2990, 1, 10) and 10 <= got.compared < 600
+    assert load.reconcile_store({"t": rows(range(3000))}, store).first().compared == 20  # the first batch's
+
+
 def test_named_encodings(spark):
     import public_tokenizers
     import tiktoken
