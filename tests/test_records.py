@@ -328,6 +328,23 @@ def test_linking_never_links_to_itself(spark):
     assert {r.rec_idx: r.linked_id for r in linking.link_parent(df, "id", "t", "t").collect()} == {0: "2", 1: "1", 2: None}
 
 
+def test_records_of_the_same_tokens_are_compared_once(spark, monkeypatch):
+    r = random.Random(4)
+    texts = ["solar roof plan", "solar roof", "plan roof", "other", "", None, "Roof, solar"]
+    rows = [("d" if k % 3 else "e", k, str(100 - k) if k % 11 else None, r.choice(texts), r.choice(texts)) for k in range(90)]
+    df = spark.createDataFrame(rows, "doc_id string, rec_idx long, id string, t string, l string")
+    words = lambda t: set((t or "").lower().replace(",", "").split())
+    jaccard, dice = lambda a, b: len(a & b) / len(a | b), lambda a, b: 2 * len(a & b) / (len(a) + len(b))
+    sizes, inner = [], getattr(linking, "_best_of", None)
+    monkeypatch.setattr(linking, "_best_of", lambda scored, own, opts: sizes.append((own.count(), opts.count())) or inner(scored, own, opts), raising=False)
+    for like, more in ((jaccard, {}), (jaccard, {"min_score": 0.6}), (dice, {"scorer": lambda s, a, b: 2 * s / (a + b)})):
+        got = {x.rec_idx: x.linked_id for x in linking.link_parent(df, "id", "t", "l", **more).collect()}
+        for doc, k, own, t, _ in rows:
+            found = [(-like(words(t), words(m)), i is not None, i or "") for d, _, i, _, m in rows if d == doc and i != own and words(t) & words(m) and like(words(t), words(m)) >= more.get("min_score", 0.2)]
+            assert (got[k] or "") == (min(found)[2] if found else ""), (k, more)
+    assert max(a for a, _ in sizes) <= 8 and max(b for _, b in sizes) <= 8  # four sets in two documents
+
+
 @pytest.mark.parametrize("name", ["fk_issues", "duplicate_groups", "validate", "reconcile", "cascade_fk", "topo_sort", "prior_context"])
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
