@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import ahocorasick
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,6 +19,7 @@ _COERCE = {"decimal": verified_decimal, "int": verified_int, "year": year_int, "
 
 MANY = 64  # quotes of a document, beyond which its text is scanned for all of them at once
 PART = 10_000  # quotes of a document that one scan looks for
+FEW = 4 << 20  # bytes of different quotes that every task may hold
 
 
 def quotes_found(quotes: DataFrame, docs: DataFrame, many: int | None = None) -> DataFrame:
@@ -23,44 +27,65 @@ def quotes_found(quotes: DataFrame, docs: DataFrame, many: int | None = None) ->
 
     A document's text is normalised once. Where a document has few quotes, they join its text by doc_id. Where it has more
     than ``many`` (none: ``MANY``), its different quotes become one Aho-Corasick automaton and the text is scanned once, not copied to each
-    quote; quotes beyond ``PART`` go to further automata, each with a copy of the text. Blank quotes and texts, and quotes
+    quote; quotes beyond ``PART`` go to further automata, each with a copy of the text. There quotes
+    travel as numbers: different ones are numbered once, and their texts go to every task as one list up to ``FEW`` bytes, else to the documents that ask for them. Blank quotes and texts, and quotes
     without a document, give false. Of several texts with one doc_id the least counts. A column named ``found`` gives way.
     """
     quotes = without(quotes, ["found"])
     own = [col(c) for c in quotes.columns]
-    text, norm, hit, size = unused(quotes, "text", "norm", "hit", "size")
+    text, norm, hit, size, no = unused(quotes, "text", "norm", "hit", "size", "no")
     whole = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias(text)).select("doc_id", normalize_for_match(col(text)).alias(text))
     asked = also(quotes, **{norm: normalize_for_match(col("quote"))})
-    counts = save(asked.where(F.col("doc_id").isNotNull() & (col(norm) != "")).groupBy("doc_id").agg(F.countDistinct(col(norm)).alias(size)).where(col(size) > (MANY if many is None else many)), "documents-of-many-quotes")
+    most = MANY if many is None else many
 
     def plainly(df: DataFrame) -> DataFrame:
         both = joined(df, whole, {"doc_id": "doc_id"})
         found = F.coalesce((col(norm) != "") & (col(text) != "") & F.contains(col(text), col(norm)), F.lit(False))
         return both.select(*own, found.alias("found"))
 
-    if counts.isEmpty():
+    busy = save(asked.where(F.col("doc_id").isNotNull() & (col(norm) != "")).groupBy("doc_id").agg(F.count(F.lit(1)).alias(size)).where(col(size) > most).select("doc_id"), "documents-of-many-quotes")
+    if busy.isEmpty():
         return plainly(asked)
+    several = joined(asked, busy, {"doc_id": "doc_id"}, "left_semi")
+    known = save(several.where(col(norm) != "").select(col(norm).alias("norm")).distinct().withColumn(no, F.monotonically_increasing_id()), "different-quotes")
+    numbered = joined(several, known, {norm: "norm"})
+    counts = save(numbered.where(col(no).isNotNull()).groupBy("doc_id").agg(F.countDistinct(col(no)).alias(size)).where(col(size) > most), "quotes-of-documents")
     parts = counts.select("doc_id", (F.floor((col(size) - 1) / PART) + 1).cast("int").alias("parts"))
-    dealt = asked.select("doc_id", col(norm).alias("norm")).where("norm <> ''").distinct().join(parts, "doc_id").select("doc_id", F.pmod(F.xxhash64("norm"), F.col("parts")).cast("int").alias("part"), "norm")
+    dealt = numbered.select("doc_id", col(no).alias("no")).where("no IS NOT NULL").distinct().join(parts, "doc_id").select("doc_id", F.pmod(F.xxhash64("no"), F.col("parts")).cast("int").alias("part"), "no")
+    if (known.agg(F.sum(F.octet_length("norm") + 64)).first()[0] or 0) <= FEW:
+        texts_of = quotes.sparkSession.sparkContext.broadcast({r[no]: r.norm for r in known.collect()})  # FEW bytes at most
+        dealt = dealt.withColumn("norm", F.lit(None).cast("string"))
+    else:
+        texts_of = None
+        dealt = dealt.join(known.select(col(no).alias("no"), "norm"), "no").select("doc_id", "part", "no", "norm")
     texts = whole.select("doc_id", col(text).alias("text")).where("text <> ''").join(parts, "doc_id").select(F.col("doc_id").alias("of"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("at"), "text")
     kind = quotes.schema["doc_id"].dataType.simpleString()
-    seen = dealt.groupBy("doc_id", "part").cogroup(texts.groupBy("of", "at")).applyInArrow(_scan, f"doc_id {kind}, norm string")
-    scanned = joined(joined(asked, counts, {"doc_id": "doc_id"}, "left_semi"), seen.select(col("doc_id"), col("norm"), F.lit(True).alias(hit)), {"doc_id": "doc_id", norm: "norm"})
+    seen = dealt.groupBy("doc_id", "part").cogroup(texts.groupBy("of", "at")).applyInArrow(_scanner(texts_of), f"doc_id {kind}, no long")
+    scanned = joined(joined(numbered, counts, {"doc_id": "doc_id"}, "left_semi"), seen.select("doc_id", col("no").alias("n"), F.lit(True).alias(hit)), {"doc_id": "doc_id", no: "n"})
     rest = joined(asked, counts, {"doc_id": "doc_id"}, "left_anti")
     return plainly(rest).unionByName(scanned.select(*own, F.coalesce(col(hit), F.lit(False)).alias("found")))
 
 
-def _scan(quotes: pa.Table, texts: pa.Table) -> pa.Table:
-    """(doc_id, norm): the quotes that one pass over the text of their document meets."""
-    found: set[str] = set()
-    if quotes.num_rows and texts.num_rows:
-        machine = ahocorasick.Automaton()
-        for q in quotes.column("norm").to_pylist():
-            machine.add_word(q, q)
-        machine.make_automaton()
-        found = {q for _, q in machine.iter(texts.column("text")[0].as_py())}
-    doc = quotes.column("doc_id") if quotes.num_rows else texts.column("of")
-    return pa.table({"doc_id": pa.array([doc[0].as_py()] * len(found), doc.type), "norm": pa.array(sorted(found), pa.string())})
+def _scanner(texts_of: Broadcast | None) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """(doc_id, no): the quotes that one pass over the text of their document meets. The last automaton serves the documents that ask for the same quotes."""
+    last: list = [None, None]
+
+    def scan(quotes: pa.Table, texts: pa.Table) -> pa.Table:
+        found: set[int] = set()
+        if quotes.num_rows and texts.num_rows:
+            numbers = quotes.column("no").to_pylist()
+            asked = frozenset(numbers)
+            if last[0] != asked:
+                machine = ahocorasick.Automaton()
+                for no, q in zip(numbers, quotes.column("norm").to_pylist()):
+                    machine.add_word(q if texts_of is None else texts_of.value[no], no)
+                machine.make_automaton()
+                last[:] = asked, machine
+            found = {no for _, no in last[1].iter(texts.column("text")[0].as_py())}
+        doc = quotes.column("doc_id") if quotes.num_rows else texts.column("of")
+        return pa.table({"doc_id": pa.array([doc[0].as_py()] * len(found), doc.type), "no": pa.array(sorted(found), pa.int64())})
+
+    return scan
 
 
 def verify_records(records: DataFrame, docs: DataFrame, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:

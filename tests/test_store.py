@@ -339,6 +339,18 @@ def test_many_quotes_are_found_in_one_scan(spark, monkeypatch):
     assert Counter((g.doc_id, g.quote, g.found) for g in got) == Counter((d, q, bool(plain(q)) and plain(q) in plain(texts.get(d))) for d, q in quotes)
 
 
+@pytest.mark.parametrize("few", [0, 4 << 20])
+def test_quotes_travel_as_numbers(spark, monkeypatch, few):
+    monkeypatch.setattr(evidence, "FEW", few, raising=False)
+    docs = spark.createDataFrame([(k, f"Text {k} of solar roofs {'and wind' * (k % 2)}") for k in range(20)], "doc_id long, text string")
+    asked = ["solar  ROOFS", "and wind", "nowhere", "text 3", " "]
+    quotes = docs.select("doc_id", F.explode(F.array(*map(F.lit, asked))).alias("quote"))
+    got = evidence.quotes_found(quotes, docs, many=2)
+    assert {(r.doc_id, r.quote) for r in got.where("found").collect()} == {(k, q) for k in range(20) for q, there in zip(asked, (True, k % 2, False, k == 3, False)) if there}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == 100 and "no#" in plan  # rows meet by numbers, not by texts
+
+
 def test_records_given_twice(spark):
     docs = spark.createDataFrame([("d", "Target 2030")], "doc_id string, text string")
     claims = spark.createDataFrame([("d", 0, "2030", "Target 2030", 0.9), ("d", 0, "2030", "2030", 0.5)], "doc_id string, rec_idx int, y string, y_quote string, y_confidence double")
