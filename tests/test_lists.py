@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerleaf.sources import tables
+from ledgerleaf.sources import lists, tables
 
 
 def value(r, deep):
@@ -55,3 +55,13 @@ def test_what_is_no_list(spark, tmp_path):
     assert {x.d for x in bad} == {f"b{k}" for k in range(1, len(broken))}  # a file of no bytes isn't read
     with pytest.raises(Exception, match="no JSON list"):
         tables.read_table(spark, f"{tmp_path}/b2/T.json").count()
+
+
+def test_no_task_sorts_a_whole_range(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    rows = [{"k": i, "t": 'a,"]'} for i in range(7000)]
+    (tmp_path / "d" / "T.json").write_text(json.dumps(rows))
+    sizes = [r["count"] for r in lists._pieces(spark, str(tmp_path)).groupBy(*lists.RANGE).count().collect()]
+    assert max(sizes) <= 4096 and sum(sizes) == 21000  # one range of the file
+    got = tables.read_table(spark, str(tmp_path)).orderBy("rec_idx").collect()
+    assert [json.loads(x.raw) for x in got] == rows and [x.rec_idx for x in got] == list(range(7000))
