@@ -309,24 +309,45 @@ def settle_links(candidates: DataFrame, held: DataFrame | None = None, group: tu
     Every record asks for its best option (ties: the smaller id); an option keeps the record of the best score (ties: the
     smaller (doc_id, rec_idx)) and the others ask for their next one, so no record and option would both rather have each
     other. An option is one for each value of the ``group`` columns; those in ``held`` (id[, group]) are taken for good. A
-    record whose options are all gone is not returned. At most ``rounds`` rounds (none: until all have settled): what
-    an option keeps then stands. A round moves only the records that were turned away and what their next options hold.
+    record whose options are all gone is not returned. ``round``: in which a record asked for what it got. With ``rounds``
+    records ask one option after another, at most so many rounds, and what an option keeps then stands. Else they pass over
+    options that have a better record already, and of those that would ask for the same option of the same options of one
+    score the j-th best asks for the j-th: the better ones want these too and leave it none before. The matching is the same, in far fewer rounds.
     """
     keys, slot = ["doc_id", "rec_idx"], ["id", *group]
     live = candidates if held is None else joined(candidates, held.select(*slot).distinct(), {c: c for c in slot}, "left_anti")
-    ranked = live.withColumn("k", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("score"), "id")))  # a record's options, of one document
-    ranked = save(ranked.select(*keys, *slot, "score", "k"), "choices")
-    asking, kept, n = ranked.where("k = 1").withColumn("round", F.lit(1)), None, 0
+    # a record's options, of one document; those of one score are a level, and levels of the same options a block
+    levels = live.groupBy(*keys, "score").agg(F.array_sort(F.collect_list(F.struct(*slot))).alias("s")).withColumn("size", F.size("s"))
+    before = F.coalesce(F.sum("size").over(W.partitionBy(*keys).orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    levels = levels.withColumns({"before": before, "block": F.sha2(F.to_json("s"), 256)})
+    ranked = levels.select(*keys, "score", "size", "before", "block", F.posexplode("s").alias("pos", "e"))
+    ranked = save(ranked.select(*keys, *[F.col("e")[c].alias(c) for c in slot], "score", (F.col("before") + F.col("pos") + 1).alias("k"), "block", "pos", "size"), "choices")
+    choice, likes = [*keys, *slot, "score", "k"], F.struct(-F.col("score"), *keys)
+
+    def spread(first: DataFrame) -> DataFrame:
+        """(doc_id, rec_idx, k): the options to ask for, where ``first`` are the first that may be free."""
+        j = F.row_number().over(W.partitionBy("block", "pos").orderBy(likes))
+        return first.select(*keys, (F.col("k") + F.least(j - 1, F.col("size") - F.col("pos"))).alias("k"))
+
+    asks = ranked.where("k = 1")
+    asking, kept, n = (asks if rounds is not None else ranked.join(spread(asks), [*keys, "k"])).select(*choice).withColumn("round", F.lit(1)), None, 0
     while True:
         n += 1
         both = asking if kept is None else kept.unionByName(asking)
-        best = both.groupBy(*slot).agg(F.min_by(F.struct(*keys), F.struct(-F.col("score"), *keys)).alias("who"))
+        best = both.groupBy(*slot).agg(F.min_by(F.struct(*keys), likes).alias("who"))
         judged = save(joined(both, best, {c: c for c in slot}, "inner").withColumn("wins", F.struct(*keys) == F.col("who")).drop("who"), "choices-judged")
         kept = judged.where("wins").drop("wins")
-        lost = judged.where("NOT wins")
+        lost = judged.where("NOT wins").select(*keys, F.col("k").alias("asked"))
         if lost.isEmpty() or n == rounds:
             return kept.drop("k")
-        asking = ranked.join(lost.select(*keys, (F.col("k") + 1).alias("k")), [*keys, "k"]).select(*ranked.columns).withColumn("round", F.lit(n + 1))
+        if rounds is not None:
+            asks = ranked.join(lost.select(*keys, (F.col("asked") + 1).alias("k")), [*keys, "k"])
+        else:
+            left = ranked.join(lost, keys).where("k > asked").drop("asked")
+            left = joined(left, kept.select(*slot, likes.alias("holder")), {c: c for c in slot}).where(F.col("holder").isNull() | (likes < F.col("holder")))
+            first = left.groupBy(*keys).agg(F.min_by(F.struct("k", "block", "pos", "size", "score"), "k").alias("f")).select(*keys, "f.*")
+            asks = ranked.join(save(spread(first), "choices-next"), [*keys, "k"])
+        asking = asks.select(*choice).withColumn("round", F.lit(n + 1))
 
 
 def retry_links(records: DataFrame, field: str, candidates: DataFrame, targets: DataFrame, unique: tuple[str, ...] | None = None, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:

@@ -290,6 +290,19 @@ def test_links_settle_as_a_stable_matching(spark):
         assert {(x.doc_id, x.rec_idx): x.id for x in got} == stable(prefs, {"o1"})
 
 
+def test_records_of_the_same_options_settle_in_few_rounds(spark):
+    r = random.Random(6)
+    kinds = [[(i, s) for i in range(40) if (s := round(r.choice([0, 0.25, 0.5, 0.5, 0.75]), 2))] for _ in range(3)]
+    prefs = {(f"d{k % 2}", k): [(f"o{i:02}", s) for i, s in kinds[k % 3]] for k in range(60)}
+    rows = [(d, k, i, s) for (d, k), own in prefs.items() for i, s in own]
+    table = spark.createDataFrame(rows, "doc_id string, rec_idx long, id string, score double").repartition(3).cache()
+    got = linking.settle_links(table).collect()
+    assert {(x.doc_id, x.rec_idx): x.id for x in got} == stable(prefs, set())
+    assert max(x.round for x in got) < 20  # one option after another takes more than 30
+    one = linking.settle_links(table, rounds=2).collect()
+    assert {x.round for x in one} == {1, 2} and len(one) < len(got)
+
+
 def test_bad_links_are_made_anew(spark):
     rows = [("d", 0, "t1", 2020), ("d", 1, "t1", 2020), ("d", 2, "gone", 2020), ("d", 3, None, 2020), ("d", 4, "t2", 2021), ("d", 5, "gone", None), ("e", 0, "t3", 2020)]
     records = spark.createDataFrame(rows, "doc_id string, rec_idx long, link string, year int")
