@@ -125,6 +125,19 @@ def _lost(values: DataFrame, parents: DataFrame | None, store: Store | None, tar
     return save(asked, "values-lost")
 
 
+def _repeated(ids: DataFrame, key: str) -> DataFrame | None:
+    """(key, first): values that several rows have, with their first row; none if there are none. Hashes tell first: most tables have no such value, or few."""
+    keyed = ids.where(F.col(key).isNotNull())
+    twice = save(keyed.groupBy(F.xxhash64(key).alias("h")).agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("h"), "hashes-repeated")
+    few = twice.count()
+    if not few:
+        return None
+    if 8 * few < ids.count():
+        keyed = keyed.join(twice, F.xxhash64(key) == F.col("h"), "left_semi")
+    found = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("at", "no")).alias("first"))
+    return save(found.where("many > 1").drop("many"), "keys-repeated")
+
+
 def _first_wins(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(no): of rows (no, at, keys) those that come in when they are inserted one by one: none of a row's keys may be held by one that came in before.
 
@@ -141,6 +154,8 @@ def _first_wins(rows: DataFrame, keys: list[str]) -> DataFrame:
         judged = save(now.select("no", "at", *keys, wins.alias("wins")), "rows-judged")
         won = judged.where("wins")
         inside.append(won.select("no"))
+        if len(keys) == 1:  # all others share it with one of these
+            return won.select("no")
         left = judged.where("NOT wins")
         for k in keys:
             left = left.join(won.where(F.col(k).isNotNull()).select(k), k, "left_anti")
@@ -180,30 +195,28 @@ def enforce_constraints(tables: Tables, specs: dict[str, TableSpec] = SPECS, sto
                 ids = joined(ids, gone.withColumn(f"{n}_lost", F.lit(True)), {n: "value"})
                 lost = F.when(F.col(f"{n}_lost"), f"{fk.field} not in {fk.target}").otherwise(lost)
         ids = save(ids.select("no", "at", "hole", *keys, *fks, lost.alias("lost")), "row-keys")
-        held = F.lit(None).cast("string")
-        open_ = ids.where("hole IS NULL AND lost IS NULL")
+        held, open_, clash = F.lit(None).cast("string"), F.col("hole").isNull() & F.col("lost").isNull(), F.lit(False)
         duplicate = {n: "duplicate primary key" if n == "k0" else "duplicate " + ",".join(k) for n, k in keys.items()}
+        several = {n: _repeated(ids, n) for n in keys}
+        repeated = [n for n in keys if several[n] is not None]  # rows meet the repeats of such keys only
         if store is not None:
             for n, key in keys.items():
                 taken = save(store.stored(name, key, ids.select(F.col(n).alias("value")), **at), "keys-taken")
-                open_ = open_.join(taken.select(F.col("value").alias(n)), n, "left_anti")
                 ids = joined(ids, taken.withColumn(f"{n}_taken", F.lit(True)), {n: "value"})
-        several = {n: save(ids.where(F.col(n).isNotNull()).groupBy(n).agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("at", "no")).alias("first")).where("many > 1").drop("many"), "keys-repeated") for n in keys}
-        clash, facts = F.lit(False), ids
-        for n in keys:
-            open_ = joined(open_, several[n].select(n, F.lit(True).alias(f"{n}_again")), {n: n})
-            clash = clash | F.coalesce(F.col(f"{n}_again"), F.lit(False))
-        clashing = save(open_.where(clash).select("no", "at", *keys), "rows-clashing")
-        good = open_.where(~clash).select("no")
-        if not clashing.isEmpty():
-            good = good.unionByName(_first_wins(clashing, list(keys)))
-        out = facts.join(good, "no", "left_anti")
-        for n in keys:
-            out = joined(out, several[n].withColumnRenamed("first", f"{n}_first"), {n: n})
+                open_ = open_ & F.col(f"{n}_taken").isNull()
+        for n in repeated:
+            ids = joined(ids, several[n].withColumnRenamed("first", f"{n}_first"), {n: n})
+            clash = clash | F.col(f"{n}_first").isNotNull()
         for n in reversed(keys):
-            earlier = F.col(f"{n}_first") < F.struct("at", "no")
+            earlier = F.col(f"{n}_first") < F.struct("at", "no") if n in repeated else F.lit(False)
             held = F.when(earlier | F.col(f"{n}_taken") if store is not None else earlier, duplicate[n]).otherwise(held)
-        out = save(out.select("no", "at", F.coalesce("hole", held, "lost").alias("reason")), "rows-rejected")
+        # rows that nothing is said against come in and are not moved again
+        judged = save(ids.where(~open_ | clash).select("no", "at", *repeated, open_.alias("open"), F.coalesce("hole", held, "lost").alias("reason")), "rows-judged")
+        clashing = judged.where("open").select("no", "at", *repeated)
+        out = judged.select("no", "at", "reason")
+        if repeated and not clashing.isEmpty():
+            out = out.join(_first_wins(clashing, repeated), "no", "left_anti")
+        out = save(out, "rows-rejected")
         for fk in fks.values():
             if fk.target == name:
                 kept = save(joined(rows, out, {no: "no"}, "left_anti"), "rows-unique")

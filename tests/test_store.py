@@ -262,6 +262,18 @@ def test_all_or_nothing(spark, tmp_path):
     assert version == 1 and {n: sorted(x[SPECS[n].pk] for x in store.read(n).collect()) for n in ("City", "CityAnnualStats", "IndicatorValue")} == {"City": ["y"], "CityAnnualStats": ["s2"], "IndicatorValue": ["w"]}
 
 
+def test_rows_that_nothing_is_said_against_are_not_moved(spark, monkeypatch):
+    saved = []
+    keep = load.save
+    monkeypatch.setattr(load, "save", lambda df, name, *more: saved.append((name, keep(df, name, *more))) or saved[-1][1])
+    spec = {"T": TableSpec("T", "id", (), (("a", "b"),))}
+    rows = [("d", k, k, k // 2 if k < 6 else k, 1) for k in range(400)] + [("d", 400, 9, 900, 1)]
+    good, bad = load.enforce_constraints({"T": spark.createDataFrame(rows, "doc_id string, rec_idx long, id long, a long, b long")}, spec)
+    assert {(x.rec_idx, x.reason) for x in bad.collect()} == {(1, "duplicate a,b"), (3, "duplicate a,b"), (5, "duplicate a,b"), (400, "duplicate primary key")}
+    assert good["T"].count() == 397
+    assert sorted(df.count() for name, df in saved if name in ("rows-judged", "keys-repeated", "hashes-repeated"))[-1] <= 8
+
+
 def stable(prefs, held):
     """Deferred acceptance, one record at a time."""
     choice, keeps, free = {r: 0 for r in prefs}, {}, sorted(prefs)
