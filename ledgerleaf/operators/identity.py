@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..frames import also, col, discard, joined, numbered, place, replaced, save, unused
+from ..frames import also, col, joined, numbered, place, replaced, save, unused
 from ..functions.scalars import class_namespace, is_placeholder_uuid, is_uuid, uuid5
 from ..specs import SPECS, TableSpec
 from .quality import Tables, union
@@ -53,34 +54,40 @@ def _with_repeats(df: DataFrame, key: str, again: str) -> DataFrame:
 
 
 def _free_keys(todo: DataFrame, seed: str, taken: DataFrame, name: Callable[[Column, Column], Column], new: str) -> DataFrame:
-    """``todo`` with a key in ``new`` that is not in ``taken`` (k): the j-th row of a seed gets the j-th of the seed's keys that is free.
+    """``todo`` with a key in ``new`` that is not in ``taken`` (k, each once): the j-th row of a seed gets the j-th of the seed's keys that is free.
 
-    Keys of different seeds differ. First every row tries the key of its number; only seeds of which one was taken go on:
-    in rounds, all their tries so far are held against ``taken`` and as many more are made as are still missing, to a
-    fixpoint. Only keys are shuffled, and in the rounds only those of such seeds. A null seed has a null key.
+    Keys of different seeds differ. First every row tries the key of its number; a seed that misses keys tries as many
+    further ones, in rounds, to a fixpoint. Tries travel as seed, number and a hash of the key; where hashes meet, the keys
+    decide. Rows learn the numbers of their keys only where those are not their own. A null seed has a null key.
     """
-    at, mine, no = unused(todo, "try", "key", "no")
+    at, mine, no, to = unused(todo, "try", "key", "no", "to")
     own = [col(c) for c in todo.columns]
-    tried = save(also(numbered(todo, seed, at), **{new: name(col(seed), col(at))}), "keys-tried")
-    hit = joined(tried.select(col(seed).alias(mine), col(new).alias(no)), taken, {no: "k"}, "left_semi").select(mine).distinct()
-    hit = save(hit, "seeds-taken")
-    good = joined(tried, hit, {seed: mine}, "left_anti").select(*own, col(new))
-    if hit.isEmpty():
-        return good
-    late = save(joined(tried, hit, {seed: mine}, "left_semi").select(*own, col(at)), "rows-late")
-    size = late.groupBy(col(seed).alias("s")).agg(F.count(F.lit(1)).alias("m"))
-    reach = save(size.select("s", "m", F.col("m").alias("l")), "seed-reach")
+    s, t, count = F.col("s"), F.col("t"), F.count(F.lit(1)).alias("n")
+    tried = save(numbered(todo, seed, at), "rows-numbered")
+    tries = tried.where(col(seed).isNotNull()).select(col(seed).alias("s"), col(at).alias("t"))
+    held = taken.select(F.xxhash64("k").alias("h"), "k")
+    key = lambda n: F.when(col(seed).isNotNull(), name(col(seed), n)).alias(new)
+
+    def missed(tries: DataFrame) -> DataFrame:
+        met = save(tries.select("s", "t", F.xxhash64(name(s, t)).alias("h")).join(held, "h").select("s", "t", "k"), "keys-met")
+        return met.where(name(s, t) == F.col("k")).select("s", "t")
+
+    misses = [missed(tries)]
+    if misses[0].isEmpty():
+        return tried.select(*own, key(col(at)))
+    short = joined(misses[0].groupBy("s").agg(count), tries.groupBy("s").agg(F.max("t").alias("m")), {"s": "s"}, "inner")
+    seeds = reach = save(short.select("s", "m", F.col("m").alias("l"), "n"), "seeds-short")
     while True:
-        tries = reach.select("s", "m", F.explode(F.sequence(F.lit(1), F.col("l"))).alias("t")).withColumn("new", name(F.col("s"), F.col("t")))
-        free = save(joined(tries, taken, {"new": "k"}, "left_anti"), "keys-free")
-        short = joined(reach, free.groupBy("s").agg(F.count(F.lit(1)).alias("n")), {"s": "s"}).select("s", "m", (F.col("l") + F.greatest(F.col("m") - F.coalesce("n", F.lit(0)), F.lit(0))).alias("l"), (F.coalesce("n", F.lit(0)) < F.col("m")).alias("more"))
-        if short.where("more").isEmpty():
+        more = missed(reach.select("s", F.explode(F.sequence(F.col("l") + 1, F.col("l") + F.col("n"))).alias("t")))
+        if more.isEmpty():
             break
-        old, reach = reach, save(short.drop("more"), "seed-reach")
-        discard(old)
-        discard(free)
-    ranked = numbered(free.select("s", F.col("t").alias("rec_idx"), "new"), "s", "t").select(F.col("s").alias(mine), F.col("t").alias(no), F.col("new").alias(new))
-    return good.unionByName(joined(late, ranked, {seed: mine, at: no}, "inner").select(*own, col(new)))
+        misses.append(more)
+        reach = save(joined(more.groupBy("s").agg(count), reach.select("s", "m", (F.col("l") + F.col("n")).alias("l")), {"s": "s"}, "inner").select("s", "m", "l", "n"), "seeds-short")
+    missing = reduce(DataFrame.unionByName, misses)
+    last = joined(seeds.select("s", "m"), missing.groupBy("s").agg(count), {"s": "s"}, "inner")
+    free = save(joined(last.select("s", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m") + F.col("n"))).alias("t")), missing, {"s": "s", "t": "t"}, "left_anti"), "keys-free")
+    ranked = numbered(free.select("s", t.alias("rec_idx")), "s", "j").where("rec_idx <> j").select(s.alias(mine), F.col("j").alias(no), F.col("rec_idx").alias(to))
+    return joined(tried, ranked, {seed: mine, at: no}).select(*own, key(F.coalesce(col(to), col(at))))
 
 
 def assign_pk(df: DataFrame, table: str, pk: str, seed: str = "seed", existing: DataFrame | None = None) -> DataFrame:

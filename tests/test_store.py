@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf import frames
-from ledgerleaf.functions import helpers
+from ledgerleaf.functions import helpers, scalars
 from ledgerleaf.operators import evidence, identity, linking, load, quality, text
 from ledgerleaf.sources import store as store_module
 from ledgerleaf.sources.store import Conflict, Store
@@ -152,6 +152,35 @@ def walk(rows):
     return order + [at for at, _, _ in good if at not in done] + [at for at, _, _ in extra]
 
 
+@pytest.mark.parametrize("hot", [1, 1_000_000])
+def test_tried_keys_are_not_saved(spark, monkeypatch, hot):
+    """Seeds of several rows miss keys in several rounds; only keys that are taken are ever written, not each row's."""
+    rng, space, kept = random.Random(9), scalars.class_namespace("t"), []
+    key = lambda s, n: str(uuid.uuid5(space, (s if n == 1 else f"{s}|{n}") + "id"))
+    rows = [(rng.randrange(3), k, None, None if k % 11 == 0 else f"s{rng.randrange(12)}") for k in range(120)]
+    taken = {key(f"s{s}", n) for s in range(6) for n in range(1, 40) if rng.random() < 0.6}
+    stored = spark.createDataFrame([(k,) for k in sorted(taken)], "id string")
+
+    def keep(df, name, *more, old=frames.save):
+        out = old(df, name, *more)
+        kept.append((out, [c for c, t in out.dtypes if t == "string"]))
+        return out
+
+    monkeypatch.setattr(frames, "HOT_ROWS", hot)
+    monkeypatch.setattr(identity, "save", keep)
+    got = {r.rec_idx: r.id for r in identity.assign_pk(spark.createDataFrame(rows, "doc_id int, rec_idx long, id string, seed string"), "t", "id", existing=stored).collect()}
+    want, next_ = {}, Counter()
+    for _, k, _, s in sorted(rows, key=lambda r: r[:2]):
+        while s:
+            next_[s] += 1
+            if (new := key(s, next_[s])) not in taken:
+                break
+        want[k] = new if s else None
+    assert got == want
+    written = [r[c] for df, names in kept for r in df.collect() for c in names if r[c] and len(r[c]) == 36]
+    assert written and set(written) <= taken and len(written) == len(set(written))
+
+
 def test_order_of_a_breadth_first_walk(spark):
     r = random.Random(9)
     for n in (1, 40, 200):
