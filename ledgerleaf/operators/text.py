@@ -17,6 +17,7 @@ from ..functions.helpers import count_words, token_count
 BLOCK = "doc_id long, block_no int, kind string, text string, start_line int, end_line int, token_count long, heading_path string, header string, signature string"
 CHUNK = "doc_id long, chunk_index int, text string, token_count long, start_line int, end_line int, signatures array<string>"
 ROWS = 256  # documents worked on at once
+#: Counts tokens. Its ``seam``, if it has one: every word has a token of its own, and an empty line between two texts without white space at their ends adds so many to theirs.
 Counter = Callable[[pd.Series], pd.Series]
 
 
@@ -89,13 +90,14 @@ def blocks_of(text: str | None) -> list[tuple]:
 
 
 _STOP = re.compile(r"(?<=[.!?])\s+")
+_WORD = re.compile(r"[\S\x1c-\x1f]+")  # by Unicode these four are no white space, by Python they are
 
 
-def _pieces(blocks: list[tuple], sizes: list[int], size: int) -> list[tuple]:
-    """(text, first line, last line, signature, tokens or None): blocks, with paragraphs over the size in sentences, still uncounted."""
+def _pieces(blocks: list[tuple], sizes: list[int | None], size: int) -> list[tuple]:
+    """(text, first line, last line, signature, tokens or None): blocks, with paragraphs over the size (or None) in sentences, still uncounted."""
     out = []
     for (kind, text, a, z, _, _, sign), n in zip(blocks, sizes):
-        if kind == "table" or n <= size:
+        if kind == "table" or n is not None and n <= size:
             out.append((text, a, z, sign, n))
         else:
             out.extend((x, a, z, sign, None) for x in _STOP.split(text) if x)
@@ -118,6 +120,11 @@ class _Counted:
 
     def __init__(self, counter: Counter):
         self.counter = counter
+        self.seam = getattr(counter, "seam", None)
+
+    def over(self, text: str, size: int) -> bool:
+        """Its words alone say that a text has more than ``size`` tokens."""
+        return self.seam is not None and len(text) > 2 * size and len(_WORD.findall(text)) > size
 
     def __call__(self, texts: list[str]) -> list[int]:
         return self.counter(pd.Series(texts, dtype=object)).astype("int64").tolist() if texts else []
@@ -130,13 +137,18 @@ class _Counted:
 def _chunks(texts: list[str | None], size: int, overlap: int, count: _Counted) -> list[list[tuple]]:
     """Each document's chunks: (index, text, tokens, first line, last line, signatures)."""
     blocks = [blocks_of(t) for t in texts]
-    pieces = [_pieces(b, n, size) for b, n in zip(blocks, count.each([[x[1] for x in b] for b in blocks]))]
+    long = [[x[0] != "table" and count.over(x[1], size) for x in b] for b in blocks]
+    sizes = iter(count([x[1] for b, own in zip(blocks, long) for x, over in zip(b, own) if not over]))
+    pieces = [_pieces(b, [None if over else next(sizes) for over in own], size) for b, own in zip(blocks, long)]
     open_ = iter(count([p[0] for own in pieces for p in own if p[4] is None]))
-    found = []
+    found, totals = [], []
     for own in pieces:
         tokens = np.array([next(open_) if p[4] is None else p[4] for p in own], np.int64)
-        found.append([("\n\n".join(p[0] for p in own[lead:past]), min(p[1] for p in own[lead:past]), max(p[2] for p in own[first:past]), list(dict.fromkeys(p[3] for p in own[lead:past] if p[3]))) for lead, first, past in _cuts(tokens, size, overlap)])
-    totals = count.each([[c[0] for c in own] for own in found])
+        cuts = list(_cuts(tokens, size, overlap))
+        found.append([("\n\n".join(p[0] for p in own[lead:past]), min(p[1] for p in own[lead:past]), max(p[2] for p in own[first:past]), list(dict.fromkeys(p[3] for p in own[lead:past] if p[3]))) for lead, first, past in cuts])
+        totals.append([int(tokens[lead:past].sum()) + (past - lead - 1) * (count.seam or 0) for lead, _, past in cuts])
+    if count.seam is None:
+        totals = count.each([[c[0] for c in own] for own in found])
     return [[(k, text, n, a, z, signs) for k, ((text, a, z, signs), n) in enumerate(zip(own, ns))] for own, ns in zip(found, totals)]
 
 

@@ -454,3 +454,29 @@ def test_named_encodings(spark):
     assert sum(c.token_count for c in chunks) <= got[0] and all(c.token_count == len(plain.encode_ordinary(c.text)) for c in chunks)
     with pytest.raises(ValueError, match="no encoding"):
         helpers.encoding("nobody")
+
+
+def test_chunks_count_each_text_once(monkeypatch):
+    import public_tokenizers
+
+    r = random.Random(6)
+    odd = ["don't", "it's", "x" * 30, "1234", "été", "中文字", "...", "!\x1c!", "\x1d", "a\x1fb.", "'", "'r", "é", "😀", "#1", "|", "$5.", "no?", "yes!", "- ", "​", "﻿"]
+    gaps = [" ", "  ", "\n", " \n\n", "\t", "\xa0", " ", "　 ", "\x85", "\x1c", "\r\n", "\n\n\n", "\n\na | b\n--- | ---\n1 | 2\n\n"]
+    texts = ["".join(r.choice(odd) + (r.choice(gaps) if r.random() < 0.2 else " ") for _ in range(r.randrange(400))) for _ in range(80)] + [None, "", " \x1c "]
+    coded = helpers.Encoded(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for counter in (coded, helpers.count_words):
+        for size, overlap in ((200, 20), (5, 0), (40, 39)):
+            seen = []
+
+            def plain(s):
+                seen.extend(s)
+                return counter(s)
+
+            want = text._chunks(texts, size, overlap, text._Counted(plain))  # nothing is known of its tokens
+            every, seen = sum(map(len, seen)), []
+            plain.seam = counter.seam
+            got = text._chunks(texts, size, overlap, text._Counted(plain))
+            assert got == want and sum(map(len, want)) > 80
+            assert sum(map(len, seen)) < 0.8 * every
+        n = sum(len(t or "") for t in texts)
+        assert size > 30 and sum(map(len, seen)) < 1.4 * n  # and not once more for blocks and chunks
