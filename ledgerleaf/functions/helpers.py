@@ -90,14 +90,28 @@ def encoding(name: str) -> Encoded:
     return _ENCODINGS[name]
 
 
+#: What Python takes for white space, and a token of ``count_words``, in Java's words.
+_SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_JAVA_TOKEN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{_SPACE}]"
+
+
 def token_count(c: Column, counter: Callable[[pd.Series], pd.Series] = count_words) -> Column:
-    """Tokens of each text by a counter: words and marks, or ``encoding(name)``."""
+    """Tokens of each text by a counter: words and marks, or ``encoding(name)``.
+
+    Words and marks are counted by a built-in expression; only texts with characters that Java's Unicode doesn't know go to
+    Python, so that its memory doesn't grow with the texts.
+    """
 
     @F.pandas_udf("long")
     def run(texts: pd.Series) -> pd.Series:
         return counter(texts).astype("int64")
 
-    return run(c.cast("string"))
+    text = c.cast("string")
+    if counter is not count_words:
+        return run(text)
+    newer = text.rlike(r"\p{Cn}")
+    plain = F.coalesce(F.regexp_count(text, F.lit(_JAVA_TOKEN)), F.lit(0)).cast("long")
+    return F.when(newer, run(F.when(newer, text))).otherwise(plain)
 
 
 def fill_placeholder_ids(df: DataFrame, spec: TableSpec, raw: str = "raw") -> DataFrame:

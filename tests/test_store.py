@@ -480,3 +480,14 @@ def test_chunks_count_each_text_once(monkeypatch):
             assert sum(map(len, seen)) < 0.8 * every
         n = sum(len(t or "") for t in texts)
         assert size > 30 and sum(map(len, seen)) < 1.4 * n  # and not once more for blocks and chunks
+
+
+def test_words_are_counted_without_python(spark):
+    """Each code point by itself, in a word and between words, as Python's own pattern counts it."""
+    points = [chr(k) for k in range(1, 0x110000) if not 0xD800 <= k < 0xE000]
+    texts = ["".join(f"{x}{x} a{x}b " for x in points[k : k + 50]) for k in range(0, len(points), 50)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None, ""])], "doc_id long, text string")
+    gated = text.size_gate(docs, 1000, 300)
+    got = {r.doc_id: r.token_count for r in gated.select("doc_id", "token_count").collect()}
+    assert got == {k: len(helpers._TOKEN.findall(t)) for k, t in enumerate([*texts, "", ""])}
+    assert "regexp_extract_all" in gated._jdf.queryExecution().executedPlan().toString()
