@@ -8,9 +8,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..frames import all_of, also, col, identity, joined, place, save, unused, without
 from ..functions.scalars import is_null_or_empty
@@ -163,10 +167,34 @@ def flag_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*own, *told).unionByName(rest.select(*own, *none))
 
 
-def _in_order(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
-    """``rows`` with a number that rises in the order of ``by`` over all tasks, saved."""
+def _in_order(rows: DataFrame, by: list[Column], name: str, keep: list[str] | None = None) -> DataFrame:
+    """``rows`` (of them the columns ``keep``) with a number that rises in the order of ``by`` over all tasks, saved."""
     sorted_ = rows.repartitionByRange(*by).sortWithinPartitions(*by)
-    return save(also(sorted_, **{name: F.monotonically_increasing_id()}), "tree-order")
+    return save(sorted_.select(*[col(c) for c in keep or rows.columns], F.monotonically_increasing_id().alias(name)), "tree-order")
+
+
+def _climbed(table: pa.Table) -> pa.Table:
+    """Rows of one range of numbers, each as high up as the range goes: (row, id, above, to, level, lone, root, root_row).
+
+    ``to``: the row it looks up to next, outside the range (null: ``root`` is its root); ``level``: how far that is above it,
+    ``lone``: no row on the way has a sibling. Rows on or behind a cycle inside the range stay where they are.
+    """
+    table = table.sort_by("row")
+    row, above, own = table["row"].to_numpy(), table["above"].fill_null(-1).to_numpy(), table["lone"].to_numpy()
+    at = np.minimum(np.searchsorted(row, above), len(row) - 1)
+    inside = row[at] == above
+    top, level, lone = np.where(inside, at, np.arange(len(row))), inside.astype(np.int64), own | ~inside
+    for _ in range(len(row).bit_length()):
+        far = top[top]
+        if (far == top).all():
+            break
+        level, lone, top = level + level[top], lone & lone[top], far
+    ring = inside[top]
+    top, level, lone = np.where(ring, np.arange(len(row)), top), np.where(ring, 0, level), lone | ring
+    out = above[top] >= 0
+    rise = lambda name, high: pc.if_else(pa.array(out), table[high].take(top), table[name].take(top))
+    given = {"row": table["row"], "id": table["id"], "above": table["above"], "to": pa.array(above[top], mask=~out), "level": pa.array((level + out).astype(np.int32)), "lone": pa.array(lone & (own[top] | ~out))}
+    return pa.table({**given, "root": rise("id", "up"), "root_row": rise("row", "above")})
 
 
 def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -177,53 +205,62 @@ def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str | None
     rows; then rows with a null, empty or repeated id (``is_extra``). Roots have no parent (null or empty) or one that is
     not there. Rows are ordered by (doc_id, rec_idx), or by ``position``, ties by id.
 
-    Rows of one level stand in the order of their paths from the root. Both come by doubling: a row knows how far up it has
-    looked and its rank among all rows by the part of the path below that; joined with the row it looks up to, it sees twice
-    as far, and a sort over ranges ranks it anew by (rank above, own rank). A chain of n rows takes log2(n) rounds, a
-    row is a few numbers in each, whatever its depth, and rows whose path is whole take no further part. An empty table
-    gives empty tables; columns named like an added one give way.
+    Rows of one level stand in the order of their roots, those of one root in the order of their paths. Rows are numbered in
+    their order; a row first climbs inside its range of numbers, then by doubling: joined with the row it looks up to, it
+    sees twice as far. Only rows that others look up to are joined. A row whose way from the root has no siblings is the
+    only one of its level and root; the others are ranked by doubling too, where a sort over ranges ranks each anew by (rank
+    above, own rank). A chain of n rows takes log2(n) rounds at most, a row is a few numbers in each, whatever its depth,
+    and rows whose path is whole take no further part. An empty table gives empty tables; columns named like an added one
+    give way.
     """
     added = ["order", "level", "root", "is_extra"]
     df = without(df, added)
-    again, mine, first = unused(df, "again", "id", "first")
+    again, shared, mine, first = unused(df, "again", "shared", "id", "first")
     at = place(df) if position is None else F.struct(col(position).alias("rec_idx"))
     usable = ~is_null_or_empty(col(id_col))
-    least = df.where(usable).groupBy(col(id_col).alias(mine)).agg(F.min(at).alias(first))
-    keyed = joined(df.where(usable), least, {id_col: mine}, "inner")
-    keyed = keyed.select(*[col(c) for c in df.columns], (at > col(first)).alias(again))
+    many = df.where(usable).groupBy(col(id_col).alias(mine)).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(shared)).where(col(shared) > 1).drop(shared)
+    keyed = joined(df.where(usable), save(many, "repeated-ids"), {id_col: mine})  # only repeated ids meet the rows
+    keyed = keyed.select(*[col(c) for c in df.columns], F.coalesce(at > col(first), F.lit(False)).alias(again), col(first).isNotNull().alias(shared))
     parent = F.when(~is_null_or_empty(col(parent_col)), col(parent_col))
-    own = keyed.where(~col(again)).select(col(id_col).alias("id"), parent.cast(df.schema[id_col].dataType).alias("up"), parent.alias("said"), at.alias("at"))
-    own = own.dropDuplicates(["id"])  # rows of one id at one place are one node
-    ids = own.select(F.col("id").alias("up"), F.lit(True).alias("there"))
-    with_up = own.where("up IS NOT NULL").join(ids, "up", "left")
-    missing = with_up.where("there IS NULL").select(F.col("said").alias("missing_parent")).distinct()
-    start = own.where("up IS NULL").select("id", "up", "at").unionByName(with_up.select("id", F.when(F.col("there"), F.col("up")).alias("up"), "at"))
-    nodes = _in_order(start, [F.col("at"), F.col("id")], "rank").select("id", "up", "rank", F.col("rank").alias("row"), F.lit(0).alias("level"), F.col("id").alias("root"))
-    nodes = nodes.select("id", "up", "rank", "row", F.when(F.col("up").isNull(), 0).otherwise(1).alias("level"), F.coalesce("up", "id").alias("root"))
-    whole, left = [nodes.where("up IS NULL")], nodes.where("up IS NOT NULL")
-    # a row's path is known below ``up``, which is ``level`` rows above it; ``root`` is the highest row it has seen
-    known, open_ = nodes, None
+    own = lambda part: keyed.where(part & ~col(again)).select(col(id_col).alias("id"), parent.cast(df.schema[id_col].dataType).alias("up"), parent.alias("said"), at.alias("at"))
+    start = own(~col(shared)).unionByName(own(col(shared)).dropDuplicates(["id"]))  # rows of one id at one place are one node
+    nodes = _in_order(start, [F.col("at"), F.col("id")], "row", ["id", "up", "said"])
+    below = nodes.where("up IS NOT NULL")
+    ids = nodes.select(F.col("id").alias("up"), F.col("row").alias("above")).join(below.groupBy("up").agg(F.count(F.lit(1)).alias("n")), "up")
+    with_up = below.join(ids, "up", "left")
+    missing = with_up.where("above IS NULL").select(F.col("said").alias("missing_parent")).distinct()
+    tops = nodes.where("up IS NULL").select("id", "up", "row", F.lit(None).cast("long").alias("above"), F.lit(True).alias("lone"))
+    linked = tops.unionByName(with_up.select("id", F.when(F.col("above").isNotNull(), F.col("up")).alias("up"), "row", "above", F.coalesce(F.col("n") == 1, F.lit(True)).alias("lone")))
+    id_type = nodes.schema["id"].dataType
+    schema = T.StructType([T.StructField(n, t) for n, t in (("row", T.LongType()), ("id", id_type), ("above", T.LongType()), ("to", T.LongType()), ("level", T.IntegerType()), ("lone", T.BooleanType()), ("root", id_type), ("root_row", T.LongType()))])
+    known = save(linked.groupBy(F.shiftright("row", 33).alias("range")).applyInArrow(_climbed, schema), "tree-climbed")  # a range is what one task sorted
+    whole, left, open_ = [known.where("to IS NULL")], known.where("to IS NOT NULL"), None
     while True:
         n = left.count()
         if n in (0, open_):  # those that stay are on or behind a cycle
             break
         open_ = n
-        above = known.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("rank").alias("high"), F.col("level").alias("more"), F.col("root").alias("top"))
-        moved = left.join(above, "up").select("id", F.col("next").alias("up"), "high", F.col("rank").alias("low"), "row", (F.col("level") + F.col("more")).alias("level"), F.col("top").alias("root"))
-        ranked = _in_order(moved, [F.col("high"), F.col("low")], "rank").drop("high", "low")
-        done, left = ranked.where("up IS NULL"), ranked.where("up IS NOT NULL")
-        whole.append(done)
+        wanted = save(left.select(F.col("to").alias("row")).distinct(), "tree-wanted")
+        above = save(known.join(wanted, "row", "left_semi").select(F.col("row").alias("to"), F.col("to").alias("next"), F.col("level").alias("more"), F.col("lone").alias("still"), F.col("root").alias("top"), F.col("root_row").alias("top_row")), "tree-above")
+        moved = left.join(above, "to").select("row", "id", "above", F.col("next").alias("to"), (F.col("level") + F.col("more")).alias("level"), (F.col("lone") & F.col("still")).alias("lone"), F.col("top").alias("root"), F.col("top_row").alias("root_row"))
+        moved = save(moved, "tree-climbed")
+        whole.append(moved.where("to IS NULL"))
+        left = moved.where("to IS NOT NULL")
         known = union(whole).unionByName(left)
-    walk = union(whole).select("id", F.lit(0).alias("kind"), "level", "rank", "root")
-    rings = left.select("id", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("level"), F.col("row").alias("rank"), F.lit(None).cast(nodes.schema["root"].dataType).alias("root"))
+    trees = union(whole)
+    crooked = trees.where(~F.col("lone"))
+    ranked = _ranked(crooked.select("row", "above"))
+    told = ["id", F.lit(0).alias("kind"), "level", "root_row", "rank", "root"]
+    walk = trees.where("lone").withColumn("rank", F.lit(0).cast("long")).select(*told).unionByName(crooked.join(ranked, "row").select(*told))
+    rings = left.select("id", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("level"), F.lit(0).cast("long").alias("root_row"), F.col("row").alias("rank"), F.lit(None).cast(id_type).alias("root"))
     placed = keyed.where(~col(again)).select(*[col(c) for c in df.columns])
-    kind, level, rank, root, id_ = unused(df, "kind", "level", "rank", "root", "id")
-    node = walk.unionByName(rings).select(F.col("id").alias(id_), F.col("kind").alias(kind), F.col("level").alias(level), F.col("rank").alias(rank), F.col("root").alias(root))
+    kind, level, root_row, rank, root, id_ = unused(df, "kind", "level", "root_row", "rank", "root", "id")
+    node = walk.unionByName(rings).select(F.col("id").alias(id_), F.col("kind").alias(kind), F.col("level").alias(level), F.col("root_row").alias(root_row), F.col("rank").alias(rank), F.col("root").alias(root))
     good = joined(placed, node, {id_col: id_})
     extra = keyed.where(col(again)).select(*[col(c) for c in df.columns]).unionByName(df.where(~usable))
-    extra = also(extra, **{kind: F.lit(2), level: F.lit(None).cast("int"), rank: F.lit(0).cast("long"), root: F.lit(None).cast(nodes.schema["root"].dataType)})
+    extra = also(extra, **{kind: F.lit(2), level: F.lit(None).cast("int"), root_row: F.lit(0).cast("long"), rank: F.lit(0).cast("long"), root: F.lit(None).cast(id_type)})
     (no,) = unused(good, "no")
-    sorted_ = _in_order(good.unionByName(extra), [col(kind), col(level), col(rank), at], no)
+    sorted_ = _in_order(good.unionByName(extra), [col(kind), col(level), col(root_row), col(rank), at], no, [*df.columns, kind, level, root])
     part = F.shiftright(col(no), 33)
     sizes = sorted_.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))  # a row a task
     before = sizes.select(F.col("part").alias("\0part"), F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("\0before"))
@@ -232,6 +269,22 @@ def topo_sort(df: DataFrame, id_col: str, parent_col: str, position: str | None
     return out.select(*[col(c) for c in df.columns], order.alias("order"), col(level).alias("level"), col(root).alias("root"), (col(kind) == 2).alias("is_extra")), missing
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """(row, above) without cycles -> (row, rank): rows equally far below one that isn't among them are ranked by their paths from there."""
+    known = rows.join(rows.select(F.col("row").alias("above"), F.lit(True).alias("there")), "above", "left")
+    known = save(known.select("row", F.when(F.col("there"), F.col("above")).alias("up"), F.col("row").alias("rank")), "tree-order")
+    whole, left = [known.where("up IS NULL")], known.where("up IS NOT NULL")
+    # a row's path is known below ``up``
+    while not left.isEmpty():
+        above = known.select(F.col("row").alias("up"), F.col("up").alias("next"), F.col("rank").alias("high"))
+        moved = left.join(above, "up").select("row", F.col("next").alias("up"), "high", F.col("rank").alias("low"))
+        ranked = _in_order(moved, [F.col("high"), F.col("low")], "rank", ["row", "up"])
+        whole.append(ranked.where("up IS NULL"))
+        left = ranked.where("up IS NOT NULL")
+        known = union(whole).unionByName(left)
+    return union(whole).select("row", "rank")
+
+
 def cap(df: DataFrame, order: list[str | Column], n: int = 50) -> tuple[DataFrame, DataFrame]:
     """(first n rows in order, their total)."""
     return df.orderBy(*order).limit(n), df.agg(F.count(F.lit(1)).alias("total"))

@@ -191,6 +191,36 @@ def test_order_of_a_breadth_first_walk(spark):
     assert quality.topo_sort(df.limit(0), "id", "up")[0].count() == 0
 
 
+def test_chains_are_not_sorted_each_round(spark, monkeypatch):
+    """Rows of several ranges: chains through all of them, branches below chains, rings inside a range and across."""
+    r, old, sorts = random.Random(4), quality._in_order, []
+    monkeypatch.setattr(quality, "_in_order", lambda *a: sorts.append(1) or old(*a))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # ranges stay apart
+    try:
+        for branches, n in ((0, 300), (3, 300)):
+            ups = [k - 1 if k % 100 else None for k in range(n)]
+            ups = [r.randrange(n) if branches and r.random() < 0.3 else u for u in ups]
+            place = list(range(n))
+            r.shuffle(place)  # of each row: chains lead through all ranges
+            ups += [n + 1, n, n + 3, n + 4, n + 2, n + 4]
+            place += range(n, n + 6)
+            rows = [(("d", place[k]), f"n{k}", None if u is None else f"n{u}") for k, u in enumerate(ups)]
+            df = spark.createDataFrame([(d, k, i, u) for (d, k), i, u in rows], "doc_id string, rec_idx long, id string, up string")
+            sorts.clear()
+            got = quality.topo_sort(df, "id", "up")[0].orderBy("order").collect()
+            assert [(x.doc_id, x.rec_idx) for x in got] == walk(rows)
+            up = {i: u for _, i, u in rows}
+            for x in got:
+                i, level = x.id, 0
+                while up[i] is not None and level <= n:
+                    i, level = up[i], level + 1
+                assert (x.level, x.root) == ((None, None) if level > n else (level, i))
+            assert branches or len(sorts) == 2  # the numbering of rows and the result
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def insert(rows, keys, parents):
     """Rows one by one, as a database takes them."""
     held, inside = [set() for _ in keys], []
