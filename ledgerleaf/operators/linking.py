@@ -455,14 +455,19 @@ def retry_feedback(issues: DataFrame, groups: DataFrame, specs: dict[str, TableS
     own = ["doc_id", "rec_idx"] if "doc_id" in issues.columns or "doc_ids" in groups.columns else ["rec_idx"]
     first = issues.select("table", *identity(issues), F.lit(0).alias("kind"), at.cast("long").alias("seq"), F.concat("field", F.lit(": "), "message").alias("message"))
     named = F.array_join(F.transform(F.split("key_fields", ","), lambda c, i: F.concat(c, F.lit("="), F.get("values", i))), ", ")
-    said = F.format_string(REPEATED, F.array_join(F.split("key_fields", ","), ", "), named)
+    before, between, after = REPEATED.split("%s")
+    said = F.concat(F.lit(before), F.array_join(F.split("key_fields", ","), ", "), F.lit(between), named, F.lit(after))
     # groups are told in the order of their first rows, ties by the key's columns
     order = F.struct(*[c for c in ("first_doc_id", "first") if c in groups.columns], "key_fields")
     row = F.explode(F.arrays_zip("doc_ids", "rows") if "doc_ids" in groups.columns else F.transform("rows", lambda x: F.struct(x.alias("rows")))).alias("r")
-    second = groups.select("table", row, F.lit(1).alias("kind"), order.alias("order"), said.alias("message"))
+    groups = groups.withColumns({"order": order, "message": said})  # once a group, not once a row
+    second = groups.select("table", row, F.lit(1).alias("kind"), "order", "message")
     second = second.select("table", *[F.col("r.doc_ids").alias("doc_id")] * ("doc_ids" in groups.columns), F.col("r.rows").alias("rec_idx"), "kind", "order", "message")
     per = first.withColumn("order", F.lit(None).cast(second.schema["order"].dataType)).unionByName(second.withColumn("seq", F.lit(None).cast("long")), allowMissingColumns=True)
-    per = per.groupBy("table", *own).agg(F.array_sort(F.collect_list(F.struct("kind", "seq", "order", "message"))).alias("m"))
+    # a record's messages meet in one shuffle and one sort, by what tells records apart soonest
+    record = W.partitionBy(*reversed(own), "table").orderBy("kind", "seq", "order", "message")
+    every = F.collect_list(F.struct("message")).over(record.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    per = per.select("table", *own, every.alias("m"), F.row_number().over(record).alias("\0n")).where(F.col("\0n") == 1)
     step = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])[F.col("table")] if targets else F.lit(None).cast("string")
-    out = per.select("table", *own, F.transform("m", lambda x: x["message"]).alias("messages")).withColumns({"text": F.array_join("messages", " "), "target": step})
+    out = per.select("table", *own, F.col("m.message").alias("messages")).withColumns({"text": F.array_join("messages", " "), "target": step})
     return out if only is None else out.where(F.col("target").isin(*only))

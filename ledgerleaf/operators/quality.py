@@ -54,6 +54,7 @@ def fk_issues(tables: Tables, specs: dict[str, TableSpec] = SPECS) -> DataFrame:
             blank = F.lit(None) if fk.optional else shape("missing", F.lit("missing required FK value"))
             not_found = shape("not_found", F.concat(F.lit("value "), value, F.lit(f" not found in {fk.target}")))
             issues.append(F.when(is_null_or_empty(value), blank).when(col(f"\0lost{k}"), not_found))
+        now = now.where(F.coalesce(*issues).isNotNull())  # most rows have none
         each = now.select(F.lit(name).alias("table"), *[col(c) for c in identity(rows)], F.explode(F.array_compact(F.array(*issues))).alias("i"))
         found.append(each.select("table", *identity(rows), "i.field", "i.value", "i.kind", "i.message"))
     return union(found) if found else _nothing("table string, rec_idx long, field string, value string, kind string, message string")
@@ -67,8 +68,8 @@ def _nothing(schema: str) -> DataFrame:
 def duplicate_groups(tables: Tables, rules: dict[str, list[tuple[str, ...]]], max_groups: int | None = 50) -> DataFrame:
     """(table, key_fields, key, values, first, rows[, first_doc_id, doc_ids]): rows that share a complete key; the first ``max_groups`` by table and first row (none: all).
 
-    Groups are counted before their row numbers are gathered, so only real duplicates are collected; a group's row numbers
-    are one list, as its readers want it, in the order of (doc_id, rec_idx), and ``doc_ids`` tells each row's document. Rows
+    Rows are shuffled by their key once; groups are counted there before their row numbers are gathered, so only real
+    duplicates are collected; a group's row numbers are one list, as its readers want it, in the order of (doc_id, rec_idx), and ``doc_ids`` tells each row's document. Rows
     with a null or empty part of a key are in no group; without rules, or tables they are for, there are no groups.
     """
     found = []
@@ -77,8 +78,8 @@ def duplicate_groups(tables: Tables, rules: dict[str, list[tuple[str, ...]]], ma
             df = tables[name]
             named = [f"\0k{k}" for k in range(len(key))]
             slim = df.where(all_of([~is_null_or_empty(col(k)) for k in key])).select(place(df).alias("\0at"), *[col(k).alias(n) for k, n in zip(key, named)])
-            many = slim.groupBy(*map(col, named)).agg(F.count(F.lit(1)).alias("\0n")).where(col("\0n") > 1).drop("\0n")
-            rows = joined(slim, many, {n: n for n in named}, "left_semi").groupBy(*map(col, named)).agg(F.array_sort(F.collect_list(col("\0at"))).alias("at"))
+            many = slim.withColumn("\0n", F.count(F.lit(1)).over(W.partitionBy(*map(col, named)))).where(col("\0n") > 1)
+            rows = many.groupBy(*map(col, named)).agg(F.sort_array(F.collect_list(col("\0at"))).alias("at"))
             text = [col(n).cast("string") for n in named]
             doc = [F.col("at.doc_id").alias("doc_ids"), F.get("at.doc_id", F.lit(0)).alias("first_doc_id")] if "doc_id" in df.columns else []
             found.append(rows.select(F.lit(order).alias("\0t"), F.get("at", F.lit(0)).alias("\0first"), F.lit(name).alias("table"), F.lit(",".join(key)).alias("key_fields"), F.concat_ws("|", *text).alias("key"), F.array(*text).alias("values"), F.get("at.rec_idx", F.lit(0)).alias("first"), F.col("at.rec_idx").alias("rows"), *doc))

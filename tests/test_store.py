@@ -221,6 +221,22 @@ def test_chains_are_not_sorted_each_round(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def test_feedback_takes_one_shuffle(spark):
+    """Rows meet by their key once, messages by their record once; lists aren't built before they are shuffled."""
+    steps = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    df, rule = two(spark), {"t": [("k", "y")]}
+    assert steps(quality.duplicate_groups({"t": df}, rule, None)).count("Exchange hashpartitioning") == 1
+    spec = {"t": TableSpec("t", "id", (Fk("a", "p"), Fk("b", "p")))}
+    issues = spark.createDataFrame([("t", "d1", 1, f, m) for f, m in (("b", "no"), ("a", "lost"), ("a", None))], "table string, doc_id string, rec_idx long, field string, message string")
+    groups = spark.createDataFrame([("t", k, v, "d1", n, [n, 1], ["d1", "d1"]) for k, v, n in (("y,z", ["1", "2"], 0), ("x", ["3"], 0), ("w", ["4"], -1))], "table string, key_fields string, values array<string>, first_doc_id string, first long, rows array<long>, doc_ids array<string>")
+    got = linking.retry_feedback(issues, groups, spec, {})
+    assert steps(got).count("Exchange hashpartitioning") == 1 and "ObjectHashAggregate" not in steps(got)
+    said = {r.rec_idx: r for r in got.collect()}
+    keys = [linking.REPEATED % x for x in (("w", "w=4"), ("x", "x=3"), ("y, z", "y=1, z=2"))]
+    assert said[1].messages == [None, "a: lost", "b: no", *keys] and said[1].text == " ".join(["a: lost", "b: no", *keys])
+    assert said[0].messages == keys[1:] and said[-1].messages == keys[:1] and len(said) == 3
+
+
 def insert(rows, keys, parents):
     """Rows one by one, as a database takes them."""
     held, inside = [set() for _ in keys], []
