@@ -578,9 +578,10 @@ def read_lists(spark, sf_dir):
     """Orders written as one JSON list for each priority, with marks inside strings and prices of three places, and read back as written."""
     o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(15,2)").alias("price"))
     text_ = F.format_string('{"o_orderkey": %d, "status": "%s,\\"[]",\n "price": %s0}', F.col("o_orderkey").cast("long"), "o_orderstatus", F.col("price").cast("string"))
-    last = F.lead("o_orderkey").over(W.partitionBy("o_orderpriority").orderBy("o_orderkey")).isNull()  # a file is written by one task
-    first = F.lag("o_orderkey").over(W.partitionBy("o_orderpriority").orderBy("o_orderkey")).isNull()
-    lines = o.select(F.ascii("o_orderpriority").alias("list"), F.concat(F.when(first, "[ ").otherwise(""), text_, F.when(last, " ]").otherwise(" ,")).alias("value"))
+    # a file is written by one task, in the order of the windows: the writer sorts anew by any other, and where that sort spills, rows of a list change places
+    every = W.partitionBy("list").orderBy("o_orderkey")
+    first, last = (f("o_orderkey").over(every).isNull() for f in (F.lag, F.lead))
+    lines = o.select(F.ascii("o_orderpriority").alias("list"), "o_orderkey", text_.alias("text")).select("list", F.concat(F.when(first, "[ ").otherwise(""), "text", F.when(last, " ]").otherwise(" ,")).alias("value"))
     folder = sources.new_folder(spark, "lists")
     lines.write.partitionBy("list").text(folder)
     got = sources.read_table(spark, folder)

@@ -2,6 +2,9 @@
 
 import json
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,3 +68,19 @@ def test_no_task_sorts_a_whole_range(spark, tmp_path):
     assert max(sizes) <= 4096 and sum(sizes) == 21000  # one range of the file
     got = tables.read_table(spark, str(tmp_path)).orderBy("rec_idx").collect()
     assert [json.loads(x.raw) for x in got] == rows and [x.rec_idx for x in got] == list(range(7000))
+
+
+SPILLING = """
+import sys
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", f"file://{sys.argv[1]}/shared").config("spark.driver.memory", "2g").config("spark.shuffle.spill.numElementsForceSpillThreshold", "200").getOrCreate()
+import __spark_entry__
+got = __spark_entry__.queries()["read_lists"](s, "/root/testdata/sf0.001")
+want = s.read.parquet("/root/testdata/sf0.001/orders.parquet").selectExpr("'list=' || ascii(o_orderpriority) AS doc_id", "row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1L AS rec_idx", "o_orderkey")
+assert sorted(got.select("doc_id", "rec_idx", "o_orderkey").collect()) == sorted(want.collect())
+"""
+
+
+def test_lists_are_written_in_order_where_sorts_spill(tmp_path):
+    done = subprocess.run([sys.executable, "-c", SPILLING, str(tmp_path)], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
