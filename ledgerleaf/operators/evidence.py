@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -88,6 +88,50 @@ def _scanner(texts_of: Broadcast | None) -> Callable[[pa.Table, pa.Table], pa.Ta
     return scan
 
 
+def quotes_in_all(quotes: DataFrame, docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) x quotes (quote, ...) -> (doc_id, the quotes' columns, ``found``): whether each quote of one list is in each document, as ``quotes_found`` tells.
+
+    Every row of ``docs`` is scanned once where it lies, for all quotes at once; nothing is shuffled, and quotes meet texts as
+    numbers. The list goes to every task up to ``FEW`` bytes; beyond that documents ask for its quotes one by one.
+    """
+    quotes = without(quotes, ["doc_id", "found"])
+    own = [col(c) for c in quotes.columns]
+    norm, no, hits, row = unused(quotes, "norm", "no", "hits", "row")
+    known = save(also(quotes, **{norm: normalize_for_match(col("quote")), no: F.monotonically_increasing_id()}), "quotes-of-all")
+    width = sum((F.coalesce(F.octet_length(col(c).cast("string")), F.lit(0)) for c in (*[c for c, kind in quotes.dtypes if kind == "string"], norm)), F.lit(64))
+    if (known.agg(F.sum(width)).first()[0] or 0) > FEW:
+        rows = save(docs.select(F.monotonically_increasing_id().alias(row), "doc_id", "text"), "documents-asked")  # several may have one doc_id
+        asked = rows.select(col(row).alias("doc_id"), F.struct("doc_id").alias("of")).crossJoin(known.select(F.struct(*own).alias("q"), col("quote").alias("quote")))
+        got = quotes_found(asked, rows.select(col(row).alias("doc_id"), "text"))
+        return got.select("of.doc_id", *[F.col("q").getField(c).alias(c) for c in quotes.columns], "found")
+    numbers: dict[str, list[int]] = {}
+    for r in known.where(col(norm) != "").select(col(no).alias("no"), col(norm).alias("norm")).collect():  # FEW bytes at most
+        numbers.setdefault(r.norm, []).append(r.no)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    scan = _scanned(quotes.sparkSession.sparkContext.broadcast(numbers), hits)
+    seen = docs.select("doc_id", normalize_for_match(F.col("text")).alias("text")).mapInArrow(scan, f"doc_id {kind}, `{hits}` array<long>")
+    return seen.crossJoin(F.broadcast(known)).select("doc_id", *own, F.array_contains(col(hits), col(no)).alias("found"))
+
+
+def _scanned(numbers: Broadcast, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(doc_id, text) -> (doc_id, numbers of the quotes that one pass over the text meets)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = ahocorasick.Automaton()
+        for q, own in numbers.value.items():
+            machine.add_word(q, own)
+        if numbers.value:
+            machine.make_automaton()
+        for b in batches:
+            found = []
+            for text in (x.as_py() for x in b.column(1)):
+                met = {own[0]: own for _, own in machine.iter(text)} if text and numbers.value else {}
+                found.append([no for own in met.values() for no in own])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", name])
+
+    return run
+
+
 def verify_records(records: DataFrame, docs: DataFrame, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected). records (doc_id, rec_idx, and f, f_quote, f_confidence of each field); fields: name -> decimal, int, year or string.
 

@@ -815,9 +815,7 @@ def retry_links(spark, sf_dir):
 def quotes_scanned(spark, sf_dir):
     """Every passage of the benchmark in every document, whose text is scanned once for all of them."""
     d, b = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
-    every = b.agg(F.collect_list(F.struct("item_id", F.col("text").alias("quote"))).alias("q"))  # the benchmark is a fixed list
-    quotes = d.select("doc_id").join(F.broadcast(every), F.lit(True)).select("doc_id", F.explode("q").alias("q")).select("doc_id", "q.item_id", "q.quote")
-    return evidence.quotes_found(quotes, d, many=8).select("doc_id", "item_id", "found")
+    return evidence.quotes_in_all(b.select("item_id", F.col("text").alias("quote")), d).select("doc_id", "item_id", "found")
 
 
 @query("""SELECT 'orders' AS "table", count(*) FILTER (s) AS source_count, count(*) FILTER (t) AS target_count, count(*) FILTER (s AND t) AS matched, count(*) FILTER (s AND NOT t) AS missing, count(*) FILTER (t AND NOT s) AS extra,

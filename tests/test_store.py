@@ -451,6 +451,21 @@ def test_quotes_travel_as_numbers(spark, monkeypatch, few):
     assert got.count() == 100 and "no#" in plan  # rows meet by numbers, not by texts
 
 
+@pytest.mark.parametrize("few", [0, 4 << 20])
+def test_one_list_of_quotes_in_all_documents(spark, monkeypatch, few):
+    monkeypatch.setattr(evidence, "FEW", few)
+    texts = [(1, "Solar ROOFS and wind"), (1, "wind"), (2, None), (3, " "), (None, "solar roofs"), (4, "solar-\nroofs")]
+    asked = [("a", "solar  roofs"), ("b", "wind"), ("b", "Wind"), ("c", " "), ("d", None), ("e", "nowhere"), ("f", "s")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = evidence.quotes_in_all(spark.createDataFrame(asked, "item_id string, quote string"), docs)
+    plain = lambda t: " ".join(t.replace("-\n", " ").split()).lower() if t else ""
+    want = Counter((d, i, q, bool(plain(q)) and plain(q) in plain(t)) for d, t in texts for i, q in asked)
+    assert Counter(tuple(r) for r in got.select("doc_id", "item_id", "quote", "found").collect()) == want
+    if few:  # documents stay where they are
+        assert "Exchange hash" not in got._jdf.queryExecution().executedPlan().toString()
+    assert evidence.quotes_in_all(spark.createDataFrame([], "item_id string, quote string"), docs).count() == 0
+
+
 def test_records_given_twice(spark):
     docs = spark.createDataFrame([("d", "Target 2030")], "doc_id string, text string")
     claims = spark.createDataFrame([("d", 0, "2030", "Target 2030", 0.9), ("d", 0, "2030", "2030", 0.5)], "doc_id string, rec_idx int, y string, y_quote string, y_confidence double")
