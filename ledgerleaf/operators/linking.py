@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -181,6 +186,27 @@ def _set_scores(own: DataFrame, opts: DataFrame, min_score: float, scorer: Score
     return sums.select("r", "o", (scorer or _overlap)(F.col("shared"), F.col("total"), F.col("of")).alias("score")).where(F.col("score") >= min_score)
 
 
+class LinkSets(NamedTuple):
+    """Scores of records and options by their sets of tokens, each once: rows (doc_id, rec_idx, r), ids (doc_id, id, o), scores (doc_id, r, o, score)."""
+
+    rows: DataFrame
+    ids: DataFrame
+    scores: DataFrame
+
+    def pairs(self) -> DataFrame:
+        """(doc_id, rec_idx, id, score): a row for each record and option, whose sets may be shared by many of either."""
+        scored = self.rows.join(self.scores.drop("doc_id"), "r")
+        return scored.join(self.ids.select("id", "o"), "o").groupBy("doc_id", "rec_idx", "id").agg(F.max("score").alias("score"))
+
+
+def link_sets(records: DataFrame, options: DataFrame, min_score: float = 0.2, scorer: Scorer | None = None, weights: DataFrame | None = None) -> LinkSets:
+    """``link_scores`` by sets of tokens: as many scores as different sets meet, however many records and options have them."""
+    rows, own = _classes(records, ["doc_id", "rec_idx"], "text")
+    ids, opts = _classes(options, ["doc_id", "id"], "label")
+    scores = _set_scores(own, opts, min_score, scorer, weights).join(own.select("doc_id", F.col("c").alias("r")), "r").select("doc_id", "r", "o", "score")
+    return LinkSets(rows.withColumnRenamed("c", "r"), ids.withColumnRenamed("c", "o"), scores)
+
+
 def link_scores(records: DataFrame, options: DataFrame, min_score: float = 0.2, scorer: Scorer | None = None, weights: DataFrame | None = None) -> DataFrame:
     """(doc_id, rec_idx, id, score): all options of a record that share a token with it and reach the score.
 
@@ -189,10 +215,7 @@ def link_scores(records: DataFrame, options: DataFrame, min_score: float = 0.2,
     carry their totals, so one join and one sum over the shared tokens give the score. Of several texts of a record, and
     several labels of an option, the best counts.
     """
-    rows, own = _classes(records, ["doc_id", "rec_idx"], "text")
-    ids, opts = _classes(options, ["doc_id", "id"], "label")
-    scored = rows.withColumnRenamed("c", "r").join(_set_scores(own, opts, min_score, scorer, weights), "r")
-    return scored.join(ids.select("id", F.col("c").alias("o")), "o").groupBy("doc_id", "rec_idx", "id").agg(F.max("score").alias("score"))
+    return link_sets(records, options, min_score, scorer, weights).pairs()
 
 
 def _rarest(postings: DataFrame, key: str, options: DataFrame, min_score: float) -> DataFrame:
@@ -350,7 +373,96 @@ def settle_links(candidates: DataFrame, held: DataFrame | None = None, group: tu
         asking = asks.select(*choice).withColumn("round", F.lit(n + 1))
 
 
-def retry_links(records: DataFrame, field: str, candidates: DataFrame, targets: DataFrame, unique: tuple[str, ...] | None = None, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
+def settle_sets(sets: LinkSets) -> DataFrame:
+    """``settle_links`` of the sets' pairs, which are never made: (doc_id, rec_idx, id, score, round).
+
+    Both sides rank by the same score, so the one stable matching settles score by score, best first: of those still free,
+    each record in its order takes the smallest id of that score. A document is settled by one task, which holds its
+    records, its options and the scores of its sets. ``round``: which of the document's scores it was. Where documents share
+    ids, or rec_idx is no whole number, pairs are made.
+    """
+    shared = sets.ids.select("doc_id", "id").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    kinds = {c: sets.rows.schema[c].dataType.simpleString() for c in ("doc_id", "rec_idx")}
+    if kinds["rec_idx"] not in ("bigint", "int", "smallint", "tinyint") or not shared.isEmpty():
+        return settle_links(sets.pairs())
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = sets.rows.select("doc_id", F.lit(0).alias("kind"), F.col("rec_idx").cast("long").alias("a"), F.col("r").alias("b"), none("string").alias("id"), none("double").alias("score"))
+    ids = sets.ids.select("doc_id", F.lit(1), none("long"), "o", F.col("id").cast("string"), none("double"))
+    scores = sets.scores.select("doc_id", F.lit(2), "r", "o", none("string"), F.col("score").cast("double"))
+    settled = rows.union(ids).union(scores).groupBy("doc_id").applyInArrow(_settled, f"doc_id {kinds['doc_id']}, rec_idx long, id string, score double, round int")
+    return settled.withColumn("rec_idx", F.col("rec_idx").cast(kinds["rec_idx"]))
+
+
+def _settled(table: pa.Table) -> pa.Table:
+    """A document's records, ids and scores -> who gets what."""
+    kind = table.column("kind").to_numpy()
+    records, options, scores = (table.filter(pa.array(kind == k)) for k in range(3))
+    names = pc.unique(options.column("id").drop_null())
+    names = names.take(pc.sort_indices(names))
+    number = pc.index_in(options.column("id"), value_set=names).combine_chunks().fill_null(-1).to_numpy(zero_copy_only=False)
+    rec_idx, place = np.unique(records.column("a").to_numpy(), return_inverse=True)
+
+    def lists(keys: np.ndarray, values: np.ndarray) -> dict[int, np.ndarray]:
+        """The values of each key, in order and each once."""
+        keys, values = np.unique(np.stack([keys, values]), axis=1) if len(keys) else (keys, values)
+        heads = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1 if len(keys) else 0))
+        return dict(zip(keys[heads].tolist(), np.split(values, heads[1:])))
+
+    of_set = lists(records.column("b").to_numpy(), place)
+    real = number >= 0
+    ids_of = {o: own.tolist() for o, own in lists(options.column("b").to_numpy()[real], number[real]).items()}
+    next_, taken = dict.fromkeys(ids_of, 0), bytearray(len(names))
+    got, at_score, at_round = np.full(len(rec_idx), -1), np.zeros(len(rec_idx)), np.zeros(len(rec_idx), np.int32)
+
+    def head(o: int) -> int:
+        """The smallest free id of a set, or -1."""
+        own, k = ids_of[o], next_[o]
+        while k < len(own) and taken[own[k]]:
+            k += 1
+        next_[o] = k
+        return own[k] if k < len(own) else -1
+
+    def first(heap: list[tuple[int, int]]) -> int:
+        """The smallest free id of a heap of sets, or -1; ids only go, so what it has is too small at most."""
+        while heap:
+            was, o = heap[0]
+            now = head(o)
+            if now == was:
+                return now
+            heapq.heapreplace(heap, (now, o)) if now >= 0 else heapq.heappop(heap)
+        return -1
+
+    r, o, score = (scores.column(c).to_numpy() for c in ("a", "b", "score"))
+    order = np.argsort(-score, kind="stable")
+    r, o, score = r[order], o[order], score[order]
+    edges = np.append(np.flatnonzero(np.diff(score, prepend=np.inf)), len(score)) if len(score) else np.zeros(1, np.int64)
+    for turn, (start, end) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist()), 1):
+        heaps: dict[int, list[tuple[int, int]]] = {}
+        for mine, other in zip(r[start:end].tolist(), o[start:end].tolist()):
+            if mine in of_set and other in ids_of and (now := head(other)) >= 0:
+                heaps.setdefault(mine, []).append((now, other))
+        if not heaps:
+            continue
+        for heap in heaps.values():
+            heapq.heapify(heap)
+        who = np.concatenate([of_set[x] for x in heaps])
+        sets = np.repeat(np.fromiter(heaps, np.int64, len(heaps)), [len(of_set[x]) for x in heaps])
+        free = np.flatnonzero(got[who] < 0)
+        free = free[np.argsort(who[free], kind="stable")]
+        done, best = -1, -1
+        for p, s in [*zip(who[free].tolist(), sets[free].tolist()), (-1, -1)]:
+            if p != done:  # a record of several sets comes once a set
+                if best >= 0:
+                    taken[best], got[done], at_score[done], at_round[done] = 1, best, score[start], turn
+                done, best = p, -1
+            if p >= 0 and (now := first(heaps[s])) >= 0:
+                best = now if best < 0 else min(best, now)
+    has = np.flatnonzero(got >= 0)
+    doc = table.column("doc_id")
+    return pa.table({"doc_id": pa.array([doc[0].as_py()] * len(has), doc.type), "rec_idx": rec_idx[has], "id": names.take(pa.array(got[has])).cast(pa.string()), "score": at_score[has], "round": pa.array(at_round[has], pa.int32())})
+
+
+def retry_links(records: DataFrame, field: str, candidates: DataFrame | LinkSets, targets: DataFrame, unique: tuple[str, ...] | None = None, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Links rows anew whose reference is bad; (rows, changes (doc_id, rec_idx, old, new, round)).
 
     Bad are rows whose ``field`` is blank or not among ``targets`` (id), and, where ``unique`` names the other columns of
@@ -358,8 +470,12 @@ def retry_links(records: DataFrame, field: str, candidates: DataFrame, targets:
     ``candidates`` (doc_id, rec_idx, id, score) in order, never for an id that isn't a target; of rows that share a key
     that of the best score keeps its id. With ``unique`` no key is given twice (``settle_links``), and a row without a free
     candidate gets null; without, each bad row gets its best candidate. A null in another column of the key makes the row
-    unique whatever its id. Candidates of good rows, and of rows that aren't there, are passed over.
+    unique whatever its id. Candidates of good rows, and of rows that aren't there, are passed over. Candidates may come by
+    sets of tokens (``link_sets``); where the id alone is the key and ``rounds`` is none, they stay so (``settle_sets``).
     """
+    sets = candidates if isinstance(candidates, LinkSets) and unique is not None and not unique and rounds is None else None
+    if sets is None and isinstance(candidates, LinkSets):
+        candidates = candidates.pairs()
     keys = ["doc_id", "rec_idx"]
     good_id, rows_id, many = unused(records, "good", "id", "many")
     known = targets.select(F.col("id").cast("string").alias("k")).where("k <> ''").distinct()
@@ -375,14 +491,18 @@ def retry_links(records: DataFrame, field: str, candidates: DataFrame, targets:
     bad = marked.where(~col(good_id))
     others = [col(c).alias(f"u{i}") for i, c in enumerate(unique or ())]
     group = [f"u{i}" for i in range(len(unique or ()))]
-    live = candidates.select(*keys, F.col("id").cast("string").alias("id"), "score").join(known.withColumnRenamed("k", "id"), "id", "left_semi")
-    asked = live.join(bad.select(*keys, *others).distinct(), keys)
-    if unique is None:
-        best = asked.groupBy(*keys).agg(F.min_by("id", F.struct(-F.col("score"), F.col("id"))).alias("new")).withColumn("round", F.lit(1))
+    held = marked.where(col(good_id)).select(value.alias("id"), *others)
+    if sets is not None:
+        ids = sets.ids.withColumn("id", F.col("id").cast("string")).join(known.withColumnRenamed("k", "id"), "id", "left_semi").join(held.where("id IS NOT NULL").distinct(), "id", "left_anti")
+        best = settle_sets(LinkSets(sets.rows.join(bad.select(*keys), keys, "left_semi"), save(ids, "ids-free"), sets.scores)).select(*keys, F.col("id").alias("new"), "round")
     else:
+        live = candidates.select(*keys, F.col("id").cast("string").alias("id"), "score").join(known.withColumnRenamed("k", "id"), "id", "left_semi")
+        asked = live.join(bad.select(*keys, *others).distinct(), keys)
+    if sets is None and unique is None:
+        best = asked.groupBy(*keys).agg(F.min_by("id", F.struct(-F.col("score"), F.col("id"))).alias("new")).withColumn("round", F.lit(1))
+    elif sets is None:
         whole = all_of([F.col(g).isNotNull() for g in group])
         free = asked.where(~whole).groupBy(*keys).agg(F.min_by("id", F.struct(-F.col("score"), F.col("id"))).alias("new")).withColumn("round", F.lit(1))
-        held = marked.where(col(good_id)).select(value.alias("id"), *others)
         best = settle_links(asked.where(whole), held, tuple(group), rounds).select(*keys, F.col("id").alias("new"), "round").unionByName(free)
     best = save(best, "links-new")
     new, turn = unused(records, "new", "round")

@@ -807,7 +807,7 @@ def retry_links(spark, sf_dir):
     p = table(spark, sf_dir, "part").withColumn("doc_id", F.col("p_partkey") % 50)
     records = p.select("doc_id", "rec_idx", F.when(F.col("p_partkey") % 3 > 0, F.concat("p_brand", F.lit("-"), F.col("p_partkey") % 2)).otherwise(F.col("p_partkey").cast("string")).alias("link"), "p_brand", "p_name")
     options = p.where("p_partkey % 4 > 0").select("doc_id", F.col("p_partkey").cast("string").alias("id"), F.concat_ws(" ", "p_type", "p_brand").alias("label"))
-    scored = linking.link_scores(records.select("doc_id", "rec_idx", F.concat_ws(" ", "p_brand", "p_name").alias("text")), options)
+    scored = linking.link_sets(records.select("doc_id", "rec_idx", F.concat_ws(" ", "p_brand", "p_name").alias("text")), options)
     return linking.retry_links(records.select("doc_id", "rec_idx", "link"), "link", scored, options.select("id"), ())[0]
 
 

@@ -405,6 +405,24 @@ def test_bad_links_are_made_anew(spark):
     assert {(x.doc_id, x.rec_idx): x.link for x in plain.collect()}[("d", 2)] == "t1" and plain.count() == len(rows)
 
 
+@pytest.mark.parametrize("shared", [False, True])
+def test_links_settled_by_sets_are_those_settled_by_pairs(spark, monkeypatch, shared):
+    r = random.Random(7)
+    word = lambda: r.choice(["solar", "wind", "roof", "bus", "tree"])
+    texts = [(f"d{k % 3}", k // 3, " ".join(word() for _ in range(r.randrange(0, 4)))) for k in range(150)] + [("d0", 3, "bus tree"), ("d1", 5, "solar")]
+    labels = [(f"d{k % 3}", f"o{k}", " ".join(word() for _ in range(r.randrange(1, 4)))) for k in range(120)] + [("d0", "o6", "wind"), ("d0", "ß1", "wind"), ("d0", "😀", "wind"), ("d1", None, "wind")] + [("d2", "o6", "bus")] * shared
+    records = spark.createDataFrame([(d, k, f"o{k}" if k % 5 == 0 else None) for d, k, _ in texts[:150]], "doc_id string, rec_idx int, link string")
+    sets = linking.link_sets(spark.createDataFrame(texts, "doc_id string, rec_idx int, text string"), spark.createDataFrame(labels, "doc_id string, id string, label string"))
+    targets = spark.createDataFrame([(o,) for _, o, _ in labels if o != "o7"], "id string")
+    plain = lambda df: sorted(map(tuple, df.collect()), key=str)
+    want = plain(linking.retry_links(records, "link", sets.pairs(), targets, ())[0])
+    if not shared:
+        monkeypatch.setattr(linking, "settle_links", None)  # no pair is made
+    out, changes = linking.retry_links(records, "link", sets, targets, ())
+    assert plain(out) == want and sum(link is not None for _, _, link in want) > 90
+    assert changes.count() > 90 and out.schema == records.schema
+
+
 def test_bounds_lose_no_best_option(spark):
     r = random.Random(2)
     word = lambda: r.choice(["the"] * 6 + ["of"] * 4 + [f"w{k}" for k in range(12)])
