@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # of one key, beyond which its rows are no single window
+FEW_ROWS = 100_000  # of a side of a join that Spark may send to every task
 
 #: A row is known by its document and its number there; tables of one document may do without doc_id.
 IDENTITY = ("doc_id", "rec_idx")
@@ -118,6 +119,16 @@ def save(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sorted_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as a side of a join that isn't sent to every task if it has more than ``FEW_ROWS``: Spark goes by the bytes of files, where keys take a small part of what they take in the driver."""
+    return df.hint("merge") if rows > FEW_ROWS else df
+
+
+def side(df: DataFrame) -> DataFrame:
+    """``sorted_side`` of a saved table, whose files tell how many rows it has."""
+    return sorted_side(df, df.count())
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the files of a table made by ``save`` that nothing will read again."""
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..frames import all_of, also, col, identity, joined, place, save, unused
+from ..frames import all_of, also, col, identity, joined, place, save, side, sorted_side, unused
 from ..functions.scalars import coerce, is_null_or_empty
 from ..sources.store import Store, key_value
 from ..specs import CITY_CHAIN, SPECS, TableSpec
@@ -114,14 +114,14 @@ def gate_by_city(tables: Tables, bad: DataFrame, **more) -> Tables:
     return city_scope(tables, good, **more)
 
 
-def _lost(values: DataFrame, parents: DataFrame | None, store: Store | None, target: str, pk: str, **at) -> DataFrame:
-    """Those of ``values`` (value) that neither an accepted parent nor one in the store has as its key."""
+def _lost(values: DataFrame, parents: DataFrame | None, many: int, store: Store | None, target: str, pk: str, **at) -> DataFrame:
+    """Those of ``values`` (value) that neither an accepted parent, of which there are up to ``many``, nor one in the store has as its key."""
     asked = values.where("value IS NOT NULL").distinct()
     if parents is not None:
-        asked = asked.join(parents.select(key_value([col(pk)]).alias("value")), "value", "left_anti")
+        asked = asked.join(sorted_side(parents.select(key_value([col(pk)]).alias("value")), many), "value", "left_anti")
     if store is not None:
         asked = save(asked, "values-asked")
-        asked = asked.join(store.stored(target, (pk,), asked, **at), "value", "left_anti")
+        asked = asked.join(sorted_side(store.stored(target, (pk,), asked, **at), asked.count()), "value", "left_anti")
     return save(asked, "values-lost")
 
 
@@ -133,7 +133,7 @@ def _repeated(ids: DataFrame, key: str) -> DataFrame | None:
     if not few:
         return None
     if 8 * few < ids.count():
-        keyed = keyed.join(twice, F.xxhash64(key) == F.col("h"), "left_semi")
+        keyed = keyed.join(sorted_side(twice, few), F.xxhash64(key) == F.col("h"), "left_semi")
     found = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("at", "no")).alias("first"))
     return save(found.where("many > 1").drop("many"), "keys-repeated")
 
@@ -147,9 +147,9 @@ def _first_wins(rows: DataFrame, keys: list[str]) -> DataFrame:
     inside, left = [], rows
     while True:
         mine = F.struct("at", "no")
-        now = left
+        now, many = left, left.count()
         for k in keys:
-            now = now.join(left.where(F.col(k).isNotNull()).groupBy(k).agg(F.min(mine).alias(f"first_{k}")), k, "left")
+            now = now.join(sorted_side(left.where(F.col(k).isNotNull()).groupBy(k).agg(F.min(mine).alias(f"first_{k}")), many), k, "left")
         wins = all_of([F.col(k).isNull() | (F.col(f"first_{k}") == mine) for k in keys])
         judged = save(now.select("no", "at", *keys, wins.alias("wins")), "rows-judged")
         won = judged.where("wins")
@@ -158,7 +158,7 @@ def _first_wins(rows: DataFrame, keys: list[str]) -> DataFrame:
             return won.select("no")
         left = judged.where("NOT wins")
         for k in keys:
-            left = left.join(won.where(F.col(k).isNotNull()).select(k), k, "left_anti")
+            left = left.join(sorted_side(won.where(F.col(k).isNotNull()).select(k), many), k, "left_anti")
         left = save(left.select("no", "at", *keys), "rows-left")
         if left.isEmpty():
             return union(inside)
@@ -177,12 +177,13 @@ def enforce_constraints(tables: Tables, specs: dict[str, TableSpec] = SPECS, sto
     tables: nothing accepted or rejected.
     """
     accepted: Tables = {}
-    rejected = []
+    rejected, sizes = [], {}
     at = {"version": version, "but": but}
     for name in [n for n in specs if n in tables]:
         spec, given = specs[name], tables[name]
         (no,) = unused(given, "no")
         rows = save(also(given, **{no: F.monotonically_increasing_id()}), "rows")
+        sizes[name] = rows.count()
         keys = {f"k{i}": key for i, key in enumerate([(spec.pk,), *spec.unique_keys]) if all(c in given.columns for c in key)}
         fks = {f"f{i}": fk for i, fk in enumerate(spec.fks) if fk.field in given.columns and (fk.target in accepted or fk.target == name or store is not None)}
         needed = [c for c, (_, required) in spec.columns.items() if required and c in given.columns and c != spec.pk]
@@ -191,8 +192,8 @@ def enforce_constraints(tables: Tables, specs: dict[str, TableSpec] = SPECS, sto
         lost = F.lit(None).cast("string")
         for n, fk in reversed(fks.items()):
             if fk.target != name:
-                gone = _lost(ids.select(F.col(n).alias("value")), accepted.get(fk.target), store, fk.target, specs[fk.target].pk, **at)
-                ids = joined(ids, gone.withColumn(f"{n}_lost", F.lit(True)), {n: "value"})
+                gone = _lost(ids.select(F.col(n).alias("value")), accepted.get(fk.target), sizes.get(fk.target, 0), store, fk.target, specs[fk.target].pk, **at)
+                ids = joined(ids, side(gone).withColumn(f"{n}_lost", F.lit(True)), {n: "value"})
                 lost = F.when(F.col(f"{n}_lost"), f"{fk.field} not in {fk.target}").otherwise(lost)
         ids = save(ids.select("no", "at", "hole", *keys, *fks, lost.alias("lost")), "row-keys")
         held, open_, clash = F.lit(None).cast("string"), F.col("hole").isNull() & F.col("lost").isNull(), F.lit(False)
@@ -202,10 +203,10 @@ def enforce_constraints(tables: Tables, specs: dict[str, TableSpec] = SPECS, sto
         if store is not None:
             for n, key in keys.items():
                 taken = save(store.stored(name, key, ids.select(F.col(n).alias("value")), **at), "keys-taken")
-                ids = joined(ids, taken.withColumn(f"{n}_taken", F.lit(True)), {n: "value"})
+                ids = joined(ids, side(taken).withColumn(f"{n}_taken", F.lit(True)), {n: "value"})
                 open_ = open_ & F.col(f"{n}_taken").isNull()
         for n in repeated:
-            ids = joined(ids, several[n].withColumnRenamed("first", f"{n}_first"), {n: n})
+            ids = joined(ids, side(several[n]).withColumnRenamed("first", f"{n}_first"), {n: n})
             clash = clash | F.col(f"{n}_first").isNotNull()
         for n in reversed(keys):
             earlier = F.col(f"{n}_first") < F.struct("at", "no") if n in repeated else F.lit(False)
@@ -215,14 +216,14 @@ def enforce_constraints(tables: Tables, specs: dict[str, TableSpec] = SPECS, sto
         clashing = judged.where("open").select("no", "at", *repeated)
         out = judged.select("no", "at", "reason")
         if repeated and not clashing.isEmpty():
-            out = out.join(_first_wins(clashing, repeated), "no", "left_anti")
+            out = out.join(sorted_side(_first_wins(clashing, repeated), sizes[name]), "no", "left_anti")
         out = save(out, "rows-rejected")
         for fk in fks.values():
             if fk.target == name:
-                kept = save(joined(rows, out, {no: "no"}, "left_anti"), "rows-unique")
-                lonely = _lonely(kept, no, spec.pk, fk.field, lambda asked: _lost(asked, None, store, name, spec.pk, **at))  # noqa: B023
+                kept = save(joined(rows, side(out), {no: "no"}, "left_anti"), "rows-unique")
+                lonely = _lonely(kept, no, spec.pk, fk.field, lambda asked: _lost(asked, None, 0, store, name, spec.pk, **at))  # noqa: B023
                 out = save(out.unionByName(lonely.select("no", "at", F.lit(f"{fk.field} not in {name}").alias("reason"))), "rows-rejected")
-        accepted[name] = joined(rows, out, {no: "no"}, "left_anti").select(*[col(c) for c in given.columns])
+        accepted[name] = joined(rows, side(out), {no: "no"}, "left_anti").select(*[col(c) for c in given.columns])
         rejected.append(out.select(F.lit(name).alias("table"), *[F.col("at").getField(c).alias(c) for c in identity(given)], "reason"))
     return accepted, union(rejected) if rejected else SparkSession.active().createDataFrame([], "table string, rec_idx long, reason string")
 

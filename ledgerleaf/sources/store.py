@@ -30,7 +30,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..frames import also, col, delete, exists, save, without
+from ..frames import FEW_ROWS, also, col, delete, exists, save, sorted_side, without
 from ..operators.quality import Tables
 from ..specs import SPECS, TableSpec
 
@@ -170,8 +170,11 @@ class Store:
         inside = F.col("bucket").isin(touched) & (F.col("key") == name)
         read = lambda kind, schema: self.spark.read.schema(schema).option("basePath", f"{self.folder}/{kind}").parquet(*[e["folder"] for e in folders if e["kind"] == kind]).where(inside)
         filters = read("bloom", "key string, word long, bits long, bucket int")
-        maybe = asked.join(filters, ["bucket", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select("bucket", "value").distinct()
-        return maybe.join(read("keys", "key string, value string, bucket int"), ["bucket", "value"], "left_semi").select("value")
+        many, keys = asked.count(), read("keys", "key string, value string, bucket int")
+        maybe = sorted_side(asked, many).join(filters, ["bucket", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select("bucket", "value").distinct()
+        if many > FEW_ROWS:
+            return sorted_side(maybe, many).join(keys, ["bucket", "value"], "left_semi").select("value")
+        return keys.join(F.broadcast(maybe), ["bucket", "value"], "left_semi").select("value").distinct()  # few values; the store's keys, however many, aren't moved
 
     def differences(self, table: str, source: DataFrame, version: int | None = None) -> DataFrame:
         """One row (matched, missing, extra, compared): keys of ``source`` and of the store's table, each once; compared: how many of the store's keys were read to tell.

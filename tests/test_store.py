@@ -484,6 +484,25 @@ def test_one_list_of_quotes_in_all_documents(spark, monkeypatch, few):
     assert evidence.quotes_in_all(spark.createDataFrame([], "item_id string, quote string"), docs).count() == 0
 
 
+def test_large_key_tables_are_not_sent_to_every_task(spark, tmp_path, monkeypatch):
+    specs = {"u": TableSpec("u", "id"), "t": TableSpec("t", "id", (Fk("up", "u"),), (("a", "b"),))}
+    up = spark.createDataFrame([("d", k, k) for k in range(0, 60, 2)], "doc_id string, rec_idx long, id long")
+    rows = lambda n: spark.createDataFrame([("d", k, k, k % 50, k % 7, k % 5) for k in range(n)], "doc_id string, rec_idx long, id long, up long, a long, b long")
+    found = {}
+    for few in (1_000_000, 3):
+        monkeypatch.setattr(frames, "FEW_ROWS", few, raising=False)
+        monkeypatch.setattr(store_module, "FEW_ROWS", few, raising=False)
+        store = Store(spark, f"file://{tmp_path}/store{few}", specs, buckets=2)
+        load.load_batch(store, "a", {"u": up, "t": rows(20)})
+        good, bad = load.enforce_constraints({"t": rows(60)}, specs, store)
+        found[few] = [sorted(map(tuple, df.collect())) for df in (good["t"], bad, store.read("t").select("id"))]
+        assert ("BroadcastHashJoin" in good["t"]._jdf.queryExecution().executedPlan().toString()) == (few > 3)
+        asked = store.stored("t", ("id",), spark.range(60).select(store_module.key_value([F.col("id")]).alias("value")))
+        assert ("BroadcastHashJoin" in asked._jdf.queryExecution().executedPlan().toString()) == (few > 3)
+        found[few].append(sorted(r.value for r in asked.collect()))
+    assert found[3] == found[1_000_000] and all(found[3])
+
+
 def test_records_given_twice(spark):
     docs = spark.createDataFrame([("d", "Target 2030")], "doc_id string, text string")
     claims = spark.createDataFrame([("d", 0, "2030", "Target 2030", 0.9), ("d", 0, "2030", "2030", 0.5)], "doc_id string, rec_idx int, y string, y_quote string, y_confidence double")
